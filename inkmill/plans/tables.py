@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.pretok import BERT_PATTERN, BYTE_LEVEL_PATTERN, PUNCTUATION, WORD_PATTERN
 from ..functions.scalars import ColumnOrName, _col, hex_to_long, uniform
@@ -73,6 +73,16 @@ def three_char_pieces(df: DataFrame, text: str) -> DataFrame:
     )
 
 
+def rules_window():
+    """Numbers a rule list of constant length."""
+    return W.orderBy(F.desc("freq"), "left", "right")
+
+
+def vocab_window():
+    """Numbers a vocabulary."""
+    return W.orderBy(F.desc("n"), "token")
+
+
 # SQL counterparts.
 
 def re2(pattern: str) -> str:
@@ -158,5 +168,3 @@ def sql_byte_level_pieces(text: str) -> str:
 SQL_BERT = re2(BERT_PATTERN)
 SQL_WORD = re2(WORD_PATTERN)
 SQL_PUNCT_SPLIT = re2(rf"[^{PUNCTUATION}]++|[{PUNCTUATION}]")
-
-__all__ = [n for n in dir() if not n.startswith("__")]
