@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from .once import compute_once
 from .scalars import IGNORE_LABEL, ColumnOrName, _col
 
 
@@ -11,19 +12,13 @@ def as_doubles(values: ColumnOrName) -> Column:
     return F.transform(_col(values), lambda x: x.cast("double"))
 
 
-def softmax(df, logits: str, out: str):
-    """Add ``out``: softmax of a logits column, shifted by its maximum.
-
-    The shifted exponentials and their sum are columns of their own, so neither
-    is evaluated once per element.
-    """
-    return (
-        df.withColumn("_peak", F.array_max(as_doubles(logits)))
-        .withColumn("_exp", F.transform(as_doubles(logits), lambda x: F.exp(x - F.col("_peak"))))
-        .withColumn("_mass", F.aggregate("_exp", F.lit(0.0), lambda acc, x: acc + x))
-        .withColumn(out, F.transform("_exp", lambda x: x / F.col("_mass")))
-        .drop("_peak", "_exp", "_mass")
-    )
+def softmax(logits: ColumnOrName) -> Column:
+    """Softmax, shifted by the maximum. Maximum and sum enter as arrays, so they are computed once."""
+    x = as_doubles(logits)
+    n = F.size(_col(logits))
+    powers = F.zip_with(x, F.array_repeat(F.array_max(x), n), lambda v, peak: F.exp(v - peak))
+    mass = F.aggregate(powers, F.lit(0.0), lambda acc, v: acc + v)
+    return F.zip_with(powers, F.array_repeat(mass, n), lambda v, m: v / m)
 
 
 def argmax_array(values: ColumnOrName) -> Column:
@@ -39,7 +34,10 @@ def topk_array(values: ColumnOrName, k: int) -> Column:
 
 
 def chunk_fixed(values: ColumnOrName, n: int) -> Column:
-    """Pieces of n elements; the last may be short and an empty array has none."""
+    """Pieces of n elements; the last may be short and an empty array has none.
+
+    ``values`` should be a stored column or one fixed by compute_once.
+    """
     values = _col(values)
     n_chunks = F.ceil(F.size(values) / F.lit(n)).cast("int")
     starts = F.when(n_chunks > 0, F.sequence(F.lit(0), n_chunks - 1)).otherwise(F.array().cast("array<int>"))
@@ -96,20 +94,20 @@ def pair_type_ids(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.concat(F.array_repeat(F.lit(0), F.size(_col(a)) + 2), F.array_repeat(F.lit(1), F.size(_col(b)) + 1))
 
 
-def align_labels(word_ids: ColumnOrName, labels: ColumnOrName) -> Column:
-    """Word labels spread over sub-tokens.
+def align_labels(df: DataFrame, word_ids: str, labels: str, out: str) -> DataFrame:
+    """Add ``out``: word labels spread over sub-tokens.
 
     Positions without a word are ignored; a further piece of the same word turns
     an odd (B-) label into the following even (I-) one.
     """
-    word_ids, labels = _col(word_ids), _col(labels)
+    fixed = compute_once(df, word_ids, labels)
 
     def label(w, i):
         own = F.get(labels, w)
         continues = (i > 0) & w.eqNullSafe(F.get(word_ids, i - 1))
         return F.when(w.isNull(), F.lit(IGNORE_LABEL)).when(continues, own + own % 2).otherwise(own)
 
-    return F.transform(word_ids, label)
+    return fixed.withColumn(out, F.transform(word_ids, label))
 
 
 def clm_labels(ids: ColumnOrName, pad_id: int) -> Column:
@@ -137,38 +135,37 @@ def invert_map(mapping: Column) -> Column:
 def entity_spans(tags: ColumnOrName) -> Column:
     """Spans (type, start, end inclusive) of a tag sequence such as B-PER I-PER O.
 
-    A span opens at B-x, and at I-x after O or another type. Opening and closing
-    positions are found by looking at the neighbours, then paired in order: linear,
-    and inside the row.
+    A span opens at B-x, and at I-x after O or another type. Each position is laid
+    beside its neighbours, opening and closing positions are filtered out and paired in
+    order: linear, and inside the row.
     """
     tags = _col(tags)
-    n = F.size(tags)
+    n, outside = F.size(tags), F.array(F.lit("O"))
+    before = F.concat(outside, F.slice(tags, F.lit(1), F.greatest(n - 1, F.lit(0))))
+    after = F.concat(F.slice(tags, F.lit(2), F.greatest(n - 1, F.lit(0))), outside)
 
     def kind(t):
         return F.substring(t, 3, 1 << 20)
 
-    def inside(t):
-        return F.coalesce(t != "O", F.lit(False))
-
-    def opens(i):
-        here, before = F.get(tags, i), F.get(tags, i - 1)
-        follows = inside(before) & (kind(before) == kind(here))
-        return inside(here) & (here.startswith("B-") | ~F.coalesce(follows, F.lit(False)))
-
-    def closes(i):
-        following = F.get(tags, i + 1)
-        return inside(F.get(tags, i)) & F.when(inside(following), opens(i + 1)).otherwise(F.lit(True))
+    def opens(here, previous):
+        follows = (previous != "O") & (kind(previous) == kind(here))
+        return (here != "O") & (here.startswith("B-") | ~follows)
 
-    positions = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    beside = F.zip_with(F.zip_with(before, tags, lambda b, t: F.struct(b.alias("b"), t.alias("t"))), after,
+                        lambda z, a: F.struct(z["b"].alias("b"), z["t"].alias("t"), a.alias("a")))
+    marks = F.transform(beside, lambda z, i: F.struct(
+        kind(z["t"]).alias("type"), i.alias("at"), opens(z["t"], z["b"]).alias("first"),
+        ((z["t"] != "O") & ((z["a"] == "O") | opens(z["a"], z["t"]))).alias("last")))
     return F.zip_with(
-        F.filter(positions, opens), F.filter(positions, closes),
-        lambda s, e: F.struct(kind(F.get(tags, s)).alias("type"), s.alias("start"), e.alias("end")),
-    )
+        F.filter(marks, lambda m: m["first"]), F.filter(marks, lambda m: m["last"]),
+        lambda s, e: F.struct(s["type"].alias("type"), s["at"].alias("start"), e["at"].alias("end")))
 
 
 def ngrams(tokens: ColumnOrName, n: int) -> Column:
-    """Space-joined n-grams in order."""
+    """Space-joined n-grams in order: n shifted copies laid side by side."""
     tokens = _col(tokens)
-    last = F.size(tokens) - n + 1
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+    count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    grams = F.slice(tokens, F.lit(1), count)
+    for shift in range(2, n + 1):
+        grams = F.zip_with(grams, F.slice(tokens, F.lit(shift), count), lambda a, b: F.concat(a, F.lit(" "), b))
+    return grams

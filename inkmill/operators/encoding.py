@@ -174,23 +174,24 @@ def word_ids(pieces: ColumnOrName) -> Column:
     return F.flatten(F.transform(_col(pieces), lambda p, i: F.array_repeat(i, F.size(p))))
 
 
-def piece_spans(pieces: ColumnOrName, word_starts: ColumnOrName, word_ends: ColumnOrName, unknown: str = "[UNK]") -> Column:
-    """Character spans (start, end) of every piece; an unknown piece covers its word."""
-    starts, ends = _col(word_starts), _col(word_ends)
+def piece_spans(pieces: ColumnOrName, words: ColumnOrName, unknown: str = "[UNK]") -> Column:
+    """Character spans (start, end) of every piece; an unknown piece covers its word.
 
+    ``words`` is the array of (token, start, end) that was encoded.
+    """
     def width(piece):
         return F.length(piece) - F.when(piece.startswith("##"), 2).otherwise(0)
 
-    def spans(word, i):
+    def spans(parts, word):
         def span(piece, j):
-            before = F.aggregate(F.slice(word, F.lit(1), j), F.lit(0), lambda acc, p: acc + width(p))
-            start = F.get(starts, i) + before
-            end = F.when(piece == unknown, F.get(ends, i)).otherwise(start + width(piece))
+            before = F.aggregate(F.slice(parts, F.lit(1), j), F.lit(0), lambda acc, p: acc + width(p))
+            start = word["start"] + before
+            end = F.when(piece == unknown, word["end"]).otherwise(start + width(piece))
             return F.struct(start.alias("start"), end.alias("end"))
 
-        return F.transform(word, span)
+        return F.transform(parts, span)
 
-    return F.flatten(F.transform(_col(pieces), spans))
+    return F.flatten(F.zip_with(_col(pieces), _col(words), spans))
 
 
 def dictionary_encode_join(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame, unk_id: int,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.arrays import attention_mask, chunk_fixed, pad_array
+from ..functions.once import compute_once
 from ..functions.pretok import running_starts
 from ..functions.scalars import IGNORE_LABEL, uniform
 from .ordering import batch_assign, running_offset
@@ -60,7 +61,7 @@ def group_texts(df: DataFrame, ids: str, order_col: str, chunk: int = 128, batch
 
 def chunk_overflow(df: DataFrame, ids: str, context: int = 128) -> DataFrame:
     """Cut each row into chunks and keep the full ones; ``chunk_id`` numbers them within the row."""
-    chunks = df.select("*", F.posexplode(chunk_fixed(ids, context)).alias("chunk_id", "_chunk"))
+    chunks = compute_once(df, ids).select("*", F.posexplode(chunk_fixed(ids, context)).alias("chunk_id", "_chunk"))
     return chunks.drop(ids).withColumnRenamed("_chunk", ids).filter(F.size(ids) == context)
 
 
@@ -85,7 +86,7 @@ def mlm_mask(df: DataFrame, ids: str, key: list[str], mask_id: int, vocab_size:
         return F.when(~F.get("_hit", i), x).when(action < 0.8, F.lit(mask_id)).when(action < 0.9, other).otherwise(x)
 
     return (
-        df.withColumn("_hit", F.transform(ids, chosen))
+        compute_once(compute_once(df, ids), _hit=F.transform(ids, chosen))
         .withColumn("labels", F.transform(ids, lambda x, i: F.when(F.get("_hit", i), x).otherwise(F.lit(IGNORE_LABEL))))
         .withColumn(ids, F.transform(ids, masked))
         .drop("_hit")
@@ -99,9 +100,9 @@ def add_word_index(df: DataFrame, word_ids: str, out: str) -> DataFrame:
     Both running counts are linear in the array.
     """
     changed = F.transform("_named", lambda w, k: F.when((k > 0) & (w == F.get("_named", k - 1)), 0).otherwise(1))
+    named = compute_once(df, word_ids, _named=F.filter(word_ids, lambda w: w.isNotNull()))
     counted = (
-        df.withColumn("_named", F.filter(word_ids, lambda w: w.isNotNull()))
-        .withColumn("_new", changed)
+        compute_once(named, _new=changed)
         .withColumn("_before", running_starts(F.col("_new")))
         .withColumn("_rank", running_starts(F.transform(word_ids, lambda w: w.isNotNull().cast("int"))))
     )
@@ -116,13 +117,13 @@ def add_word_index(df: DataFrame, word_ids: str, out: str) -> DataFrame:
 def whole_word_mask(df: DataFrame, ids: str, labels: str, word_ids: str, key: list[str], mask_id: int,
                     seed: int = 42, probability: float = 0.2, epoch: int = 0) -> DataFrame:
     """Mask whole words: one draw per word, all its tokens masked, labels only there."""
-    def hit(i: Column) -> Column:
-        word = F.get("_word", i)
+    def hit(word: Column) -> Column:
         return word.isNotNull() & F.coalesce(uniform(f"{seed}:{epoch}:w", *key, word) < probability, F.lit(False))
 
+    indexed = add_word_index(df, word_ids, "_word")
+
     return (
-        add_word_index(df, word_ids, "_word")
-        .withColumn("_hit", F.transform("_word", lambda w, i: hit(i)))
+        compute_once(compute_once(indexed, ids, labels, "_word"), _hit=F.transform("_word", hit))
         .withColumn(labels, F.transform(labels, lambda x, i: F.when(F.get("_hit", i), x).otherwise(F.lit(IGNORE_LABEL))))
         .withColumn(ids, F.transform(ids, lambda x, i: F.when(F.get("_hit", i), F.lit(mask_id)).otherwise(x)))
         .drop("_word", "_hit")

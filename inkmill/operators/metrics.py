@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType
 
 from ..functions.arrays import entity_spans, ngrams
+from ..functions.once import compute_once
 from ..functions.pretok import pretok_bert
 from ..functions.scalars import IGNORE_LABEL, ColumnOrName, _col
 from ..functions.text import sent_split, strip
@@ -44,11 +45,11 @@ def seqeval(df: DataFrame, predictions: str, labels: str) -> DataFrame:
 
     Spans and their matches are found inside each row; only counts per type are shuffled.
     """
-    rows = drop_ignored(df, predictions, labels).select(
+    rows = compute_once(drop_ignored(df, predictions, labels), predictions, labels).select(
         entity_spans(predictions).alias("p"), entity_spans(labels).alias("y"),
         F.size(labels).alias("n"),
         F.size(F.filter(F.zip_with(predictions, labels, lambda a, b: a == b), lambda same: same)).alias("same"))
-    rows = rows.withColumn("tp", F.array_intersect("p", "y"))
+    rows = compute_once(compute_once(rows, "p", "y"), tp=F.array_intersect("p", "y"))
 
     def typed(spans: str, pred: int, true: int, hit: int) -> Column:
         return F.transform(spans, lambda s: F.struct(
@@ -79,7 +80,7 @@ def overlap_counts(df: DataFrame, key: str, pred_tokens: str, ref_tokens: str, o
     def side(tokens: str, n: int, is_pred: int) -> Column:
         return F.transform(ngrams(tokens, n), lambda g: entry(n, g, is_pred, 1 - is_pred))
 
-    grams = df.select(key, F.explode(F.concat(
+    grams = compute_once(df.select(key, pred_tokens, ref_tokens), pred_tokens, ref_tokens).select(key, F.explode(F.concat(
         F.array(*[entry(n, F.lit(None).cast("string"), 0, 0) for n in orders]),
         *[side(pred_tokens, n, 1) for n in orders], *[side(ref_tokens, n, 0) for n in orders])).alias("g"))
     counts = grams.groupBy(key, "g.n", "g.gram").agg(F.sum("g.p").alias("p"), F.sum("g.r").alias("r"))

@@ -55,7 +55,7 @@ def embed_text(df: DataFrame, text: str, make_predict_fn: Callable, out: str = "
 
 def classify_label(df: DataFrame, logits: str, names: Column) -> DataFrame:
     """Add ``label`` and ``score`` of the best class."""
-    scored = softmax(df, logits, "_probs").withColumn("_best", argmax_array(logits))
+    scored = df.withColumn("_probs", softmax(logits)).withColumn("_best", argmax_array(logits))
     return scored.withColumn("label", F.get(names, F.col("_best"))).withColumn(
         "score", F.get("_probs", F.col("_best"))).drop("_probs", "_best")
 

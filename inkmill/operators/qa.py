@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arrays import topk_array
+from ..functions.once import compute_once
 from ..functions.text import substring_by_offset
 
 
@@ -51,11 +52,12 @@ def offset_mapping(question: str, ctx: str) -> Column:
 
 def eval_offsets(offsets: str, seq_ids: str) -> Column:
     """Offsets with everything outside the context set to null."""
-    return F.transform(offsets, lambda o, i: F.when(F.get(seq_ids, i) == 1, o))
+    return F.zip_with(offsets, seq_ids, lambda o, s: F.when(s == 1, o))
 
 
 def span_labels(df: DataFrame, question: str, ctx: str, answer_start: str, answer_end: str) -> DataFrame:
     """Add ``start_position`` and ``end_position``; (0, 0) where the window does not hold the whole answer."""
+    df = compute_once(df, question, ctx, answer_start, answer_end)
     base = F.size(question) + 2
     first, last = F.get(ctx, F.lit(0)), F.get(ctx, F.size(ctx) - 1)
     outside = F.coalesce((first["start"] > F.col(answer_start)) | (last["end"] < F.col(answer_end)), F.lit(True))
@@ -65,26 +67,30 @@ def span_labels(df: DataFrame, question: str, ctx: str, answer_start: str, answe
         "end_position", F.when(outside, 0).otherwise(base + F.size(ctx) - ends))
 
 
-def best_span(start_logits: str, end_logits: str, offsets: str, n_best: int = 20, max_answer: int = 30) -> Column:
-    """Best admissible span of one feature: struct(score, first and second rank, start, end).
+def best_spans(features: DataFrame, n_best: int = 20, max_answer: int = 30) -> DataFrame:
+    """example_id, best: the best admissible span of each feature that has one.
 
     At most n_best * n_best candidates are looked at inside the row; none leaves it.
+    ``best`` orders by score, then earlier feature, start rank and end rank.
     """
-    def logit(values: str, i: Column) -> Column:
-        return F.get(values, i).cast("double")
+    def ranked(logits: str) -> Column:
+        tops = F.transform(topk_array(logits, n_best), lambda i, rank: F.struct(
+            i.alias("at"), (-rank).alias("rank"), F.get(logits, i).cast("double").alias("logit"),
+            F.get("offset_mapping", i).alias("span")))
+        return F.filter(tops, lambda c: c["span"].isNotNull())
 
-    def candidates(s: Column, srank: Column) -> Column:
-        def span(e: Column, erank: Column) -> Column:
-            allowed = (F.get(offsets, s).isNotNull() & F.get(offsets, e).isNotNull()
-                       & (e >= s) & (e - s + 1 <= max_answer))
-            return F.when(allowed, F.struct(
-                (logit(start_logits, s) + logit(end_logits, e)).alias("score"),
-                (-srank).alias("srank"), (-erank).alias("erank"), s.alias("s"), e.alias("e")))
+    fixed = compute_once(features, "start_logits", "end_logits", "offset_mapping")
+    fixed = compute_once(fixed, _starts=ranked("start_logits"), _ends=ranked("end_logits"))
 
-        return F.transform(topk_array(end_logits, n_best), span)
+    def pair(s: Column, e: Column) -> Column:
+        allowed = (e["at"] >= s["at"]) & (e["at"] - s["at"] + 1 <= max_answer)
+        return F.when(allowed, F.struct(
+            (s["logit"] + e["logit"]).alias("score"), (-F.col("feature_id")).alias("feature"), s["rank"].alias("srank"),
+            e["rank"].alias("erank"), s["span"]["start"].alias("start"), e["span"]["end"].alias("end")))
 
-    spans = F.flatten(F.transform(topk_array(start_logits, n_best), candidates))
-    return F.array_max(F.filter(spans, lambda c: c.isNotNull()))
+    spans = F.flatten(F.transform("_starts", lambda s: F.transform("_ends", lambda e: pair(s, e))))
+    best = F.array_max(F.filter(spans, lambda c: c.isNotNull()))
+    return fixed.select("example_id", best.alias("best")).filter("best is not null")
 
 
 def join_features_to_examples(examples: DataFrame, features: DataFrame, key: str = "example_id") -> DataFrame:
@@ -100,14 +106,7 @@ def qa_nbest_span(examples: DataFrame, features: DataFrame, n_best: int = 20, ma
     the best feature by a partial aggregate, and only then the context is joined.
     Ties go to the earlier feature, start rank and end rank; no span gives "".
     """
-    spans = features.select("example_id", "feature_id", best_span(
-        "start_logits", "end_logits", "offset_mapping", n_best, max_answer).alias("b"), "offset_mapping")
-    found = spans.filter("b is not null").select(
-        "example_id",
-        F.struct("b.score", (-F.col("feature_id")).alias("f"), "b.srank", "b.erank",
-                 F.get("offset_mapping", F.col("b.s"))["start"].alias("start"),
-                 F.get("offset_mapping", F.col("b.e"))["end"].alias("end")).alias("best"))
-    best = found.groupBy("example_id").agg(F.max("best").alias("best"))
+    best = best_spans(features, n_best, max_answer).groupBy("example_id").agg(F.max("best").alias("best"))
     joined = join_features_to_examples(examples, best)
     text = substring_by_offset("context", F.col("best.start"), F.col("best.end"))
     return joined.select("example_id", F.coalesce(text, F.lit("")).alias("prediction_text"),

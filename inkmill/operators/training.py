@@ -74,6 +74,10 @@ class _Words:
         self.table = cut_lineage(marked)
         self.pending = 0
 
+    def alphabet(self) -> list[str]:
+        symbols = self.splits().select(F.explode("syms").alias("symbol")).distinct()
+        return [r.symbol for r in symbols.orderBy("symbol").collect()]
+
     def splits(self) -> DataFrame:
         return self.table.select("freq", "first_seen", _unmark(F.col("marked")).alias("syms"))
 
@@ -118,7 +122,7 @@ def train_bpe(freqs: DataFrame, vocab_size: int | None = None, n_merges: int | N
     The size counts specials and alphabet; ``n_merges`` counts merges instead.
     """
     words = _Words(freqs, "")
-    tokens = [*specials, *[r.symbol for r in vocab.alphabet(freqs).collect()]]
+    tokens = [*specials, *words.alphabet()]
     vocab_size = len(tokens) + n_merges if vocab_size is None else vocab_size
     known, merges = set(tokens), []
     while len(tokens) < vocab_size:
@@ -135,7 +139,7 @@ def train_wordpiece(freqs: DataFrame, vocab_size: int | None = None, n_merges: i
                     specials: tuple[str, ...] = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")) -> tuple[list[str], list[Merge]]:
     """Vocabulary by the pair score; a merge can raise other scores, so each round takes one."""
     words = _Words(freqs, "##")
-    tokens = [*specials, *[r.symbol for r in vocab.alphabet(freqs, "##").collect()]]
+    tokens = [*specials, *words.alphabet()]
     vocab_size = len(tokens) + n_merges if vocab_size is None else vocab_size
     merges = []
     while len(tokens) < vocab_size:
@@ -177,16 +181,14 @@ def train_unigram(freqs: DataFrame, vocab_size: int = 100, seed_size: int = 300,
     """
     if seed_size > MAX_BROADCAST_TOKENS:
         raise ValueError("seed_size is larger than a vocabulary that can be sent to every task")
-    spark = freqs.sparkSession
     words = cut_lineage(freqs.select("word", "freq", "first_seen"))
     seed = vocab.subword_topn(words, seed_size).collect()
     chars = sorted((r for r in seed if len(r.token) == 1), key=lambda r: tuple(r.first))
     rest = sorted((r for r in seed if len(r.token) > 1), key=lambda r: (-r.freq, tuple(r.first)))
     token_freqs = {r.token: r.freq for r in [*chars, *rest]}
-    spread_words = words.select("word", "freq").repartition(spark.sparkContext.defaultParallelism)
     while len(token_freqs) > vocab_size:
         scores = _scores(token_freqs)
-        grown = {r.token: (r.lost, r.increase or 0) for r in unigram_losses(spread_words, scores).collect()}
+        grown = {r.token: (r.lost, r.increase or 0) for r in unigram_losses(words, scores).collect()}
         prunable = sorted((t for t in token_freqs if len(t) > 1), key=lambda t: grown.get(t, (0, 0)))
         dropped = prunable[: int(len(token_freqs) * drop_share)]
         if not dropped:

@@ -28,35 +28,39 @@ def alphabet(freqs: DataFrame, continuation: str = "") -> DataFrame:
     return freqs.select(F.explode(symbols(F.col("word"), continuation)).alias("symbol")).distinct().orderBy("symbol")
 
 
-def _pairs(splits: DataFrame) -> DataFrame:
-    tail = F.slice(F.col("syms"), F.lit(2), F.greatest(F.size("syms") - 1, F.lit(0)))
-    head = F.slice(F.col("syms"), F.lit(1), F.greatest(F.size("syms") - 1, F.lit(0)))
-    zipped = F.zip_with(head, tail, lambda a, b: F.struct(a.alias("left"), b.alias("right")))
-    return splits.select("freq", "first_seen", F.posexplode(zipped).alias("at", "pair")).select(
-        "freq", "first_seen", "at", "pair.left", "pair.right")
+def adjacent_freqs(splits: DataFrame) -> DataFrame:
+    """left, right, freq, first over ``splits(syms, freq, first_seen)``; right is null behind the last symbol.
 
-
-def pair_freqs(splits: DataFrame) -> DataFrame:
-    """left, right, freq, first: frequency of adjacent symbols over ``splits(syms, freq, first_seen)``.
-
-    ``first`` is the place of the pair's first occurrence: document, word position,
-    position inside the word.
+    ``first`` is the place of the first occurrence: document, word position, position
+    inside the word. The table has one row per distinct pair, so whatever is derived
+    from it is cheap.
     """
+    tail = F.concat(F.slice("syms", F.lit(2), F.greatest(F.size("syms") - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    zipped = F.zip_with("syms", tail, lambda a, b: F.struct(a.alias("left"), b.alias("right")))
+    rows = splits.select("freq", "first_seen", F.posexplode(zipped).alias("at", "pair"))
     where = F.struct(F.col("first_seen.doc_id"), F.col("first_seen.pos"), F.col("at"))
-    return _pairs(splits).groupBy("left", "right").agg(F.sum("freq").alias("freq"), F.min(where).alias("first"))
+    return rows.groupBy("pair.left", "pair.right").agg(F.sum("freq").alias("freq"), F.min(where).alias("first"))
+
+
+def pair_freqs(splits: DataFrame) -> DataFrame:
+    """left, right, freq, first of adjacent symbols."""
+    return adjacent_freqs(splits).filter(F.col("right").isNotNull())
 
 
 def letter_freqs(splits: DataFrame) -> DataFrame:
-    return splits.select("freq", F.explode("syms").alias("symbol")).groupBy("symbol").agg(F.sum("freq").alias("freq"))
+    return adjacent_freqs(splits).groupBy(F.col("left").alias("symbol")).agg(F.sum("freq").alias("freq"))
 
 
 def pair_scores(splits: DataFrame) -> DataFrame:
-    """left, right, freq, score, first: pair frequency over the product of both symbol frequencies."""
-    letters = letter_freqs(splits)
-    lefts = letters.select(F.col("symbol").alias("left"), F.col("freq").alias("left_freq"))
-    rights = letters.select(F.col("symbol").alias("right"), F.col("freq").alias("right_freq"))
-    joined = pair_freqs(splits).join(lefts, "left").join(rights, "right")
-    product = F.col("left_freq").cast("double") * F.col("right_freq").cast("double")
+    """left, right, freq, score, first: pair frequency over the product of both symbol frequencies.
+
+    The words are scanned once; both symbol frequencies come from the pair table.
+    """
+    adjacent = adjacent_freqs(splits)
+    letters = adjacent.groupBy(F.col("left").alias("symbol")).agg(F.sum("freq").alias("symbol_freq"))
+    lefts = adjacent.withColumn("left_freq", F.sum("freq").over(W.partitionBy("left"))).filter(F.col("right").isNotNull())
+    joined = lefts.join(letters, F.col("right") == F.col("symbol"))
+    product = F.col("left_freq").cast("double") * F.col("symbol_freq").cast("double")
     return joined.select("left", "right", "freq", (F.col("freq") / product).alias("score"), "first")
 
 

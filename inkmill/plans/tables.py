@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from ..functions.pretok import BERT_PATTERN, BYTE_LEVEL_PATTERN, PUNCTUATION, WORD_PATTERN
 from ..functions.scalars import ColumnOrName, _col, hex_to_long, uniform
 from ..functions.text import NOT_WHITESPACE, WHITESPACE, words
+from ..session import spread
 
 # Label names of the tagging examples.
 LABEL_NAMES = ["O", "B-PER", "I-PER", "B-ORG", "I-ORG", "B-LOC", "I-LOC", "B-MISC", "I-MISC"]
@@ -20,6 +21,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents on all cores, for CPU-heavy work on a corpus of few files."""
+    return spread(documents(spark, sf_dir))
+
+
 def joined(values: ColumnOrName, sep: str = " ") -> Column:
     """An array as one string, so that results compare as plain values."""
     return F.array_join(_col(values).cast("array<string>"), sep)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import arrays as A, pretok as P, text as T
+from ..functions.once import compute_once
 from ..functions.scalars import neg_log_prob, perplexity, token_perplexity
 from ..operators import encoding, training, vocab
 from ..session import scratch_path
@@ -16,12 +17,12 @@ from .registry import query
 
 @query("normalize_text", "SELECT doc_id, strip_accents(lower(text)) AS text FROM documents")
 def normalize_text(spark, d):
-    return t.documents(spark, d).select("doc_id", T.normalize_text("text").alias("text"))
+    return t.spread_documents(spark, d).select("doc_id", T.normalize_text("text").alias("text"))
 
 
 @query("normalize_text_full", "SELECT doc_id, strip_accents(lower(text)) AS text FROM documents")
 def normalize_text_full(spark, d):
-    return t.documents(spark, d).select("doc_id", T.normalize_text_full("text").alias("text"))
+    return t.spread_documents(spark, d).select("doc_id", T.normalize_text_full("text").alias("text"))
 
 
 def _pieces_row(df: DataFrame) -> DataFrame:
@@ -49,43 +50,43 @@ _WORD_COVER = f"regexp_extract_all(text, {t.re2(T.NOT_WHITESPACE + '+|' + T.WHIT
 
 @query("pretok_bert", _sql_pieces(f"regexp_extract_all(text, {t.re2(P.BERT_COVER)})", _NOT_BLANK))
 def pretok_bert(spark, d):
-    return _pieces_row(P.piece_offsets(t.documents(spark, d), "text"))
+    return _pieces_row(P.piece_offsets(t.spread_documents(spark, d), "text"))
 
 
 @query("pretok_bytelevel", _sql_pieces(t.sql_byte_level_pieces("text"), "true", t.sql_byte_level("token")).replace("s + length(token) AS e", "s + length(o.token) AS e"))
 def pretok_bytelevel(spark, d):
-    return _pieces_row(P.bytelevel_offsets(t.documents(spark, d), "text"))
+    return _pieces_row(P.bytelevel_offsets(t.spread_documents(spark, d), "text"))
 
 
 @query("pretok_metaspace", _sql_pieces(_WORD_COVER, _NOT_BLANK, "'▁' || token").replace("s + length(token) AS e", "s + length(o.token) AS e"))
 def pretok_metaspace(spark, d):
-    return _pieces_row(P.metaspace_offsets(t.documents(spark, d), "text"))
+    return _pieces_row(P.metaspace_offsets(t.spread_documents(spark, d), "text"))
 
 
 @query("pretok_whitespace", f"SELECT doc_id, array_to_string(regexp_extract_all(text, {t.SQL_WORD}), ' ') AS tokens FROM documents")
 def pretok_whitespace(spark, d):
-    return t.documents(spark, d).select("doc_id", t.joined(P.pretok_whitespace("text")).alias("tokens"))
+    return t.spread_documents(spark, d).select("doc_id", t.joined(P.pretok_whitespace("text")).alias("tokens"))
 
 
 @query("pretok_sequence", f"""
 SELECT doc_id, array_to_string(flatten(list_transform({t.sql_words('text')}, lambda w: regexp_extract_all(w, {t.SQL_PUNCT_SPLIT}))), ' ') AS tokens FROM documents""")
 def pretok_sequence(spark, d):
-    return t.documents(spark, d).select("doc_id", t.joined(P.pretok_sequence("text")).alias("tokens"))
+    return t.spread_documents(spark, d).select("doc_id", t.joined(P.pretok_sequence("text")).alias("tokens"))
 
 
 # Word tables of the three trainers.
 
 def byte_words(spark, d) -> DataFrame:
-    return vocab.word_freqs(t.documents(spark, d), "doc_id", P.pretok_bytelevel_raw("text")).withColumn(
+    return vocab.word_freqs(t.spread_documents(spark, d), "doc_id", P.pretok_bytelevel_raw("text")).withColumn(
         "word", P.to_byte_level("word"))
 
 
 def bert_words(spark, d) -> DataFrame:
-    return vocab.word_freqs(t.documents(spark, d), "doc_id", P.pretok_bert("text"))
+    return vocab.word_freqs(t.spread_documents(spark, d), "doc_id", P.pretok_bert("text"))
 
 
 def space_words(spark, d) -> DataFrame:
-    return vocab.word_freqs(t.documents(spark, d), "doc_id", P.pretok_metaspace("text"))
+    return vocab.word_freqs(t.spread_documents(spark, d), "doc_id", P.pretok_metaspace("text"))
 
 
 def _sql_freqs(tokens: str, shown: str = "token") -> str:
@@ -204,7 +205,7 @@ l AS (SELECT doc_id, sum(nlp) AS nll, count(*) AS n FROM w JOIN f USING (token)
 @query("perplexity", f"""
 WITH {SQL_WORD_NLL} SELECT round(exp(avg(nll / n)), 4) AS mean_loss, round(exp(sum(nll) / sum(n)), 4) AS token_weighted FROM l""")
 def perplexity_query(spark, d):
-    tokens = t.documents(spark, d).select("doc_id", F.explode(T.words("text")).alias("token"))
+    tokens = t.spread_documents(spark, d).select("doc_id", F.explode(T.words("text")).alias("token"))
     freqs = tokens.groupBy("token").agg(F.count("*").alias("freq"))
     model = freqs.withColumn("nlp", neg_log_prob("freq", tokens.agg(F.count("*")).scalar()))
     per_doc = tokens.groupBy("doc_id", "token").agg(F.count("*").alias("k")).join(model, "token")
@@ -264,11 +265,10 @@ def train_unigram(spark, d):
 SELECT round(sum(a.freq * len({_UNMARK.replace('marked', 'a.marked')}))::DOUBLE / (SELECT count(*) FROM documents), 6) AS old_tokens,
        (SELECT round(sum(freq * len({_UNMARK}))::DOUBLE / (SELECT count(*) FROM documents), 6) FROM r8) AS new_tokens FROM r0 a""")
 def train_from_corpus(spark, d):
-    docs = t.documents(spark, d)
     words = byte_words(spark, d)
     _, merges = training.train_bpe(words, n_merges=8)
     coded = encoding.encode_bpe(words.withColumn("w", F.array("word")), F.col("w"), training.merge_table(spark, merges))
-    n_docs = docs.agg(F.count("*")).scalar()
+    n_docs = t.documents(spark, d).agg(F.count("*")).scalar()
     return coded.agg(F.round(F.sum(F.col("freq") * F.length("word")) / n_docs, 6).alias("old_tokens"),
                      F.round(F.sum(F.col("freq") * F.size(F.flatten("pieces"))) / n_docs, 6).alias("new_tokens"))
 
@@ -305,14 +305,14 @@ WITH w AS MATERIALIZED (SELECT * FROM ({SQL_BYTE_WORDS})),
      k AS (SELECT doc_id, pos, {t.sql_byte_level('token')} AS word FROM ({t.sql_tokens('documents', 'doc_id', t.sql_byte_level_pieces('text'))}))
 SELECT doc_id, sum(len(pieces))::BIGINT AS n, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS tokens FROM k JOIN e USING (word) GROUP BY doc_id""")
 def encode_bpe(spark, d):
-    coded = encoding.encode_bpe(t.documents(spark, d), P.pretok_bytelevel("text"), _rules(spark, d))
+    coded = encoding.encode_bpe(t.spread_documents(spark, d), P.pretok_bytelevel("text"), _rules(spark, d))
     flat = coded.select("doc_id", F.flatten("pieces").alias("tokens"))
     return flat.select("doc_id", F.size("tokens").cast("bigint").alias("n"), t.joined("tokens").alias("tokens"))
 
 
 def wordpiece_vocab(spark, d) -> DataFrame:
     """Characters and the 500 most frequent subwords of the normalised corpus, initial and continued."""
-    words = vocab.word_freqs(t.documents(spark, d), "doc_id", P.pretok_bert(T.normalize_text("text")))
+    words = vocab.word_freqs(t.spread_documents(spark, d), "doc_id", P.pretok_bert(T.normalize_text("text")))
     return vocab.wordpiece_test_vocab(words, 500)
 
 
@@ -341,7 +341,7 @@ WITH RECURSIVE {SQL_WORDPIECE}
 SELECT doc_id, sum(len(pieces))::BIGINT AS n, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS tokens
 FROM ({SQL_NORMAL_TOKENS}) k JOIN coded ON coded.word = k.token GROUP BY doc_id""")
 def encode_wordpiece(spark, d):
-    coded = encoding.encode_wordpiece(t.documents(spark, d), _normal_words(), wordpiece_vocab(spark, d))
+    coded = encoding.encode_wordpiece(t.spread_documents(spark, d), _normal_words(), wordpiece_vocab(spark, d))
     flat = coded.select("doc_id", F.flatten("pieces").alias("tokens"))
     return flat.select("doc_id", F.size("tokens").cast("bigint").alias("n"), t.joined("tokens").alias("tokens"))
 
@@ -358,11 +358,10 @@ SELECT doc_id, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS tok
   string_agg(array_to_string(list_transform(ends, lambda x: x + s), ' '), ' ' ORDER BY pos) AS ends
 FROM numbered k JOIN coded ON coded.word = k.token GROUP BY doc_id""")
 def encode_with_offsets(spark, d):
-    docs = t.documents(spark, d).select("doc_id", T.normalize_text("text").alias("text"))
+    docs = t.spread_documents(spark, d).select("doc_id", T.normalize_text("text").alias("text"))
     located = P.piece_offsets(docs, "text", out="words")
     coded = encoding.encode_wordpiece(located, F.transform("words", lambda w: w["token"]), wordpiece_vocab(spark, d))
-    spans = encoding.piece_spans("pieces", F.transform("words", lambda w: w["start"]), F.transform("words", lambda w: w["end"]))
-    coded = coded.withColumn("spans", spans)
+    coded = compute_once(coded, spans=encoding.piece_spans("pieces", "words"))
     return coded.select("doc_id", t.joined(F.flatten("pieces")).alias("tokens"), t.joined(encoding.word_ids("pieces")).alias("word_ids"),
                         t.joined(F.transform("spans", lambda s: s["start"])).alias("starts"),
                         t.joined(F.transform("spans", lambda s: s["end"])).alias("ends"))
@@ -372,7 +371,7 @@ def encode_with_offsets(spark, d):
 def encode_unigram(spark, d):
     seed = vocab.subword_topn(space_words(spark, d), 300).select("token", "freq")
     model = seed.withColumn("neg_log_p", neg_log_prob("freq", seed.agg(F.sum("freq")).scalar()))
-    coded = encoding.encode_unigram(t.documents(spark, d), P.pretok_metaspace("text"), model)
+    coded = encoding.encode_unigram(t.spread_documents(spark, d), P.pretok_metaspace("text"), model)
     flat = coded.select("doc_id", F.flatten("pieces").alias("tokens"))
     return flat.select("doc_id", F.size("tokens").alias("n"), t.joined("tokens").alias("tokens"))
 
@@ -381,7 +380,7 @@ def encode_unigram(spark, d):
 
 def word_vocab(spark, d) -> DataFrame:
     """Words seen at least five times, numbered from 5 by frequency."""
-    tokens = t.documents(spark, d).select(F.explode(_normal_words()).alias("token"))
+    tokens = t.spread_documents(spark, d).select(F.explode(_normal_words()).alias("token"))
     freqs = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n >= 5")
     return freqs.select("token", (F.row_number().over(t.vocab_window()) + 4).cast("int").alias("id"))
 
@@ -394,7 +393,7 @@ SQL_WORD_VOCAB = f"""SELECT token, (row_number() OVER (ORDER BY n DESC, token) +
 WITH v AS MATERIALIZED ({SQL_WORD_VOCAB})
 SELECT doc_id, string_agg(coalesce(id, 1)::VARCHAR, ' ' ORDER BY pos) AS ids FROM ({SQL_NORMAL_TOKENS}) k LEFT JOIN v USING (token) GROUP BY doc_id""")
 def dictionary_encode_join(spark, d):
-    coded = encoding.dictionary_encode_join(t.documents(spark, d), "doc_id", _normal_words(), word_vocab(spark, d), 1)
+    coded = encoding.dictionary_encode_join(t.spread_documents(spark, d), "doc_id", _normal_words(), word_vocab(spark, d), 1)
     return coded.select("doc_id", t.joined("input_ids").alias("ids"))
 
 
@@ -416,7 +415,7 @@ def decode_wordpiece(spark, d):
         parts = F.regexp_extract_all(w, F.lit(".{1,3}"), F.lit(0))
         return F.transform(parts, lambda p, i: F.when(i > 0, F.concat(F.lit("##"), p)).otherwise(p))
 
-    docs = t.documents(spark, d).select("doc_id", F.flatten(F.transform(T.words("text"), cut)).alias("pieces"))
+    docs = t.spread_documents(spark, d).select("doc_id", F.flatten(F.transform(T.words("text"), cut)).alias("pieces"))
     pieces = docs.select("doc_id", F.explode("pieces").alias("token"))
     numbered = pieces.select("token").distinct().withColumn("id", F.xxhash64("token"))
     ids = docs.select("doc_id", F.concat(F.array(F.lit(0).cast("bigint")), F.transform("pieces", lambda p: F.xxhash64(p))).alias("ids"))
@@ -427,12 +426,12 @@ def decode_wordpiece(spark, d):
 
 @query("decode_metaspace", f"SELECT doc_id, array_to_string({t.sql_words('text')}, ' ') AS text FROM documents")
 def decode_metaspace(spark, d):
-    return t.documents(spark, d).select("doc_id", encoding.detokenize_metaspace(P.pretok_metaspace("text")).alias("text"))
+    return t.spread_documents(spark, d).select("doc_id", encoding.detokenize_metaspace(P.pretok_metaspace("text")).alias("text"))
 
 
 @query("decode_bytelevel", "SELECT doc_id, text FROM documents")
 def decode_bytelevel(spark, d):
-    return t.documents(spark, d).select("doc_id", P.from_byte_level(F.array_join(P.pretok_bytelevel("text"), "")).alias("text"))
+    return t.spread_documents(spark, d).select("doc_id", P.from_byte_level(F.array_join(P.pretok_bytelevel("text"), "")).alias("text"))
 
 
 @query("batch_decode_labels", f"""
@@ -440,7 +439,7 @@ WITH v AS MATERIALIZED ({SQL_WORD_VOCAB})
 SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS text FROM ({SQL_NORMAL_TOKENS}) k JOIN v USING (token) GROUP BY doc_id""")
 def batch_decode_labels(spark, d):
     words = word_vocab(spark, d)
-    coded = encoding.dictionary_encode_join(t.documents(spark, d), "doc_id", _normal_words(), words, -100)
+    coded = encoding.dictionary_encode_join(t.spread_documents(spark, d), "doc_id", _normal_words(), words, -100)
     labels = coded.select("doc_id", A.unignore("input_ids", 0).alias("labels"))
     pad = spark.createDataFrame([("[PAD]", 0)], "token string, id int")
     tokens = encoding.decode_join(labels, "doc_id", F.col("labels"), words.unionByName(pad))
