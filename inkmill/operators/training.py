@@ -71,7 +71,7 @@ class _Words:
 
     def __init__(self, freqs: DataFrame, continuation: str):
         marked = initial_splits(freqs, continuation).select("freq", "first_seen", _mark(F.col("syms")).alias("marked"))
-        self.table = cut_lineage(marked)
+        self.table = cut_lineage(marked, freqs.sparkSession.sparkContext.defaultParallelism)
         self.pending = 0
 
     def alphabet(self) -> list[str]:
@@ -181,7 +181,7 @@ def train_unigram(freqs: DataFrame, vocab_size: int = 100, seed_size: int = 300,
     """
     if seed_size > MAX_BROADCAST_TOKENS:
         raise ValueError("seed_size is larger than a vocabulary that can be sent to every task")
-    words = cut_lineage(freqs.select("word", "freq", "first_seen"))
+    words = cut_lineage(freqs.select("word", "freq", "first_seen"), freqs.sparkSession.sparkContext.defaultParallelism)
     seed = vocab.subword_topn(words, seed_size).collect()
     chars = sorted((r for r in seed if len(r.token) == 1), key=lambda r: tuple(r.first))
     rest = sorted((r for r in seed if len(r.token) > 1), key=lambda r: (-r.freq, tuple(r.first)))

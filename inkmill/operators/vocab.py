@@ -100,7 +100,7 @@ def subword_topn(freqs: DataFrame, size: int) -> DataFrame:
     place = ["first.doc_id", "first.pos", "first.start", "first.stop"]
     chars = char_freqs(freqs).select("token", "freq", F.struct(
         "first.doc_id", "first.pos", F.col("first.at").alias("start"), (F.col("first.at") + 1).alias("stop")).alias("first"))
-    n_chars = freqs.select(F.explode(symbols(F.col("word"))).alias("c")).agg(F.count_distinct("c")).scalar()
+    n_chars = chars.agg(F.count("*")).scalar()
     subwords = subword_freqs(freqs).orderBy(F.desc("freq"), *place).limit(size)
     ranked = subwords.withColumn("_rank", F.row_number().over(W.orderBy(F.desc("freq"), *place)))
     return chars.unionByName(ranked.filter(F.col("_rank") <= F.lit(size) - n_chars).drop("_rank"))

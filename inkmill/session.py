@@ -43,8 +43,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_shared_root(spark)}/inkmill/{uuid.uuid4().hex}/{name}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it back: a lost executor costs one re-read and no replay."""
+def cut_lineage(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: a lost executor costs one re-read and no replay.
+
+    ``partitions`` sets the number of files, for a small table with much work per row.
+    """
+    if partitions:
+        df = df.repartition(partitions)
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
