@@ -45,7 +45,8 @@ def seqeval(df: DataFrame, predictions: str, labels: str) -> DataFrame:
 
     Spans and their matches are found inside each row; only counts per type are shuffled.
     """
-    rows = compute_once(drop_ignored(df, predictions, labels), predictions, labels).select(
+    tags = compute_once(df.select(predictions, labels), predictions, labels)
+    rows = compute_once(drop_ignored(tags, predictions, labels), predictions, labels).select(
         entity_spans(predictions).alias("p"), entity_spans(labels).alias("y"),
         F.size(labels).alias("n"),
         F.size(F.filter(F.zip_with(predictions, labels, lambda a, b: a == b), lambda same: same)).alias("same"))

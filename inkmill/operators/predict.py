@@ -48,9 +48,12 @@ def hashed_bag_scorer(n_dims: int) -> Callable:
 
 
 def embed_text(df: DataFrame, text: str, make_predict_fn: Callable, out: str = "embedding", batch_size: int = 256) -> DataFrame:
-    """Embed texts by a caller's model and pool on the first position."""
-    hidden = batch_score(df, [text], make_predict_fn, "_hidden", ArrayType(ArrayType(FloatType())), batch_size)
-    return hidden.withColumn(out, F.get("_hidden", F.lit(0))).drop("_hidden")
+    """Embed texts by a caller's model that returns (texts, positions, dims); the first position is the embedding."""
+    def pooled():
+        predict = make_predict_fn()
+        return lambda texts: predict(texts)[:, 0, :]
+
+    return batch_score(df, [text], pooled, out, ArrayType(FloatType()), batch_size)
 
 
 def classify_label(df: DataFrame, logits: str, names: Column) -> DataFrame:

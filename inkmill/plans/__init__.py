@@ -1,4 +1,4 @@
 """All named queries."""
 
-from . import example_sets, shaping, tokenizers  # noqa: F401
+from . import evaluation, example_sets, inference, shaping, storage, streams, tokenizers  # noqa: F401
 from .registry import REGISTRY  # noqa: F401
