@@ -40,6 +40,11 @@ def drop_ignored(df: DataFrame, predictions: str, labels: str) -> DataFrame:
     return df.withColumns({predictions: _kept(predictions, labels), labels: _kept(labels, labels)})
 
 
+def _span_keys(tags: str) -> Column:
+    """Spans as "start:end:type"; sets of strings are matched by hash, sets of structs pair by pair."""
+    return F.transform(entity_spans(tags), lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"), s["type"]))
+
+
 def seqeval(df: DataFrame, predictions: str, labels: str) -> DataFrame:
     """type, precision, recall, f1, number, accuracy: per entity type, and ``overall``.
 
@@ -47,14 +52,14 @@ def seqeval(df: DataFrame, predictions: str, labels: str) -> DataFrame:
     """
     tags = compute_once(df.select(predictions, labels), predictions, labels)
     rows = compute_once(drop_ignored(tags, predictions, labels), predictions, labels).select(
-        entity_spans(predictions).alias("p"), entity_spans(labels).alias("y"),
+        _span_keys(predictions).alias("p"), _span_keys(labels).alias("y"),
         F.size(labels).alias("n"),
         F.size(F.filter(F.zip_with(predictions, labels, lambda a, b: a == b), lambda same: same)).alias("same"))
     rows = compute_once(compute_once(rows, "p", "y"), tp=F.array_intersect("p", "y"))
 
     def typed(spans: str, pred: int, true: int, hit: int) -> Column:
         return F.transform(spans, lambda s: F.struct(
-            s["type"].alias("type"), F.lit(pred).alias("pred"), F.lit(true).alias("true"), F.lit(hit).alias("tp"),
+            F.split(s, ":", 3)[2].alias("type"), F.lit(pred).alias("pred"), F.lit(true).alias("true"), F.lit(hit).alias("tp"),
             F.lit(0).alias("n"), F.lit(0).alias("same")))
 
     tokens = F.array(F.struct(F.lit("overall").alias("type"), F.size("p").alias("pred"), F.size("y").alias("true"),
@@ -164,12 +169,11 @@ def _lcs(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([lcs_length(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.int32())
 
 
-def lcs_positions(ref: list, pred: list) -> set[int]:
-    """Positions in ``ref`` of one longest common subsequence with ``pred``."""
+def lcs_positions(ref: np.ndarray, pred: np.ndarray) -> set[int]:
+    """Positions in ``ref`` of one longest common subsequence with ``pred``; a row of the table is one vector step."""
     table = np.zeros((len(ref) + 1, len(pred) + 1), dtype="int32")
     for i, token in enumerate(ref, 1):
-        same = np.fromiter((token == t for t in pred), dtype=bool, count=len(pred))
-        step = np.where(same, table[i - 1, :-1] + 1, table[i - 1, 1:])
+        step = np.where(pred == token, table[i - 1, :-1] + 1, table[i - 1, 1:])
         table[i, 1:] = np.maximum.accumulate(step)
     found, i, j = set(), len(ref), len(pred)
     while i and j:
@@ -185,13 +189,13 @@ def lcs_positions(ref: list, pred: list) -> set[int]:
 
 def union_lcs_hits(pred: list[list], ref: list[list]) -> int:
     """Clipped size of the union, per reference sentence, of its subsequences with all predicted sentences."""
-    from collections import Counter
-
-    left = [Counter(t for s in pred for t in s), Counter(t for s in ref for t in s)]
+    codes: dict = {}
+    pred, ref = ([np.array([codes.setdefault(t, len(codes)) for t in s], dtype="int64") for s in side] for side in (pred, ref))
+    left = [np.bincount(np.concatenate([np.empty(0, "int64"), *side]), minlength=len(codes)) for side in (pred, ref)]
     hits = 0
     for sentence in ref:
-        union = sorted(set().union(*[lcs_positions(sentence, p) for p in pred]))
-        for i in union:
+        shared = [p for p in pred if np.isin(sentence, p).any()]
+        for i in sorted(set().union(*[lcs_positions(sentence, p) for p in shared])):
             token = sentence[i]
             if left[0][token] > 0 and left[1][token] > 0:
                 hits += 1

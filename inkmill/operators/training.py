@@ -99,7 +99,7 @@ def _next_bpe_merges(words: _Words, known: set[str], limit: int) -> list[Merge]:
     best pair stands if it shares no symbol with the merges before it. This needs
     a != b and a merged token that is no symbol yet; otherwise the round ends there.
     """
-    order = [F.desc("freq"), "first.doc_id", "first.pos", "first.at"]
+    order = [F.desc("freq"), F.asc("first")]
     rows = vocab.pair_freqs(words.splits()).orderBy(*order).limit(CANDIDATES if limit > 1 else 1).collect()
     taken: list[Merge] = []
     used: set[str] = set()
@@ -183,8 +183,8 @@ def train_unigram(freqs: DataFrame, vocab_size: int = 100, seed_size: int = 300,
         raise ValueError("seed_size is larger than a vocabulary that can be sent to every task")
     words = cut_lineage(freqs.select("word", "freq", "first_seen"), freqs.sparkSession.sparkContext.defaultParallelism)
     seed = vocab.subword_topn(words, seed_size).collect()
-    chars = sorted((r for r in seed if len(r.token) == 1), key=lambda r: tuple(r.first))
-    rest = sorted((r for r in seed if len(r.token) > 1), key=lambda r: (-r.freq, tuple(r.first)))
+    chars = sorted((r for r in seed if len(r.token) == 1), key=lambda r: r.first)
+    rest = sorted((r for r in seed if len(r.token) > 1), key=lambda r: (-r.freq, r.first))
     token_freqs = {r.token: r.freq for r in [*chars, *rest]}
     while len(token_freqs) > vocab_size:
         scores = _scores(token_freqs)

@@ -5,14 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
-def first_seen(doc_id: str, pos: str = "pos") -> Column:
-    return F.min(F.struct(F.col(doc_id).alias("doc_id"), F.col(pos).alias("pos"))).alias("first_seen")
+def place(doc_id: Column, pos: Column) -> Column:
+    """Place of a word in the corpus as one sortable number: document, position, ten digits to spare.
+
+    The spare digits hold the place inside the word. A struct would say the same, but
+    its minimum needs a sort of all tokens, while numbers are aggregated by hash.
+    """
+    def exact(c: Column) -> Column:
+        return c.cast("decimal(38,0)")
+
+    return exact(doc_id) * exact(F.lit(10 ** 18)) * 10 + exact(pos) * exact(F.lit(10 ** 10))
+
+
+def place_parts(packed: str) -> tuple[Column, Column]:
+    """Document and position of a place."""
+    doc = F.floor(F.col(packed) / F.lit(10 ** 18).cast("decimal(19,0)") / 10)
+    rest = F.col(packed) - place(doc, F.lit(0))
+    return doc.cast("bigint"), F.floor(rest / F.lit(10 ** 10)).cast("bigint")
 
 
 def word_freqs(df: DataFrame, id_col: str, words: Column) -> DataFrame:
-    """word, freq, first_seen(doc_id, pos): counted before the shuffle, so a hot word is cheap."""
+    """word, freq, first_seen: counted before the shuffle, so a hot word is cheap."""
     tokens = df.select(id_col, F.posexplode(words).alias("pos", "word"))
-    return tokens.groupBy("word").agg(F.count("*").alias("freq"), first_seen(id_col))
+    return tokens.groupBy("word").agg(
+        F.count("*").alias("freq"), F.min(place(F.col(id_col), F.col("pos"))).alias("first_seen"))
 
 
 def symbols(word: Column, continuation: str = "") -> Column:
@@ -31,15 +47,14 @@ def alphabet(freqs: DataFrame, continuation: str = "") -> DataFrame:
 def adjacent_freqs(splits: DataFrame) -> DataFrame:
     """left, right, freq, first over ``splits(syms, freq, first_seen)``; right is null behind the last symbol.
 
-    ``first`` is the place of the first occurrence: document, word position, position
-    inside the word. The table has one row per distinct pair, so whatever is derived
-    from it is cheap.
+    ``first`` is the place of the first occurrence. The table has one row per distinct
+    pair, so whatever is derived from it is cheap.
     """
     tail = F.concat(F.slice("syms", F.lit(2), F.greatest(F.size("syms") - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
     zipped = F.zip_with("syms", tail, lambda a, b: F.struct(a.alias("left"), b.alias("right")))
     rows = splits.select("freq", "first_seen", F.posexplode(zipped).alias("at", "pair"))
-    where = F.struct(F.col("first_seen.doc_id"), F.col("first_seen.pos"), F.col("at"))
-    return rows.groupBy("pair.left", "pair.right").agg(F.sum("freq").alias("freq"), F.min(where).alias("first"))
+    return rows.groupBy("pair.left", "pair.right").agg(
+        F.sum("freq").alias("freq"), F.min(F.col("first_seen") + F.col("at")).alias("first"))
 
 
 def pair_freqs(splits: DataFrame) -> DataFrame:
@@ -66,28 +81,29 @@ def pair_scores(splits: DataFrame) -> DataFrame:
 
 def argmax_pair(pairs: DataFrame, score: str) -> DataFrame:
     """One row: the best pair, the first seen among equals."""
-    best = F.max_by(F.struct("left", "right", score), F.struct(
-        F.col(score), -F.col("first.doc_id"), -F.col("first.pos"), -F.col("first.at")))
+    best = F.max_by(F.struct("left", "right", score), F.struct(F.col(score), -F.col("first")))
     return pairs.agg(best.alias("best")).select("best.*")
 
 
 def char_freqs(freqs: DataFrame) -> DataFrame:
     """token, freq, first: characters weighted by word frequency."""
     chars = freqs.select("freq", "first_seen", F.posexplode(symbols(F.col("word"))).alias("at", "token"))
-    where = F.struct(F.col("first_seen.doc_id"), F.col("first_seen.pos"), F.col("at"))
-    return chars.groupBy("token").agg(F.sum("freq").alias("freq"), F.min(where).alias("first"))
+    return chars.groupBy("token").agg(F.sum("freq").alias("freq"), F.min(F.col("first_seen") + F.col("at")).alias("first"))
 
 
 def subword_freqs(freqs: DataFrame) -> DataFrame:
-    """token, freq, first: substrings of two or more characters, weighted by word frequency."""
+    """token, freq, first: substrings of two or more characters, weighted by word frequency.
+
+    ``first`` orders by place of the word, start and length.
+    """
     n = F.length("word")
     starts = freqs.filter(n >= 2).select(
         "word", "freq", "first_seen", F.explode(F.sequence(F.lit(0), n - 2)).alias("start"))
     spans = starts.select(
-        "word", "freq", "first_seen", "start", F.explode(F.sequence(F.col("start") + 2, n)).alias("stop"))
-    token = F.substring(F.col("word"), F.col("start") + 1, F.col("stop") - F.col("start"))
-    where = F.struct(F.col("first_seen.doc_id"), F.col("first_seen.pos"), F.col("start"), F.col("stop"))
-    return spans.select(token.alias("token"), "freq", where.alias("first")).groupBy("token").agg(
+        "word", "freq", "first_seen", "start", F.explode(F.sequence(F.lit(2), n - F.col("start"))).alias("size"))
+    token = F.substring(F.col("word"), F.col("start") + 1, F.col("size"))
+    first = F.col("first_seen") + (F.col("start").cast("bigint") * 100000 + F.col("size"))
+    return spans.select(token.alias("token"), "freq", first.alias("first")).groupBy("token").agg(
         F.sum("freq").alias("freq"), F.min("first").alias("first"))
 
 
@@ -97,12 +113,11 @@ def subword_topn(freqs: DataFrame, size: int) -> DataFrame:
     Characters always stay, also where they are more than ``size``. The window ranks
     the ``size`` most frequent substrings and nothing else.
     """
-    place = ["first.doc_id", "first.pos", "first.start", "first.stop"]
-    chars = char_freqs(freqs).select("token", "freq", F.struct(
-        "first.doc_id", "first.pos", F.col("first.at").alias("start"), (F.col("first.at") + 1).alias("stop")).alias("first"))
+    order = [F.desc("freq"), F.asc("first")]
+    chars = char_freqs(freqs).select("token", "freq", "first")
     n_chars = chars.agg(F.count("*")).scalar()
-    subwords = subword_freqs(freqs).orderBy(F.desc("freq"), *place).limit(size)
-    ranked = subwords.withColumn("_rank", F.row_number().over(W.orderBy(F.desc("freq"), *place)))
+    subwords = subword_freqs(freqs).orderBy(*order).limit(size)
+    ranked = subwords.withColumn("_rank", F.row_number().over(W.orderBy(*order)))
     return chars.unionByName(ranked.filter(F.col("_rank") <= F.lit(size) - n_chars).drop("_rank"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import text as T
 from ..functions.scalars import round_pct
 from ..operators import metrics as M
+from ..session import spread
 from . import tables as t
 from .registry import query
 from .shaping import SQL_SENTENCES
@@ -76,7 +77,7 @@ def rouge_n(spark, d):
 
 @query("rouge_l")
 def rouge_l(spark, d):
-    pairs = t.pairs(spark, d)
+    pairs = spread(t.pairs(spark, d))
     whole = M.mean_scores(M.rouge_l_rows(pairs, "example_id", "question", "context")).withColumn("kind", F.lit("L"))
     lines = pairs.select("example_id", M.by_sentence("question").alias("question"), M.by_sentence("context").alias("context"))
     return whole.unionByName(M.mean_scores(M.rouge_lsum_rows(lines, "example_id", "question", "context")).withColumn("kind", F.lit("Lsum")))

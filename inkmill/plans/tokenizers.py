@@ -103,8 +103,8 @@ SQL_SYMBOLS = "list_transform(string_split(word, ''), lambda c, i: CASE WHEN i >
 
 @query("word_freqs", f"SELECT word, freq, first_doc, first_pos FROM ({SQL_BERT_WORDS})")
 def word_freqs(spark, d):
-    return bert_words(spark, d).select("word", "freq", F.col("first_seen.doc_id").alias("first_doc"),
-                                       F.col("first_seen.pos").cast("bigint").alias("first_pos"))
+    first_doc, first_pos = vocab.place_parts("first_seen")
+    return bert_words(spark, d).select("word", "freq", first_doc.alias("first_doc"), first_pos.alias("first_pos"))
 
 
 @query("alphabet", f"""
