@@ -61,7 +61,7 @@ def group_texts(df: DataFrame, ids: str, order_col: str, chunk: int = 128, batch
 
 def chunk_overflow(df: DataFrame, ids: str, context: int = 128) -> DataFrame:
     """Cut each row into chunks and keep the full ones; ``chunk_id`` numbers them within the row."""
-    chunks = compute_once(df, ids).select("*", F.posexplode(chunk_fixed(ids, context)).alias("chunk_id", "_chunk"))
+    chunks = compute_once(df, ids).select("*", F.posexplode_outer(chunk_fixed(ids, context)).alias("chunk_id", "_chunk"))
     return chunks.drop(ids).withColumnRenamed("_chunk", ids).filter(F.size(ids) == context)
 
 

@@ -65,7 +65,7 @@ def seqeval(df: DataFrame, predictions: str, labels: str) -> DataFrame:
     tokens = F.array(F.struct(F.lit("overall").alias("type"), F.size("p").alias("pred"), F.size("y").alias("true"),
                               F.size("tp").alias("tp"), F.col("n"), F.col("same")))
     parts = F.concat(typed("p", 1, 0, 0), typed("y", 0, 1, 0), typed("tp", 0, 0, 1), tokens)
-    sums = rows.select(F.explode(parts).alias("c")).groupBy("c.type").agg(
+    sums = rows.select(F.explode_outer(parts).alias("c")).groupBy("c.type").agg(
         *[F.sum(f"c.{name}").alias(name) for name in ("pred", "true", "tp", "n", "same")])
     precision, recall = _ratio(F.col("tp"), F.col("pred")), _ratio(F.col("tp"), F.col("true"))
     return sums.select(
@@ -86,7 +86,7 @@ def overlap_counts(df: DataFrame, key: str, pred_tokens: str, ref_tokens: str, o
     def side(tokens: str, n: int, is_pred: int) -> Column:
         return F.transform(ngrams(tokens, n), lambda g: entry(n, g, is_pred, 1 - is_pred))
 
-    grams = compute_once(df.select(key, pred_tokens, ref_tokens), pred_tokens, ref_tokens).select(key, F.explode(F.concat(
+    grams = compute_once(df.select(key, pred_tokens, ref_tokens), pred_tokens, ref_tokens).select(key, F.explode_outer(F.concat(
         F.array(*[entry(n, F.lit(None).cast("string"), 0, 0) for n in orders]),
         *[side(pred_tokens, n, 1) for n in orders], *[side(ref_tokens, n, 0) for n in orders])).alias("g"))
     counts = grams.groupBy(key, "g.n", "g.gram").agg(F.sum("g.p").alias("p"), F.sum("g.r").alias("r"))

@@ -46,8 +46,8 @@ def _quantile_bucket(df: DataFrame, key: str, n_buckets: int) -> Column:
 
 
 def global_row_number(df: DataFrame, order_col: str, groups: list[str] | None = None, out: str = "row_no",
-                      n_buckets: int | None = None) -> DataFrame:
-    """Exact 1-based row number in the order of a unique numeric column.
+                      n_buckets: int | None = None, then: list[str] | None = None) -> DataFrame:
+    """Exact 1-based row number in the order of a numeric column, unique by itself or with the columns ``then``.
 
     ``groups`` restarts the numbering for each value, e.g. for each split. The
     bucket edges are approximate quantiles; they decide the balance only.
@@ -55,7 +55,7 @@ def global_row_number(df: DataFrame, order_col: str, groups: list[str] | None =
     if n_buckets is None:
         n_buckets = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = _quantile_bucket(df, order_col, max(2, min(n_buckets, MAX_BUCKETS)))
-    return _rank_in_buckets(df, bucket, [F.col(order_col)], groups or [], out)
+    return _rank_in_buckets(df, bucket, [F.col(c) for c in [order_col, *(then or [])]], groups or [], out)
 
 
 def shuffled_row_number(df: DataFrame, id_col: str, seed: int, groups: list[str] | None = None,

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from ..functions.arrays import argmax_array, entity_spans, softmax, topk_array
+from ..functions.once import compute_once
 
 
 def batch_score(df: DataFrame, inputs: list[str], make_predict_fn: Callable, out: str, return_type=None,
@@ -68,7 +69,8 @@ def ner_token_output(df: DataFrame, logits: str, tokens: str, names: Column) ->
 
     ``logits`` is one class vector per token, ``tokens`` an array of (token, start, end).
     """
-    rows = df.select("*", F.posexplode(F.arrays_zip(F.col(logits).alias("l"), F.col(tokens).alias("t"))).alias("index", "_z"))
+    fixed = compute_once(df, logits, tokens)
+    rows = fixed.select("*", F.posexplode(F.arrays_zip(F.col(logits).alias("l"), F.col(tokens).alias("t"))).alias("index", "_z"))
     rows = rows.withColumn("_logits", F.col("_z.l"))
     labelled = classify_label(rows, "_logits", names).filter("label <> 'O'")
     return labelled.select(*[c for c in df.columns if c not in (logits, tokens)], "index", F.col("label").alias("entity"),
@@ -78,7 +80,8 @@ def ner_token_output(df: DataFrame, logits: str, tokens: str, names: Column) ->
 
 def ner_group_entities(df: DataFrame, tags: str, scores: str, tokens: str) -> DataFrame:
     """One row per run of tokens of one type: entity_group, mean score, word, start, end."""
-    spans = df.select("*", F.explode(entity_spans(tags)).alias("_s"))
+    fixed = compute_once(df, tags, scores, tokens)
+    spans = compute_once(fixed, _spans=entity_spans(tags)).select("*", F.explode("_spans").alias("_s"))
     length = F.col("_s.end") - F.col("_s.start") + 1
     part = F.slice(scores, F.col("_s.start") + 1, length)
     words = F.transform(F.slice(tokens, F.col("_s.start") + 1, length), lambda t: t["token"])

@@ -42,8 +42,8 @@ def _mark(symbols: Column) -> Column:
 
 
 def _unmark(marked: Column) -> Column:
-    inner = F.substring(marked, F.lit(2), F.length(marked) - 2)
-    return F.split(inner, CLOSE + OPEN)
+    # A split at one plain character needs no regular expression.
+    return F.split(F.rtrim(F.replace(marked, F.lit(OPEN), F.lit("")), F.lit(CLOSE)), CLOSE)
 
 
 def joined_token(left: str, right: str, continuation: str) -> str:
@@ -63,23 +63,24 @@ def merge_pair(splits: DataFrame, left: str, right: str, continuation: str = "")
 
 
 def initial_splits(freqs: DataFrame, continuation: str = "") -> DataFrame:
-    return freqs.select("word", "freq", "first_seen", vocab.symbols(F.col("word"), continuation).alias("syms"))
+    return freqs.withColumn("syms", vocab.symbols(F.col("word"), continuation))
 
 
 class _Words:
     """The distinct words with their current symbols."""
 
     def __init__(self, freqs: DataFrame, continuation: str):
-        marked = initial_splits(freqs, continuation).select("freq", "first_seen", _mark(F.col("syms")).alias("marked"))
+        splits = initial_splits(vocab.rank_words(freqs), continuation)
+        marked = splits.select("freq", "rank", _mark(F.col("syms")).alias("marked"))
         self.table = cut_lineage(marked, freqs.sparkSession.sparkContext.defaultParallelism)
         self.pending = 0
 
     def alphabet(self) -> list[str]:
-        symbols = self.splits().select(F.explode("syms").alias("symbol")).distinct()
+        symbols = self.splits().select(F.explode_outer("syms").alias("symbol")).distinct()
         return [r.symbol for r in symbols.orderBy("symbol").collect()]
 
     def splits(self) -> DataFrame:
-        return self.table.select("freq", "first_seen", _unmark(F.col("marked")).alias("syms"))
+        return self.table.select("freq", "rank", _unmark(F.col("marked")).alias("syms"))
 
     def apply(self, merges: list[Merge]) -> None:
         text = F.col("marked")
@@ -181,10 +182,10 @@ def train_unigram(freqs: DataFrame, vocab_size: int = 100, seed_size: int = 300,
     """
     if seed_size > MAX_BROADCAST_TOKENS:
         raise ValueError("seed_size is larger than a vocabulary that can be sent to every task")
-    words = cut_lineage(freqs.select("word", "freq", "first_seen"), freqs.sparkSession.sparkContext.defaultParallelism)
+    words = cut_lineage(vocab.rank_words(freqs), freqs.sparkSession.sparkContext.defaultParallelism)
     seed = vocab.subword_topn(words, seed_size).collect()
     chars = sorted((r for r in seed if len(r.token) == 1), key=lambda r: r.first)
-    rest = sorted((r for r in seed if len(r.token) > 1), key=lambda r: (-r.freq, r.first))
+    rest = sorted((r for r in seed if len(r.token) > 1), key=lambda r: (-r.freq, r.first, len(r.token)))
     token_freqs = {r.token: r.freq for r in [*chars, *rest]}
     while len(token_freqs) > vocab_size:
         scores = _scores(token_freqs)

@@ -4,31 +4,65 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import cut_lineage
+from .ordering import global_row_number
 
-def place(doc_id: Column, pos: Column) -> Column:
-    """Place of a word in the corpus as one sortable number: document, position, ten digits to spare.
 
-    The spare digits hold the place inside the word. A struct would say the same, but
-    its minimum needs a sort of all tokens, while numbers are aggregated by hash.
-    """
-    def exact(c: Column) -> Column:
-        return c.cast("decimal(38,0)")
+# Positions within a document, and symbols within a word, that a packed place holds.
+POSITIONS, SYMBOLS = 1 << 28, 1 << 20
 
-    return exact(doc_id) * exact(F.lit(10 ** 18)) * 10 + exact(pos) * exact(F.lit(10 ** 10))
 
+def explode_tokens(df: DataFrame, keep: list[str], tokens: Column, pos: str, token: str) -> DataFrame:
+    """One row per token.
 
-def place_parts(packed: str) -> tuple[Column, Column]:
-    """Document and position of a place."""
-    doc = F.floor(F.col(packed) / F.lit(10 ** 18).cast("decimal(19,0)") / 10)
-    rest = F.col(packed) - place(doc, F.lit(0))
-    return doc.cast("bigint"), F.floor(rest / F.lit(10 ** 10)).cast("bigint")
+    A plain explode would add a filter on the array's size below itself and so compute
+    the array twice; the outer form does not, and its row for an empty array is dropped.
+    """
+    rows = df.select(*keep, F.posexplode_outer(tokens).alias(pos, token))
+    return rows.filter(F.col(pos).isNotNull())
 
 
 def word_freqs(df: DataFrame, id_col: str, words: Column) -> DataFrame:
-    """word, freq, first_seen: counted before the shuffle, so a hot word is cheap."""
-    tokens = df.select(id_col, F.posexplode(words).alias("pos", "word"))
+    """word, freq, first_seen: counted before the shuffle, so a hot word is cheap.
+
+    ``first_seen`` packs document and position into one sortable number. A struct would
+    say the same, but its minimum needs a sort of all tokens, while a number is
+    aggregated by hash. Ids beyond 35 bits make it a decimal instead of a long.
+    """
+    low, high = df.agg(F.min(id_col), F.max(id_col)).first()
+    packs = low is None or (low >= 0 and high < 1 << 35)
+    doc = F.col(id_col).cast("bigint" if packs else "decimal(28,0)")
+    tokens = explode_tokens(df, [id_col], words, "pos", "word")
     return tokens.groupBy("word").agg(
-        F.count("*").alias("freq"), F.min(place(F.col(id_col), F.col("pos"))).alias("first_seen"))
+        F.count("*").alias("freq"), F.min(doc * F.lit(POSITIONS) + F.col("pos")).alias("first_seen"))
+
+
+def first_place(first_seen: str = "first_seen") -> tuple[Column, Column]:
+    """Document and position of the first occurrence."""
+    return (F.expr(f"{first_seen} div {POSITIONS}L").cast("bigint"),
+            (F.col(first_seen) % F.lit(POSITIONS)).cast("bigint"))
+
+
+def rank_words(freqs: DataFrame) -> DataFrame:
+    """word, freq, rank: words numbered in the order of their first appearance.
+
+    Statistics over a table with a rank also say where a symbol or pair comes first. The
+    word table is written first, because ranking reads it three times.
+    """
+    doc, _ = first_place()
+    table = cut_lineage(freqs).withColumn("_doc", doc)
+    ranked = global_row_number(table, "_doc", out="rank", then=["first_seen"])
+    return ranked.select("word", "freq", "rank")
+
+
+def _sums(rows: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """Summed frequency per key and, where words are ranked, the first place."""
+    first = [F.min(F.col("rank") * SYMBOLS + F.col(at)).alias("first")] if "rank" in rows.columns else []
+    return rows.groupBy(*keys).agg(F.sum("freq").alias("freq"), *first)
+
+
+def _ranked(df: DataFrame, *columns: str) -> list[str]:
+    return [c for c in ("freq", "rank", *columns) if c in df.columns]
 
 
 def symbols(word: Column, continuation: str = "") -> Column:
@@ -41,24 +75,21 @@ def symbols(word: Column, continuation: str = "") -> Column:
 
 def alphabet(freqs: DataFrame, continuation: str = "") -> DataFrame:
     """Distinct symbols in code point order."""
-    return freqs.select(F.explode(symbols(F.col("word"), continuation)).alias("symbol")).distinct().orderBy("symbol")
+    return freqs.select(F.explode_outer(symbols(F.col("word"), continuation)).alias("symbol")).distinct().orderBy("symbol")
 
 
 def adjacent_freqs(splits: DataFrame) -> DataFrame:
-    """left, right, freq, first over ``splits(syms, freq, first_seen)``; right is null behind the last symbol.
+    """left, right, freq (and first) over ``splits(syms, freq[, rank])``; right is null behind the last symbol.
 
-    ``first`` is the place of the first occurrence. The table has one row per distinct
-    pair, so whatever is derived from it is cheap.
+    The table has one row per distinct pair, so whatever is derived from it is cheap.
     """
-    tail = F.concat(F.slice("syms", F.lit(2), F.greatest(F.size("syms") - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
-    zipped = F.zip_with("syms", tail, lambda a, b: F.struct(a.alias("left"), b.alias("right")))
-    rows = splits.select("freq", "first_seen", F.posexplode(zipped).alias("at", "pair"))
-    return rows.groupBy("pair.left", "pair.right").agg(
-        F.sum("freq").alias("freq"), F.min(F.col("first_seen") + F.col("at")).alias("first"))
+    rows = splits.select(*_ranked(splits), "syms", F.posexplode_outer("syms").alias("at", "left"))
+    pairs = rows.select(*_ranked(rows, "at"), "left", F.get("syms", F.col("at") + 1).alias("right"))
+    return _sums(pairs, ["left", "right"], "at")
 
 
 def pair_freqs(splits: DataFrame) -> DataFrame:
-    """left, right, freq, first of adjacent symbols."""
+    """left, right, freq (and first) of adjacent symbols."""
     return adjacent_freqs(splits).filter(F.col("right").isNotNull())
 
 
@@ -67,7 +98,7 @@ def letter_freqs(splits: DataFrame) -> DataFrame:
 
 
 def pair_scores(splits: DataFrame) -> DataFrame:
-    """left, right, freq, score, first: pair frequency over the product of both symbol frequencies.
+    """left, right, freq, score (and first): pair frequency over the product of both symbol frequencies.
 
     The words are scanned once; both symbol frequencies come from the pair table.
     """
@@ -76,7 +107,7 @@ def pair_scores(splits: DataFrame) -> DataFrame:
     lefts = adjacent.withColumn("left_freq", F.sum("freq").over(W.partitionBy("left"))).filter(F.col("right").isNotNull())
     joined = lefts.join(letters, F.col("right") == F.col("symbol"))
     product = F.col("left_freq").cast("double") * F.col("symbol_freq").cast("double")
-    return joined.select("left", "right", "freq", (F.col("freq") / product).alias("score"), "first")
+    return joined.withColumn("score", F.col("freq") / product).drop("left_freq", "symbol", "symbol_freq")
 
 
 def argmax_pair(pairs: DataFrame, score: str) -> DataFrame:
@@ -86,35 +117,28 @@ def argmax_pair(pairs: DataFrame, score: str) -> DataFrame:
 
 
 def char_freqs(freqs: DataFrame) -> DataFrame:
-    """token, freq, first: characters weighted by word frequency."""
-    chars = freqs.select("freq", "first_seen", F.posexplode(symbols(F.col("word"))).alias("at", "token"))
-    return chars.groupBy("token").agg(F.sum("freq").alias("freq"), F.min(F.col("first_seen") + F.col("at")).alias("first"))
+    """token, freq (and first): characters weighted by word frequency."""
+    chars = freqs.select(*_ranked(freqs), F.posexplode_outer(symbols(F.col("word"))).alias("at", "token"))
+    return _sums(chars, ["token"], "at")
 
 
 def subword_freqs(freqs: DataFrame) -> DataFrame:
-    """token, freq, first: substrings of two or more characters, weighted by word frequency.
-
-    ``first`` orders by place of the word, start and length.
-    """
+    """token, freq (and first): substrings of two or more characters, weighted by word frequency."""
     n = F.length("word")
-    starts = freqs.filter(n >= 2).select(
-        "word", "freq", "first_seen", F.explode(F.sequence(F.lit(0), n - 2)).alias("start"))
-    spans = starts.select(
-        "word", "freq", "first_seen", "start", F.explode(F.sequence(F.lit(2), n - F.col("start"))).alias("size"))
-    token = F.substring(F.col("word"), F.col("start") + 1, F.col("size"))
-    first = F.col("first_seen") + (F.col("start").cast("bigint") * 100000 + F.col("size"))
-    return spans.select(token.alias("token"), "freq", first.alias("first")).groupBy("token").agg(
-        F.sum("freq").alias("freq"), F.min("first").alias("first"))
+    starts = freqs.filter(n >= 2).select("word", *_ranked(freqs), F.explode(F.sequence(F.lit(0), n - 2)).alias("at"))
+    spans = starts.select("*", F.explode(F.sequence(F.lit(2), n - F.col("at"))).alias("size"))
+    token = F.substring(F.col("word"), F.col("at") + 1, F.col("size"))
+    return _sums(spans.select(*_ranked(spans, "at"), token.alias("token")), ["token"], "at")
 
 
 def subword_topn(freqs: DataFrame, size: int) -> DataFrame:
-    """token, freq, first: seed vocabulary of all characters and the most frequent substrings, ``size`` in all.
+    """token, freq, first of ranked words: all characters and the most frequent substrings, ``size`` in all.
 
     Characters always stay, also where they are more than ``size``. The window ranks
     the ``size`` most frequent substrings and nothing else.
     """
-    order = [F.desc("freq"), F.asc("first")]
-    chars = char_freqs(freqs).select("token", "freq", "first")
+    order = [F.desc("freq"), F.asc("first"), F.length("token")]
+    chars = char_freqs(freqs)
     n_chars = chars.agg(F.count("*")).scalar()
     subwords = subword_freqs(freqs).orderBy(*order).limit(size)
     ranked = subwords.withColumn("_rank", F.row_number().over(W.orderBy(*order)))
@@ -123,7 +147,7 @@ def subword_topn(freqs: DataFrame, size: int) -> DataFrame:
 
 def wordpiece_test_vocab(freqs: DataFrame, n_subwords: int) -> DataFrame:
     """token: every character, initial and continued, and the most frequent substrings in both forms."""
-    chars = freqs.select(F.explode(symbols(F.col("word"))).alias("token")).distinct()
+    chars = freqs.select(F.explode_outer(symbols(F.col("word"))).alias("token")).distinct()
     top = subword_freqs(freqs).orderBy(F.desc("freq"), "token").limit(n_subwords).select("token")
     base = chars.unionByName(top)
     return base.unionByName(base.select(F.concat(F.lit("##"), "token").alias("token")))

@@ -7,7 +7,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions import arrays as A, pretok as P, text as T
 from ..functions.scalars import uniform
-from ..operators import knn, metrics, predict
+from ..operators import knn, metrics, predict, vocab as vocab_ops
 from . import tables as t
 from .example_sets import _WORDS
 from .registry import query
@@ -164,7 +164,7 @@ WITH f AS (SELECT token, count(*) AS n FROM ({SQL_DOC_WORDS}) GROUP BY token ORD
        SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings))
 SELECT vec_id, rank::INTEGER AS rank, token, round(x::DOUBLE, 6) AS score, 'vector ' || vec_id || ' is ' || token || '.' AS filled FROM r JOIN v USING (id) WHERE rank < 5""")
 def fill_mask_topk(spark, d):
-    words = t.documents(spark, d).select(F.explode(T.words("text")).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    words = vocab_ops.explode_tokens(t.documents(spark, d), [], T.words("text"), "pos", "token").groupBy("token").agg(F.count("*").alias("n"))
     top = words.orderBy(F.desc("n"), "token").limit(64)
     vocab = top.select("token", (F.row_number().over(t.vocab_window()) - 1).alias("id"))
     none = F.array().cast("array<float>")

@@ -8,7 +8,7 @@ from ..functions import arrays as A, pretok as P, text as T
 from ..functions.once import compute_once
 from ..functions.scalars import neg_log_prob, perplexity, token_perplexity
 from ..operators import encoding, training, vocab
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from . import tables as t
 from .registry import query
 
@@ -103,7 +103,7 @@ SQL_SYMBOLS = "list_transform(string_split(word, ''), lambda c, i: CASE WHEN i >
 
 @query("word_freqs", f"SELECT word, freq, first_doc, first_pos FROM ({SQL_BERT_WORDS})")
 def word_freqs(spark, d):
-    first_doc, first_pos = vocab.place_parts("first_seen")
+    first_doc, first_pos = vocab.first_place()
     return bert_words(spark, d).select("word", "freq", first_doc.alias("first_doc"), first_pos.alias("first_pos"))
 
 
@@ -142,8 +142,8 @@ def pair_scores(spark, d):
 SELECT * FROM (SELECT 'bpe' AS kind, "left", "right" FROM ({_sql_pairs(SQL_BYTE_WORDS, "string_split(word, '')")}) ORDER BY freq DESC, first LIMIT 1)
 UNION ALL SELECT * FROM (SELECT 'wordpiece', "left", "right" FROM ({SQL_SCORES}) ORDER BY score DESC, first LIMIT 1)""")
 def argmax_row(spark, d):
-    best = vocab.argmax_pair(vocab.pair_freqs(training.initial_splits(byte_words(spark, d))), "freq")
-    score = vocab.argmax_pair(vocab.pair_scores(training.initial_splits(bert_words(spark, d), "##")), "score")
+    best = vocab.argmax_pair(vocab.pair_freqs(training.initial_splits(vocab.rank_words(byte_words(spark, d)))), "freq")
+    score = vocab.argmax_pair(vocab.pair_scores(training.initial_splits(vocab.rank_words(bert_words(spark, d)), "##")), "score")
     return best.select(F.lit("bpe").alias("kind"), "left", "right").unionByName(
         score.select(F.lit("wordpiece").alias("kind"), "left", "right"))
 
@@ -166,7 +166,7 @@ WITH w AS MATERIALIZED (SELECT * FROM ({SQL_SPACE_WORDS})),
 SELECT token, freq FROM c UNION ALL SELECT token, freq FROM (
   SELECT token, freq, row_number() OVER (ORDER BY freq DESC, first) AS rn FROM s) WHERE rn <= 300 - (SELECT count(*) FROM c)""")
 def subword_topn(spark, d):
-    return vocab.subword_topn(space_words(spark, d), 300).select("token", "freq")
+    return vocab.subword_topn(vocab.rank_words(space_words(spark, d)), 300).select("token", "freq")
 
 
 SQL_CHAR_MODEL = f"""
@@ -205,7 +205,7 @@ l AS (SELECT doc_id, sum(nlp) AS nll, count(*) AS n FROM w JOIN f USING (token)
 @query("perplexity", f"""
 WITH {SQL_WORD_NLL} SELECT round(exp(avg(nll / n)), 4) AS mean_loss, round(exp(sum(nll) / sum(n)), 4) AS token_weighted FROM l""")
 def perplexity_query(spark, d):
-    tokens = t.spread_documents(spark, d).select("doc_id", F.explode(T.words("text")).alias("token"))
+    tokens = vocab.explode_tokens(t.spread_documents(spark, d), ["doc_id"], T.words("text"), "pos", "token")
     freqs = tokens.groupBy("token").agg(F.count("*").alias("freq"))
     model = freqs.withColumn("nlp", neg_log_prob("freq", tokens.agg(F.count("*")).scalar()))
     per_doc = tokens.groupBy("doc_id", "token").agg(F.count("*").alias("k")).join(model, "token")
@@ -279,7 +279,7 @@ WITH w AS MATERIALIZED (SELECT word, freq, ord, string_split(word, '') AS s FROM
 SELECT word, array_to_string(string_split((replace(array_to_string(list_transform(s, lambda x: chr(1) || x || chr(2)), ''),
   chr(1) || l || chr(2) || chr(1) || r || chr(2), chr(1) || l || r || chr(2)))[2:-2], chr(2) || chr(1)), ' ') AS syms FROM w, b""")
 def merge_pair(spark, d):
-    splits = training.initial_splits(byte_words(spark, d))
+    splits = training.initial_splits(cut_lineage(vocab.rank_words(byte_words(spark, d))))
     best = vocab.argmax_pair(vocab.pair_freqs(splits), "freq").first()
     return training.merge_pair(splits, best.left, best.right).select("word", t.joined("syms").alias("syms"))
 
@@ -369,7 +369,7 @@ def encode_with_offsets(spark, d):
 
 @query("encode_unigram")
 def encode_unigram(spark, d):
-    seed = vocab.subword_topn(space_words(spark, d), 300).select("token", "freq")
+    seed = vocab.subword_topn(vocab.rank_words(space_words(spark, d)), 300).select("token", "freq")
     model = seed.withColumn("neg_log_p", neg_log_prob("freq", seed.agg(F.sum("freq")).scalar()))
     coded = encoding.encode_unigram(t.spread_documents(spark, d), P.pretok_metaspace("text"), model)
     flat = coded.select("doc_id", F.flatten("pieces").alias("tokens"))
@@ -380,7 +380,7 @@ def encode_unigram(spark, d):
 
 def word_vocab(spark, d) -> DataFrame:
     """Words seen at least five times, numbered from 5 by frequency."""
-    tokens = t.spread_documents(spark, d).select(F.explode(_normal_words()).alias("token"))
+    tokens = vocab.explode_tokens(t.spread_documents(spark, d), [], _normal_words(), "pos", "token")
     freqs = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n >= 5")
     return freqs.select("token", (F.row_number().over(t.vocab_window()) + 4).cast("int").alias("id"))
 
