@@ -10,7 +10,7 @@ from ..session import spread
 
 
 def scan_csv(spark: SparkSession, files: dict[str, str | list[str]], schema: str, sep: str = ",") -> DataFrame:
-    """Delimited files with a header and quoted multi-line fields; one entry per split."""
+    """Delimited files with a header and quoted multi-line fields; one entry per split. Empty fields are null."""
     reader = (spark.read.schema(schema).option("sep", sep).option("header", True)
               .option("multiLine", True).option("escape", '"'))
     parts = [reader.csv(path).withColumn("split", F.lit(split)) for split, path in files.items()]
