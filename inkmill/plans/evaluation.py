@@ -75,12 +75,27 @@ def rouge_n(spark, d):
     return scores.select("n", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "fmeasure")])
 
 
-@query("rouge_l")
+@query("rouge_l", f"""
+WITH RECURSIVE p AS MATERIALIZED (SELECT example_id, {_sql_rouge_tokens('question')} AS a, {_sql_rouge_tokens('context')} AS b FROM ({t.SQL_PAIRS})),
+     steps AS (
+       SELECT example_id, a, b, 0 AS i, list_transform(b, lambda x: 0) AS best FROM p
+       UNION ALL
+       SELECT example_id, a, b, i + 1, list_transform(c, lambda x, j: list_max(c[1:j])) FROM (
+         SELECT example_id, a, b, i, list_transform(b, lambda x, j: CASE WHEN x = a[i + 1] THEN coalesce(best[j - 1], 0) + 1 ELSE best[j] END) AS c
+         FROM steps WHERE i < len(a))),
+     hits AS (SELECT len(a) AS pred, len(b) AS ref, coalesce(best[-1], 0) AS hit FROM steps WHERE i = len(a))
+SELECT round(avg(coalesce(hit / nullif(pred, 0), 0)), 9) AS precision, round(avg(coalesce(hit / nullif(ref, 0), 0)), 9) AS recall,
+  round(avg(coalesce(2 * hit / nullif(pred + ref, 0), 0)), 9) AS fmeasure FROM hits""")
 def rouge_l(spark, d):
-    pairs = spread(t.pairs(spark, d))
-    whole = M.mean_scores(M.rouge_l_rows(pairs, "example_id", "question", "context")).withColumn("kind", F.lit("L"))
-    lines = pairs.select("example_id", M.by_sentence("question").alias("question"), M.by_sentence("context").alias("context"))
-    return whole.unionByName(M.mean_scores(M.rouge_lsum_rows(lines, "example_id", "question", "context")).withColumn("kind", F.lit("Lsum")))
+    means = M.mean_scores(M.rouge_l_rows(spread(t.pairs(spark, d)), "example_id", "question", "context"))
+    return means.select(*[F.round(c, 9).alias(c) for c in means.columns])
+
+
+@query("rouge_lsum")
+def rouge_lsum(spark, d):
+    lines = spread(t.pairs(spark, d)).select(
+        "example_id", M.by_sentence("question").alias("question"), M.by_sentence("context").alias("context"))
+    return M.mean_scores(M.rouge_lsum_rows(lines, "example_id", "question", "context"))
 
 
 def lead_summaries(spark, d) -> DataFrame:

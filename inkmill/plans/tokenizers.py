@@ -158,13 +158,16 @@ def subword_freqs(spark, d):
     return vocab.subword_freqs(space_words(spark, d)).filter("freq >= 20").select("token", "freq")
 
 
-@query("subword_topn", f"""
-WITH w AS MATERIALIZED (SELECT * FROM ({SQL_SPACE_WORDS})),
+SQL_SEED = f"""
+w AS MATERIALIZED (SELECT * FROM ({SQL_SPACE_WORDS})),
      c AS (SELECT token, sum(freq)::BIGINT AS freq FROM (SELECT freq, unnest(string_split(word, '')) AS token FROM w) GROUP BY token),
      s AS (SELECT token, sum(freq)::BIGINT AS freq, min(ord * 1000000 + i * 1000 + j) AS first
-           FROM (SELECT s.*, w.ord FROM ({SQL_SUBSTRINGS.format(words='SELECT * FROM w')}) s JOIN w USING (word)) GROUP BY token)
-SELECT token, freq FROM c UNION ALL SELECT token, freq FROM (
-  SELECT token, freq, row_number() OVER (ORDER BY freq DESC, first) AS rn FROM s) WHERE rn <= 300 - (SELECT count(*) FROM c)""")
+           FROM (SELECT s.*, w.ord FROM ({SQL_SUBSTRINGS.format(words='SELECT * FROM w')}) s JOIN w USING (word)) GROUP BY token),
+seed AS MATERIALIZED (SELECT token, freq FROM c UNION ALL SELECT token, freq FROM (
+  SELECT token, freq, row_number() OVER (ORDER BY freq DESC, first) AS rn FROM s) WHERE rn <= 300 - (SELECT count(*) FROM c))"""
+
+
+@query("subword_topn", f"WITH {SQL_SEED} SELECT token, freq FROM seed")
 def subword_topn(spark, d):
     return vocab.subword_topn(vocab.rank_words(space_words(spark, d)), 300).select("token", "freq")
 
@@ -367,10 +370,26 @@ def encode_with_offsets(spark, d):
                         t.joined(F.transform("spans", lambda s: s["end"])).alias("ends"))
 
 
-@query("encode_unigram")
+@query("encode_unigram", f"""
+WITH RECURSIVE {SQL_SEED},
+     m AS MATERIALIZED (SELECT token, round(-ln(freq / (SELECT sum(freq) FROM seed)::DOUBLE), 6) AS nlp FROM seed),
+     spans AS (SELECT word, i, unnest(range(i + 1, length(word) + 2)) AS j FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+     cand AS MATERIALIZED (SELECT word, j - 1 AS stop, list({{'s': i - 1, 'nlp': nlp}} ORDER BY i) AS cs FROM spans JOIN m ON m.token = substr(word, i, j - i) GROUP BY word, j),
+     dp AS (
+       SELECT word, 0::BIGINT AS stop, [1.0::DOUBLE] AS scores, [0::BIGINT] AS starts FROM w
+       UNION ALL
+       SELECT word, stop + 1, list_append(scores, list_min(vs)), list_append(starts, cs[list_position(vs, list_min(vs))].s) FROM (
+         SELECT dp.word, dp.stop, scores, starts, cs, list_transform(cs, lambda c: scores[c.s + 1] + c.nlp) AS vs
+         FROM dp JOIN cand ON cand.word = dp.word AND cand.stop = dp.stop + 1)),
+     path AS (
+       SELECT word, starts, length(word)::BIGINT AS stop, starts[length(word) + 1] AS start FROM dp WHERE stop = length(word)
+       UNION ALL SELECT word, starts, start, starts[start + 1] FROM path WHERE start > 0),
+     coded AS MATERIALIZED (SELECT word, list(substr(word, start + 1, stop - start) ORDER BY stop) AS pieces FROM path GROUP BY word)
+SELECT doc_id, sum(len(pieces))::INTEGER AS n, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS tokens
+FROM ({t.sql_tokens('documents', 'doc_id', f"list_transform({t.sql_words('text')}, lambda w: '▁' || w)")}) k JOIN coded ON coded.word = k.token GROUP BY doc_id""")
 def encode_unigram(spark, d):
     seed = vocab.subword_topn(vocab.rank_words(space_words(spark, d)), 300).select("token", "freq")
-    model = seed.withColumn("neg_log_p", neg_log_prob("freq", seed.agg(F.sum("freq")).scalar()))
+    model = seed.withColumn("neg_log_p", F.round(neg_log_prob("freq", seed.agg(F.sum("freq")).scalar()), 6))
     coded = encoding.encode_unigram(t.spread_documents(spark, d), P.pretok_metaspace("text"), model)
     flat = coded.select("doc_id", F.flatten("pieces").alias("tokens"))
     return flat.select("doc_id", F.size("tokens").alias("n"), t.joined("tokens").alias("tokens"))
