@@ -11,11 +11,11 @@ from ..functions.arrays import entity_spans, ngrams
 from ..functions.once import compute_once
 from ..functions.pretok import pretok_bert
 from ..functions.scalars import IGNORE_LABEL, ColumnOrName, _col
-from ..functions.text import sent_split, strip
+from ..functions.text import WHITESPACE, sent_split, strip
 
 # What answer normalisation takes out.
 ASCII_PUNCTUATION = r"[!-/:-@\[-\x60{-~]"
-ARTICLES = r"\b(a|an|the)\b"
+ARTICLES = r"(?<![\p{L}\p{N}_])(a|an|the)(?![\p{L}\p{N}_])"
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -239,7 +239,7 @@ def by_sentence(text: str) -> Column:
 def squad_normalize(text: ColumnOrName) -> Column:
     """Lower-case, drop ASCII punctuation and articles, squeeze white space."""
     bare = F.regexp_replace(F.lower(_col(text)), ASCII_PUNCTUATION, "")
-    return strip(F.regexp_replace(F.regexp_replace(bare, ARTICLES, " "), r"\s+", " "))
+    return strip(F.regexp_replace(F.regexp_replace(bare, ARTICLES, " "), WHITESPACE + "+", " "))
 
 
 def squad_em_f1(df: DataFrame, key: str, prediction: str, references: str) -> DataFrame:

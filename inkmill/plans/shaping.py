@@ -183,7 +183,12 @@ def word_count(spark, d):
 SQL_UNESCAPED = ("replace(replace(replace(replace(html, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')")
 
 
-@query("html_unescape", f"SELECT page_id, {SQL_UNESCAPED} AS html FROM pages")
+# The full form also reads these entities without their semicolon.
+SQL_UNESCAPED_FULL = ("regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '&quot;?', '\"', 'g'), '&copy;?', '©', 'g'), "
+                      "'&middot;?', '·', 'g'), '&amp;?', '&', 'g')")
+
+
+@query("html_unescape", f"SELECT page_id, {SQL_UNESCAPED_FULL} AS html FROM pages")
 def html_unescape(spark, d):
     return t.read(spark, d, "pages").select("page_id", T.html_unescape("html").alias("html"))
 
