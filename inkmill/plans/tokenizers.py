@@ -397,15 +397,18 @@ def encode_unigram(spark, d):
 
 # Ids and decoding.
 
+VOCAB_SIZE = 30_000
+
+
 def word_vocab(spark, d) -> DataFrame:
-    """Words seen at least five times, numbered from 5 by frequency."""
+    """A vocabulary of a set size: words seen at least five times, numbered from 5 by frequency."""
     tokens = vocab.explode_tokens(t.spread_documents(spark, d), [], _normal_words(), "pos", "token")
     freqs = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n >= 5")
-    return freqs.select("token", (F.row_number().over(t.vocab_window()) + 4).cast("int").alias("id"))
+    return freqs.orderBy(F.desc("n"), "token").limit(VOCAB_SIZE).select("token", (F.row_number().over(t.vocab_window()) + 4).cast("int").alias("id"))
 
 
 SQL_WORD_VOCAB = f"""SELECT token, (row_number() OVER (ORDER BY n DESC, token) + 4)::INTEGER AS id FROM (
-  SELECT token, count(*) AS n FROM ({SQL_NORMAL_TOKENS}) GROUP BY token HAVING count(*) >= 5)"""
+  SELECT token, count(*) AS n FROM ({SQL_NORMAL_TOKENS}) GROUP BY token HAVING count(*) >= 5 ORDER BY n DESC, token LIMIT {VOCAB_SIZE})"""
 
 
 @query("dictionary_encode_join", f"""
