@@ -21,7 +21,7 @@ SELECT source, count(*) AS n FROM documents
 WHERE text IS NOT NULL AND len({t.sql_words('lower(text)')}) > 30
 GROUP BY source ORDER BY n DESC, source LIMIT 20""")
 def shape_reviews(spark, d):
-    docs = t.documents(spark, d).filter(F.col("text").isNotNull())
+    docs = t.spread_documents(spark, d).filter(F.col("text").isNotNull())
     lowered = shaping.map_columns(docs, text=F.lower("text"))
     return shaping.value_counts_topn(shaping.filter_min_words(lowered, "text", 30), "source")
 
@@ -49,7 +49,7 @@ def map_overwrite(spark, d):
 
 @query("map_add", f"SELECT doc_id, {WORD_COUNT}::INTEGER AS review_length FROM documents")
 def map_add(spark, d):
-    return shaping.map_columns(t.documents(spark, d), review_length=T.word_count("text")).select("doc_id", "review_length")
+    return shaping.map_columns(t.spread_documents(spark, d), review_length=T.word_count("text")).select("doc_id", "review_length")
 
 
 def _count_words(frame: pd.DataFrame) -> pd.DataFrame:
@@ -88,7 +88,7 @@ def filter_not_null(spark, d):
 
 @query("filter_min_words", f"SELECT doc_id, lang FROM documents WHERE {WORD_COUNT} > 30")
 def filter_min_words(spark, d):
-    return shaping.filter_min_words(t.documents(spark, d), "text", 30).select("doc_id", "lang")
+    return shaping.filter_min_words(t.spread_documents(spark, d), "text", 30).select("doc_id", "lang")
 
 
 SQL_COMMENTS = "list_filter(string_split(text, chr(10)), lambda x: contains(x, ','))"
@@ -177,7 +177,7 @@ def lower(spark, d):
 
 @query("word_count", f"SELECT doc_id, {WORD_COUNT}::INTEGER AS n_words FROM documents")
 def word_count(spark, d):
-    return t.documents(spark, d).select("doc_id", T.word_count("text").alias("n_words"))
+    return t.spread_documents(spark, d).select("doc_id", T.word_count("text").alias("n_words"))
 
 
 SQL_UNESCAPED = ("replace(replace(replace(replace(html, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')")
@@ -204,18 +204,18 @@ SQL_SENTENCES = (f"list_filter(string_split(regexp_replace({t.sql_strip('text')}
 
 @query("sent_split", f"SELECT doc_id, len(s)::INTEGER AS n, array_to_string(s, '|') AS sentences FROM (SELECT doc_id, {SQL_SENTENCES} AS s FROM documents)")
 def sent_split(spark, d):
-    docs = t.documents(spark, d).select("doc_id", T.sent_split("text").alias("s"))
+    docs = t.spread_documents(spark, d).select("doc_id", T.sent_split("text").alias("s"))
     return docs.select("doc_id", F.size("s").alias("n"), t.joined("s", "|").alias("sentences"))
 
 
 @query("lead_k_summary", f"SELECT doc_id, array_to_string(({SQL_SENTENCES})[1:3], chr(10)) AS summary FROM documents")
 def lead_k_summary(spark, d):
-    return t.documents(spark, d).select("doc_id", T.lead_summary("text", 3).alias("summary"))
+    return t.spread_documents(spark, d).select("doc_id", T.lead_summary("text", 3).alias("summary"))
 
 
 @query("array_concat_text", f"SELECT doc_id, array_to_string({SQL_SENTENCES}, chr(10)) AS text FROM documents")
 def array_concat_text(spark, d):
-    return t.documents(spark, d).select("doc_id", F.array_join(T.sent_split("text"), "\n").alias("text"))
+    return t.spread_documents(spark, d).select("doc_id", F.array_join(T.sent_split("text"), "\n").alias("text"))
 
 
 @query("substring_by_offset", "SELECT doc_id, substr(text, 4, n_chars // 2 - 3) AS span FROM documents WHERE n_chars >= 8")
@@ -241,7 +241,7 @@ def value_counts_topn(spark, d):
 SELECT count(*) AS n_rows, sum(n)::BIGINT AS total, round(avg(n), 6) AS mean, min(n)::INTEGER AS min, max(n)::INTEGER AS max
 FROM (SELECT {WORD_COUNT} AS n FROM documents)""")
 def corpus_length_stats(spark, d):
-    stats = shaping.length_stats(t.documents(spark, d), T.word_count("text"))
+    stats = shaping.length_stats(t.spread_documents(spark, d), T.word_count("text"))
     return stats.select("n_rows", "total", F.round("mean", 6).alias("mean"), "min", "max")
 
 
@@ -251,7 +251,7 @@ FROM (SELECT doc_id, {t.sql_words('text')} AS ids FROM documents)) GROUP BY doc_
 def unique_row_count(spark, d):
     from ..operators.examples import chunk_overflow
 
-    features = chunk_overflow(t.documents(spark, d).select("doc_id", T.words("text").alias("ids")), "ids", 128)
+    features = chunk_overflow(t.spread_documents(spark, d).select("doc_id", T.words("text").alias("ids")), "ids", 128)
     return features.groupBy("doc_id").agg(F.count("*").alias("n_features"))
 
 
@@ -266,7 +266,7 @@ def batch_assign(spark, d):
 SELECT doc_id, batch_id, (coalesce(sum(n) OVER (PARTITION BY batch_id ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS "offset"
 FROM (SELECT doc_id, {WORD_COUNT} AS n, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS batch_id FROM documents)""")
 def running_offset(spark, d):
-    batched = ordering.batch_assign(t.documents(spark, d).select("doc_id", T.word_count("text").alias("n")), 100, "doc_id")
+    batched = ordering.batch_assign(t.spread_documents(spark, d).select("doc_id", T.word_count("text").alias("n")), 100, "doc_id")
     return ordering.running_offset(batched, F.col("n"), ["batch_id"], "doc_id").select("doc_id", "batch_id", "offset")
 
 
@@ -279,7 +279,7 @@ def rank_within_group(spark, d):
 
 @query("sort_head", f"SELECT doc_id, {WORD_COUNT}::INTEGER AS review_length FROM documents ORDER BY review_length, doc_id LIMIT 3")
 def sort_head(spark, d):
-    return t.documents(spark, d).select("doc_id", T.word_count("text").alias("review_length")).orderBy("review_length", "doc_id").limit(3)
+    return t.spread_documents(spark, d).select("doc_id", T.word_count("text").alias("review_length")).orderBy("review_length", "doc_id").limit(3)
 
 
 @query("shuffle_seeded", "SELECT doc_id, lang, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS position FROM documents")
@@ -338,7 +338,7 @@ def dataset_dict_assign(spark, d):
 
 @query("explode_list", f"SELECT doc_id, unnest({SQL_SENTENCES}) AS sentence FROM documents")
 def explode_list(spark, d):
-    return t.documents(spark, d).select("doc_id", F.explode(T.sent_split("text")).alias("sentence"))
+    return t.spread_documents(spark, d).select("doc_id", F.explode(T.sent_split("text")).alias("sentence"))
 
 
 @query("concat_arrays", f"""
@@ -346,7 +346,7 @@ SELECT batch_id, string_agg({t.sql_joined(t.sql_words('text'))}, ' ' ORDER BY do
 FROM (SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch_id FROM documents)
 WHERE len({t.sql_words('text')}) > 0 GROUP BY batch_id""")
 def concat_arrays(spark, d):
-    batched = ordering.batch_assign(t.documents(spark, d).select("doc_id", T.words("text").alias("w")), 16, "doc_id")
+    batched = ordering.batch_assign(t.spread_documents(spark, d).select("doc_id", T.words("text").alias("w")), 16, "doc_id")
     rows = F.array_sort(F.collect_list(F.struct("doc_id", "w")))
     flat = batched.groupBy("batch_id").agg(F.flatten(F.transform(rows, lambda r: r["w"])).alias("tokens"))
     return flat.select("batch_id", t.joined("tokens").alias("tokens"))
