@@ -83,7 +83,7 @@ def main() -> None:
         except Exception as exc:  # one broken query must not hide the others
             print(name, repr(exc)[:300], file=sys.stderr, flush=True)
 
-    # The vocabulary is trained beforehand, as in the reference timings of a tokenise map.
+    # The vocabulary is made beforehand: encoding alone is timed.
     vocab = cut_lineage(wordpiece_vocab(spark, SF_DIR))
     docs = t.spread_documents(spark, SF_DIR)
     for name in NAMED:

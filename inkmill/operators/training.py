@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.scalars import neg_log_prob
 from ..session import cut_lineage
 from . import vocab
 from .encoding import MAX_BROADCAST_TOKENS, viterbi_words
@@ -154,10 +153,9 @@ def train_wordpiece(freqs: DataFrame, vocab_size: int | None = None, n_merges: i
     return tokens, merges
 
 
-def unigram_model(token_freqs: dict[str, int], spark: SparkSession) -> DataFrame:
-    """token, freq, neg_log_p from token frequencies."""
-    rows = spark.createDataFrame(list(token_freqs.items()), "token string, freq bigint")
-    return rows.withColumn("neg_log_p", neg_log_prob("freq", F.lit(sum(token_freqs.values()))))
+def score_table(spark: SparkSession, scores: dict[str, float]) -> DataFrame:
+    """token, neg_log_p of a trained model."""
+    return spark.createDataFrame(list(scores.items()), "token string, neg_log_p double")
 
 
 def unigram_losses(words: DataFrame, scores: dict[str, float]) -> DataFrame:

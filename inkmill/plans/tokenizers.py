@@ -261,7 +261,7 @@ def train_wordpiece(spark, d):
 @query("train_unigram")
 def train_unigram(spark, d):
     scores = training.train_unigram(space_words(spark, d), vocab_size=200, seed_size=300)
-    return spark.createDataFrame(list(scores.items()), "token string, neg_log_p double")
+    return training.score_table(spark, scores)
 
 
 @query("train_from_corpus", _sql_rounds(SQL_BYTE_WORDS, "string_split(word, '')", 8, False) + f"""

@@ -3,6 +3,7 @@
 import math
 import random
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -204,9 +205,9 @@ def bleu_by_hand(pairs):
 
 
 @pytest.mark.parametrize("pairs", [
-    [("This plugin lets you translate web pages between several languages automatically.",
-      "This plugin allows you to automatically translate web pages between several languages.")],
-    [("This This This This", "This plugin allows you.")],
+    [("A Spark job reads many small files from one shared folder, slowly.",
+      "One Spark job slowly reads many small files from one shared folder.")],
+    [("one one one one", "one job reads files.")],
     [("a b c d e", "a b c d e"), ("x y", "x z y")],
     [("one two", "one two three")],
 ])
@@ -312,14 +313,14 @@ def test_viterbi_against_all_segmentations(spark):
 
 def test_train_unigram(spark):
     words = counted(CORPUS)
-    chars, subs = {}, {}
+    pieces = Counter()
     for w, f in words.items():
-        for i in range(len(w)):
-            chars[w[i]] = chars.get(w[i], 0) + f
-            for j in range(i + 2, len(w) + 1):
-                subs[w[i:j]] = subs.get(w[i:j], 0) + f
-    ranked = sorted(subs.items(), key=lambda kv: -kv[1])[:60 - len(chars)]
-    model = {**chars, **dict(ranked)}
+        pieces.update({w[i:j]: 0 for i, j in combinations(range(len(w) + 1), 2)})
+        for i, j in combinations(range(len(w) + 1), 2):
+            pieces[w[i:j]] += f
+    chars = {t: f for t, f in pieces.items() if len(t) == 1}
+    longer = Counter({t: f for t, f in pieces.items() if len(t) > 1})
+    model = {**chars, **dict(longer.most_common(60 - len(chars)))}
 
     def losses(freqs, skip=None):
         total = sum(freqs.values())
