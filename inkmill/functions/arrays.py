@@ -29,7 +29,7 @@ def argmax_array(values: ColumnOrName) -> Column:
 
 def topk_array(values: ColumnOrName, k: int) -> Column:
     """0-based indexes of the k largest elements, largest first, ties to the lower index."""
-    ranked = F.array_sort(F.transform(_col(values), lambda x, i: F.struct((-x).alias("neg"), i.alias("idx"))))
+    ranked = F.sort_array(F.transform(_col(values), lambda x, i: F.struct((-x).alias("neg"), i.alias("idx"))))
     return F.transform(F.slice(ranked, 1, k), lambda s: s["idx"])
 
 

@@ -204,7 +204,7 @@ def dictionary_encode_join(df: DataFrame, id_col: str, tokens: Column, vocab: Da
     exploded = df.select(id_col, F.posexplode_outer(tokens).alias("pos", "token"))
     coded = exploded.join(vocab.select("token", "id"), "token", "left")
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unk_id)).alias("id")))
-    grouped = coded.groupBy(id_col).agg(F.array_sort(F.collect_list(entry)).alias("_ids"))
+    grouped = coded.groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("_ids"))
     return grouped.select(id_col, F.transform("_ids", lambda e: e["id"]).alias(out))
 
 
@@ -213,7 +213,7 @@ def decode_join(df: DataFrame, id_col: str, ids: Column, vocab: DataFrame, out:
     exploded = df.select(id_col, F.posexplode_outer(ids).alias("pos", "id"))
     coded = exploded.join(vocab.select("id", "token"), "id", "left")
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))
-    grouped = coded.groupBy(id_col).agg(F.array_sort(F.collect_list(entry)).alias("_toks"))
+    grouped = coded.groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("_toks"))
     return grouped.select(id_col, F.transform("_toks", lambda e: e["token"]).alias(out))
 
 

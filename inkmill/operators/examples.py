@@ -54,7 +54,7 @@ def group_texts(df: DataFrame, ids: str, order_col: str, chunk: int = 128, batch
     stop = F.least((F.col("chunk_id") + 1) * chunk - F.col("_at"), F.size(ids)).cast("int")
     pieces = pieces.select(*keys, "chunk_id", F.struct(
         (F.col("_at") + start).alias("at"), F.slice(ids, start + 1, stop - start).alias("part")).alias("piece"))
-    packed = pieces.groupBy(*keys, "chunk_id").agg(F.array_sort(F.collect_list("piece")).alias("_pieces"))
+    packed = pieces.groupBy(*keys, "chunk_id").agg(F.sort_array(F.collect_list("piece")).alias("_pieces"))
     joined = packed.withColumn(ids, F.flatten(F.transform("_pieces", lambda p: p["part"]))).drop("_pieces")
     return joined.filter(F.size(ids) == chunk).withColumn("labels", F.col(ids))
 

@@ -90,7 +90,7 @@ def best_spans(features: DataFrame, n_best: int = 20, max_answer: int = 30) -> D
 
     spans = F.flatten(F.transform("_starts", lambda s: F.transform("_ends", lambda e: pair(s, e))))
     best = F.array_max(F.filter(spans, lambda c: c.isNotNull()))
-    return fixed.select("example_id", best.alias("best")).filter("best is not null")
+    return compute_once(fixed.select("example_id", best.alias("best")), "best").filter("best is not null")
 
 
 def join_features_to_examples(examples: DataFrame, features: DataFrame, key: str = "example_id") -> DataFrame:

@@ -188,7 +188,7 @@ def centroids(spark, d) -> DataFrame:
     """One query vector per label: the mean of its vectors."""
     values = t.read(spark, d, "embeddings").select("label", F.posexplode("embedding").alias("pos", "x"))
     means = values.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    ordered = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("v"))
+    ordered = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("v"))
     return ordered.select(F.col("label").cast("bigint").alias("query_id"), F.transform("v", lambda e: e["x"]).alias("embedding"))
 
 

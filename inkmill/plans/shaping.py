@@ -347,7 +347,7 @@ FROM (SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS ba
 WHERE len({t.sql_words('text')}) > 0 GROUP BY batch_id""")
 def concat_arrays(spark, d):
     batched = ordering.batch_assign(t.spread_documents(spark, d).select("doc_id", T.words("text").alias("w")), 16, "doc_id")
-    rows = F.array_sort(F.collect_list(F.struct("doc_id", "w")))
+    rows = F.sort_array(F.collect_list(F.struct("doc_id", "w")))
     flat = batched.groupBy("batch_id").agg(F.flatten(F.transform(rows, lambda r: r["w"])).alias("tokens"))
     return flat.select("batch_id", t.joined("tokens").alias("tokens"))
 
