@@ -6,16 +6,18 @@ is the smallest rank found when the places are turned by k. The k turns of a pla
 all coordinates of a shingle are one slice, and a signature is the minimum over slices.
 
 Texts with equal sets form a class; only one of each goes on. Bands of coordinates give buckets. A bucket is never
-expanded into all its pairs: its members are compared with one of them, the centre, links are closed to components,
-and only members that are still in another component than the rest meet the next centre. Every pair that shares a
-bucket is thus either compared exactly or already in one component.
+expanded into all its pairs: its members are compared with the first of them, links are closed to components, and
+only members outside the bucket's first component then meet members of other components, ``CENTRES`` a turn. Such a
+pair is compared only if an exact bound allows a link: a bitmap marks the hash ranges a text has shingles in, and each
+range that only one of two texts has is a shingle that they do not share. Every pair that shares a bucket is thus compared, out of reach,
+or already in one component.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +35,11 @@ COORDINATES = 384
 SEED = 20_260
 BLOCK = 1024
 BROADCAST_IDS = 500_000
-CENTRES = 32
+CENTRES = 256
+WORDS = 16  # of 64 bits in the bitmap of a set
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_S27, _S31, _S44 = np.uint64(27), np.uint64(31), np.uint64(44)
+_S27, _S31, _S44, _S54 = np.uint64(27), np.uint64(31), np.uint64(44), np.uint64(54)
 
 
 def banding(threshold: float, miss: float = MISS, coordinates: int = COORDINATES) -> tuple[int, int]:
@@ -94,20 +97,29 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def bitmap(items: np.ndarray) -> np.ndarray:
+    """Which of 64 * WORDS ranges of the hash the set has an element in."""
+    has = np.zeros(64 * WORDS, bool)
+    has[items >> _S54] = True
+    return np.packbits(has).view(np.int64)
+
+
 def _sign(bands: int, rows: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, digests, keys = [], [], []
+            counts, digests, keys, bits = [], [], [], []
             for text in batch.column(1).to_pylist():
                 items = shingles(text, size)
                 counts.append(len(items))
                 digests.append(xxhash.xxh3_128_hexdigest(items.tobytes()) if len(items) else None)
+                bits.append(bitmap(items))
                 keys.append(band_keys(signature(items, bands * rows), bands, rows) if len(items) else np.empty(0, np.int64))
             ends = np.cumsum([0, *map(len, keys)])
             flat = pa.array(np.concatenate([np.empty(0, np.int64), *keys]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
-                ["doc_id", "n_shingles", "digest", "keys"])
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
+                 pa.ListArray.from_arrays(pa.array(range(0, WORDS * len(bits) + 1, WORDS), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *bits])))],
+                ["doc_id", "n_shingles", "digest", "keys", "bits"])
 
     return run
 
@@ -129,22 +141,29 @@ def _compare(size: int):
     return run
 
 
-def _next_pairs(buckets: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _next_pairs(buckets: DataFrame, bits: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(pairs to compare, what is left of the buckets).
 
-    The first turn takes the smallest id of a bucket as its centre; each later one about ``CENTRES`` members, chosen
-    by hash. Buckets whose members share a component are done.
+    The first turn takes the smallest id of a bucket as its centre; each later one about ``CENTRES`` members outside
+    the smallest component, chosen by hash. Buckets whose members share a component are done.
     """
     placed = buckets.withColumn("comp", F.col("id")) if labels is None else buckets.join(labels, buckets["id"] == labels["node"], "left").select(
         "key", "id", "n", F.coalesce("component", "id").alias("comp"))
-    stats = placed.groupBy("key").agg(F.min("id").alias("first"), F.max("comp").alias("hi"), F.min("comp").alias("lo"), F.count("*").alias("m"))
+    stats = placed.groupBy("key").agg(F.min("id").alias("first"), F.max("comp").alias("hi"), F.min("comp").alias("lo"))
     mixed = placed.join(stats.filter("lo <> hi"), "key")
-    share = F.ceil(F.col("m") / CENTRES)
-    centre = F.col("id") == F.col("first") if turn == 0 else F.pmod(F.xxhash64("id", F.lit(turn)), share) == 0
-    mixed = cut_lineage(mixed.select("key", "id", "n", "comp", centre.alias("centre")))
-    centres = mixed.filter("centre").select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("compb"))
-    pairs = mixed.join(centres, "key").filter("comp <> compb AND (id > b OR NOT centre)")
-    pairs = pairs.filter(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
+    if turn == 0:
+        mixed = cut_lineage(mixed.select("key", "id", "n", "comp", (F.col("id") == F.col("first")).alias("centre")))
+        reach = F.least("n", "nb")
+    else:
+        mixed = cut_lineage(mixed.select("key", "id", "n", "comp", (F.col("comp") != F.col("lo")).alias("other")))
+        sizes = mixed.filter("other").groupBy("key").agg(F.ceil(F.count("*") / CENTRES).alias("share"))
+        mixed = mixed.join(sizes, "key").join(bits, "id")
+        mixed = cut_lineage(mixed.withColumn("centre", F.col("other") & (F.pmod(F.xxhash64("id", F.lit(turn)), F.col("share")) == 0)))
+        apart = [F.bit_count(F.get("bits", F.lit(i)).bitwiseAND(F.bitwise_not(F.get("bitsb", F.lit(i))))) for i in range(WORDS)]
+        reach = F.col("n") - reduce(lambda a, x: a + x, apart)
+    own = ["key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("compb")] + ([F.col("bits").alias("bitsb")] if turn else [])
+    pairs = mixed.join(mixed.filter("centre").select(*own), "key").filter("comp <> compb AND (id > b OR NOT centre)")
+    pairs = pairs.filter(100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")).filter((100 + percent) * reach >= percent * (F.col("n") + F.col("nb")))
     return pairs.select(F.col("id").alias("a"), "b").distinct(), mixed.filter("NOT centre").select("key", "id", "n")
 
 
@@ -159,7 +178,7 @@ def near_duplicate_components(df: DataFrame, percent: int = 80, size: int = SHIN
     """
     bands, rows = banding(percent / 100, miss, coordinates)
     plain = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    signed = cut_lineage(plain.mapInArrow(_sign(bands, rows, size), "doc_id long, n_shingles long, digest string, keys array<long>"))
+    signed = cut_lineage(plain.mapInArrow(_sign(bands, rows, size), "doc_id long, n_shingles long, digest string, keys array<long>, bits array<long>"))
     classes = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = cut_lineage(classes)
     # One row per class; a repeated id takes its first text's set and any other set of its own.
@@ -171,9 +190,10 @@ def near_duplicate_components(df: DataFrame, percent: int = 80, size: int = SHIN
     ids = cut_lineage(ids)
     side = F.broadcast(ids) if ids.count() <= broadcast_ids else ids
     texts = cut_lineage(plain.join(side, plain["doc_id"] == side["id"], "left_semi").select(F.col("doc_id").alias("id"), "text"))
+    bits = cut_lineage(single.select(F.col("doc_id").alias("id"), "bits").join(side, "id", "left_semi").dropDuplicates(["id"]))
     links, labels, done, turn = None, None, None, 0
     while not buckets.isEmpty():
-        fresh, buckets = _next_pairs(buckets, labels, turn, percent)
+        fresh, buckets = _next_pairs(buckets, bits, labels, turn, percent)
         turn += 1
         if done is not None:
             fresh = fresh.join(done, ["a", "b"], "left_anti")
@@ -189,7 +209,7 @@ def near_duplicate_components(df: DataFrame, percent: int = 80, size: int = SHIN
         labels = cut_lineage(connected_components(links, "a", "b"))
     by_class = classes if labels is None else classes.join(labels, classes["rep"] == labels["node"], "left").select(
         "digest", F.coalesce("component", "rep").alias("rep"))
-    out = signed.drop("keys").join(by_class, "digest", "left")
+    out = signed.drop("keys", "bits").join(by_class, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
