@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 CLOSE_BLANKS = regex.compile(r"\s (?:\s|\Z)")
-CACHED = 250_000  # entries of one generation of a worker's cache, the frequent ones not counted
+CACHED = 150_000  # entries of one generation of a worker's cache, the frequent ones not counted
 
 
 def _spelling() -> dict[int, str]:
@@ -71,7 +71,6 @@ class Encoder:
         self.specials = {t.content: i.to_bytes(4, "little") for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
         self.tokens = Cache(self._token, limit=limit)
-        self.pieces = Cache(self._piece, limit=limit)
         self.spaced = Cache(lambda x: self._piece(" " + x), limit=limit)
 
     def _token(self, token: str) -> bytes:
@@ -86,7 +85,7 @@ class Encoder:
         if CLOSE_BLANKS.search(text):
             return b"".join(map(self.tokens.__getitem__, PATTERN.findall(text)))
         first, *rest = text.split(" ")
-        return self.pieces[first] + b"".join(map(self.spaced.__getitem__, rest))
+        return self._piece(first) + b"".join(map(self.spaced.__getitem__, rest))
 
     def encode(self, text: str | None) -> bytes:
         text = text or ""

@@ -29,7 +29,7 @@ NUMBER, UNIT, NAME, JOIN = "\x01", "\x02", "\x04", "\x03"
 UNITS = ("percent|km/h|mph|kg|mg|kilograms?|grams?|g|lbs?|pounds?|tons?|km|kilometers?|kilometres?|meters?|metres?|cm|mm|m|miles?|inch(?:es)?|feet|foot|ft|"
          "hours?|hrs?|h|minutes?|mins?|seconds?|secs?|s|days?|weeks?|months?|years?|dollars?|cents?|euros?|liters?|litres?|ml|l|degrees?")
 _NUMBER = rf"[$€£]?([\p{{N}}{JOIN}]+)\s?((?:%|(?:{UNITS})(?![\p{{L}}\p{{N}}]))?)"
-_NAME = r"(?<=[\p{L}\p{N},;:] )(\p{Lu}[\p{L}\p{M}]*)"
+_NAME = r"(?<=[\p{L}\p{N},;:] )(\p{Lu}\p{Ll}[\p{L}\p{M}]*)"
 
 
 def _tokens(text: Column, values: bool) -> Column:
