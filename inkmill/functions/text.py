@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import html
-import re
 import sys
 import unicodedata
 from functools import lru_cache
@@ -83,18 +82,15 @@ def substring_by_offset(text: ColumnOrName, start: ColumnOrName, end: ColumnOrNa
 def contains_any(text: ColumnOrName, keywords: list[str]) -> Column:
     """Case-sensitive substring test for any keyword.
 
-    Up to 50 keywords stay a disjunction of ``contains`` that the Parquet scan
-    can take over; longer lists become one alternation.
+    A balanced disjunction of ``contains``, which the Parquet scan can take over.
     """
     if not keywords:
         return F.lit(False)
     text = _col(text)
-    if len(keywords) > 50:
-        return text.rlike("|".join(re.escape(k) for k in keywords))
-    hit = text.contains(keywords[0])
-    for keyword in keywords[1:]:
-        hit = hit | text.contains(keyword)
-    return hit
+    hits = [text.contains(k) for k in keywords]
+    while len(hits) > 1:
+        hits = [a | b for a, b in zip(hits[::2], hits[1::2])] + hits[len(hits) & ~1:]
+    return hits[0]
 
 
 @lru_cache(maxsize=1)
@@ -104,27 +100,33 @@ def _accent_table() -> tuple[str, str]:
     for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
         parts = unicodedata.normalize("NFD", char)
-        if len(parts) > 1 and all(unicodedata.category(p) == "Mn" for p in parts[1:]):
+        if parts != char and all(unicodedata.category(p) == "Mn" for p in parts[1:]):
             source.append(char)
             target.append(parts[0])
     return "".join(source), "".join(target)
 
 
-def normalize_text(text: ColumnOrName) -> Column:
-    """Lower-case and drop accents (Hangul syllables stay composed)."""
-    source, target = _accent_table()
-    base = F.translate(F.lower(_col(text)), source, target)
-    return F.regexp_replace(base, r"\p{Mn}+", "")
+def _jamo(text: Column) -> Column:
+    """Hangul syllables as their letters, by the arithmetic of their code points; other texts are passed on."""
+    first, middle, last = ["".join(map(chr, range(start, start + n))) for start, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27))]
 
+    def letters(c: Column) -> Column:
+        at = F.ascii(c) - 0xAC00
+        parts = [F.substring(F.lit(table), i.cast("int"), F.lit(1)) for table, i in (
+            (first, F.floor(at / 588) + 1), (middle, F.floor((at % 588) / 28) + 1), (last, at % 28))]
+        tail = F.when(at % 28 > 0, parts[2]).otherwise("")
+        return F.when(c.between("\uac00", "\ud7a3"), F.concat(parts[0], parts[1], tail)).otherwise(c)
 
-@F.arrow_udf(StringType())
-def _normalize_full(texts: pa.Array) -> pa.Array:
-    def one(t):
-        return "".join(c for c in unicodedata.normalize("NFD", t).lower() if unicodedata.category(c) != "Mn")
+    return F.when(text.rlike("[\uac00-\ud7a3]"), F.array_join(F.transform(F.split(text, ""), letters), "")).otherwise(text)
 
-    return pa.array([None if t is None else one(t) for t in texts.to_pylist()], pa.string())
+
+def normalize_text(text: ColumnOrName) -> Column:
+    """Lower-case, decompose canonically and drop accents."""
+    source, target = _accent_table()
+    base = F.translate(F.lower(_col(text)), source, target)
+    return _jamo(F.regexp_replace(base, r"\p{Mn}+", ""))
 
 
 def normalize_text_full(text: ColumnOrName) -> Column:
-    """As normalize_text, with every character canonically decomposed."""
-    return _normalize_full(_col(text))
+    """The same as normalize_text."""
+    return normalize_text(text)

@@ -217,9 +217,9 @@ def decode_join(df: DataFrame, id_col: str, ids: Column, vocab: DataFrame, out:
     return grouped.select(id_col, F.transform("_toks", lambda e: e["token"]).alias(out))
 
 
-def detokenize_wordpiece(tokens: ColumnOrName, specials: tuple[str, ...] = ("[PAD]", "[CLS]", "[SEP]", "[MASK]")) -> Column:
-    """Text of wordpiece tokens: specials skipped, continuations glued on."""
-    kept = F.filter(_col(tokens), lambda t: ~t.isin(*specials))
+def detokenize_wordpiece(tokens: ColumnOrName, specials: tuple[str, ...] = ("[PAD]", "[CLS]", "[SEP]", "[MASK]"), unknown: str = "[UNK]") -> Column:
+    """Text of wordpiece tokens: specials skipped, continuations glued on; a null token, of an id outside the vocabulary, is the unknown one."""
+    kept = F.filter(F.transform(_col(tokens), lambda t: F.coalesce(t, F.lit(unknown))), lambda t: ~t.isin(*specials))
     return F.replace(F.array_join(kept, " "), F.lit(" ##"), F.lit(""))
 
 

@@ -1,4 +1,4 @@
-"""Exact nearest neighbours without a cross join.
+"""Exact nearest neighbours; with many queries an all-pairs product in blocks.
 
 Vectors are compared inside tasks as matrices; only the k best of each query leave
 a task. ``l2`` is the squared distance and ascends, ``dot`` and ``cosine`` descend.
@@ -26,11 +26,16 @@ def _matrix(vectors: pa.Array | pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype("float64")
 
 
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length 1; a zero vector stays zero, so that its similarity is 0."""
+    length = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(length == 0, 1, length)
+
+
 def _scores(queries: np.ndarray, base: np.ndarray, metric: str) -> np.ndarray:
     """Similarity matrix (queries x base), larger is nearer."""
     if metric == "cosine":
-        queries = queries / np.linalg.norm(queries, axis=1, keepdims=True)
-        base = base / np.linalg.norm(base, axis=1, keepdims=True)
+        queries, base = _unit(queries), _unit(base)
     dots = queries @ base.T
     if metric == "l2":
         return -(np.sum(queries**2, axis=1)[:, None] + np.sum(base**2, axis=1)[None, :] - 2 * dots)

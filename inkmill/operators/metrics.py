@@ -23,10 +23,10 @@ def _ratio(a: Column, b: Column) -> Column:
 
 
 def accuracy_f1(df: DataFrame, prediction: str, label: str) -> DataFrame:
-    """One row: accuracy, and F1 of class 1."""
+    """One row: accuracy, and F1 of class 1. A null prediction or label is wrong in both."""
     p, y = F.col(prediction), F.col(label)
     tp = F.count_if((p == 1) & (y == 1))
-    return df.agg(F.avg((p == y).cast("int")).alias("accuracy"),
+    return df.agg(F.avg(F.coalesce(p == y, F.lit(False)).cast("int")).alias("accuracy"),
                   _ratio(2.0 * tp, (F.count_if(p == 1) + F.count_if(y == 1))).alias("f1"))
 
 
@@ -243,12 +243,16 @@ def squad_normalize(text: ColumnOrName) -> Column:
 
 
 def squad_em_f1(df: DataFrame, key: str, prediction: str, references: str) -> DataFrame:
-    """One row: mean exact match and mean token F1 in percent, each the best over an array of references."""
-    pairs = df.select(key, squad_normalize(prediction).alias("p"), F.posexplode(references).alias("ref_no", "ref"))
+    """One row: mean exact match and mean token F1 in percent, each the best over an array of references.
+
+    Every example counts: a null prediction is an empty answer, and without references both scores are 0.
+    """
+    given = F.coalesce(squad_normalize(prediction), F.lit(""))
+    pairs = df.select(key, given.alias("p"), F.posexplode_outer(references).alias("ref_no", "ref"))
     pairs = pairs.withColumn("r", squad_normalize("ref")).withColumn("pair", F.struct(
-        F.col(key).alias("id"), "ref_no", (F.col("p") == F.col("r")).cast("int").alias("em"))).select(
+        F.col(key).alias("id"), "ref_no", F.coalesce(F.col("p") == F.col("r"), F.lit(False)).cast("int").alias("em"))).select(
         "pair", F.filter(F.split("p", " "), lambda w: w != "").alias("pt"),
-        F.filter(F.split("r", " "), lambda w: w != "").alias("rt"))
+        F.filter(F.split(F.coalesce("r", F.lit("")), " "), lambda w: w != "").alias("rt"))
     counts = overlap_counts(pairs, "pair", "pt", "rt", [1]).withColumn(
         "f1", _ratio(2.0 * F.col("hit"), F.col("pred") + F.col("ref"))).select("pair", "f1")
     best = counts.groupBy("pair.id").agg(F.max("pair.em").alias("em"), F.max("f1").alias("f1"))

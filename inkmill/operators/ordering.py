@@ -35,14 +35,14 @@ def _rank_in_buckets(df: DataFrame, bucket: Column, order: list[Column], groups:
 def _quantile_bucket(df: DataFrame, key: str, n_buckets: int) -> Column:
     """Number of quantile boundaries at or below the key, by binary search."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = sorted({int(q) for q in df.approxQuantile(key, probs, 1 / (4 * n_buckets))})
+    edges = sorted(set(df.approxQuantile(key, probs, 1 / (4 * n_buckets))))
     if not edges:
         return F.lit(0)
-    table = F.split(F.lit(",".join(map(str, edges))), ",").cast("array<bigint>")
+    table = F.split(F.lit(",".join(map(repr, edges))), ",").cast("array<double>")
     steps = [1 << b for b in reversed(range(len(edges).bit_length()))]
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda low, step: F.when(F.get(table, low + step - 1) <= F.col(key), low + step).otherwise(low))
+        lambda low, step: F.when(F.get(table, low + step - 1) <= F.col(key).cast("double"), low + step).otherwise(low))
 
 
 def global_row_number(df: DataFrame, order_col: str, groups: list[str] | None = None, out: str = "row_no",

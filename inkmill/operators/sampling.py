@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.scalars import floor_share, md5_key
+from ..functions.scalars import floor_share
 from .ordering import shuffled_row_number
 
-# A sorted limit passes this many rows through one task at most.
-SMALL_SAMPLE = 100_000
-
 
 def shuffle_seeded(df: DataFrame, id_col: str, seed: int, out: str = "position") -> DataFrame:
     """A fixed permutation: each row with its 0-based position."""
@@ -17,9 +14,7 @@ def shuffle_seeded(df: DataFrame, id_col: str, seed: int, out: str = "position")
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
-    """Exactly the first n rows of the seeded permutation."""
-    if n <= SMALL_SAMPLE:
-        return df.orderBy(md5_key(seed, id_col), id_col).limit(n)
+    """Exactly the first n rows of the seeded permutation, in no order."""
     return shuffled_row_number(df, id_col, seed, out="_rn").filter(F.col("_rn") <= n).drop("_rn")
 
 

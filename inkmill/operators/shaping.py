@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import contains_any, word_count
 from ..session import spread
 from .ordering import global_row_number
-from .sampling import SMALL_SAMPLE
 
 
 def keep_columns(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -63,9 +62,7 @@ def value_counts_topn(df: DataFrame, column: str, n: int = 20) -> DataFrame:
 
 
 def row_slice(df: DataFrame, order_col: str, start: int, stop: int) -> DataFrame:
-    """Rows ``[start:stop]`` in the order of a unique numeric column; a deep slice is cut by row number."""
-    if stop <= SMALL_SAMPLE:
-        return df.orderBy(order_col).offset(start).limit(stop - start)
+    """Rows ``[start:stop]`` in the order of a unique numeric column, cut by row number; in no order."""
     ranked = global_row_number(df, order_col, out="_rn")
     return ranked.filter((F.col("_rn") > start) & (F.col("_rn") <= stop)).drop("_rn")
 

@@ -30,7 +30,7 @@ def word_freqs(df: DataFrame, id_col: str, words: Column) -> DataFrame:
     aggregated by hash. Ids beyond 35 bits make it a decimal instead of a long.
     """
     low, high = df.agg(F.min(id_col), F.max(id_col)).first()
-    packs = low is None or (low >= 0 and high < 1 << 35)
+    packs = low is None or (low >= -(1 << 35) and high < 1 << 35)
     doc = F.col(id_col).cast("bigint" if packs else "decimal(28,0)")
     tokens = explode_tokens(df, [id_col], words, "pos", "word")
     return tokens.groupBy("word").agg(
@@ -39,8 +39,8 @@ def word_freqs(df: DataFrame, id_col: str, words: Column) -> DataFrame:
 
 def first_place(first_seen: str = "first_seen") -> tuple[Column, Column]:
     """Document and position of the first occurrence."""
-    return (F.expr(f"{first_seen} div {POSITIONS}L").cast("bigint"),
-            (F.col(first_seen) % F.lit(POSITIONS)).cast("bigint"))
+    pos = F.pmod(F.col(first_seen), F.lit(POSITIONS))
+    return F.expr(f"({first_seen} - pmod({first_seen}, {POSITIONS}L)) div {POSITIONS}L").cast("bigint"), pos.cast("bigint")
 
 
 def rank_words(freqs: DataFrame) -> DataFrame:

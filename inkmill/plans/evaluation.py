@@ -14,7 +14,7 @@ from .shaping import SQL_SENTENCES
 
 
 @query("accuracy_f1", """
-SELECT round(avg((p = y)::INTEGER), 9) AS accuracy,
+SELECT round(avg(coalesce(p = y, false)::INTEGER), 9) AS accuracy,
   round(2.0 * count(*) FILTER (p = 1 AND y = 1) / (count(*) FILTER (p = 1) + count(*) FILTER (y = 1)), 9) AS f1
 FROM (SELECT (n_chars > 1000)::INTEGER AS p, quality AS y FROM documents JOIN labels USING (doc_id))""")
 def accuracy_f1(spark, d):

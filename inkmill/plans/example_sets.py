@@ -176,8 +176,8 @@ def training_step_count(spark, d):
 
 
 @query("sink_training_batches", f"""
-WITH b AS (SELECT doc_id, lang AS split, (row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1) // 32 AS batch_id, ({IDS})[1:128] AS ids FROM documents),
-     w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS width FROM b)
+WITH b AS (SELECT doc_id, lang AS split, (row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) - 1) // 32 AS batch_id, ({IDS})[1:128] AS ids FROM documents),
+     w AS (SELECT *, max(len(ids)) OVER (PARTITION BY split, batch_id) AS width FROM b)
 SELECT doc_id, split, batch_id, array_to_string({_sql_pad('ids', 'width', '0')}, ' ') AS input_ids FROM w""")
 def sink_training_batches(spark, d):
     from ..session import scratch_path

@@ -29,7 +29,7 @@ def scan_csv(spark, d):
 def sink_csv(spark, d):
     path = scratch_path(spark, "csv")
     writers.sink_csv(t.documents(spark, d).select("doc_id", "text", "lang"), path)
-    return readers.scan_csv(spark, {"all": path}, "doc_id bigint, text string, lang string")
+    return readers.scan_csv(spark, {"all": path}, "doc_id bigint, text string, lang string", multi_line=True)
 
 
 @query("scan_text", "SELECT line AS text, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY line")

@@ -24,14 +24,17 @@ def get_session(app_name: str = "inkmill", master: str | None = None, **conf: st
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master.startswith("local-cluster") or not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="inkmill-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -56,13 +59,13 @@ def cut_lineage(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Split a scan of few files over all cores before CPU-heavy work.
+    """Split a scan that has fewer tasks than cores before CPU-heavy work.
 
-    Inputs that already have at least one file per core are left alone, so a
-    large corpus is never shuffled here.
+    Tasks are counted by the scan's splits, not by files: an input of more bytes than cores times the
+    split size has enough of them and is never shuffled here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def ship_package(spark: SparkSession) -> None:

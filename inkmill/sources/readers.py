@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import spread
 
 
-def scan_csv(spark: SparkSession, files: dict[str, str | list[str]], schema: str, sep: str = ",") -> DataFrame:
-    """Delimited files with a header and quoted multi-line fields; one entry per split. Empty fields are null."""
+def scan_csv(spark: SparkSession, files: dict[str, str | list[str]], schema: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
+    """Delimited files with a header; one entry per split. Empty fields are null.
+
+    Files are read in pieces by many tasks; with ``multi_line``, for newlines inside quotes, a file is one task.
+    """
     reader = (spark.read.schema(schema).option("sep", sep).option("header", True)
-              .option("multiLine", True).option("escape", '"'))
+              .option("multiLine", multi_line).option("escape", '"'))
     parts = [reader.csv(path).withColumn("split", F.lit(split)) for split, path in files.items()]
     return reduce(DataFrame.unionByName, parts)
 

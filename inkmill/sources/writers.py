@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.examples import pad_dynamic
-from ..operators.ordering import global_row_number
-from ..operators.sampling import shuffle_seeded
+from ..operators.ordering import global_row_number, shuffled_row_number
 
 
 def save_splits(df: DataFrame, path: str) -> None:
@@ -34,16 +33,16 @@ def sink_text(df: DataFrame, text: str, path: str, one_line_per_row: bool = Fals
 
 
 def training_batches(df: DataFrame, id_col: str, ids: str, batch_size: int, seed: int, pad_id: int = 0,
-                     labels: str | None = None, shuffle: bool = True) -> DataFrame:
-    """Shuffle, cut into batches and pad each batch to its longest row."""
+                     labels: str | None = None, shuffle: bool = True, groups: list[str] | None = None) -> DataFrame:
+    """Shuffle, cut into batches and pad each batch to its longest row; batches are numbered in each group by itself."""
     if shuffle:
-        ordered = shuffle_seeded(df, id_col, seed, "_pos")
+        ordered = shuffled_row_number(df, id_col, seed, groups, "_rn")
     else:
-        ordered = global_row_number(df, id_col, out="_rn").withColumn("_pos", F.col("_rn") - 1).drop("_rn")
-    batched = ordered.withColumn("batch_id", F.floor(F.col("_pos") / batch_size).cast("bigint")).drop("_pos")
-    return pad_dynamic(batched, ids, ["batch_id"], pad_id, labels)
+        ordered = global_row_number(df, id_col, groups, "_rn")
+    batched = ordered.withColumn("batch_id", F.floor((F.col("_rn") - 1) / batch_size).cast("bigint")).drop("_rn")
+    return pad_dynamic(batched, ids, [*(groups or []), "batch_id"], pad_id, labels)
 
 
 def sink_training_batches(df: DataFrame, path: str, **options) -> None:
-    """Padded batches per split, sorted so that the rows of a batch lie together."""
-    training_batches(df, **options).sortWithinPartitions("batch_id").write.partitionBy("split").parquet(path)
+    """Padded batches of each split by itself, sorted so that the rows of a batch lie together."""
+    training_batches(df, groups=["split"], **options).sortWithinPartitions("batch_id").write.partitionBy("split").parquet(path)

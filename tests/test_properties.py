@@ -49,10 +49,9 @@ def test_absolute_split_needs_rows(spark):
         sampling.train_test_split_abs(spark.range(5), "id", 4, 2, 1).collect()
 
 
-def test_large_sample_equals_small(spark, monkeypatch):
+def test_sample_is_head_of_permutation(spark):
     small = {r.id for r in sampling.sample_n(spark.range(300), "id", 40, 7).collect()}
-    monkeypatch.setattr(sampling, "SMALL_SAMPLE", 10)
-    assert {r.id for r in sampling.sample_n(spark.range(300), "id", 40, 7).collect()} == small
+    assert {r.id for r in sampling.shuffle_seeded(spark.range(300), "id", 7).filter("position < 40").collect()} == small and len(small) == 40
 
 
 def test_interleave_stops_at_shortest(spark):
