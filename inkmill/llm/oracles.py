@@ -1,5 +1,30 @@
-"""SQL that gives the rows of the queries that SQL can express."""
+"""SQL that gives the rows of the queries that SQL can express.
+
+The other queries (shards, hashed n-grams, library tokens, MinHash components, spans, templates) are held against
+plain Python in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_chat_format": """
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+     e AS (SELECT *, 2 * length(text) - length(translate(text, '\\<[', '')) + 2 * length(role) - length(translate(role, '\\<[|', '')) + 13 AS shown FROM c),
+     g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS lines,
+             coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, sum(shown)::BIGINT AS formatted_chars,
+             string_agg(role, ',' ORDER BY turn, role, text) AS roles FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars,
+  CASE WHEN roles = 'user,assistant' THEN 'prompt' WHEN roles = 'system,user,assistant' THEN 'instruction'
+       WHEN split_part(roles, ',', 1) = 'user' AND NOT regexp_matches(roles, '(^|,)(human|gpt)(,|$)') THEN 'sharegpt' ELSE 'messages' END AS layout
+FROM g""",
+    # The given pages hold no redirect and no canonical link.
+    "op10_url_filter": """
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+     r AS (SELECT *, CASE WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                          WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                          WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                          WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM u)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM r""",
+}
