@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 CLOSE_BLANKS = regex.compile(r"\s (?:\s|\Z)")
-CACHED = 150_000  # entries of one generation of a worker's cache, the frequent ones not counted
+CACHED = 300_000  # entries of one generation of a worker's cache, the frequent ones not counted
 
 
 def _spelling() -> dict[int, str]:
@@ -30,6 +30,8 @@ SPELLING = _spelling()
 
 
 def spell(piece: str) -> str:
+    if piece.isascii() and piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+        return piece.replace(" ", "Ġ")
     return piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(SPELLING)
 
 
@@ -71,7 +73,7 @@ class Encoder:
         self.specials = {t.content: i.to_bytes(4, "little") for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
         self.tokens = Cache(self._token, limit=limit)
-        self.spaced = Cache(lambda x: self._piece(" " + x), limit=limit)
+        self.spaced = Cache(self._spaced, limit=limit)
 
     def _token(self, token: str) -> bytes:
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spell(token))])
@@ -79,6 +81,14 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         return b"".join(map(self.tokens.__getitem__, PATTERN.findall(piece)))
 
+    def _spaced(self, word: str) -> bytes:
+        """A piece behind a space; letters alone, or with one mark after them, need no pattern."""
+        if word.isalpha():
+            return self.tokens[" " + word]
+        if word[:-1].isalpha() and word[-1] in ".,":
+            return self.tokens[" " + word[:-1]] + self.tokens[word[-1]]
+        return self._piece(" " + word)
+
     def _plain(self, text: str) -> bytes:
         if not text:
             return b""
