@@ -77,21 +77,28 @@ def seqeval(df: DataFrame, predictions: str, labels: str) -> DataFrame:
 def overlap_counts(df: DataFrame, key: str, pred_tokens: str, ref_tokens: str, orders: list[int]) -> DataFrame:
     """key, n, pred, ref, hit: n-gram counts of both sides and their clipped overlap.
 
-    Both sides are exploded from one scan with a side marker, so no join is needed. A
-    row without a gram keeps every key and order in the result.
+    The overlap is found inside the row: the grams of both sides are sorted together, predictions first among
+    equals, and one pass over them keeps how many predicted ones are still free. Every row gives one row per order,
+    also without a gram; null tokens count as none.
     """
-    def entry(n: int, gram: Column, p: int, r: int) -> Column:
-        return F.struct(F.lit(n).alias("n"), gram.alias("gram"), F.lit(p).alias("p"), F.lit(r).alias("r"))
-
-    def side(tokens: str, n: int, is_pred: int) -> Column:
-        return F.transform(ngrams(tokens, n), lambda g: entry(n, g, is_pred, 1 - is_pred))
-
-    grams = compute_once(df.select(key, pred_tokens, ref_tokens), pred_tokens, ref_tokens).select(key, F.explode_outer(F.concat(
-        F.array(*[entry(n, F.lit(None).cast("string"), 0, 0) for n in orders]),
-        *[side(pred_tokens, n, 1) for n in orders], *[side(ref_tokens, n, 0) for n in orders])).alias("g"))
-    counts = grams.groupBy(key, "g.n", "g.gram").agg(F.sum("g.p").alias("p"), F.sum("g.r").alias("r"))
-    return counts.groupBy(key, "n").agg(F.sum("p").alias("pred"), F.sum("r").alias("ref"),
-                                        F.sum(F.least("p", "r")).alias("hit"))
+    def grams(tokens: str, n: int) -> Column:
+        return F.coalesce(ngrams(tokens, n), F.array().cast("array<string>"))
+
+    def tagged(side: str, mark: int) -> Column:
+        return F.transform(side, lambda g: F.struct(g.alias("gram"), F.lit(mark).alias("side")))
+
+    def add(state: Column, e: Column) -> Column:
+        same = e["gram"].eqNullSafe(state["gram"])
+        free = F.when(same, state["free"]).otherwise(0)
+        taken = ((e["side"] == 1) & (free > 0)).cast("int")
+        return F.struct(e["gram"].alias("gram"), F.when(e["side"] == 0, free + 1).otherwise(free - taken).alias("free"), (state["hit"] + taken).alias("hit"))
+
+    once = compute_once(df.select(key, pred_tokens, ref_tokens), pred_tokens, ref_tokens)
+    sides = once.select(key, F.explode(F.array(*[
+        F.struct(F.lit(n).alias("n"), grams(pred_tokens, n).alias("p"), grams(ref_tokens, n).alias("r")) for n in orders])).alias("g")).select(key, "g.*")
+    start = F.struct(F.lit(None).cast("string").alias("gram"), F.lit(0).alias("free"), F.lit(0).alias("hit"))
+    hit = F.aggregate(F.sort_array(F.concat(tagged("p", 0), tagged("r", 1))), start, add)["hit"]
+    return sides.select(key, "n", F.size("p").alias("pred"), F.size("r").alias("ref"), hit.alias("hit"))
 
 
 def bleu(df: DataFrame, key: str, prediction: str, reference: str, max_n: int = 4) -> DataFrame:

@@ -52,7 +52,7 @@ WITH p AS MATERIALIZED ({t.SQL_PAIRS}), o AS ({_sql_overlap('p', _sql_bleu_token
 SELECT round(100 * CASE WHEN c >= r THEN 1.0 ELSE exp(1 - r / c) END * exp(mean), 6) AS bleu, round(CASE WHEN c >= r THEN 1.0::DOUBLE ELSE exp(1 - r / c) END, 9) AS brevity,
   c::BIGINT AS pred_len, r::BIGINT AS ref_len FROM l, len""")
 def bleu(spark, d):
-    score = M.bleu(t.pairs(spark, d), "example_id", "question", "context")
+    score = M.bleu(spread(t.pairs(spark, d)), "example_id", "question", "context")
     return score.select(F.round("bleu", 6).alias("bleu"), F.round("brevity", 9).alias("brevity"), "pred_len", "ref_len")
 
 
@@ -71,7 +71,7 @@ def _sql_rouge(table: str, pred: str, ref: str) -> str:
 WITH p AS MATERIALIZED ({t.SQL_PAIRS})
 SELECT n, round(avg(precision), 9) AS precision, round(avg(recall), 9) AS recall, round(avg(fmeasure), 9) AS fmeasure FROM ({_sql_rouge('p', 'question', 'context')}) GROUP BY n""")
 def rouge_n(spark, d):
-    scores = M.rouge_n(t.pairs(spark, d), "example_id", "question", "context")
+    scores = M.rouge_n(spread(t.pairs(spark, d)), "example_id", "question", "context")
     return scores.select("n", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "fmeasure")])
 
 
@@ -128,6 +128,6 @@ WITH p AS MATERIALIZED (SELECT example_id * 10 + k AS example_id, {_sql_squad('q
 SELECT round(avg(em) * 100, 6) AS exact_match, round(avg(f1) * 100, 6) AS f1 FROM s""")
 def squad_em_f1(spark, d):
     without_first = F.regexp_replace("question", "^[^ ]* ?", "")
-    rows = t.pairs(spark, d).select("example_id", "question", F.array("context", without_first).alias("refs"))
+    rows = spread(t.pairs(spark, d)).select("example_id", "question", F.array("context", without_first).alias("refs"))
     scores = M.squad_em_f1(rows, "example_id", "question", "refs")
     return scores.select(F.round("exact_match", 6).alias("exact_match"), F.round("f1", 6).alias("f1"))

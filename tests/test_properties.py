@@ -356,3 +356,18 @@ def test_dictionary_join_keeps_empty_rows(spark):
     df = spark.createDataFrame([(1, ["b", "z", "a", "b"]), (2, [])], "doc_id int, w array<string>")
     rows = {r.doc_id: r.input_ids for r in encoding.dictionary_encode_join(df, "doc_id", F.col("w"), vocab_table, 1).collect()}
     assert rows == {1: [6, 1, 5, 6], 2: []}
+
+
+def test_overlap_counts_inside_the_row(spark):
+    draw = random.Random(5)
+    rows = [(i, [draw.choice("abc") for _ in range(draw.randrange(12))], [draw.choice("abcd") for _ in range(draw.randrange(12))]) for i in range(40)]
+    rows += [(40, None, ["a"]), (41, ["a"], None), (42, None, None), (43, [], []), (0, ["a", "a"], ["a"])]
+    table = spark.createDataFrame(rows, "k int, p array<string>, r array<string>")
+    counted = M.overlap_counts(table, "k", "p", "r", [1, 2, 3])
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+
+    def grams(tokens, n):
+        return Counter(tuple((tokens or [])[i:i + n]) for i in range(len(tokens or []) - n + 1))
+
+    want = [(k, n, sum(grams(p, n).values()), sum(grams(r, n).values()), sum((grams(p, n) & grams(r, n)).values())) for k, p, r in rows for n in (1, 2, 3)]
+    assert sorted(map(tuple, counted.collect())) == sorted(want)
