@@ -10,6 +10,7 @@ from .ordering import global_row_number
 
 # Positions within a document, and symbols within a word, that a packed place holds.
 POSITIONS, SYMBOLS = 1 << 28, 1 << 20
+STEP = 12  # characters that frequent substrings grow by in one round
 
 
 def explode_tokens(df: DataFrame, keep: list[str], tokens: Column, pos: str, token: str) -> DataFrame:
@@ -122,13 +123,40 @@ def char_freqs(freqs: DataFrame) -> DataFrame:
     return _sums(chars, ["token"], "at")
 
 
-def subword_freqs(freqs: DataFrame) -> DataFrame:
-    """token, freq (and first): substrings of two or more characters, weighted by word frequency."""
+def subword_freqs(freqs: DataFrame, min_freq: int | None = None, top: int | None = None, step: int = STEP) -> DataFrame:
+    """token, freq (and first): substrings of two or more characters, weighted by word frequency.
+
+    With ``min_freq`` only those of at least this frequency, with ``top`` at least the ``top`` most frequent ones and
+    all that tie with the last: they are grown ``step`` characters a round. A substring is never more frequent than
+    its beginning, so only places go on whose beginning can still reach the bound. With neither, all substrings are
+    listed, which is quadratic in a word's length.
+    """
     n = F.length("word")
-    starts = freqs.filter(n >= 2).select("word", *_ranked(freqs), F.explode(F.sequence(F.lit(0), n - 2)).alias("at"))
-    spans = starts.select("*", F.explode(F.sequence(F.lit(2), n - F.col("at"))).alias("size"))
+    at = F.explode(F.sequence(F.lit(0), n - 2)).alias("at")
     token = F.substring(F.col("word"), F.col("at") + 1, F.col("size"))
-    return _sums(spans.select(*_ranked(spans, "at"), token.alias("token")), ["token"], "at")
+    if min_freq is None and top is None:
+        starts = freqs.filter(n >= 2).select("word", *_ranked(freqs), at)
+        spans = starts.select("*", F.explode(F.sequence(F.lit(2), n - F.col("at"))).alias("size"))
+        return _sums(spans.select(*_ranked(spans, "at"), token.alias("token")), ["token"], "at")
+    words = cut_lineage(freqs.filter(n >= 2).select("word", *_ranked(freqs), F.monotonically_increasing_id().alias("_id")))
+    places, found, bound, low = words.select("*", at), None, min_freq or 0, 2
+    while True:
+        longest = low + step - 1
+        sizes = F.explode(F.sequence(F.lit(low), F.least(F.lit(longest), n - F.col("at")))).alias("size")
+        spans = places.select("*", sizes).select("_id", *_ranked(places, "at"), "size", token.alias("token"))
+        sums = cut_lineage(_sums(spans, ["token"], "at"))
+        found = sums if found is None else found.unionByName(sums)
+        if top is not None:
+            last = found.orderBy(F.desc("freq")).limit(top).agg(F.min("freq"), F.count("*")).first()
+            bound = max(min_freq or 0, last[0] if last[1] == top and top else 0)
+        grown = sums.filter((F.length("token") == longest) & (F.col("freq") >= bound)).select("token")
+        alive = cut_lineage(spans.filter(F.col("size") == longest).join(grown, "token", "left_semi").groupBy("_id").agg(F.collect_list("at").alias("_at")))
+        # A place needs one character more to go on.
+        alive = words.join(alive, "_id").withColumn("_at", F.filter("_at", lambda a: a + longest < n)).filter(F.size("_at") > 0)
+        low = longest + 1
+        if alive.isEmpty():
+            return found.filter(F.col("freq") >= bound)
+        places = alive.select(*words.columns, F.explode("_at").alias("at"))
 
 
 def subword_topn(freqs: DataFrame, size: int) -> DataFrame:
@@ -140,7 +168,7 @@ def subword_topn(freqs: DataFrame, size: int) -> DataFrame:
     order = [F.desc("freq"), F.asc("first"), F.length("token")]
     chars = char_freqs(freqs)
     n_chars = chars.agg(F.count("*")).scalar()
-    subwords = subword_freqs(freqs).orderBy(*order).limit(size)
+    subwords = subword_freqs(freqs, top=size).orderBy(*order).limit(size)
     ranked = subwords.withColumn("_rank", F.row_number().over(W.orderBy(*order)))
     return chars.unionByName(ranked.filter(F.col("_rank") <= F.lit(size) - n_chars).drop("_rank"))
 
@@ -148,6 +176,6 @@ def subword_topn(freqs: DataFrame, size: int) -> DataFrame:
 def wordpiece_test_vocab(freqs: DataFrame, n_subwords: int) -> DataFrame:
     """token: every character, initial and continued, and the most frequent substrings in both forms."""
     chars = freqs.select(F.explode_outer(symbols(F.col("word"))).alias("token")).distinct()
-    top = subword_freqs(freqs).orderBy(F.desc("freq"), "token").limit(n_subwords).select("token")
+    top = subword_freqs(freqs, top=n_subwords).orderBy(F.desc("freq"), "token").limit(n_subwords).select("token")
     base = chars.unionByName(top)
     return base.unionByName(base.select(F.concat(F.lit("##"), "token").alias("token")))

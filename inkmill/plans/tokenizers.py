@@ -155,7 +155,7 @@ SQL_SUBSTRINGS = """SELECT word, freq, i, j, substr(word, i, j - i) AS token FRO
 
 @query("subword_freqs", f"SELECT token, sum(freq)::BIGINT AS freq FROM ({SQL_SUBSTRINGS.format(words=SQL_SPACE_WORDS)}) GROUP BY token HAVING sum(freq) >= 20")
 def subword_freqs(spark, d):
-    return vocab.subword_freqs(space_words(spark, d)).filter("freq >= 20").select("token", "freq")
+    return vocab.subword_freqs(space_words(spark, d), min_freq=20).select("token", "freq")
 
 
 SQL_SEED = f"""

@@ -371,3 +371,26 @@ def test_overlap_counts_inside_the_row(spark):
 
     want = [(k, n, sum(grams(p, n).values()), sum(grams(r, n).values()), sum((grams(p, n) & grams(r, n)).values())) for k, p, r in rows for n in (1, 2, 3)]
     assert sorted(map(tuple, counted.collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("step", [2, 12])
+def test_substrings_grown_to_a_bound(spark, step):
+    draw = random.Random(8)
+    rows = [("".join(draw.choice("ab") for _ in range(draw.randrange(1, 16))), draw.randrange(1, 5)) for _ in range(30)]
+    rows = [(w, n, i) for i, (w, n) in enumerate(dict(rows).items())]
+    words = spark.createDataFrame(rows, "word string, freq bigint, rank bigint")
+    every = vocab.subword_freqs(words)
+    assert sorted(vocab.subword_freqs(words, min_freq=7, step=step).collect()) == sorted(every.filter("freq >= 7").collect())
+    order = lambda r: (-r.freq, r.first)
+    want = sorted(every.collect(), key=order)
+    got = sorted(vocab.subword_freqs(words, top=25, step=step).collect(), key=order)
+    assert got == [r for r in want if r.freq >= want[24].freq]
+
+
+def test_substrings_of_a_long_word(spark):
+    draw = random.Random(9)
+    words = spark.createDataFrame([("".join(draw.choices("0123456789abcdef", k=20_000)), 1), ("abcabc", 3), ("x", 9)], "word string, freq bigint")
+    word = words.first().word
+    got = {r.token: r.freq for r in vocab.subword_freqs(words, min_freq=60).collect()}
+    want = Counter(word[i:i + 2] for i in range(len(word) - 1)) + Counter({"ab": 6, "bc": 6, "ca": 3})
+    assert got == {t: n for t, n in want.items() if n >= 60}
