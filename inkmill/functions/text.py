@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import html
+import json
 import sys
 import unicodedata
 from functools import lru_cache
+from html.entities import html5
 
-import pyarrow as pa
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import StringType
 
 from .scalars import ColumnOrName, _col
 
@@ -19,14 +18,9 @@ WHITESPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 NOT_WHITESPACE = r"[^\t-\r\x1c-\x20\x85\p{Z}]"
 SENTENCE_END = r"[.!?]"
 
-# The entities the native form of html_unescape knows;
-# "&amp;" comes last so that a text is unescaped once only.
-NATIVE_ENTITIES = [
-    ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#039;", "'"), ("&#x27;", "'"),
-    ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"),
-    ("&middot;", "·"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"),
-    ("&euro;", "€"), ("&amp;", "&"),
-]
+# The longest first: an entity of this kind may have no semicolon and may be followed by letters.
+OPEN_ENTITIES = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
 def strip(text: ColumnOrName) -> Column:
@@ -44,22 +38,42 @@ def word_count(text: ColumnOrName) -> Column:
     return F.regexp_count(_col(text), F.lit(NOT_WHITESPACE + "++"))
 
 
-def html_unescape_native(text: ColumnOrName) -> Column:
-    """Replace a closed list of entities without leaving the JVM."""
-    out = _col(text)
-    for entity, char in NATIVE_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+def _code_point(number: Column) -> Column:
+    """The character of a numeric entity: C1 controls are read as Windows-1252, what is no character goes or is replaced."""
+    windows = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return (F.when(number.isNull() | (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF), "\ufffd")
+            .when(number.between(0x80, 0x9F), F.substring(F.lit(windows), (number - 0x7F).cast("int"), F.lit(1)))
+            .when(number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 0x7F) | number.between(0xFDD0, 0xFDEF)
+                  | (number.bitwiseAND(0xFFFE) == 0xFFFE), "")
+            .otherwise(char))
+
 
+def html_unescape(text: ColumnOrName) -> Column:
+    """All named, decimal and hexadecimal entities of HTML 5, also those that may lack their semicolon."""
+    text = _col(text)
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
 
-@F.arrow_udf(StringType())
-def _unescape(texts: pa.Array) -> pa.Array:
-    return pa.array([t if t is None or "&" not in t else html.unescape(t) for t in texts.to_pylist()], pa.string())
+    def plain(piece: Column) -> Column:
+        name = F.substring(piece, F.lit(2), F.length(piece))
+        digits = F.regexp_extract(piece, "^&#([0-9]+)", 1)
+        hexed = F.regexp_extract(piece, "^&#[xX]0*([0-9a-fA-F]+)", 1)
+        number = F.when(digits != "", digits.try_cast("bigint")).when(F.length(hexed) <= 8, F.conv(hexed, 16, 10).try_cast("bigint"))
+        head = F.regexp_extract(piece, f"^&({'|'.join(OPEN_ENTITIES)})", 1)
+        return (F.when(~piece.startswith("&") | (piece == "&"), piece)
+                .when(piece.startswith("&#"), _code_point(number))
+                .otherwise(F.coalesce(
+                    F.try_element_at(names, name),
+                    F.when(head != "", F.concat(F.try_element_at(names, head), F.substring(piece, F.length(head) + 2, F.length(piece)))),
+                    piece)))
 
+    pieces = F.regexp_extract_all(text, F.lit(rf"{ENTITY}|[^&]++|&"), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, plain), "")).otherwise(text)
 
-def html_unescape(text: ColumnOrName) -> Column:
-    """All named, decimal and hexadecimal entities."""
-    return _unescape(_col(text))
+
+def html_unescape_native(text: ColumnOrName) -> Column:
+    """The same as html_unescape."""
+    return html_unescape(text)
 
 
 def sent_split(text: ColumnOrName) -> Column:
@@ -130,3 +144,14 @@ def normalize_text(text: ColumnOrName) -> Column:
 def normalize_text_full(text: ColumnOrName) -> Column:
     """The same as normalize_text."""
     return normalize_text(text)
+
+
+def normalized_places(text: ColumnOrName) -> Column:
+    """For each character of ``normalize_text`` the place of its source in the text; null where all stay in place."""
+    def width(c: Column) -> Column:
+        letters = F.when((F.ascii(c) - 0xAC00) % 28 > 0, 3).otherwise(2)
+        return F.when(c.rlike(r"\p{Mn}"), 0).when(c.between("\uac00", "\ud7a3"), letters).otherwise(1)
+
+    text = _col(text)
+    places = F.flatten(F.transform(F.split(text, ""), lambda c, i: F.array_repeat(i, width(c))))
+    return F.when(text.rlike("[\uac00-\ud7a3\\p{Mn}]"), places)

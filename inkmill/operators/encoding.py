@@ -2,8 +2,9 @@
 
 A vocabulary goes to every task, so its size is checked first. The small helpers
 below work on the distinct words of an Arrow batch and are spread back by index;
-text never moves between tasks. For vocabularies above the bound, and for plain
-token -> id lookup, the dictionary is a join.
+text never moves between tasks. For vocabularies above the bound the ``_join`` forms
+match the substrings of distinct words with the vocabulary, and each word is encoded
+with the few entries found in it. Plain token -> id lookup is a join as well.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_TOKENS) -> list:
     """Rows of a small table; more than ``limit`` is an error, found without reading them all."""
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} rows: use the join form")
+        raise ValueError(f"more than {limit} rows: use the _join form")
     return rows
 
 
@@ -169,6 +170,82 @@ def encode_unigram(df: DataFrame, words: Column, model: DataFrame, start_score:
     return df.withColumn(out, encode(words))
 
 
+# Characters of a word that are cut into substrings together.
+CHUNK = 256
+
+
+def _encode_join(df: DataFrame, id_col: str, words: Column, entries: DataFrame, encode, unknown: list[str], out: str) -> DataFrame:
+    """id_col, ``out``: pieces per word, each word encoded by ``encode(word, entries found in it)``.
+
+    ``entries`` holds ``_token``, the text to be found in a word, and ``_entry``, what is handed on. Distinct words are
+    cut into substrings no longer than the longest token; these meet the entries in a shuffle join under the word's
+    digest, so a long word is not copied. A word's entries are at most its substrings or the vocabulary.
+    """
+    longest = entries.agg(F.max(F.length("_token"))).first()[0] or 1  # a plan inside the lambdas below is not allowed
+    placed = df.select(id_col, F.posexplode_outer(words).alias("_pos", "_word")).withColumn("_key", F.md5("_word"))
+    distinct = placed.filter("_key IS NOT NULL").groupBy("_key").agg(F.first("_word").alias("_word"))
+    at = F.sequence(F.lit(1), F.greatest(F.length("_word"), F.lit(1)), F.lit(CHUNK))
+    chunks = distinct.select("_key", F.explode(F.transform(at, lambda i: F.substring("_word", i, F.lit(CHUNK - 1 + longest)))).alias("_chunk"))
+    starts = chunks.select("_key", "_chunk", F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("_chunk"), F.lit(CHUNK)), F.lit(1)))).alias("_at"))
+    ends = F.least(F.lit(longest), F.length("_chunk") - F.col("_at") + 1)
+    parts = starts.select("_key", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(ends, F.lit(1))), lambda n: F.substring("_chunk", F.col("_at"), n))).alias("_token"))
+    found = parts.distinct().join(entries, "_token").groupBy("_key").agg(F.collect_set("_entry").alias("_entries"))
+
+    @F.arrow_udf("array<string>")
+    def code(batch: pa.Array, local: pa.Array) -> pa.Array:
+        return pa.array([encode(w, e or []) for w, e in zip(batch.to_pylist(), local.to_pylist())], pa.list_(pa.string()))
+
+    coded = distinct.join(found, "_key", "left").select("_key", code("_word", "_entries").alias("_pieces"))
+    rest = F.array(*[F.lit(u) for u in unknown]).cast("array<string>")
+    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_pieces", rest).alias("_pieces")))
+    grouped = placed.join(coded, "_key", "left").groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("_all"))
+    return grouped.select(id_col, F.transform("_all", lambda e: e["_pieces"]).alias(out))
+
+
+def encode_wordpiece_join(df: DataFrame, id_col: str, words: Column, vocab: DataFrame, prefix: str = "##", unknown: str = "[UNK]",
+                          out: str = "pieces") -> DataFrame:
+    """id_col (unique) and the pieces of ``encode_wordpiece``, for a ``vocab(token)`` of any size."""
+    inner = vocab.filter(F.col("token").startswith(prefix)).select(F.substring("token", F.lit(len(prefix) + 1), F.length("token")).alias("_token"), F.col("token").alias("_entry"))
+    entries = vocab.select(F.col("token").alias("_token"), F.col("token").alias("_entry")).union(inner)
+
+    def encode(word: str, found: list[str]) -> list[str]:
+        return _longest_match(word, set(found), max(map(len, found), default=1), prefix, unknown)
+
+    return _encode_join(df, id_col, words, entries, encode, [unknown], out)
+
+
+def encode_bpe_join(df: DataFrame, id_col: str, words: Column, merges: DataFrame, out: str = "pieces") -> DataFrame:
+    """id_col (unique) and the pieces of ``encode_bpe``, for ``merges(rank, left, right)`` of any number."""
+    entries = merges.select(F.concat("left", "right").alias("_token"), F.struct("rank", "left", "right").alias("_entry"))
+
+    def encode(word: str, found: list[dict]) -> list[str]:
+        ranks: dict[tuple[str, str], int] = {}
+        for rule in sorted(found, key=lambda r: r["rank"]):
+            ranks.setdefault((rule["left"], rule["right"]), rule["rank"])
+        return _bpe_word(word, ranks)
+
+    return _encode_join(df, id_col, words, entries, encode, [], out)
+
+
+def encode_unigram_join(df: DataFrame, id_col: str, words: Column, model: DataFrame, start_score: float = 1.0, unknown: str = "<unk>",
+                        out: str = "pieces") -> DataFrame:
+    """id_col (unique) and the pieces of ``encode_unigram``, for a ``model(token, neg_log_p)`` of any size."""
+    entries = model.select(F.col("token").alias("_token"), F.struct("token", "neg_log_p").alias("_entry"))
+
+    def encode(word: str, found: list[dict]) -> list[str]:
+        scores = {e["token"]: e["neg_log_p"] for e in found}
+        return _viterbi(word, scores, max(map(len, scores), default=1), start_score)[0] or [unknown]
+
+    return _encode_join(df, id_col, words, entries, encode, [unknown], out)
+
+
+def original_spans(spans: ColumnOrName, places: ColumnOrName) -> Column:
+    """Spans of a normalised text as spans of its original; ``places`` comes from ``normalized_places``."""
+    places = _col(places)
+    return F.transform(_col(spans), lambda s: F.struct(
+        F.coalesce(F.get(places, s["start"]), s["start"]).alias("start"), F.coalesce(F.get(places, s["end"] - 1) + 1, s["end"]).alias("end")))
+
+
 def word_ids(pieces: ColumnOrName) -> Column:
     """Word index of every piece."""
     return F.flatten(F.transform(_col(pieces), lambda p, i: F.array_repeat(i, F.size(p))))

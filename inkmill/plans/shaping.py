@@ -180,10 +180,7 @@ def word_count(spark, d):
     return t.spread_documents(spark, d).select("doc_id", T.word_count("text").alias("n_words"))
 
 
-SQL_UNESCAPED = ("replace(replace(replace(replace(html, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')")
-
-
-# The full form also reads these entities without their semicolon.
+# The entities of the table, also without their semicolon.
 SQL_UNESCAPED_FULL = ("regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '&quot;?', '\"', 'g'), '&copy;?', '©', 'g'), "
                       "'&middot;?', '·', 'g'), '&amp;?', '&', 'g')")
 
@@ -193,7 +190,7 @@ def html_unescape(spark, d):
     return t.read(spark, d, "pages").select("page_id", T.html_unescape("html").alias("html"))
 
 
-@query("html_unescape_native", f"SELECT page_id, {SQL_UNESCAPED} AS html FROM pages")
+@query("html_unescape_native", f"SELECT page_id, {SQL_UNESCAPED_FULL} AS html FROM pages")
 def html_unescape_native(spark, d):
     return t.read(spark, d, "pages").select("page_id", T.html_unescape_native("html").alias("html"))
 

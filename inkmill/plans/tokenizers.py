@@ -299,18 +299,29 @@ def _rules(spark, d) -> DataFrame:
     return ranked.withColumn("merged", F.concat("left", "right"))
 
 
-@query("encode_bpe", f"""
+SQL_ENCODE_BPE = f"""
 WITH w AS MATERIALIZED (SELECT * FROM ({SQL_BYTE_WORDS})),
      p AS (SELECT "left" AS l, "right" AS r, freq FROM ({_sql_pairs('SELECT * FROM w', "string_split(word, '')")}) ORDER BY freq DESC, l, r LIMIT {N_RULES}),
      rules AS (SELECT list(chr(1) || l || chr(2) || chr(1) || r || chr(2) || chr(3) || chr(1) || l || r || chr(2) ORDER BY freq DESC, l, r) AS rs FROM p),
      e AS MATERIALIZED (SELECT word, string_split((list_reduce(list_concat([array_to_string(list_transform(string_split(word, ''), lambda x: chr(1) || x || chr(2)), '')], rs),
           lambda acc, rule: replace(acc, split_part(rule, chr(3), 1), split_part(rule, chr(3), 2))))[2:-2], chr(2) || chr(1)) AS pieces FROM w, rules),
      k AS (SELECT doc_id, pos, {t.sql_byte_level('token')} AS word FROM ({t.sql_tokens('documents', 'doc_id', t.sql_byte_level_pieces('text'))}))
-SELECT doc_id, sum(len(pieces))::BIGINT AS n, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS tokens FROM k JOIN e USING (word) GROUP BY doc_id""")
-def encode_bpe(spark, d):
-    coded = encoding.encode_bpe(t.spread_documents(spark, d), P.pretok_bytelevel("text"), _rules(spark, d))
+SELECT doc_id, sum(len(pieces))::BIGINT AS n, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS tokens FROM k JOIN e USING (word) GROUP BY doc_id"""
+
+
+def _flat(coded: DataFrame, kind: str = "bigint") -> DataFrame:
     flat = coded.select("doc_id", F.flatten("pieces").alias("tokens"))
-    return flat.select("doc_id", F.size("tokens").cast("bigint").alias("n"), t.joined("tokens").alias("tokens"))
+    return flat.select("doc_id", F.size("tokens").cast(kind).alias("n"), t.joined("tokens").alias("tokens"))
+
+
+@query("encode_bpe", SQL_ENCODE_BPE)
+def encode_bpe(spark, d):
+    return _flat(encoding.encode_bpe(t.spread_documents(spark, d), P.pretok_bytelevel("text"), _rules(spark, d)))
+
+
+@query("encode_bpe_join", SQL_ENCODE_BPE)
+def encode_bpe_join(spark, d):
+    return _flat(encoding.encode_bpe_join(t.spread_documents(spark, d), "doc_id", P.pretok_bytelevel("text"), _rules(spark, d)))
 
 
 def wordpiece_vocab(spark, d) -> DataFrame:
@@ -339,14 +350,20 @@ def _normal_words() -> Column:
     return P.pretok_bert(T.normalize_text("text"))
 
 
-@query("encode_wordpiece", f"""
+SQL_ENCODE_WORDPIECE = f"""
 WITH RECURSIVE {SQL_WORDPIECE}
 SELECT doc_id, sum(len(pieces))::BIGINT AS n, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS tokens
-FROM ({SQL_NORMAL_TOKENS}) k JOIN coded ON coded.word = k.token GROUP BY doc_id""")
+FROM ({SQL_NORMAL_TOKENS}) k JOIN coded ON coded.word = k.token GROUP BY doc_id"""
+
+
+@query("encode_wordpiece", SQL_ENCODE_WORDPIECE)
 def encode_wordpiece(spark, d):
-    coded = encoding.encode_wordpiece(t.spread_documents(spark, d), _normal_words(), wordpiece_vocab(spark, d))
-    flat = coded.select("doc_id", F.flatten("pieces").alias("tokens"))
-    return flat.select("doc_id", F.size("tokens").cast("bigint").alias("n"), t.joined("tokens").alias("tokens"))
+    return _flat(encoding.encode_wordpiece(t.spread_documents(spark, d), _normal_words(), wordpiece_vocab(spark, d)))
+
+
+@query("encode_wordpiece_join", SQL_ENCODE_WORDPIECE)
+def encode_wordpiece_join(spark, d):
+    return _flat(encoding.encode_wordpiece_join(t.spread_documents(spark, d), "doc_id", _normal_words(), wordpiece_vocab(spark, d)))
 
 
 @query("encode_with_offsets", f"""
@@ -354,23 +371,28 @@ WITH RECURSIVE {SQL_WORDPIECE},
 located AS (SELECT doc_id, token, pos, s FROM (
   SELECT doc_id, token, pos, (sum(length(token)) OVER (PARTITION BY doc_id ORDER BY pos) - length(token))::BIGINT AS s
   FROM ({t.sql_tokens('documents', 'doc_id', f'regexp_extract_all({SQL_NORMAL}, {t.re2(P.BERT_COVER)})')})) WHERE {_NOT_BLANK}),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS word_id FROM located)
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS word_id FROM located),
+places AS MATERIALIZED (SELECT doc_id, list(i ORDER BY i, k) AS src FROM (
+  SELECT doc_id, i, unnest(range(length(strip_accents(lower(c))))) AS k FROM (
+    SELECT doc_id, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) - 1 AS i FROM documents WHERE strlen(text) <> length(text)))
+  GROUP BY doc_id)
 SELECT doc_id, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS tokens,
   string_agg(array_to_string(list_transform(pieces, lambda p: word_id), ' '), ' ' ORDER BY pos) AS word_ids,
-  string_agg(array_to_string(list_transform(starts, lambda x: x + s), ' '), ' ' ORDER BY pos) AS starts,
-  string_agg(array_to_string(list_transform(ends, lambda x: x + s), ' '), ' ' ORDER BY pos) AS ends
-FROM numbered k JOIN coded ON coded.word = k.token GROUP BY doc_id""")
+  string_agg(array_to_string(list_transform(starts, lambda x: coalesce(src[x + s + 1], x + s)), ' '), ' ' ORDER BY pos) AS starts,
+  string_agg(array_to_string(list_transform(ends, lambda x: coalesce(src[x + s] + 1, x + s)), ' '), ' ' ORDER BY pos) AS ends
+FROM numbered k JOIN coded ON coded.word = k.token LEFT JOIN places USING (doc_id) GROUP BY doc_id""")
 def encode_with_offsets(spark, d):
-    docs = t.spread_documents(spark, d).select("doc_id", T.normalize_text("text").alias("text"))
+    docs = t.spread_documents(spark, d).select("doc_id", T.normalized_places("text").alias("places"), T.normalize_text("text").alias("text"))
     located = P.piece_offsets(docs, "text", out="words")
     coded = encoding.encode_wordpiece(located, F.transform("words", lambda w: w["token"]), wordpiece_vocab(spark, d))
-    coded = compute_once(coded, spans=encoding.piece_spans("pieces", "words"))
+    coded = compute_once(coded, "places", spans=encoding.piece_spans("pieces", "words"))
+    coded = compute_once(coded, spans=encoding.original_spans("spans", "places"))
     return coded.select("doc_id", t.joined(F.flatten("pieces")).alias("tokens"), t.joined(encoding.word_ids("pieces")).alias("word_ids"),
                         t.joined(F.transform("spans", lambda s: s["start"])).alias("starts"),
                         t.joined(F.transform("spans", lambda s: s["end"])).alias("ends"))
 
 
-@query("encode_unigram", f"""
+SQL_ENCODE_UNIGRAM = f"""
 WITH RECURSIVE {SQL_SEED},
      m AS MATERIALIZED (SELECT token, round(-ln(freq / (SELECT sum(freq) FROM seed)::DOUBLE), 6) AS nlp FROM seed),
      spans AS (SELECT word, i, unnest(range(i + 1, length(word) + 2)) AS j FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
@@ -386,13 +408,22 @@ WITH RECURSIVE {SQL_SEED},
        UNION ALL SELECT word, starts, start, starts[start + 1] FROM path WHERE start > 0),
      coded AS MATERIALIZED (SELECT word, list(substr(word, start + 1, stop - start) ORDER BY stop) AS pieces FROM path GROUP BY word)
 SELECT doc_id, sum(len(pieces))::INTEGER AS n, string_agg(array_to_string(pieces, ' '), ' ' ORDER BY pos) AS tokens
-FROM ({t.sql_tokens('documents', 'doc_id', f"list_transform({t.sql_words('text')}, lambda w: '▁' || w)")}) k JOIN coded ON coded.word = k.token GROUP BY doc_id""")
-def encode_unigram(spark, d):
+FROM ({t.sql_tokens('documents', 'doc_id', f"list_transform({t.sql_words('text')}, lambda w: '▁' || w)")}) k JOIN coded ON coded.word = k.token GROUP BY doc_id"""
+
+
+def unigram_model(spark, d) -> DataFrame:
     seed = vocab.subword_topn(vocab.rank_words(space_words(spark, d)), 300).select("token", "freq")
-    model = seed.withColumn("neg_log_p", F.round(neg_log_prob("freq", seed.agg(F.sum("freq")).scalar()), 6))
-    coded = encoding.encode_unigram(t.spread_documents(spark, d), P.pretok_metaspace("text"), model)
-    flat = coded.select("doc_id", F.flatten("pieces").alias("tokens"))
-    return flat.select("doc_id", F.size("tokens").alias("n"), t.joined("tokens").alias("tokens"))
+    return seed.withColumn("neg_log_p", F.round(neg_log_prob("freq", seed.agg(F.sum("freq")).scalar()), 6))
+
+
+@query("encode_unigram", SQL_ENCODE_UNIGRAM)
+def encode_unigram(spark, d):
+    return _flat(encoding.encode_unigram(t.spread_documents(spark, d), P.pretok_metaspace("text"), unigram_model(spark, d)), "int")
+
+
+@query("encode_unigram_join", SQL_ENCODE_UNIGRAM)
+def encode_unigram_join(spark, d):
+    return _flat(encoding.encode_unigram_join(t.spread_documents(spark, d), "doc_id", P.pretok_metaspace("text"), unigram_model(spark, d)), "int")
 
 
 # Ids and decoding.

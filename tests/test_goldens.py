@@ -69,7 +69,7 @@ def test_html_unescape(spark):
     text = "I&#039;m &amp;lt; caf&eacute; &#x41; &amp"
     row = one(text_row(spark, text).select(T.html_unescape("text").alias("exact"), T.html_unescape_native("text").alias("native")))
     assert row.exact == "I'm &lt; café A &"
-    assert row.native == "I'm &lt; caf&eacute; &#x41; &amp"
+    assert row.native == row.exact
 
 
 def test_keyword_filter(spark):

@@ -1,8 +1,10 @@
 """Cases that once gave wrong answers, worked out by hand."""
 
+import html
+
 from pyspark.sql import functions as F
 
-from inkmill.functions import text as T
+from inkmill.functions import pretok as P, text as T
 from inkmill.operators import encoding, knn, metrics, ordering, vocab
 from inkmill.sources import writers
 
@@ -58,3 +60,32 @@ def test_flagship_shuffles_no_text(spark):
 
     plan = REGISTRY["shape_reviews"].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
     assert "Repartition" not in plan and "RoundRobin" not in plan
+
+
+def test_entities_of_all_kinds(spark):
+    texts = ["", "&", "&&amp;", "&notit; &notin; &ltx &LT;&gt", "&#0;&#x80;&#129;&#13;&#xD800;&#x110000;&#99999999999999999999;", "&#x1F600;&#128512 &#xFFFE;&#1;&#11;",
+             "&#X41;&#x00000000041;&#;&#x;&# &#xg", "&nosuch; &CounterClockwiseContourIntegral; &NotEqualTilde;", "a&b;c &amp;amp; \u00e9&eacute", "&" + "x" * 40 + ";",
+             " ".join(f"&#{n};" for n in range(0, 700)), " ".join(f"&{n}" for n in html.entities.html5)]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", T.html_unescape("text").alias("out")).collect()
+    assert [r.out for r in got] == [html.unescape(r.text) for r in got]
+
+
+def test_offsets_are_in_the_original(spark):
+    text = "cafe\u0301 \uac01 na\u0308i\u0308ve dog"
+    df = spark.createDataFrame([(text,)], "original string").select("original", T.normalized_places("original").alias("places"), T.normalize_text("original").alias("text"))
+    row = P.piece_offsets(df, "text", out="words").select("words", encoding.original_spans("words", "places").alias("spans")).first()
+    shown = [(w["token"], text[s["start"]:s["end"]]) for w, s in zip(row["words"], row["spans"])]
+    assert shown == [("cafe", "cafe"), ("\u1100\u1161\u11a8", "\uac01"), ("naive", "na\u0308i\u0308ve"), ("dog", "dog")]
+
+
+def test_join_forms_encode_alike(spark):
+    long = "ab" * 700 + "c"
+    df = spark.createDataFrame([(1, ["abc", "xab", "##b", long]), (2, []), (3, None), (4, ["abc", "q", ""])], "doc_id long, w array<string>")
+    words = F.coalesce("w", F.array().cast("array<string>"))
+    vocab_df = spark.createDataFrame([(t,) for t in ["a", "ab", "##b", "##c", "x", "##ab", "##a", "##", "#"]], "token string")
+    merges = spark.createDataFrame([(1, "a", "b"), (2, "ab", "c"), (3, "ab", "ab")], "rank int, left string, right string")
+    model = spark.createDataFrame([("a", 2.0), ("b", 2.0), ("ab", 1.0), ("c", 1.5), ("abc", 3.0)], "token string, neg_log_p double")
+    for plain, joined, table in ((encoding.encode_wordpiece, encoding.encode_wordpiece_join, vocab_df), (encoding.encode_bpe, encoding.encode_bpe_join, merges),
+                                 (encoding.encode_unigram, encoding.encode_unigram_join, model)):
+        want = {r.doc_id: r.pieces for r in plain(df, words, table).collect()}
+        assert {r.doc_id: r.pieces for r in joined(df, "doc_id", words, table).collect()} == want
