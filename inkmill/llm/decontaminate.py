@@ -1,10 +1,13 @@
 """Benchmark passages in documents, also with other numbers, names and units.
 
-Texts are brought to templates: a number becomes a number slot and a unit slot, a capitalised word inside a
-sentence a name slot, the rest lower-case words without punctuation. Windows of ``WINDOW`` template tokens are
-hashed and joined with those of the benchmark. Matches on one diagonal (place in the text minus place in the item)
-cover tokens of the item; enough of them make a candidate. A candidate counts if its slots are consistent: each
-value of the item stands for one value in the text wherever it occurs.
+Texts are brought to tokens: a number becomes a number slot and a unit slot, a capitalised word a name slot, the rest
+lower-case words without punctuation. Each window of ``WINDOW`` tokens is hashed in three forms and joined with those
+of the benchmark: with all names as slots, with names inside a sentence as slots, and folded, where names are words
+and a window with more than half of its tokens in number and unit slots holds their values. So a limit on slots
+stops loose templates only, and a copy is found in any case and at any place of a sentence. Matches of all forms on
+one diagonal (place in the text minus place in the item) cover tokens of the item; enough of them make a candidate.
+A candidate counts if its slots are consistent: each value of the item stands for one value in the text wherever it
+occurs.
 
 Texts are keyed by their digest, so copies meet in one group after a partial aggregate, and the text itself is
 fetched again only for candidates with slots. Benchmark windows are broadcast only below a counted bound; beyond it
@@ -25,47 +28,108 @@ WINDOW = 8
 MIN_TOKENS = 13
 BROADCAST_WINDOWS = 500_000
 # Marks of slots, control characters that texts lose first.
-NUMBER, UNIT, NAME, JOIN = "\x01", "\x02", "\x04", "\x03"
+NUMBER, UNIT, NAME, START, JOIN = "\x01", "\x02", "\x04", "\x05", "\x03"
 UNITS = ("percent|km/h|mph|kg|mg|kilograms?|grams?|g|lbs?|pounds?|tons?|km|kilometers?|kilometres?|meters?|metres?|cm|mm|m|miles?|inch(?:es)?|feet|foot|ft|"
          "hours?|hrs?|h|minutes?|mins?|seconds?|secs?|s|days?|weeks?|months?|years?|dollars?|cents?|euros?|liters?|litres?|ml|l|degrees?")
 _NUMBER = rf"[$€£]?([\p{{N}}{JOIN}]+)\s?((?:%|(?:{UNITS})(?![\p{{L}}\p{{N}}]))?)"
-_NAME = r"(?<=[\p{L}\p{N},;:] )(\p{Lu}\p{Ll}[\p{L}\p{M}]*)"
+_INNER = r"(?<=[\p{L}\p{N},;:] )(\p{Lu}\p{Ll}[\p{L}\p{M}]*)"
+_START = rf"(?<![\p{{L}}\p{{M}}\p{{N}}{NAME}])(\p{{Lu}}\p{{Ll}}[\p{{L}}\p{{M}}]*)"
+_COUNTED = (NUMBER, UNIT, NAME)
 
 
-def _tokens(text: Column, values: bool) -> Column:
-    """Template tokens; with ``values`` each slot mark is followed by what stood there. Both have the same length."""
-    for mark in (NUMBER, UNIT, NAME, JOIN):
+def _tokens(text: Column) -> Column:
+    """Tokens; the mark of a slot is followed by what stood there."""
+    for mark in (*_COUNTED, START, JOIN):
         text = F.replace(text, F.lit(mark), F.lit(" "))
     text = F.regexp_replace(text, r"(?<=\p{N})[.,:/](?=\p{N})", JOIN)
-    name, number = (f" {NAME}$1 ", f" {NUMBER}$1 {UNIT}$2 ") if values else (f" {NAME} ", f" {NUMBER} {UNIT} ")
-    text = F.regexp_replace(F.regexp_replace(text, _NAME, name), _NUMBER, number)
-    if values:
-        text = F.replace(text, F.lit("%"), F.lit("percent"))
-    return F.array_remove(F.split(F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}{UNIT}{NAME}{JOIN}]+", " "), " "), "")
+    text = F.regexp_replace(F.regexp_replace(text, _INNER, f" {NAME}$1 "), _START, f" {START}$1 ")
+    text = F.replace(F.regexp_replace(text, _NUMBER, f" {NUMBER}$1 {UNIT}$2 "), F.lit(UNIT + "%"), F.lit(UNIT + "percent"))
+    return F.array_remove(F.split(F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{M}}\p{{N}}{''.join(_COUNTED)}{START}{JOIN}]+", " "), " "), "")
 
 
-def _windows(tokens: str, length: int) -> Column:
-    """Hashes of all windows of ``length`` tokens; none in shorter texts."""
-    starts = F.sequence(F.lit(0), F.size(tokens) - length)
-    hashed = F.transform(starts, lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(length)], F.lit(length)))
-    return F.when(F.size(tokens) >= length, hashed).otherwise(F.array().cast("array<bigint>"))
+def _plain(token: Column) -> Column:
+    """A name as a word; numbers and units keep their marks."""
+    return F.translate(token, NAME + START, "")
+
+
+def _masked(tokens: str, *marks: str) -> Column:
+    """The tokens with slots of these marks as marks alone, other names as words."""
+    return F.transform(tokens, lambda v: F.when(F.substring(v, 1, 1).isin(*marks), F.substring(v, 1, 1)).otherwise(_plain(v)))
+
+
+# Forms of the tokens: all names are slots, names inside a sentence are, none is; the last one with all values.
+_FORMS = {"_t": (*_COUNTED, START), "_o": _COUNTED, "_f": (NUMBER, UNIT), "_l": ()}
+
+
+def _formed(df: DataFrame) -> DataFrame:
+    """Adds the tokens of ``_text`` in all forms; they have the same length."""
+    df = compute_once(df, _v=_tokens(F.col("_text")))
+    return compute_once(df, **{name: _masked("_v", *marks) for name, marks in _FORMS.items()})
+
+
+def _windows(length: int) -> Column:
+    """Hashes of all windows of ``length`` tokens, in three forms one after the other; none in shorter texts."""
+    starts = F.sequence(F.lit(0), F.size("_t") - length)
+
+    def hashed(tokens: str, i: Column) -> Column:
+        return F.xxhash64(*[F.get(tokens, i + k) for k in range(length)], F.lit(length))
+
+    def heavy(i: Column) -> Column:
+        return 2 * sum((F.get(F.col("_f"), i + k).isin(NUMBER, UNIT).cast("int") for k in range(length)), F.lit(0)) > length
+
+    numbered = F.array_contains("_f", NUMBER)
+    folded = F.when(numbered, F.transform(starts, lambda i: F.when(heavy(i), hashed("_l", i)).otherwise(hashed("_f", i)))).otherwise(
+        F.transform(starts, lambda i: hashed("_f", i)))
+    every = F.concat(F.transform(starts, lambda i: hashed("_t", i)), F.transform(starts, lambda i: hashed("_o", i)), folded)
+    return F.when(F.size("_t") >= length, every).otherwise(F.array().cast("array<bigint>"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """h, item_id, ipos, need, length: the windows of each item with at least half of their tokens outside slots.
+    """h, item_id, ipos, need, need_real, length, loose: the windows of each item.
 
-    An item shorter than the window is one window of its own length. Items without a token give nothing.
+    Templates (``loose``) have at least half of their tokens outside slots, a capitalised sentence start not counted.
+    Folded windows are all there; those with more slots hold values. An item shorter than the window is one window of
+    its own length. Items without a token give nothing.
     """
-    items = compute_once(benchmark.select("item_id", text_of("text").alias("_text")), _t=_tokens(F.col("_text"), False))
-    items = items.withColumn("n", F.size("_t")).filter("n > 0").withColumn("length", F.least(F.lit(window), F.col("n")))
+    items = _formed(benchmark.select("item_id", text_of("text").alias("_text"))).drop("_text")
+    items = items.withColumn("n", F.size("_v")).filter("n > 0").withColumn("length", F.least(F.lit(window), F.col("n")))
+    items = items.withColumn("n_real", F.col("n") - F.size(F.filter("_v", lambda v: v == UNIT)))
     starts = F.sequence(F.lit(0), F.col("n") - F.col("length"))
-    pieces = items.select("item_id", "n", "length", F.posexplode(F.transform(starts, lambda i: F.slice("_t", i + 1, F.col("length")))).alias("ipos", "_w"))
-    slots = F.size(F.filter("_w", lambda t: t.isin(NUMBER, UNIT, NAME)))
-    hashed = F.xxhash64(F.lit(0))
-    for length in range(1, window + 1):
-        hashed = F.when(F.col("length") == length, F.xxhash64(*[F.get("_w", F.lit(k)) for k in range(length)], F.lit(length))).otherwise(hashed)
-    return pieces.filter(2 * slots <= F.col("length")).select(
-        hashed.alias("h"), "item_id", "ipos", F.least(F.lit(min_tokens), F.col("n")).alias("need"), "length")
+    cut = F.transform(starts, lambda i: F.struct(*[F.slice(name, i + 1, F.col("length")).alias(name) for name in _FORMS]))
+    pieces = items.select("item_id", "n", "n_real", "length", F.posexplode(cut).alias("ipos", "_w")).select("*", "_w.*")
+
+    def hashed(tokens: str) -> Column:
+        out = F.xxhash64(F.lit(0))
+        for length in range(1, window + 1):
+            out = F.when(F.col("length") == length, F.xxhash64(*[F.get(tokens, F.lit(k)) for k in range(length)], F.lit(length))).otherwise(out)
+        return out
+
+    def light(tokens: str, *marks: str) -> Column:
+        return 2 * F.size(F.filter(tokens, lambda t: t.isin(*marks))) <= F.col("length")
+
+    templates = [F.struct(F.when(light("_o", *_COUNTED), hashed(name)).alias("h"), F.lit(True).alias("loose")) for name in ("_t", "_o")]
+    folded = F.struct(F.when(light("_f", NUMBER, UNIT), hashed("_f")).otherwise(hashed("_l")).alias("h"), F.lit(False).alias("loose"))
+    each = pieces.select(
+        "item_id", "ipos", F.least(F.lit(min_tokens), F.col("n")).alias("need"), F.least(F.lit(min_tokens), F.col("n_real")).alias("need_real"), "length",
+        F.inline(F.array(*templates, folded))).filter("h IS NOT NULL")
+    return each.groupBy("h", "item_id", "ipos", "need", "need_real", "length").agg(F.max("loose").alias("loose"))
+
+
+def _n_covered(at: Column | str) -> Column:
+    """Tokens under windows of ``length`` that start at these ascending places."""
+    gaps = F.transform(at, lambda p, i: F.least(F.col("length"), F.coalesce(F.get(at, i + 1) - p, F.col("length"))))
+    return F.aggregate(gaps, F.lit(0), lambda a, x: a + x)
+
+
+def _slots_under(at: str) -> Column:
+    return F.filter("slots", lambda s: F.exists(at, lambda p: (p <= s["i"]) & (s["i"] < p + F.col("length"))))
+
+
+def _enough(df: DataFrame) -> DataFrame:
+    """Lines that cover enough: ``need`` tokens by templates, or ``need_real`` by all windows, missing units not counted."""
+    df = compute_once(df, slots=_slots_under("at"))
+    real = _n_covered("at") - F.size(F.filter("slots", lambda s: s["v"] == UNIT))
+    return df.withColumn("n_tokens", _n_covered("at")).filter((real >= F.col("need_real")) | (_n_covered("at_loose") >= F.col("need")))
 
 
 def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_tokens: int = MIN_TOKENS, text_col: str = "text",
@@ -80,29 +144,31 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW
     lengths = {r[0]: r[1] for r in known.groupBy("length").count().collect()}  # as many rows as window lengths
     side = known if sum(lengths.values()) > broadcast_windows else F.broadcast(known)
     keyed = df.select(F.md5(F.col(text_col)).alias("_key"), F.col(text_col).alias("_text")).filter("_key IS NOT NULL")
-    tokens = compute_once(keyed, _t=_tokens(F.col("_text"), False)).drop("_text")
-    found = [
-        tokens.select("_key", F.posexplode(_windows("_t", n)).alias("dpos", "h")).join(side.filter(F.col("length") == n), "h")
-        for n in sorted(lengths)] or [tokens.select("_key", F.lit(0).alias("dpos")).join(side.withColumnRenamed("h", "_h"), F.lit(False))]
-    match = reduce(DataFrame.unionByName, [f.select("_key", "item_id", (F.col("dpos") - F.col("ipos")).alias("shift"), "ipos", "need", "length") for f in found])
+    tokens = _formed(keyed).drop("_text", "_v")
+    found = []
+    for n in sorted(lengths):
+        each = compute_once(tokens, _h=_windows(n)).select("_key", (F.size("_t") - n + 1).alias("_n"), F.posexplode("_h").alias("_p", "h"))
+        found.append(each.select("_key", "h", (F.col("_p") % F.col("_n")).alias("dpos")).join(side.filter(F.col("length") == n), "h"))
+    found = found or [tokens.select("_key", F.lit(0).alias("dpos")).join(side.withColumnRenamed("h", "_h"), F.lit(False))]
+    match = reduce(DataFrame.unionByName, [
+        f.select("_key", "item_id", (F.col("dpos") - F.col("ipos")).alias("shift"), "ipos", "need", "need_real", "length", "loose") for f in found])
     # At most one entry per window of the item.
-    lines = match.groupBy("_key", "item_id", "shift").agg(F.array_sort(F.collect_set("ipos")).alias("at"), F.max("need").alias("need"), F.max("length").alias("length"))
-    gaps = F.transform("at", lambda p, i: F.least(F.col("length"), F.coalesce(F.get("at", i + 1) - p, F.col("length"))))
-    lines = lines.withColumn("n_tokens", F.aggregate(gaps, F.lit(0), lambda a, x: a + x)).filter("n_tokens >= need")
-    lines = cut_lineage(lines)
-    values = compute_once(benchmark.select("item_id", text_of("text").alias("_text")), _iv=_tokens(F.col("_text"), True)).drop("_text")
-    places = F.filter(F.transform("_iv", lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda s: F.substring(s["v"], 1, 1).isin(NUMBER, UNIT, NAME))
+    lines = match.groupBy("_key", "item_id", "shift").agg(
+        F.array_sort(F.collect_set("ipos")).alias("at"), F.array_sort(F.collect_set(F.when(F.col("loose"), F.col("ipos")))).alias("at_loose"),
+        F.max("need").alias("need"), F.max("need_real").alias("need_real"), F.max("length").alias("length"))
+    lines = cut_lineage(lines.filter(_n_covered("at") >= F.col("need_real")))
+    values = compute_once(benchmark.select("item_id", text_of("text").alias("_text")), _iv=_tokens(F.col("_text"))).drop("_text")
+    places = F.filter(F.transform("_iv", lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda s: F.substring(s["v"], 1, 1).isin(*_COUNTED, START))
     values = values.select("item_id", places.alias("slots"))
-    slotted = lines.join(values, lines["item_id"].eqNullSafe(values["item_id"])).drop(values["item_id"])
-    covered = F.filter("slots", lambda s: F.exists("at", lambda p: (p <= s["i"]) & (s["i"] < p + F.col("length"))))
-    slotted = compute_once(slotted, slots=covered)
+    slotted = _enough(lines.join(values, lines["item_id"].eqNullSafe(values["item_id"])).drop(values["item_id"]))
     open_ = slotted.filter(F.size("slots") > 0)
     texts = keyed.join(open_.select("_key").distinct(), "_key", "left_semi").groupBy("_key").agg(F.first("_text").alias("_text"))
-    valued = compute_once(texts, _dv=_tokens(F.col("_text"), True)).drop("_text")
-    checked = open_.join(valued, "_key").withColumn("pairs", F.transform("slots", lambda s: F.struct(s["v"].alias("i"), F.get("_dv", s["i"] + F.col("shift")).alias("d"))))
-    checked = compute_once(checked.drop("_dv", "slots"), pairs=F.array_distinct("pairs"))
-    checked = checked.filter(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))).withColumn(
-        "verbatim", F.forall("pairs", lambda p: p["i"].eqNullSafe(p["d"]))).drop("pairs")
+    valued = compute_once(texts, _dv=_tokens(F.col("_text"))).drop("_text")
+    pairs = F.transform("slots", lambda s: F.struct(s["i"].alias("at"), _plain(s["v"]).alias("i"), _plain(F.get("_dv", s["i"] + F.col("shift"))).alias("d")))
+    checked = compute_once(open_.join(valued, "_key"), pairs=pairs).drop("_dv")
+    checked = compute_once(checked.withColumn("verbatim", F.forall("pairs", lambda p: p["i"].eqNullSafe(p["d"]))), pairs=F.col("pairs"))
+    split = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["i"], p["d"])))) > F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))
+    checked = checked.filter(~split)
     plain = slotted.filter(F.size("slots") == 0).withColumn("verbatim", F.lit(True))
     both = plain.select("_key", "item_id", "at", "n_tokens", "verbatim").unionByName(checked.select("_key", "item_id", "at", "n_tokens", "verbatim"))
     best = F.max(F.struct("n_tokens", F.size("at").alias("n_windows"), "verbatim"))

@@ -364,6 +364,22 @@ def test_decontaminate_table(spark):
     assert got == {i for i, t in texts.items() if any(x in t for x in items)}
 
 
+def found_items(spark, items, texts, **options):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return set(rows(decontaminate.contaminated_documents(df, bench, **options), "doc_id", "item_id", "verbatim"))
+
+
+NUMBERS = ["What is 12 + 7 - 3 + 15?", "Solve 3x + 5 = 20 and 2y - 7 = 9, then add 4 to 6 and divide by 2.",
+           "Between 1914 and 1918, 3 of 5 men aged 18 to 41 served, 2 of 7 by 1915."]
+
+
+def test_decontaminate_numbers(spark):
+    """Items of mostly numbers are found as copies, and only as copies."""
+    texts = NUMBERS + [f"They asked: {x} And so on." for x in NUMBERS] + ["What is 13 + 8 - 4 + 16?"]
+    assert found_items(spark, NUMBERS, texts) == {(i, i % 3, True) for i in range(6)}
+
+
 def test_url_filter(spark):
     pages = spark.read.parquet(f"{DIR}/pages.parquet")
     want = {(r.page_id, *brute.url_rule(r.url)) for r in pages.collect()}
