@@ -28,7 +28,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
-    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark")).select(*COLUMNS)
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), mixed=True).select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ and a window with more than half of its tokens in number and unit slots holds th
 stops loose templates only, and a copy is found in any case and at any place of a sentence. Matches of all forms on
 one diagonal (place in the text minus place in the item) cover tokens of the item; enough of them make a candidate.
 A candidate counts if its slots are consistent: each value of the item stands for one value in the text wherever it
-occurs.
+occurs; a unit that one side lacks is no value.
 
 Texts are keyed by their digest, so copies meet in one group after a partial aggregate, and the text itself is
 fetched again only for candidates with slots. Benchmark windows are broadcast only below a counted bound; beyond it
@@ -132,12 +132,30 @@ def _enough(df: DataFrame) -> DataFrame:
     return df.withColumn("n_tokens", _n_covered("at")).filter((real >= F.col("need_real")) | (_n_covered("at_loose") >= F.col("need")))
 
 
+def _without_conflicts(df: DataFrame) -> DataFrame:
+    """The lines without windows over slots that break the consistency, where enough is left.
+
+    Of several values in the text for one of the item, the most frequent one stands, at ties the item's own.
+    """
+    def main(i: Column) -> Column:
+        own = F.filter("pairs", lambda p: p["i"] == i)
+        votes = F.transform(own, lambda p: F.struct(F.size(F.filter("pairs", lambda q: (q["i"] == i) & q["d"].eqNullSafe(p["d"]))), p["d"].eqNullSafe(i), p["d"].alias("d")))
+        return F.struct(i.alias("i"), F.array_max(votes)["d"].alias("d"))
+
+    df = compute_once(df, _main=F.transform(F.array_distinct(F.transform("pairs", lambda p: p["i"])), main))
+    broken = F.filter("pairs", lambda p: F.exists("_main", lambda m: (m["i"] == p["i"]) & ~m["d"].eqNullSafe(p["d"])))
+    df = compute_once(df, _bad=F.transform(broken, lambda p: p["at"])).drop("_main")
+    kept = {name: F.filter(name, lambda p: ~F.exists("_bad", lambda b: (p <= b) & (b < p + F.col("length")))) for name in ("at", "at_loose")}
+    return _enough(compute_once(df, **kept).drop("_bad"))
+
+
 def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_tokens: int = MIN_TOKENS, text_col: str = "text",
-                       broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+                       broadcast_windows: int = BROADCAST_WINDOWS, mixed: bool = False) -> DataFrame:
     """``_key`` (digest of the text), item_id, n_windows, n_tokens and verbatim of every text that holds an item.
 
     A text holds an item if at least ``min_tokens`` tokens of it (all of a shorter item) match on one diagonal with
-    consistent slots. ``verbatim`` is false if a slot has another value than in the item. Null and empty texts hold
+    consistent slots. With ``mixed``, inconsistent slots cost the windows over them, without it the whole diagonal.
+    ``verbatim`` is false if a slot has another value than in the item. Null and empty texts hold
     nothing; repeated texts are one key; null item ids are kept as an item of their own.
     """
     known = cut_lineage(benchmark_windows(benchmark, window, min_tokens))
@@ -166,9 +184,11 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW
     valued = compute_once(texts, _dv=_tokens(F.col("_text"))).drop("_text")
     pairs = F.transform("slots", lambda s: F.struct(s["i"].alias("at"), _plain(s["v"]).alias("i"), _plain(F.get("_dv", s["i"] + F.col("shift"))).alias("d")))
     checked = compute_once(open_.join(valued, "_key"), pairs=pairs).drop("_dv")
-    checked = compute_once(checked.withColumn("verbatim", F.forall("pairs", lambda p: p["i"].eqNullSafe(p["d"]))), pairs=F.col("pairs"))
+    # A unit that only one side names is no value.
+    stated = F.filter("pairs", lambda p: (p["i"] != UNIT) & ~p["d"].eqNullSafe(F.lit(UNIT)))
+    checked = compute_once(checked.withColumn("verbatim", F.forall("pairs", lambda p: p["i"].eqNullSafe(p["d"]))), pairs=stated)
     split = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["i"], p["d"])))) > F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))
-    checked = checked.filter(~split)
+    checked = _without_conflicts(checked.filter(split)).unionByName(checked.filter(~split)) if mixed else checked.filter(~split)
     plain = slotted.filter(F.size("slots") == 0).withColumn("verbatim", F.lit(True))
     both = plain.select("_key", "item_id", "at", "n_tokens", "verbatim").unionByName(checked.select("_key", "item_id", "at", "n_tokens", "verbatim"))
     best = F.max(F.struct("n_tokens", F.size("at").alias("n_windows"), "verbatim"))

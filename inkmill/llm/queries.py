@@ -69,7 +69,7 @@ def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), mixed=True)
 
 
 @query

@@ -380,6 +380,30 @@ def test_decontaminate_numbers(spark):
     assert found_items(spark, NUMBERS, texts) == {(i, i % 3, True) for i in range(6)}
 
 
+MICE = ("On the farm by the river 4 cats eat 4 mice every single day while the farmer counts what is left "
+        "in the old barn and then writes it down in a small green book at home")
+PENS = "The girl walked into the shop around the corner and paid 5 for the 3 pens that she had seen in the window"
+
+
+def test_decontaminate_conflicts(spark):
+    """A slot with two values costs its own windows, a unit on one side only costs nothing."""
+    texts = [MICE, MICE.replace("4 mice", "5 mice"), MICE.replace("4 cats", "6 cats").replace("4 mice", "5 mice"), PENS.replace("paid 5", "paid 5 dollars")]
+    assert found_items(spark, [MICE, PENS], texts, mixed=True) == {(0, 0, True), (1, 0, False), (2, 0, False), (3, 1, False)}
+    assert found_items(spark, [MICE, PENS], texts) == {(0, 0, True), (3, 1, False)}
+    short = "4 cats eat 4 mice every day"
+    assert found_items(spark, [short], ["4 cats eat 5 mice every day", "6 cats eat 6 mice every day"], mixed=True) == {(1, 0, False)}
+
+
+def test_decontaminate_queries_allow_conflicts(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(0, MICE)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(1, MICE.replace("4 mice", "5 mice"), "en", "s", 1), (2, A, "en", "s", 1)], SCHEMA)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert rows(contract.queries()["op9_decontaminate"](spark, str(tmp_path)), "doc_id", "verbatim") == [(1, False)]
+    assert rows(corpus_pipeline.decontamination(spark, docs, str(tmp_path)), "doc_id") == [(2,)]
+
+
 def test_url_filter(spark):
     pages = spark.read.parquet(f"{DIR}/pages.parquet")
     want = {(r.page_id, *brute.url_rule(r.url)) for r in pages.collect()}
