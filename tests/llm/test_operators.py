@@ -404,6 +404,15 @@ def test_decontaminate_queries_allow_conflicts(spark, tmp_path):
     assert rows(corpus_pipeline.decontamination(spark, docs, str(tmp_path)), "doc_id") == [(2,)]
 
 
+def test_decontaminate_case_and_place(spark):
+    planet, tom = "Which planet of the solar system has the most moons?", "Tom has 3 apples. Tom buys 4 more. How many apples does Tom have now?"
+    long = "In the year of the great flood Maria and Peter walked from Berlin to Vienna with 3 horses and sold them all"
+    items = [planet, tom, long]
+    texts = ["Question: " + planet, tom.replace("Tom", "Anna").replace("3", "5").replace("4", "7"), long.lower(), long.lower().replace("3", "9"),
+             "They say that in the year" + long[11:].replace("Maria", "Anna"), tom.upper(), "Which moon of the solar system has the most planets?"]
+    assert found_items(spark, items, texts) == {(0, 0, True), (1, 1, False), (2, 2, True), (3, 2, False), (4, 2, False), (5, 1, True)}
+
+
 def test_url_filter(spark):
     pages = spark.read.parquet(f"{DIR}/pages.parquet")
     want = {(r.page_id, *brute.url_rule(r.url)) for r in pages.collect()}
