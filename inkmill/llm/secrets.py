@@ -1,7 +1,8 @@
 """Secrets in texts, found by one automaton over all rules.
 
 Every rule is a head, a class of characters and the least number of them: a match is the head and the longest run of
-the class, and counts if the run is long enough. The rules are compiled together into one minimal automaton that reads
+the class, and counts if the run is long enough. What belongs to a match behind its run, as the body of a key, is read
+by a pattern of the rule. The rules are compiled together into one minimal automaton that reads
 every byte of a text once and tells which rules may match somewhere; of a run behind a head it demands the first
 ``PROBE`` characters only, as longer counts of several rules would multiply its states. Only for those rules is the
 text read again, by the rule's own automaton without a count: leftmost matches, longest, none inside another, too
@@ -10,6 +11,7 @@ short ones dropped afterwards.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -32,8 +34,12 @@ class Rule:
     tail: str
     least: int
     ignore_case: bool = False
+    rest: str = ""  # pattern of what belongs to the match behind its run
 
 
+# The body of a PEM block up to its END line, line ends also as escapes; without that line its headers and base64 lines.
+_BODY = (r"(?:(?!-----BEGIN)[A-Za-z0-9+/=\s\\:,.-])*?-----END(?: [A-Z0-9]+)* PRIVATE KEY-----"
+         r"|(?:[\r\n]++[A-Za-z-]++: [^\r\n]*+)*+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{16,}+={0,2}+)*+")
 # The three base rules.
 BASE = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?""", "[A-Za-z0-9+/_.=\\-]", 8, True),
@@ -43,7 +49,7 @@ BASE = (
 MORE = (
     Rule("github", "gh[opsur]_", "[A-Za-z0-9]", 30),
     Rule("slack", "xox[abprs]-", "[A-Za-z0-9\\-]", 10),
-    Rule("pem", "-----BEGIN( [A-Z0-9]+)* PRIVATE KEY--", "-", 3),
+    Rule("pem", "-----BEGIN( [A-Z0-9]+)* PRIVATE KEY--", "-", 3, rest=_BODY),
 )
 RULES = BASE + MORE
 
@@ -57,6 +63,7 @@ class Scanner:
     def __init__(self, rules: tuple[Rule, ...], every: Automaton, alone: list[Automaton]):
         self.rules, self.start = rules, every.rows()[0]
         self.alone = [a.rows()[0] for a in alone]
+        self.rest = [re.compile(r.rest.encode()) if r.rest else None for r in rules]
 
     def rules_in(self, data: bytes) -> int:
         """Bit set of the rules that match somewhere: one look-up per byte."""
@@ -87,6 +94,8 @@ class Scanner:
                 at += 1
                 continue
             if run >= least:
+                if self.rest[rule]:
+                    end = self.rest[rule].match(data, end).end()
                 spans.append((at, end))
             at = end
         return spans

@@ -436,6 +436,20 @@ def test_url_filter_links(spark):
     assert url_filter.filter_urls(got.select("page_id", "url", "html").limit(0)).count() == 0
 
 
+def test_secrets_pem_block(spark):
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3+/x9Z" * 6] * 3 + ["Zm9vYmFyYmF6cXV4eA=="])
+    for kind in ("RSA PRIVATE", "PRIVATE", "ENCRYPTED PRIVATE"):
+        for inner in (body, "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n" + body, body.replace("\n", "\r\n"), body.replace("\n", "\\n")):
+            block = f"-----BEGIN {kind} KEY-----\n{inner}\n-----END {kind} KEY-----"
+            table = spark.createDataFrame([(f"é before {block} after",), (f"{block}\n\nplain\n{block}",)], "text string") if inner is body else None
+            assert secrets.scanner().spans(f"é before {block} after")[0] == (9, 5, 9 + len(block))
+            assert secrets.masked(f"a {block} b", secrets.scanner().spans(f"a {block} b"), "#") == "a # b"
+            if table is not None:
+                assert [r.text for r in secrets.mask_secrets(table).collect()] == ["é before [SECRET] after", "[SECRET]\n\nplain\n[SECRET]"]
+    cut = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\nand some words"
+    assert secrets.masked(cut, secrets.scanner().spans(cut), "#") == "#\nand some words"
+
+
 def test_pipeline(spark, odd, word_ids):
     """Each stage against brute force on its own input."""
     import corpus_pipeline
