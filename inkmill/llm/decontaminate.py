@@ -52,36 +52,40 @@ def _plain(token: Column) -> Column:
     return F.translate(token, NAME + START, "")
 
 
-def _masked(tokens: str, *marks: str) -> Column:
-    """The tokens with slots of these marks as marks alone, other names as words."""
-    return F.transform(tokens, lambda v: F.when(F.substring(v, 1, 1).isin(*marks), F.substring(v, 1, 1)).otherwise(_plain(v)))
-
-
-# Forms of the tokens: all names are slots, names inside a sentence are, none is; the last one with all values.
-_FORMS = {"_t": (*_COUNTED, START), "_o": _COUNTED, "_f": (NUMBER, UNIT), "_l": ()}
-
-
 def _formed(df: DataFrame) -> DataFrame:
-    """Adds the tokens of ``_text`` in all forms; they have the same length."""
-    df = compute_once(df, _v=_tokens(F.col("_text")))
-    return compute_once(df, **{name: _masked("_v", *marks) for name, marks in _FORMS.items()})
-
+    """Adds the tokens of ``_text`` and their hashes in four forms of one length.
 
-def _windows(length: int) -> Column:
-    """Hashes of all windows of ``length`` tokens, in three forms one after the other; none in shorter texts."""
-    starts = F.sequence(F.lit(0), F.size("_t") - length)
-
-    def hashed(tokens: str, i: Column) -> Column:
-        return F.xxhash64(*[F.get(tokens, i + k) for k in range(length)], F.lit(length))
-
-    def heavy(i: Column) -> Column:
-        return 2 * sum((F.get(F.col("_f"), i + k).isin(NUMBER, UNIT).cast("int") for k in range(length)), F.lit(0)) > length
-
-    numbered = F.array_contains("_f", NUMBER)
-    folded = F.when(numbered, F.transform(starts, lambda i: F.when(heavy(i), hashed("_l", i)).otherwise(hashed("_f", i)))).otherwise(
-        F.transform(starts, lambda i: hashed("_f", i)))
-    every = F.concat(F.transform(starts, lambda i: hashed("_t", i)), F.transform(starts, lambda i: hashed("_o", i)), folded)
-    return F.when(F.size("_t") >= length, every).otherwise(F.array().cast("array<bigint>"))
+    _l: all values, names as words; _f: number and unit slots as marks; _o: names inside a sentence too; _t: all names.
+    """
+    df = compute_once(df, _v=_tokens(F.col("_text")))
+    mark = lambda v: F.xxhash64(F.substring(v, 1, 1))
+    # Marks sort before all other characters of a token, numbers and units before JOIN, names behind it.
+    df = compute_once(df, "_v", _l=F.transform("_v", lambda v: F.xxhash64(F.when((v > NAME) & (v < "\x06"), F.substring(v, 2, 1 << 30)).otherwise(v))))
+    return compute_once(
+        df, "_v", "_l",
+        _f=F.transform("_v", lambda v, i: F.when(v < JOIN, mark(v)).otherwise(F.get("_l", i))),
+        _o=F.transform("_v", lambda v, i: F.when(v < START, mark(v)).otherwise(F.get("_l", i))),
+        _t=F.transform("_v", lambda v, i: F.when(v < JOIN, mark(v)).when(v < "\x06", F.xxhash64(F.lit(NAME))).otherwise(F.get("_l", i))),
+        _q=F.filter(F.transform("_v", lambda v, i: F.when(v < JOIN, i)), lambda i: i.isNotNull()))
+
+
+def _hashed(tokens: str, starts: Column, length: int) -> Column:
+    return F.transform(starts, lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(length)], F.lit(length)))
+
+
+def _window_rows(df: DataFrame, length: int) -> DataFrame:
+    """_key, dpos, h of all windows of ``length`` tokens in three forms, of those full of slots with values too."""
+    none, last, least = F.array().cast("array<int>"), F.size("_t") - length, length // 2 + 1
+    # From the places of the slots: a window holds too many if it spans ``least`` that follow each other.
+    ends = F.transform(F.sequence(F.lit(0), F.size("_q") - least), lambda j: F.struct(F.get("_q", j).alias("a"), F.get("_q", j + least - 1).alias("b")))
+    low, high = (lambda e: F.greatest(e["b"] - length + 1, F.lit(0))), (lambda e: F.least(e["a"], last))
+    full = F.array_distinct(F.flatten(F.transform(ends, lambda e: F.when(low(e) <= high(e), F.sequence(low(e), high(e))).otherwise(none))))
+    df = compute_once(df.filter(last >= 0), _full=F.when(F.size("_q") >= least, full).otherwise(none))
+    starts = F.sequence(F.lit(0), last)
+    forms = [_hashed(name, starts, length) for name in ("_t", "_o", "_f")]
+    df = compute_once(df, "_full", _n=last + 1, _h=F.concat(*forms, _hashed("_l", F.col("_full"), length)))
+    df = df.select("_key", "_n", "_full", F.posexplode("_h").alias("_p", "h"))
+    return df.select("_key", F.when(F.col("_p") < 3 * F.col("_n"), F.col("_p") % F.col("_n")).otherwise(F.get("_full", F.col("_p") - 3 * F.col("_n"))).alias("dpos"), "h")
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -95,8 +99,8 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: in
     items = items.withColumn("n", F.size("_v")).filter("n > 0").withColumn("length", F.least(F.lit(window), F.col("n")))
     items = items.withColumn("n_real", F.col("n") - F.size(F.filter("_v", lambda v: v == UNIT)))
     starts = F.sequence(F.lit(0), F.col("n") - F.col("length"))
-    cut = F.transform(starts, lambda i: F.struct(*[F.slice(name, i + 1, F.col("length")).alias(name) for name in _FORMS]))
-    pieces = items.select("item_id", "n", "n_real", "length", F.posexplode(cut).alias("ipos", "_w")).select("*", "_w.*")
+    cut = F.transform(starts, lambda i: F.struct(*[F.slice(name, i + 1, F.col("length")).alias(name) for name in ("_v", "_l", "_f", "_o", "_t")]))
+    pieces = items.select("item_id", "n", "n_real", "length", F.posexplode(cut).alias("ipos", "_w")).select("item_id", "n", "n_real", "length", "ipos", "_w.*")
 
     def hashed(tokens: str) -> Column:
         out = F.xxhash64(F.lit(0))
@@ -104,11 +108,11 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: in
             out = F.when(F.col("length") == length, F.xxhash64(*[F.get(tokens, F.lit(k)) for k in range(length)], F.lit(length))).otherwise(out)
         return out
 
-    def light(tokens: str, *marks: str) -> Column:
-        return 2 * F.size(F.filter(tokens, lambda t: t.isin(*marks))) <= F.col("length")
+    def light(below: str) -> Column:
+        return 2 * F.size(F.filter("_v", lambda v: v < below)) <= F.col("length")
 
-    templates = [F.struct(F.when(light("_o", *_COUNTED), hashed(name)).alias("h"), F.lit(True).alias("loose")) for name in ("_t", "_o")]
-    folded = F.struct(F.when(light("_f", NUMBER, UNIT), hashed("_f")).otherwise(hashed("_l")).alias("h"), F.lit(False).alias("loose"))
+    templates = [F.struct(F.when(light(START), hashed(name)).alias("h"), F.lit(True).alias("loose")) for name in ("_t", "_o")]
+    folded = F.struct(F.when(light(JOIN), hashed("_f")).otherwise(hashed("_l")).alias("h"), F.lit(False).alias("loose"))
     each = pieces.select(
         "item_id", "ipos", F.least(F.lit(min_tokens), F.col("n")).alias("need"), F.least(F.lit(min_tokens), F.col("n_real")).alias("need_real"), "length",
         F.inline(F.array(*templates, folded))).filter("h IS NOT NULL")
@@ -163,10 +167,7 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW
     side = known if sum(lengths.values()) > broadcast_windows else F.broadcast(known)
     keyed = df.select(F.md5(F.col(text_col)).alias("_key"), F.col(text_col).alias("_text")).filter("_key IS NOT NULL")
     tokens = _formed(keyed).drop("_text", "_v")
-    found = []
-    for n in sorted(lengths):
-        each = compute_once(tokens, _h=_windows(n)).select("_key", (F.size("_t") - n + 1).alias("_n"), F.posexplode("_h").alias("_p", "h"))
-        found.append(each.select("_key", "h", (F.col("_p") % F.col("_n")).alias("dpos")).join(side.filter(F.col("length") == n), "h"))
+    found = [_window_rows(tokens, n).join(side.filter(F.col("length") == n), "h") for n in sorted(lengths)]
     found = found or [tokens.select("_key", F.lit(0).alias("dpos")).join(side.withColumnRenamed("h", "_h"), F.lit(False))]
     match = reduce(DataFrame.unionByName, [
         f.select("_key", "item_id", (F.col("dpos") - F.col("ipos")).alias("shift"), "ipos", "need", "need_real", "length", "loose") for f in found])

@@ -413,6 +413,12 @@ def test_decontaminate_case_and_place(spark):
     assert found_items(spark, items, texts) == {(0, 0, True), (1, 1, False), (2, 2, True), (3, 2, False), (4, 2, False), (5, 1, True)}
 
 
+def test_decontaminate_moved_names(spark):
+    """A name at the start of the item's sentence, another one inside a sentence of the text."""
+    item = "Tom has 3 apples and buys 4 more red ones today"
+    assert found_items(spark, [item], ["They say Anna has 5 apples and buys 7 more red ones today", item.replace("apples", "pears")]) == {(0, 0, False)}
+
+
 def test_url_filter(spark):
     pages = spark.read.parquet(f"{DIR}/pages.parquet")
     want = {(r.page_id, *brute.url_rule(r.url)) for r in pages.collect()}
