@@ -57,6 +57,15 @@ def matching_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -
     return found
 
 
+def _without_dots(path: Column) -> Column:
+    """A rooted path without its ``.`` and ``..`` segments."""
+    parts = F.split(F.substring(path, 2, 1 << 30), "/", -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda a, s: F.when(s == ".", a).when(
+        s == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.concat(a, F.array(s))))
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    return F.when(path.rlike("/[.][.]?$") & ~joined.endswith("/"), F.concat(joined, F.lit("/"))).otherwise(joined)
+
+
 def address(url: Column) -> Column:
     """The address of a resource: host in lower case, no fragment, no tracking parameters, no empty query."""
     bare = F.regexp_replace(F.regexp_replace(url, "#.*$", ""), TRACKING, "")
@@ -88,10 +97,13 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "u
     nth = F.array(*[F.struct(F.lit(r.spelled).alias("rule"), F.lit(r.verdict).alias("verdict")) for r in rules])
     own = F.get(nth, F.col("_rule"))
     judged = judged.withColumns({"rule": own["rule"], "_own": own["verdict"]})
-    edges = link_edges(pages, url, html).select(F.md5("src").alias("src"), F.md5("dst").alias("dst"))
-    member = connected_components(edges, "src", "dst")
+    links = cut_lineage(link_edges(pages, url, html).distinct())
+    member = connected_components(links.select(F.md5("src").alias("src"), F.md5("dst").alias("dst")), "src", "dst")
+    # Targets that are no page of the table decide for the pages that lead to them.
+    ends = links.select("dst").distinct()
+    ends = ends.select(F.md5("dst").alias("_node"), F.get(nth, matching_rule(url_host(F.col("dst")), url_path(F.col("dst")), rules))["verdict"].alias("_own"))
     # One row per address before any join: a popular address is no hot key.
-    decided = judged.filter("_node IS NOT NULL").groupBy("_node").agg(
+    decided = judged.select("_node", "_own").unionByName(ends).filter("_node IS NOT NULL").groupBy("_node").agg(
         F.max(F.col("_own") == "allow").alias("_allow"), F.max(F.col("_own") == "block").alias("_block"), F.max(F.col("_own").isNull()).alias("_open"))
     decided = cut_lineage(decided.join(member, decided["_node"] == member["node"], "left").withColumn("_comp", F.coalesce("component", "_node")))
     linked = decided.groupBy("_comp").agg(F.max("_allow").alias("_a"), F.max("_block").alias("_b"), F.max("_open").alias("_o")).filter("_b AND _o AND NOT coalesce(_a, false)")

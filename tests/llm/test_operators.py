@@ -442,6 +442,22 @@ def test_url_filter_links(spark):
     assert url_filter.filter_urls(got.select("page_id", "url", "html").limit(0)).count() == 0
 
 
+def verdicts(spark, *data):
+    got = url_filter.filter_urls(spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(data)], "page_id long, url string, html string"))
+    return [r.verdict for r in got.orderBy("page_id").collect()]
+
+
+CANONICAL, REFRESH = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+
+
+def test_url_filter_uncrawled_targets(spark):
+    """A target that is no row of the table is judged as well, and so are the pages that lead there."""
+    assert verdicts(
+        spark, ("http://a.info/1", REFRESH.format("http://bad.net/x")), ("http://b.info/1", CANONICAL.format("http://worse.net/y")),
+        ("http://c.info/1", CANONICAL.format("http://worse.net/y#z")), ("http://d.info/1", CANONICAL.format("http://other.info/")),
+        ("http://e.info/1", CANONICAL.format("http://good.org/fr/1") + CANONICAL.format("http://bad.net/q"))) == ["block", "block", "block", "allow", "allow"]
+
+
 def test_secrets_pem_block(spark):
     body = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3+/x9Z" * 6] * 3 + ["Zm9vYmFyYmF6cXV4eA=="])
     for kind in ("RSA PRIVATE", "PRIVATE", "ENCRYPTED PRIVATE"):
