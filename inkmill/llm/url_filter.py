@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.once import compute_once
+from ..functions.text import html_unescape, strip
 from ..session import cut_lineage
 from .common import text_of, without
 from .components import connected_components
@@ -67,22 +69,34 @@ def _without_dots(path: Column) -> Column:
 
 
 def address(url: Column) -> Column:
-    """The address of a resource: host in lower case, no fragment, no tracking parameters, no empty query."""
+    """The address of a resource: host in lower case, no dot segments, no fragment, no tracking parameters, no empty query."""
     bare = F.regexp_replace(F.regexp_replace(url, "#.*$", ""), TRACKING, "")
     bare = F.regexp_replace(bare, "[?&]$", "")
     scheme = F.lower(F.regexp_extract(bare, "(?s)^(.*?)://", 1))
     rest = F.regexp_extract(bare, r"(?s)^.*?://[^/?#]*(.*)$", 1)
+    path = F.regexp_extract(rest, r"(?s)^[^?]*", 0)
+    rest = F.when(path.rlike("/[.][.]?(/|$)"), F.concat(_without_dots(path), F.substr(rest, F.length(path) + 1))).otherwise(rest)
     return F.when(F.instr(bare, "://") > 0, F.concat(scheme, F.lit("://"), url_host(bare), rest)).otherwise(bare)
 
 
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``src`` and ``dst`` addresses of redirects and canonical links to an absolute or rooted address."""
-    links = F.filter(F.concat(F.regexp_extract_all(text_of(html), F.lit(REFRESH), F.lit(1)), F.regexp_extract_all(text_of(html), F.lit(CANONICAL), F.lit(1))),
-                     lambda x: x.rlike("^([A-Za-z][A-Za-z0-9+.-]*:)?/"))
+    """``src`` and ``dst`` addresses of redirects and canonical links.
+
+    Entities of a target are decoded, and a relative one is resolved against the page's url; a base element is not
+    read. Targets of a scheme without ``/`` (mailto) are no addresses, relative ones of a page without host neither.
+    """
+    links = F.concat(F.regexp_extract_all(text_of(html), F.lit(REFRESH), F.lit(1)), F.regexp_extract_all(text_of(html), F.lit(CANONICAL), F.lit(1)))
     each = pages.filter(F.col(html).rlike("(?i)http-equiv|canonical")).select(F.col(url).alias("_url"), F.explode(links).alias("_to"))
+    each = compute_once(each, _to=strip(html_unescape("_to")))
     root = F.regexp_extract("_url", r"(?s)^(.*?://[^/?#]*)", 1)
     scheme = F.regexp_extract("_url", r"(?s)^(.*?:)//", 1)
-    full = F.when(F.col("_to").startswith("//"), F.concat(scheme, "_to")).when(F.col("_to").startswith("/"), F.concat(root, "_to")).otherwise(F.col("_to"))
+    path = url_path(F.col("_url"))
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, "(?s)^.*/", 0), F.lit("")), F.lit("/"))
+    to = F.col("_to")
+    full = (F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:/"), to))
+            .when(to.startswith("//"), F.concat(scheme, to)).when(to.startswith("/"), F.concat(root, to))
+            .when((root != "") & to.startswith("?"), F.concat(root, path, to))
+            .when((root != "") & (to != "") & ~to.startswith("#"), F.concat(root, folder, to)))
     return each.select(address(F.col("_url")).alias("src"), address(full).alias("dst")).filter("src <> dst")
 
 

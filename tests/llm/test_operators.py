@@ -458,6 +458,17 @@ def test_url_filter_uncrawled_targets(spark):
         ("http://e.info/1", CANONICAL.format("http://good.org/fr/1") + CANONICAL.format("http://bad.net/q"))) == ["block", "block", "block", "allow", "allow"]
 
 
+def test_url_filter_relative_targets(spark):
+    pages = [("http://h.example.com/x/y/p%d?k#f" % i, CANONICAL.format(to)) for i, to in enumerate(
+        ["../../de/a", "../../../de/./b/../a", "http://h.example.com/q/../de/a", "/de/a", "//h.example.com/de/a", "?id=1", "mailto:a@b.net", "a/b", "#top"])]
+    assert verdicts(spark, *pages) == ["block"] * 5 + ["allow"] * 4
+    assert verdicts(spark, ("http://one.example.com/de/", REFRESH.format("../page.html")), ("http://one.example.com/page.html", "")) == ["block", "block"]
+    assert verdicts(spark, ("http://h.info/a?x=1&b=2", ""), ("http://k.net/1", CANONICAL.format("http://h.info/a?x=1&amp;b=2"))) == ["block", "block"]
+    assert verdicts(spark, ("http://h.example.com", CANONICAL.format("de/x"))) == ["block"]
+    got = url_filter.link_edges(spark.createDataFrame([("http://h.info/d/p?k", CANONICAL.format("?id=1")), ("http://h.info", CANONICAL.format("../c/."))], "url string, html string"))
+    assert set(rows(got, "src", "dst")) == {("http://h.info/d/p?k", "http://h.info/d/p?id=1"), ("http://h.info", "http://h.info/c/")}
+
+
 def test_secrets_pem_block(spark):
     body = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3+/x9Z" * 6] * 3 + ["Zm9vYmFyYmF6cXV4eA=="])
     for kind in ("RSA PRIVATE", "PRIVATE", "ENCRYPTED PRIVATE"):
