@@ -97,6 +97,10 @@ class Encoder:
         first, *rest = text.split(" ")
         return self._piece(first) + b"".join(map(self.spaced.__getitem__, rest))
 
+    def encode_plain(self, text: str) -> bytes:
+        """Ids of a text in which the strings of special tokens are plain text."""
+        return self._plain(text)
+
     def encode(self, text: str | None) -> bytes:
         text = text or ""
         if self.split is None or not any(s in text for s in self.specials):

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import Query
 from ..session import cut_lineage, scratch_path
-from . import chat, decontaminate, near_dup, quality, secrets, sharding, token_counts, token_files, url_filter, word_bpe
+from . import chat, decontaminate, hard_negatives, license_scan, near_dup, quality, secrets, sharding, token_alignment, token_counts, token_files, url_filter, word_bpe
 from .common import read
 from .oracles import SQL
 
-BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 REGISTRY: dict[str, Query] = {}
 
 
@@ -75,3 +75,21 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.finite_rows(vectors.withColumn("label", noisy))
+    return hard_negatives.mine_hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest_licenses(license_scan.scan_licenses(read(spark, sf_dir, "documents")))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
