@@ -31,7 +31,8 @@ SHARD_KEYS = 1 << 14
 ROUND_KEYS = 1 << 22
 SLICE = 1 << 13  # counts of one row of a dense vector
 FAN_IN = 16
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+ROWS = 1_000  # texts encoded before their ids leave the task
 SPARE = 1.5  # slots per key of a level
 CACHED = 100_000
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -70,7 +71,7 @@ def encode_both(df: DataFrame, path_a: str, path_b: str, text_col: str = "text")
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (byte_level, bytes_a), (model, bytes_b) = _byte_side(path_a), _piece_side(path_b)
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             sides: tuple[list, list] = [], []
             for text in batch.column(1).to_pylist():
                 a = b = np.empty(0, np.int32)
