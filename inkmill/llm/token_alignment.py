@@ -31,7 +31,7 @@ SHARD_KEYS = 1 << 14
 ROUND_KEYS = 1 << 22
 SLICE = 1 << 13  # counts of one row of a dense vector
 FAN_IN = 16
-CHUNK_BYTES = 1 << 20
+CHUNK = 1 << 18
 ROWS = 1_000  # texts encoded before their ids leave the task
 SPARE = 1.5  # slots per key of a level
 CACHED = 100_000
@@ -63,8 +63,14 @@ def _piece_side(path: str) -> tuple[object, list[bytes]]:
     return model, [own(i) for i in range(model.get_piece_size())]
 
 
+def _width(n_ids: int) -> str:
+    """How an id is kept: in two bytes where the vocabulary allows it."""
+    return "<u2" if n_ids <= 1 << 16 else "<u4"
+
+
 def encode_both(df: DataFrame, path_a: str, path_b: str, text_col: str = "text") -> DataFrame:
-    """doc_id, a and b: ids by a byte-level file of the tokenizers library and by a sentencepiece model.
+    """doc_id, a and b: ids by a byte-level file of the tokenizers library and by a sentencepiece model, as little-endian
+    numbers of two bytes, of four for vocabularies beyond 65,536.
 
     A's text is a space and the text, as B adds that space itself. Strings of special tokens are plain text. A text
     that is null or empty, or whose bytes either side does not give back, has no tokens.
@@ -74,19 +80,18 @@ def encode_both(df: DataFrame, path_a: str, path_b: str, text_col: str = "text")
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             sides: tuple[list, list] = [], []
             for text in batch.column(1).to_pylist():
-                a = b = np.empty(0, np.int32)
+                a, b = b"", b""
                 if text:
                     want = (" " + text).encode("utf-8", "surrogatepass")
-                    a = np.frombuffer(byte_level.encode_plain(" " + text), "<i4")
-                    b = np.array(model.encode(text, num_threads=1), np.int32)
-                    if b"".join([bytes_a[i] for i in a.tolist()]) != want or b"".join([bytes_b[i] for i in b.tolist()]) != want:
-                        a = b = np.empty(0, np.int32)
+                    ids_a = np.frombuffer(byte_level.encode_plain(" " + text), "<i4")
+                    ids_b = model.encode(text, num_threads=1)
+                    if b"".join([bytes_a[i] for i in ids_a.tolist()]) == want == b"".join([bytes_b[i] for i in ids_b]):
+                        a, b = ids_a.astype(_width(len(bytes_a))).tobytes(), np.array(ids_b, _width(len(bytes_b))).tobytes()
                 sides[0].append(a)
                 sides[1].append(b)
-            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, s)]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *s]))) for s in sides]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["doc_id", "a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(s, pa.binary()) for s in sides]], ["doc_id", "a", "b"])
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), text_col).mapInArrow(encode, "doc_id long, a array<int>, b array<int>")
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), text_col).mapInArrow(encode, "doc_id long, a binary, b binary")
 
 
 # Alignment of a batch.
@@ -125,18 +130,27 @@ class Aligned:
             yield "".join(shown[first:last])[:-1]
 
 
+def _ids(column: pa.Array, width: str) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids of a column, their number up to the end of each row)."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    flat = np.frombuffer(data, np.uint8)[at[0]:at[-1]].view(width) if at[-1] > at[0] else np.empty(0, width)
+    return flat, (at[1:] - at[0]) // np.dtype(width).itemsize
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], sizes) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
-    """Runs of documents of about ``CHUNK_BYTES`` bytes of ids, aligned; ``sizes`` are the bytes of each id, broadcast."""
+    """Runs of documents of about ``CHUNK`` ids of A, aligned; ``sizes`` are the bytes of each id, broadcast."""
+    sizes_a, sizes_b = sizes.value
     for batch in batches:
         at_a, at_b = (batch.schema.get_field_index(c) for c in ("a", "b"))
-        counts = batch.column(at_a).value_lengths().to_numpy(zero_copy_only=False)
+        _, ends = _ids(batch.column(at_a), _width(len(sizes_a)))
         begin = 0
-        for end in [*np.flatnonzero(np.diff(np.cumsum(counts) * 4 // CHUNK_BYTES)) + 1, batch.num_rows]:
-            if end == begin:
-                continue
-            part = batch.slice(begin, end - begin)
-            a, b = (part.column(i).flatten().to_numpy(zero_copy_only=False) for i in (at_a, at_b))
-            yield part, Aligned(a, b, *(np.cumsum(part.column(i).value_lengths().to_numpy(zero_copy_only=False)) for i in (at_a, at_b)), *sizes.value)
+        for end in [*np.flatnonzero(np.diff(ends // CHUNK)) + 1, batch.num_rows]:
+            if end > begin:
+                part = batch.slice(begin, end - begin)
+                a, ends_a = _ids(part.column(at_a), _width(len(sizes_a)))
+                b, ends_b = _ids(part.column(at_b), _width(len(sizes_b)))
+                yield part, Aligned(a, b, ends_a, ends_b, sizes_a, sizes_b)
             begin = end
 
 
