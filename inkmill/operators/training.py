@@ -1,31 +1,36 @@
 """Vocabulary training: a driver loop over Spark jobs on the table of distinct words.
 
-Each round reads one bounded result on the driver: the best merge (or the next few),
-or the tokens of a vocabulary whose size is a parameter. The table of distinct words
-itself stays distributed. Its lineage is cut with reliable checkpoints.
+Each round reads one bounded result on the driver, from which it tells the next merges
+(see ``merging``), or the tokens of a vocabulary whose size is a parameter. The table
+of distinct words itself stays distributed; it is written again after each round.
 
-While training, the symbols of a word are held as one string in which each symbol
-stands between ``OPEN`` and ``CLOSE``. A merge is then one string replacement:
-left to right, without overlap, and never across a symbol boundary.
+A single merge is one string replacement on symbols that stand between ``OPEN`` and
+``CLOSE``: left to right, without overlap, and never across a symbol boundary.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
 from . import vocab
 from .encoding import MAX_BROADCAST_TOKENS, viterbi_words
+from .merging import Runs, ScoredWords, apply_merges, cut_runs
 
 # Two code points that Unicode keeps out of text.
 OPEN, CLOSE = "\ufdd0", "\ufdd1"
-# Merges applied to the words before their table is written again.
-MERGES_PER_CHECKPOINT = 16
-# Pairs looked at per round when several merges are taken at once.
+# Pairs looked at per round when merges that share no symbol are taken at once.
 CANDIDATES = 64
+# Pairs whose runs the first round of byte-pair training looks at, and symbols of runs on the driver.
+FREQUENT_PAIRS = 1024
+MAX_SYMBOLS = 1_000_000
+# Pairs whose words the first round of training by scores looks at.
+SCORED_PAIRS = 256
 
 
 @dataclass
@@ -70,29 +75,72 @@ class _Words:
 
     def __init__(self, freqs: DataFrame, continuation: str):
         splits = initial_splits(vocab.rank_words(freqs), continuation)
-        marked = splits.select("freq", "rank", _mark(F.col("syms")).alias("marked"))
-        self.table = cut_lineage(marked, freqs.sparkSession.sparkContext.defaultParallelism)
-        self.pending = 0
+        self.table = cut_lineage(splits.select("freq", "rank", "syms"), freqs.sparkSession.sparkContext.defaultParallelism)
 
     def alphabet(self) -> list[str]:
-        symbols = self.splits().select(F.explode_outer("syms").alias("symbol")).distinct()
+        symbols = self.table.select(F.explode_outer("syms").alias("symbol")).distinct()
         return [r.symbol for r in symbols.orderBy("symbol").collect()]
 
     def splits(self) -> DataFrame:
-        return self.table.select("freq", "rank", _unmark(F.col("marked")).alias("syms"))
+        return self.table
 
     def apply(self, merges: list[Merge]) -> None:
-        text = F.col("marked")
-        for m in merges:
-            text = merge_marked(text, m.left, m.right, m.merged)
-        self.table = self.table.withColumn("marked", text)
-        self.pending += len(merges)
-        if self.pending >= MERGES_PER_CHECKPOINT:
-            self.table, self.pending = cut_lineage(self.table), 0
-
-
-def _next_bpe_merges(words: _Words, known: set[str], limit: int) -> list[Merge]:
-    """The next merges, as many as are certain after one count.
+        """Merges in their order, looked up in one table."""
+        ranks: dict[tuple[str, str], list[int]] = {}
+        for i, m in enumerate(merges):
+            ranks.setdefault((m.left, m.right), []).append(i)
+        shared = self.table.sparkSession.sparkContext.broadcast((ranks, [m.merged for m in merges]))
+
+        @F.arrow_udf("array<string>")
+        def merged(batch: pa.Array) -> pa.Array:
+            return pa.array([apply_merges(s, *shared.value) for s in batch.to_pylist()], pa.list_(pa.string()))
+
+        self.table = cut_lineage(self.table.withColumn("syms", merged("syms")))
+        shared.destroy()
+
+
+def _runs(words: DataFrame, frequent: set[tuple[str, str]]) -> DataFrame:
+    """syms, freq, rank, start: the distinct runs between rare pairs, with their first place; one row each."""
+    shared = words.sparkSession.sparkContext.broadcast(frequent)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            freqs, ranks, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [cut_runs(s, shared.value) for s in batch.column(2).to_pylist()]
+            rows = [(run, freqs[i], ranks[i], start) for i, own in enumerate(found) for start, run in own]
+            kinds = (pa.list_(pa.string()), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["syms", "freq", "rank", "start"])
+
+    rows = words.select(F.col("freq").cast("long"), F.col("rank").cast("long"), "syms").mapInArrow(cut, "syms array<string>, freq long, rank long, start long")
+    return rows.groupBy("syms").agg(F.sum("freq").alias("freq"), F.min(F.struct("rank", "start")).alias("place")).select("syms", "freq", "place.rank", "place.start")
+
+
+def _merges_of_runs(words: _Words, known: set[str], limit: int, n_pairs: int, max_symbols: int) -> tuple[list[Merge], bool]:
+    """(the next merges, whether more pairs would fit) from the runs of about ``n_pairs`` frequent pairs; none if the runs are too many."""
+    pairs = cut_lineage(vocab.pair_freqs(words.splits()).select("left", "right", "freq"))
+    levels = pairs.select("freq").orderBy(F.desc("freq")).limit(n_pairs + 1).collect()
+    if not levels:
+        return [], False
+    # All pairs above the last level seen; the last level too where it is the first or nothing lies below it.
+    last = levels[-1].freq
+    bound = last if last == levels[0].freq or len(levels) <= n_pairs else last + 1
+    frequent = pairs.filter(F.col("freq") >= bound)
+    if len(levels) > n_pairs and bound == last and frequent.count() > max_symbols:
+        return [], False
+    runs = cut_lineage(_runs(words.splits(), {(r.left, r.right) for r in frequent.collect()}))
+    size = runs.agg(F.sum(F.size("syms"))).first()[0] or 0
+    if size > max_symbols:
+        return [], False
+    rows = sorted(runs.collect(), key=lambda r: (r.rank, r.start))  # max_symbols symbols at most
+    table, merges = Runs([(r.syms, r.freq) for r in rows], bound, known), []
+    while len(merges) < limit and (found := table.best()):
+        pair, count = found
+        merges.append(Merge(*pair, pair[0] + pair[1], float(count)))
+        table.merge(pair)
+    return merges, 4 * size < max_symbols
+
+
+def _independent_merges(words: _Words, known: set[str], limit: int) -> list[Merge]:
+    """The next merges that share no symbol, as many as are certain after one count.
 
     A merge of (a, b) changes only pairs that hold a or b, and each new pair occurs
     no more often, and no earlier, than a pair that held a or b before. So the next
@@ -116,17 +164,26 @@ def _next_bpe_merges(words: _Words, known: set[str], limit: int) -> list[Merge]:
 
 
 def train_bpe(freqs: DataFrame, vocab_size: int | None = None, n_merges: int | None = None,
-              specials: tuple[str, ...] = ("<|endoftext|>",)) -> tuple[list[str], list[Merge]]:
+              specials: tuple[str, ...] = ("<|endoftext|>",), max_symbols: int = MAX_SYMBOLS) -> tuple[list[str], list[Merge]]:
     """Vocabulary and merges: the most frequent pair is merged until the size is reached or no pair is left.
 
-    The size counts specials and alphabet; ``n_merges`` counts merges instead.
+    The size counts specials and alphabet; ``n_merges`` counts merges instead. A round
+    merges on the runs of frequent pairs, ``max_symbols`` symbols at most on the
+    driver; it takes fewer pairs where the runs are too many, and merges that share no
+    symbol where even the most frequent pairs have too many. The result is that of one
+    merge at a time.
     """
     words = _Words(freqs, "")
     tokens = [*specials, *words.alphabet()]
     vocab_size = len(tokens) + n_merges if vocab_size is None else vocab_size
-    known, merges = set(tokens), []
+    known, merges, n_pairs = set(tokens), [], FREQUENT_PAIRS
     while len(tokens) < vocab_size:
-        found = _next_bpe_merges(words, known, vocab_size - len(tokens))
+        found, room = _merges_of_runs(words, known, vocab_size - len(tokens), n_pairs, max_symbols)
+        if not found:
+            n_pairs = max(1, n_pairs // 8)
+            found = _independent_merges(words, known, vocab_size - len(tokens))
+        elif room:
+            n_pairs *= 4
         if not found:
             break
         words.apply(found)
@@ -135,21 +192,66 @@ def train_bpe(freqs: DataFrame, vocab_size: int | None = None, n_merges: int | N
     return tokens, merges
 
 
+def _scored_merges(words: _Words, known: set[str], limit: int, n_pairs: int, max_symbols: int) -> tuple[list[Merge], int]:
+    """(the next merges by score, symbols of the words looked at) from the words that hold one of the best ``n_pairs`` pairs."""
+    adjacent = cut_lineage(vocab.adjacent_freqs(words.splits()))
+    letters = {r.left: r.freq for r in adjacent.groupBy("left").agg(F.sum("freq").alias("freq")).collect()}  # the vocabulary so far
+    scored = vocab.scored_pairs(adjacent).select("left", "right", "score", "first")
+    best = scored.orderBy(F.desc("score"), "first").limit(n_pairs).collect()
+    if not best:
+        return [], 0
+    best = sorted(best, key=lambda r: (-r.score, r.first))
+    top = Merge(best[0].left, best[0].right, joined_token(best[0].left, best[0].right, "##"), best[0].score)
+    pairs = {(r.left, r.right) for r in best}
+    shared = words.table.sparkSession.sparkContext.broadcast(pairs)
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([any(p in shared.value for p in zip(s, s[1:])) for s in batch.column(0).to_pylist()], pa.bool_()))
+
+    held = words.splits().select("syms", F.col("freq").cast("long").alias("freq"), F.col("rank").cast("long").alias("rank"))
+    held = cut_lineage(held.mapInArrow(holding, "syms array<string>, freq long, rank long"))
+    symbols = cut_lineage(held.select(F.explode("syms").alias("symbol")).distinct())
+    near = adjacent.filter(F.col("right").isNotNull())
+    near = cut_lineage(near.join(symbols, F.col("left") == F.col("symbol"), "left_semi").union(near.join(symbols, F.col("right") == F.col("symbol"), "left_semi")).distinct())
+    size = held.agg(F.coalesce(F.sum(F.size("syms")), F.lit(0))).first()[0] + near.count()
+    if size > max_symbols:
+        return [top] if n_pairs == 1 else [], size
+    rows = sorted(held.collect(), key=lambda r: r.rank)  # max_symbols symbols and pairs at most
+    table = ScoredWords([(r.syms, r.freq, r.rank) for r in rows], pairs, (-best[-1].score, best[-1].first),
+                        {(r.left, r.right): (r.freq, r.first) for r in near.collect()}, letters, known, vocab.SYMBOLS)
+    merges: list[Merge] = []
+    while len(merges) < limit and (found := table.best()):
+        (left, right), score = found
+        merges.append(Merge(left, right, joined_token(left, right, "##"), score))
+        table.merge((left, right), merges[-1].merged)
+    return merges, size
+
+
 def train_wordpiece(freqs: DataFrame, vocab_size: int | None = None, n_merges: int | None = None,
-                    specials: tuple[str, ...] = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")) -> tuple[list[str], list[Merge]]:
-    """Vocabulary by the pair score; a merge can raise other scores, so each round takes one."""
+                    specials: tuple[str, ...] = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"), max_symbols: int = MAX_SYMBOLS) -> tuple[list[str], list[Merge]]:
+    """Vocabulary by the pair score, as if one pair was merged at a time.
+
+    A merge can raise other scores. A round looks at the words that hold one of the
+    best pairs, at most ``max_symbols`` symbols of them on the driver, and rescores the
+    pairs of their symbols; it ends when a pair may be the best that it does not know.
+    """
     words = _Words(freqs, "##")
     tokens = [*specials, *words.alphabet()]
     vocab_size = len(tokens) + n_merges if vocab_size is None else vocab_size
-    merges = []
+    known, merges, n_pairs = set(tokens), [], SCORED_PAIRS
     while len(tokens) < vocab_size:
-        best = vocab.argmax_pair(vocab.pair_scores(words.splits()), "score").first()
-        if best is None or best.left is None:
-            break
-        merge = Merge(best.left, best.right, joined_token(best.left, best.right, "##"), best.score)
-        words.apply([merge])
-        merges.append(merge)
-        tokens.append(merge.merged)
+        found, size = _scored_merges(words, known, vocab_size - len(tokens), n_pairs, max_symbols)
+        if not found:
+            if size <= max_symbols:
+                break
+            n_pairs = max(1, n_pairs // 8)
+            continue
+        if 4 * size < max_symbols:
+            n_pairs *= 2
+        words.apply(found)
+        merges += found
+        tokens += [m.merged for m in found]
     return tokens, merges
 
 

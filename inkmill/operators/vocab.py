@@ -103,7 +103,11 @@ def pair_scores(splits: DataFrame) -> DataFrame:
 
     The words are scanned once; both symbol frequencies come from the pair table.
     """
-    adjacent = adjacent_freqs(splits)
+    return scored_pairs(adjacent_freqs(splits))
+
+
+def scored_pairs(adjacent: DataFrame) -> DataFrame:
+    """The scores of a table of ``adjacent_freqs``."""
     letters = adjacent.groupBy(F.col("left").alias("symbol")).agg(F.sum("freq").alias("symbol_freq"))
     lefts = adjacent.withColumn("left_freq", F.sum("freq").over(W.partitionBy("left"))).filter(F.col("right").isNotNull())
     joined = lefts.join(letters, F.col("right") == F.col("symbol"))
