@@ -9,6 +9,8 @@ with the few entries found in it. Plain token -> id lookup is a join as well.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -123,6 +125,71 @@ def _viterbi(word: str, scores: dict[str, float], longest: int, start_score: flo
     return pieces[::-1], best[-1][0]
 
 
+def _viterbi_removals(word: str, scores: dict[str, float], longest: int, start_score: float):
+    """(pieces, score, {piece: score of the best path without it}) of the pieces of two or more characters, from one run.
+
+    ``ahead`` and ``behind`` are the best scores up to and from each place. A path without a piece that the word holds
+    once takes another token over the place where the piece starts. A piece that stands at several places has a run of
+    its own, as the path must avoid all of them.
+    """
+    n, edges = len(word), []
+    ahead: list[float | None] = [start_score] + [None] * n
+    behind: list[float | None] = [None] * n + [0.0]
+    back = [0] * (n + 1)
+    for start in range(n):
+        if ahead[start] is None:
+            continue
+        for end in range(start + 1, min(n, start + longest) + 1):
+            cost = scores.get(word[start:end])
+            if cost is not None:
+                edges.append((start, end, cost))
+                if ahead[end] is None or cost + ahead[start] < ahead[end]:
+                    ahead[end], back[end] = cost + ahead[start], start
+    if ahead[n] is None:
+        return None, None, {}
+    for start, end, cost in reversed(edges):
+        if behind[end] is not None and (behind[start] is None or cost + behind[end] < behind[start]):
+            behind[start] = cost + behind[end]
+    spans, end = [], n
+    while end > 0:
+        spans.append((back[end], end))
+        end = back[end]
+    spans.reverse()
+    pieces = [word[a:b] for a, b in spans]
+    longer = [(a, b) for a, b in spans if b - a > 1]
+    starts, best = [a for a, _ in longer], [None] * len(longer)
+    for start, end, cost in edges:
+        if behind[end] is not None:
+            whole = ahead[start] + cost + behind[end]
+            for k in range(bisect_left(starts, start), bisect_left(starts, end)):
+                if longer[k] != (start, end) and (best[k] is None or whole < best[k]):
+                    best[k] = whole
+    without = {}
+    for (a, b), score in zip(longer, best):
+        piece = word[a:b]
+        if piece not in without:
+            once = word.find(piece, word.find(piece) + 1) < 0
+            without[piece] = score if once else _viterbi(word, scores, longest, start_score, piece)[1]
+    return pieces, ahead[n], without
+
+
+def _viterbi_row(word: str, scores: dict[str, float], longest: int, start_score: float, unknown: str, removals: bool) -> dict:
+    if not removals:
+        pieces, score = _viterbi(word, scores, longest, start_score)
+        return {"pieces": pieces or [unknown], "score": score}
+    pieces, score, without = _viterbi_removals(word, scores, longest, start_score)
+    return {"pieces": pieces or [unknown], "score": score, "without": [{"token": t, "score": s} for t, s in sorted(without.items())]}
+
+
+def _viterbi_fields(removals: bool) -> tuple[str, pa.DataType]:
+    fields = [("pieces", pa.list_(pa.string())), ("score", pa.float64())]
+    returns = "pieces array<string>, score double"
+    if removals:
+        fields.append(("without", pa.list_(pa.struct([("token", pa.string()), ("score", pa.float64())]))))
+        returns += ", without array<struct<token: string, score: double>>"
+    return returns, pa.struct(fields)
+
+
 def viterbi_words(words: DataFrame, scores: dict[str, float], start_score: float = 1.0, unknown: str = "<unk>",
                   removals: bool = False) -> DataFrame:
     """Add ``pieces`` and ``score`` to a table of distinct words.
@@ -132,29 +199,34 @@ def viterbi_words(words: DataFrame, scores: dict[str, float], start_score: float
     """
     shared = words.sparkSession.sparkContext.broadcast(scores)
     longest = max((len(t) for t in scores), default=1)
-    without_type = pa.list_(pa.struct([("token", pa.string()), ("score", pa.float64())]))
-
-    def one(word: str) -> dict:
-        pieces, score = _viterbi(word, shared.value, longest, start_score)
-        row = {"pieces": pieces or [unknown], "score": score}
-        if removals:
-            multi = sorted({p for p in pieces or [] if len(p) > 1})
-            row["without"] = [{"token": p, "score": _viterbi(word, shared.value, longest, start_score, p)[1]} for p in multi]
-        return row
-
-    fields = [("pieces", pa.list_(pa.string())), ("score", pa.float64())]
-    returns = "pieces array<string>, score double"
-    if removals:
-        fields.append(("without", without_type))
-        returns += ", without array<struct<token: string, score: double>>"
+    returns, kind = _viterbi_fields(removals)
 
     @F.arrow_udf(returns)
     def code(batch: pa.Array) -> pa.Array:
-        return pa.array([one(w) for w in batch.to_pylist()], pa.struct(fields))
+        return pa.array([_viterbi_row(w, shared.value, longest, start_score, unknown, removals) for w in batch.to_pylist()], kind)
 
     return words.withColumn("_coded", code(F.col("word"))).select("*", "_coded.*").drop("_coded")
 
 
+def viterbi_words_join(words: DataFrame, model: DataFrame, start_score: float = 1.0, unknown: str = "<unk>", removals: bool = False) -> DataFrame:
+    """``viterbi_words`` for a ``model(token, neg_log_p)`` of any size: each word meets the tokens that it holds in a join."""
+    returns, kind = _viterbi_fields(removals)
+    keyed = words.withColumn("_key", F.md5("word"))
+    entries = model.select(F.col("token").alias("_token"), F.struct("token", "neg_log_p").alias("_entry"))
+    found = _found_entries(keyed.select("_key", F.col("word").alias("_word")), entries)
+
+    @F.arrow_udf(returns)
+    def code(batch: pa.Array, local: pa.Array) -> pa.Array:
+        rows = []
+        for word, own in zip(batch.to_pylist(), local.to_pylist()):
+            scores = {e["token"]: e["neg_log_p"] for e in own or []}
+            rows.append(_viterbi_row(word, scores, max(map(len, scores), default=1), start_score, unknown, removals))
+        return pa.array(rows, kind)
+
+    coded = keyed.join(found, "_key", "left").withColumn("_coded", code("word", "_entries"))
+    return coded.select(*words.columns, "_coded.*")
+
+
 def encode_unigram(df: DataFrame, words: Column, model: DataFrame, start_score: float = 1.0, unknown: str = "<unk>",
                    out: str = "pieces") -> DataFrame:
     """Add ``out``: the most likely pieces of every word under ``model(token, neg_log_p)``."""
@@ -174,6 +246,17 @@ def encode_unigram(df: DataFrame, words: Column, model: DataFrame, start_score:
 CHUNK = 256
 
 
+def _found_entries(distinct: DataFrame, entries: DataFrame) -> DataFrame:
+    """_key, _entries: the entries whose ``_token`` is a substring of the word, for ``distinct(_key, _word)``."""
+    longest = entries.agg(F.max(F.length("_token"))).first()[0] or 1  # a plan inside the lambdas below is not allowed
+    at = F.sequence(F.lit(1), F.greatest(F.length("_word"), F.lit(1)), F.lit(CHUNK))
+    chunks = distinct.select("_key", F.explode(F.transform(at, lambda i: F.substring("_word", i, F.lit(CHUNK - 1 + longest)))).alias("_chunk"))
+    starts = chunks.select("_key", "_chunk", F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("_chunk"), F.lit(CHUNK)), F.lit(1)))).alias("_at"))
+    ends = F.least(F.lit(longest), F.length("_chunk") - F.col("_at") + 1)
+    parts = starts.select("_key", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(ends, F.lit(1))), lambda n: F.substring("_chunk", F.col("_at"), n))).alias("_token"))
+    return parts.distinct().join(entries, "_token").groupBy("_key").agg(F.collect_set("_entry").alias("_entries"))
+
+
 def _encode_join(df: DataFrame, id_col: str, words: Column, entries: DataFrame, encode, unknown: list[str], out: str) -> DataFrame:
     """id_col, ``out``: pieces per word, each word encoded by ``encode(word, entries found in it)``.
 
@@ -181,15 +264,9 @@ def _encode_join(df: DataFrame, id_col: str, words: Column, entries: DataFrame,
     cut into substrings no longer than the longest token; these meet the entries in a shuffle join under the word's
     digest, so a long word is not copied. A word's entries are at most its substrings or the vocabulary.
     """
-    longest = entries.agg(F.max(F.length("_token"))).first()[0] or 1  # a plan inside the lambdas below is not allowed
     placed = df.select(id_col, F.posexplode_outer(words).alias("_pos", "_word")).withColumn("_key", F.md5("_word"))
     distinct = placed.filter("_key IS NOT NULL").groupBy("_key").agg(F.first("_word").alias("_word"))
-    at = F.sequence(F.lit(1), F.greatest(F.length("_word"), F.lit(1)), F.lit(CHUNK))
-    chunks = distinct.select("_key", F.explode(F.transform(at, lambda i: F.substring("_word", i, F.lit(CHUNK - 1 + longest)))).alias("_chunk"))
-    starts = chunks.select("_key", "_chunk", F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("_chunk"), F.lit(CHUNK)), F.lit(1)))).alias("_at"))
-    ends = F.least(F.lit(longest), F.length("_chunk") - F.col("_at") + 1)
-    parts = starts.select("_key", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(ends, F.lit(1))), lambda n: F.substring("_chunk", F.col("_at"), n))).alias("_token"))
-    found = parts.distinct().join(entries, "_token").groupBy("_key").agg(F.collect_set("_entry").alias("_entries"))
+    found = _found_entries(distinct, entries)
 
     @F.arrow_udf("array<string>")
     def code(batch: pa.Array, local: pa.Array) -> pa.Array:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
 from . import vocab
-from .encoding import MAX_BROADCAST_TOKENS, viterbi_words
+from .encoding import MAX_BROADCAST_TOKENS, viterbi_words, viterbi_words_join
 from .merging import Runs, ScoredWords, apply_merges, cut_runs
 
 # Two code points that Unicode keeps out of text.
@@ -267,7 +267,11 @@ def unigram_losses(words: DataFrame, scores: dict[str, float]) -> DataFrame:
     that have no path without it. The sum is a decimal, so that it does not depend on
     the order of the rows.
     """
-    coded = viterbi_words(words.select("word", "freq"), scores, removals=True)
+    plain = words.select("word", "freq")
+    if len(scores) <= MAX_BROADCAST_TOKENS:
+        coded = viterbi_words(plain, scores, removals=True)
+    else:
+        coded = viterbi_words_join(plain, cut_lineage(score_table(words.sparkSession, scores)), removals=True)
     drops = coded.select("freq", "score", F.explode("without").alias("w"))
     change = (F.col("freq") * (F.col("w.score") - F.col("score"))).cast("decimal(38,10)")
     return drops.groupBy(F.col("w.token").alias("token")).agg(
@@ -280,8 +284,6 @@ def train_unigram(freqs: DataFrame, vocab_size: int = 100, seed_size: int = 300,
     The loop holds the vocabulary, whose size is bounded by ``seed_size`` and the
     alphabet. Frequencies stay fixed; single characters are never pruned.
     """
-    if seed_size > MAX_BROADCAST_TOKENS:
-        raise ValueError("seed_size is larger than a vocabulary that can be sent to every task")
     words = cut_lineage(vocab.rank_words(freqs), freqs.sparkSession.sparkContext.defaultParallelism)
     seed = vocab.subword_topn(words, seed_size).collect()
     chars = sorted((r for r in seed if len(r.token) == 1), key=lambda r: r.first)

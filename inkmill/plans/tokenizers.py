@@ -287,6 +287,53 @@ def merge_pair(spark, d):
     return training.merge_pair(splits, best.left, best.right).select("word", t.joined("syms").alias("syms"))
 
 
+# Training to full sizes; SQL would unroll thousands of rounds, so tests hold these against one merge at a time.
+
+@query("train_bpe_25k")
+def train_bpe_25k(spark, d):
+    """A vocabulary of 25,000, or as many as the corpus has merges for."""
+    _, merges = training.train_bpe(byte_words(spark, d), vocab_size=25_000)
+    return training.merge_table(spark, merges)
+
+
+@query("train_wordpiece_500")
+def train_wordpiece_500(spark, d):
+    _, merges = training.train_wordpiece(bert_words(spark, d), n_merges=500)
+    return training.merge_table(spark, merges)
+
+
+@query("train_unigram_100")
+def train_unigram_100(spark, d):
+    """Pruned to 100 tokens; characters stay, also where they are more."""
+    return training.score_table(spark, training.train_unigram(space_words(spark, d), vocab_size=100, seed_size=300))
+
+
+@query("corpus_loss_unigram")
+def corpus_loss_unigram(spark, d):
+    """The loss of the corpus under a trained model, by the best path of each distinct word."""
+    words = cut_lineage(space_words(spark, d))
+    scores = training.train_unigram(words, vocab_size=200, seed_size=300)
+    return training.corpus_loss(encoding.viterbi_words(words, scores)).select(F.round("loss", 2).alias("loss"))
+
+
+@query("train_from_corpus_52k")
+def train_from_corpus_52k(spark, d):
+    """Mean number of tokens a document before and after training to a vocabulary of 52,000."""
+    words = cut_lineage(byte_words(spark, d))
+    _, merges = training.train_bpe(words, vocab_size=52_000)
+    coded = encoding.encode_bpe(words.withColumn("w", F.array("word")), F.col("w"), training.merge_table(spark, merges))
+    n_docs = t.documents(spark, d).agg(F.count("*")).scalar()
+    return coded.agg(F.round(F.sum(F.col("freq") * F.length("word")) / n_docs, 6).alias("old_tokens"),
+                     F.round(F.sum(F.col("freq") * F.size(F.flatten("pieces"))) / n_docs, 6).alias("new_tokens"))
+
+
+@query("encode_bpe_trained")
+def encode_bpe_trained(spark, d):
+    """Every document by the merges of a vocabulary of 25,000 trained on all of them."""
+    _, merges = training.train_bpe(byte_words(spark, d), vocab_size=25_000)
+    return _flat(encoding.encode_bpe(t.spread_documents(spark, d), P.pretok_bytelevel("text"), training.merge_table(spark, merges)))
+
+
 # Encoding.
 
 N_RULES = 40
