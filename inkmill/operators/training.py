@@ -27,7 +27,7 @@ OPEN, CLOSE = "\ufdd0", "\ufdd1"
 # Pairs looked at per round when merges that share no symbol are taken at once.
 CANDIDATES = 64
 # Pairs whose runs the first round of byte-pair training looks at, and symbols of runs on the driver.
-FREQUENT_PAIRS = 1024
+FREQUENT_PAIRS = 128
 MAX_SYMBOLS = 1_000_000
 # Pairs whose words the first round of training by scores looks at.
 SCORED_PAIRS = 256
