@@ -11,12 +11,16 @@ from __future__ import annotations
 import os
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 CLOSE_BLANKS = regex.compile(r"\s (?:\s|\Z)")
 CACHED = 300_000  # entries of one generation of a worker's cache, the frequent ones not counted
+LONGEST_CACHED = 64  # characters; longer pieces are encoded each time, so that a cache is bounded in bytes too
 
 
 def _spelling() -> dict[int, str]:
@@ -45,7 +49,7 @@ class Cache(dict):
     """A dictionary that computes what is missing, bounded to two generations of ``limit`` entries.
 
     A full generation becomes the old one; entries of the old one come back when they are asked for again, so what is
-    frequent stays. Entries of ``frequent`` always stay.
+    frequent stays. Entries of ``frequent`` always stay, keys of more than ``LONGEST_CACHED`` characters never do.
     """
 
     def __init__(self, compute, frequent: dict | None = None, limit: int = CACHED):
@@ -53,6 +57,8 @@ class Cache(dict):
         self.compute, self.frequent, self.most, self.old = compute, frequent or {}, limit + len(frequent or {}), {}
 
     def __missing__(self, key):
+        if len(key) > LONGEST_CACHED:
+            return self.compute(key)
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
@@ -107,6 +113,36 @@ class Encoder:
             return self._plain(text)
         return b"".join([self.specials.get(part) or self._plain(part) for part in self.split.split(text)])
 
+    def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text ends in them).
+
+        The texts are cut at spaces and their distinct pieces found outside Python; each distinct piece is looked up
+        once a batch. What ``encode`` does not cut at spaces goes through it as a whole.
+        """
+        whole = [not t or CLOSE_BLANKS.search(t) is not None or any(s in t for s in self.specials) for t in texts]
+        lists = pc.split_pattern(pa.array([t for t, w in zip(texts, whole) if not w], pa.string()), " ")
+        pieces = lists.flatten().dictionary_encode()
+        words, index = pieces.dictionary.to_pylist(), pieces.indices.to_numpy().astype(np.int64)
+        codes = list(map(self.spaced.__getitem__, words))
+        starts = lists.offsets.to_numpy()[:-1]
+        firsts = [self._piece(words[i]) for i in index[starts]]
+        index[starts] = len(codes) + np.arange(len(firsts))
+        whole = np.array(whole, bool)
+        counts = np.ones(len(texts), np.int64)
+        counts[~whole] = lists.value_lengths().to_numpy()
+        ends = np.cumsum(counts)
+        at, is_piece = ends[whole] - 1, np.ones(int(counts.sum()), bool)
+        is_piece[at] = False
+        full = np.empty(len(is_piece), np.int64)
+        full[is_piece], full[at] = index, len(codes) + len(firsts) + np.arange(len(at))
+        codes += firsts + [self.encode(t) for t, w in zip(texts, whole) if w]
+        lengths = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        begins = np.cumsum(lengths) - lengths
+        n = lengths[full]
+        to = np.cumsum(n)
+        ids = np.frombuffer(b"".join(codes), "<i4")[np.repeat(begins[full] - (to - n), n) + np.arange(int(n.sum()))]
+        return ids, np.concatenate([[0], to])[ends]
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:

@@ -205,3 +205,35 @@ def test_negatives_large_components(spark):
     assert _sorted(got) == _sorted(brute.hard_negatives(rows, lambda r: r[0] == 0))
     with pytest.raises(Exception, match="does not fit"):
         hard_negatives.mine_hard_negatives(spark.createDataFrame([(0, 0, [1 << 40]), (1, 0, [1 << 40])], table.schema), F.col("vec_id") == 0).collect()
+
+
+# Token files.
+
+def test_encode_batch(documents):
+    """Batches give what single texts give, special strings, blanks beside spaces and empty texts included."""
+    from inkmill.llm.byte_level import Encoder
+
+    texts = [t for _, t in ODD] + [t for _, t in documents] + ["<|endoftext|> a <|endoftext|>", " a", "a ", "a  b \n c", "\n", None, "x", "it's 12½ don't "]
+    own, alone = Encoder(BYTE), Encoder(BYTE, limit=50)
+    ids, ends = own.encode_batch(texts)
+    assert [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)] == [alone.encode(t) for t in texts]
+    assert own.encode_batch([])[1].tolist() == []
+    assert max(map(len, own.spaced)) <= 64 and max(map(len, own.tokens)) <= 64
+
+
+def test_token_starts_of_repeated_ids(spark, tmp_path):
+    """The ids before a row in its file are those that its start counts."""
+    from inkmill.llm import token_files
+
+    rows = [(1, "word " * n) for n in (5, 3, 2, 1, 6, 4)] + [(0, "a"), (None, "b c"), (2, None)]
+    token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "ids"), BYTE)
+    files = token_files.read_token_files(spark, str(tmp_path / "ids"))
+    stream = [i for r in sorted(files.collect(), key=lambda r: (r.part, r.place)) for i in r.tokens]
+    got = token_files.add_starts(token_files.describe_token_files(files)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        import zlib
+
+        own = stream[r.start:r.start + r.n_tokens]
+        assert own[-1] == 0 and zlib.crc32(np.array(own, "<u4").tobytes()) == r.ids_crc32
+    assert sorted(r.start for r in got) == sorted(np.cumsum([0, *[r.n_tokens for r in sorted(got, key=lambda r: r.start)]])[:-1])
