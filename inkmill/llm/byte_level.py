@@ -20,6 +20,7 @@ from tokenizers import Tokenizer
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 CLOSE_BLANKS = regex.compile(r"\s (?:\s|\Z)")
 CACHED = 300_000  # entries of one generation of a worker's cache, the frequent ones not counted
+MARKS = ".,"  # marks that stand alone behind letters
 LONGEST_CACHED = 64  # characters; longer pieces are encoded each time, so that a cache is bounded in bytes too
 
 
@@ -62,12 +63,15 @@ class Cache(dict):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
             self.update(self.frequent)
         self[key] = value
-        return value
 
 
 class Encoder:
@@ -91,7 +95,7 @@ class Encoder:
         """A piece behind a space; letters alone, or with one mark after them, need no pattern."""
         if word.isalpha():
             return self.tokens[" " + word]
-        if word[:-1].isalpha() and word[-1] in ".,":
+        if word[:-1].isalpha() and word[-1] in MARKS:
             return self.tokens[" " + word[:-1]] + self.tokens[word[-1]]
         return self._piece(" " + word)
 
@@ -113,6 +117,32 @@ class Encoder:
             return self._plain(text)
         return b"".join([self.specials.get(part) or self._plain(part) for part in self.split.split(text)])
 
+    def _spaced_batch(self, words: list[str]) -> list[bytes]:
+        """The codes of distinct pieces behind a space; words of letters that are not cached are spelled together."""
+        codes = list(map(self.spaced.get, words))
+        bare = [w if w.isalpha() else w[:-1] if w[-1:] in MARKS and w[:-1].isalpha() else None for w, c in zip(words, codes) if c is None]
+        new = [w for w in dict.fromkeys(bare) if w is not None and w not in self.spaced]
+        known = {w: c for w in new if (c := self.spaced.old.get(w)) is not None}
+        fresh = [w for w in new if w not in known]
+        # A line end is no letter, so its spelling parts the words.
+        spelled = spell("\n".join([" " + w for w in fresh])).split(SPELLING[10]) if fresh else []
+        tokenize = self.model.tokenize
+        known.update((w, b"".join([t.id.to_bytes(4, "little") for t in tokenize(s)])) for w, s in zip(fresh, spelled))
+        marks = {m: self.tokens[m] for m in MARKS}
+        bare_of = iter(bare)
+        for k, code in enumerate(codes):
+            if code is None:
+                word, whole = next(bare_of), words[k]
+                if word is None:
+                    codes[k] = self._piece(" " + whole)
+                else:
+                    code = known.get(word) or self.spaced[word]
+                    codes[k] = code if word is whole else code + marks[whole[-1]]
+        for word, code in known.items():
+            if len(word) <= LONGEST_CACHED:
+                self.spaced.put(word, code)
+        return codes
+
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text ends in them).
 
@@ -123,7 +153,7 @@ class Encoder:
         lists = pc.split_pattern(pa.array([t for t, w in zip(texts, whole) if not w], pa.string()), " ")
         pieces = lists.flatten().dictionary_encode()
         words, index = pieces.dictionary.to_pylist(), pieces.indices.to_numpy().astype(np.int64)
-        codes = list(map(self.spaced.__getitem__, words))
+        codes = self._spaced_batch(words)
         starts = lists.offsets.to_numpy()[:-1]
         firsts = [self._piece(words[i]) for i in index[starts]]
         index[starts] = len(codes) + np.arange(len(firsts))
