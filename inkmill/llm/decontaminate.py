@@ -66,26 +66,41 @@ def _formed(df: DataFrame) -> DataFrame:
         _f=F.transform("_v", lambda v, i: F.when(v < JOIN, mark(v)).otherwise(F.get("_l", i))),
         _o=F.transform("_v", lambda v, i: F.when(v < START, mark(v)).otherwise(F.get("_l", i))),
         _t=F.transform("_v", lambda v, i: F.when(v < JOIN, mark(v)).when(v < "\x06", F.xxhash64(F.lit(NAME))).otherwise(F.get("_l", i))),
-        _q=F.filter(F.transform("_v", lambda v, i: F.when(v < JOIN, i)), lambda i: i.isNotNull()))
+        _q=F.filter(F.transform("_v", lambda v, i: F.when(v < JOIN, i)), lambda i: i.isNotNull()),
+        _names=F.filter(F.transform("_v", lambda v, i: F.when((v > JOIN) & (v < START), i)), lambda i: i.isNotNull()),
+        _starts=F.filter(F.transform("_v", lambda v, i: F.when((v >= START) & (v < "\x06"), i)), lambda i: i.isNotNull()))
 
 
 def _hashed(tokens: str, starts: Column, length: int) -> Column:
-    return F.transform(starts, lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(length)], F.lit(length)))
+    return F.transform(starts, lambda i: F.struct(i.alias("dpos"), F.xxhash64(*[F.get(tokens, i + k) for k in range(length)], F.lit(length)).alias("h")))
+
+
+def _over(places: str, last: Column, length: int) -> Column:
+    """Starts of the windows over any of these ascending places; a window is listed at its first place."""
+    def starts(p: Column, j: Column) -> Column:
+        low, high = F.greatest(p - length + 1, F.coalesce(F.get(places, j - 1) + 1, F.lit(0))), F.least(p, last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.flatten(F.transform(places, starts))
 
 
 def _window_rows(df: DataFrame, length: int) -> DataFrame:
-    """_key, dpos, h of all windows of ``length`` tokens in three forms, of those full of slots with values too."""
+    """_key, dpos, h of all windows of ``length`` tokens, folded; the other forms only where they differ.
+
+    Windows over a name inside a sentence have their own form with names as marks, those over a sentence start that
+    with all names as marks; windows full of slots also have their values.
+    """
     none, last, least = F.array().cast("array<int>"), F.size("_t") - length, length // 2 + 1
     # From the places of the slots: a window holds too many if it spans ``least`` that follow each other.
     ends = F.transform(F.sequence(F.lit(0), F.size("_q") - least), lambda j: F.struct(F.get("_q", j).alias("a"), F.get("_q", j + least - 1).alias("b")))
     low, high = (lambda e: F.greatest(e["b"] - length + 1, F.lit(0))), (lambda e: F.least(e["a"], last))
     full = F.array_distinct(F.flatten(F.transform(ends, lambda e: F.when(low(e) <= high(e), F.sequence(low(e), high(e))).otherwise(none))))
-    df = compute_once(df.filter(last >= 0), _full=F.when(F.size("_q") >= least, full).otherwise(none))
-    starts = F.sequence(F.lit(0), last)
-    forms = [_hashed(name, starts, length) for name in ("_t", "_o", "_f")]
-    df = compute_once(df, "_full", _n=last + 1, _h=F.concat(*forms, _hashed("_l", F.col("_full"), length)))
-    df = df.select("_key", "_n", "_full", F.posexplode("_h").alias("_p", "h"))
-    return df.select("_key", F.when(F.col("_p") < 3 * F.col("_n"), F.col("_p") % F.col("_n")).otherwise(F.get("_full", F.col("_p") - 3 * F.col("_n"))).alias("dpos"), "h")
+    df = compute_once(df.filter(last >= 0), _full=F.when(F.size("_q") >= least, full).otherwise(none), _inner=_over("_names", last, length),
+                      _first=_over("_starts", last, length))
+    forms = [_hashed("_f", F.sequence(F.lit(0), last), length), _hashed("_o", F.col("_inner"), length), _hashed("_t", F.col("_first"), length),
+             _hashed("_l", F.col("_full"), length)]
+    df = compute_once(df, "_full", "_inner", "_first", _w=F.concat(*forms))
+    return df.select("_key", F.inline("_w"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -181,7 +196,9 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW
     values = values.select("item_id", places.alias("slots"))
     slotted = _enough(lines.join(values, lines["item_id"].eqNullSafe(values["item_id"])).drop(values["item_id"]))
     open_ = slotted.filter(F.size("slots") > 0)
-    texts = keyed.join(open_.select("_key").distinct(), "_key", "left_semi").groupBy("_key").agg(F.first("_text").alias("_text"))
+    # Written first, so that its size is known and the texts need no shuffle to meet few keys.
+    wanted = cut_lineage(open_.select("_key").distinct())
+    texts = keyed.join(wanted, "_key", "left_semi").groupBy("_key").agg(F.first("_text").alias("_text"))
     valued = compute_once(texts, _dv=_tokens(F.col("_text"))).drop("_text")
     pairs = F.transform("slots", lambda s: F.struct(s["i"].alias("at"), _plain(s["v"]).alias("i"), _plain(F.get("_dv", s["i"] + F.col("shift"))).alias("d")))
     checked = compute_once(open_.join(valued, "_key"), pairs=pairs).drop("_dv")
