@@ -71,8 +71,30 @@ def _formed(df: DataFrame) -> DataFrame:
         _starts=F.filter(F.transform("_v", lambda v, i: F.when((v >= START) & (v < "\x06"), i)), lambda i: i.isNotNull()))
 
 
+def _window_hash(tokens: str, at: Column, length: int) -> Column:
+    """The hash of ``length`` tokens from a place on, of the hashes of its two halves; halves of other lengths than a power of two overlap."""
+    half = 1 << (length - 1).bit_length() >> 1
+    if length == 1:
+        return F.xxhash64(F.get(tokens, at))
+    return F.xxhash64(_window_hash(tokens, at, half), _window_hash(tokens, at + (length - half), half))
+
+
 def _hashed(tokens: str, starts: Column, length: int) -> Column:
-    return F.transform(starts, lambda i: F.struct(i.alias("dpos"), F.xxhash64(*[F.get(tokens, i + k) for k in range(length)], F.lit(length)).alias("h")))
+    return F.transform(starts, lambda i: F.struct(i.alias("dpos"), _window_hash(tokens, i, length).alias("h")))
+
+
+def _all_hashed(df: DataFrame, tokens: str, length: int, out: str) -> DataFrame:
+    """Adds what ``_window_hash`` gives for every start: hashes of 1, 2, 4 .. tokens are each made once, from those before."""
+    def doubled(step: int) -> Column:
+        return F.transform(out, lambda h, i: F.xxhash64(h, F.get(out, i + step)))
+
+    df, width = compute_once(df, **{out: F.transform(tokens, lambda v: F.xxhash64(v))}), 1
+    while width < length:
+        step = min(width, length - width)
+        df = compute_once(df, **{out: doubled(step)})
+        width += step
+    starts = F.slice(out, F.lit(1), F.greatest(F.size(tokens) - length + 1, F.lit(0)))
+    return compute_once(df, **{out: F.transform(starts, lambda h, i: F.struct(i.alias("dpos"), h.alias("h")))})
 
 
 def _over(places: str, last: Column, length: int) -> Column:
@@ -97,9 +119,10 @@ def _window_rows(df: DataFrame, length: int) -> DataFrame:
     full = F.array_distinct(F.flatten(F.transform(ends, lambda e: F.when(low(e) <= high(e), F.sequence(low(e), high(e))).otherwise(none))))
     df = compute_once(df.filter(last >= 0), _full=F.when(F.size("_q") >= least, full).otherwise(none), _inner=_over("_names", last, length),
                       _first=_over("_starts", last, length))
-    forms = [_hashed("_f", F.sequence(F.lit(0), last), length), _hashed("_o", F.col("_inner"), length), _hashed("_t", F.col("_first"), length),
+    df = _all_hashed(df, "_f", length, "_all")
+    forms = [F.col("_all"), _hashed("_o", F.col("_inner"), length), _hashed("_t", F.col("_first"), length),
              _hashed("_l", F.col("_full"), length)]
-    df = compute_once(df, "_full", "_inner", "_first", _w=F.concat(*forms))
+    df = compute_once(df, "_full", "_inner", "_first", "_all", _w=F.concat(*forms))
     return df.select("_key", F.inline("_w"))
 
 
@@ -120,7 +143,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: in
     def hashed(tokens: str) -> Column:
         out = F.xxhash64(F.lit(0))
         for length in range(1, window + 1):
-            out = F.when(F.col("length") == length, F.xxhash64(*[F.get(tokens, F.lit(k)) for k in range(length)], F.lit(length))).otherwise(out)
+            out = F.when(F.col("length") == length, _window_hash(tokens, F.lit(0), length)).otherwise(out)
         return out
 
     def light(below: str) -> Column:
