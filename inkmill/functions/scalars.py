@@ -45,7 +45,3 @@ def perplexity(loss: ColumnOrName) -> Column:
 def token_perplexity(total_loss: ColumnOrName, n_tokens: ColumnOrName) -> Column:
     """Aggregate: exp of the token-weighted mean loss."""
     return F.exp(F.sum(_col(total_loss)) / F.sum(_col(n_tokens)))
-
-
-def floor_share(fraction: float, n: Column) -> Column:
-    return F.floor(F.lit(fraction) * n).cast("bigint")

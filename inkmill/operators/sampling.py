@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.scalars import floor_share
 from .ordering import shuffled_row_number
+from .selection import label_places
 
 
 def shuffle_seeded(df: DataFrame, id_col: str, seed: int, out: str = "position") -> DataFrame:
@@ -14,28 +16,22 @@ def shuffle_seeded(df: DataFrame, id_col: str, seed: int, out: str = "position")
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
-    """Exactly the first n rows of the seeded permutation, in no order."""
-    return shuffled_row_number(df, id_col, seed, out="_rn").filter(F.col("_rn") <= n).drop("_rn")
-
-
-def _label(ranked: DataFrame, train_until, test_until, names: tuple[str, str]) -> DataFrame:
-    split = F.when(F.col("_rn") <= train_until, names[0]).when(F.col("_rn") <= test_until, names[1])
-    return ranked.withColumn("split", split).filter("split is not null").drop("_rn")
+    """Exactly the first n rows of the seeded permutation, in no order. Counts keys at once; no row is shuffled."""
+    return label_places(df, id_col, seed, lambda total: [(n, "in")], "_in").filter("_in IS NOT NULL").drop("_in")
 
 
 def train_test_split_frac(df: DataFrame, id_col: str, train_size: float, seed: int,
                           names: tuple[str, str] = ("train", "test")) -> DataFrame:
-    """Exact split: floor(train_size * n) rows for training, the rest for testing."""
-    total = df.agg(F.count("*")).scalar()
-    ranked = shuffled_row_number(df, id_col, seed, out="_rn")
-    return _label(ranked, floor_share(train_size, total), total, names)
+    """Exact split: floor(train_size * n) rows for training, the rest for testing. Counts keys at once; no row is shuffled."""
+    return label_places(df, id_col, seed, lambda total: [(math.floor(train_size * total), names[0]), (total, names[1])], "split")
 
 
 def train_test_split_abs(df: DataFrame, id_col: str, n_train: int, n_test: int, seed: int,
                          names: tuple[str, str] = ("train", "test")) -> DataFrame:
-    """Absolute sizes; rows beyond both are left out, too few rows are an error."""
-    total = df.agg(F.count("*")).scalar()
-    ranked = shuffled_row_number(df, id_col, seed, out="_rn")
-    checked = ranked.withColumn("_rn", F.when(total >= n_train + n_test, F.col("_rn")).otherwise(
-        F.raise_error(F.lit("fewer rows than train and test need")).cast("bigint")))
-    return _label(checked, F.lit(n_train), F.lit(n_train + n_test), names)
+    """Absolute sizes; rows beyond both are left out where they are scanned, too few rows are an error at once."""
+    def parts(total: int) -> list[tuple[int, str]]:
+        if total < n_train + n_test:
+            raise ValueError("fewer rows than train and test need")
+        return [(n_train, names[0]), (n_train + n_test, names[1])]
+
+    return label_places(df, id_col, seed, parts, "split").filter("split IS NOT NULL")

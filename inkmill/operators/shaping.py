@@ -6,10 +6,12 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.text import contains_any, word_count
 from ..session import spread
 from .ordering import global_row_number
+from .selection import rows_between
 
 
 def keep_columns(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -62,7 +64,13 @@ def value_counts_topn(df: DataFrame, column: str, n: int = 20) -> DataFrame:
 
 
 def row_slice(df: DataFrame, order_col: str, start: int, stop: int) -> DataFrame:
-    """Rows ``[start:stop]`` in the order of a unique numeric column, cut by row number; in no order."""
+    """Rows ``[start:stop]`` in the order of a unique numeric column; in no order.
+
+    Whole numbers are cut by counting keys, without a shuffle of rows; with fractions or a null, rows are numbered.
+    """
+    whole = isinstance(df.schema[order_col].dataType, IntegralType)
+    if whole and df.filter(F.col(order_col).isNull()).isEmpty():
+        return rows_between(df, order_col, start, stop)
     ranked = global_row_number(df, order_col, out="_rn")
     return ranked.filter((F.col("_rn") > start) & (F.col("_rn") <= stop)).drop("_rn")
 
