@@ -7,7 +7,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions import arrays as A, pretok as P, text as T
 from ..functions.scalars import uniform
-from ..operators import knn, metrics, predict, vocab as vocab_ops
+from ..operators import cells, knn, metrics, predict, vocab as vocab_ops
 from . import tables as t
 from .example_sets import _WORDS
 from .registry import query
@@ -222,10 +222,19 @@ def knn_cosine(spark, d):
     return _shown(knn.knn_exact(t.read(spark, d, "embeddings"), centroids(spark, d), 5, "cosine"))
 
 
-@query("knn_blocked", SQL_NEAREST.format(sign="", order="", scores="""
+SQL_NEIGHBOURS = SQL_NEAREST.format(sign="", order="", scores="""
   SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(a.v, lambda x, i: (x - b.v[i]) * (x - b.v[i]))) AS score
-  FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) a JOIN (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) b ON a.vec_id <> b.vec_id"""))
+  FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) a JOIN (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) b ON a.vec_id <> b.vec_id""")
+
+
+@query("knn_blocked", SQL_NEIGHBOURS)
 def knn_blocked(spark, d):
     base = t.read(spark, d, "embeddings")
     found = knn.knn_blocked(base, base.select(F.col("vec_id").alias("query_id"), "embedding"), 5, exclude_self=True, block_rows=200)
     return _shown(found)
+
+
+@query("knn_cells", SQL_NEIGHBOURS)
+def knn_cells(spark, d):
+    base = t.read(spark, d, "embeddings")
+    return _shown(cells.knn_cells(base, base.select(F.col("vec_id").alias("query_id"), "embedding"), 5, exclude_self=True))
