@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.once import compute_once
-from .common import without
+from .common import keeps_columns, without
 
 TURNS = "array<struct<role:string,text:string>>"
 END = "<|end|>\n"
@@ -73,6 +73,7 @@ def fingerprint(value: Column) -> Column:
     return F.xxhash64(shape)
 
 
+@keeps_columns("record")
 def canonical_turns(df: DataFrame, record: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Adds ``layout`` (name of the mapping) and ``turns``.
 
@@ -96,6 +97,7 @@ def unescape(text: Column) -> Column:
     return reduce(lambda t, e: F.replace(t, F.lit(e[1]), F.lit(e[0])), reversed(ESCAPES), text)
 
 
+@keeps_columns("turns")
 def format_turns(df: DataFrame, turns: str = "turns") -> DataFrame:
     """Adds ``formatted`` and ``loss_spans`` (start and length in code points of every assistant text).
 

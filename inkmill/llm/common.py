@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import inspect
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The white space that ends a word.
@@ -48,3 +52,31 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 def constant_array(values: list[int], kind: str) -> Column:
     """Numbers as one constant of the plan, folded once, in place of one expression per number."""
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns])
+
+
+def keeps_columns(*column_arguments: str) -> Callable:
+    """For an operator on a table whose helper columns start with ``_``: columns of such names in the table are kept.
+
+    They bear other names while the operator runs, also where one of ``column_arguments`` names them.
+    """
+    def decorate(operator: Callable) -> Callable:
+        signature = inspect.signature(operator)
+
+        @wraps(operator)
+        def run(df: DataFrame, *args, **options) -> DataFrame:
+            names = {c: f"__user{i}" for i, c in enumerate(df.columns) if c.startswith("_")}
+            if not names:
+                return operator(df, *args, **options)
+            call = signature.bind(_renamed(df, names), *args, **options)
+            given = call.arguments
+            for where in (given, given.get("options", {})):
+                where.update({a: names.get(where[a], where[a]) for a in column_arguments if a in where})
+            return _renamed(operator(*call.args, **call.kwargs), {new: old for old, new in names.items()})
+
+        return run
+
+    return decorate

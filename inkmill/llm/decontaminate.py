@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.once import compute_once
 from ..session import cut_lineage
-from .common import text_of, without
+from .common import keeps_columns, text_of
 
 WINDOW = 8
 MIN_TOKENS = 13
@@ -169,11 +169,11 @@ def _without_conflicts(df: DataFrame) -> DataFrame:
 
 
 def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_tokens: int = MIN_TOKENS, text_col: str = "text",
-                       broadcast_windows: int = BROADCAST_WINDOWS, mixed: bool = False) -> DataFrame:
+                       broadcast_windows: int = BROADCAST_WINDOWS, mixed: bool = True) -> DataFrame:
     """``_key`` (digest of the text), item_id, n_windows, n_tokens and verbatim of every text that holds an item.
 
     A text holds an item if at least ``min_tokens`` tokens of it (all of a shorter item) match on one diagonal with
-    consistent slots. With ``mixed``, inconsistent slots cost the windows over them, without it the whole diagonal.
+    consistent slots. Inconsistent slots cost the windows over them, without ``mixed`` the whole diagonal.
     ``verbatim`` is false if a slot has another value than in the item. Null and empty texts hold
     nothing; repeated texts are one key; null item ids are kept as an item of their own.
     """
@@ -217,11 +217,12 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, window: int = WINDOW
 def contaminated_documents(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per document and benchmark item it holds: doc_id, item_id, n_windows, n_tokens, verbatim."""
     hits = cut_lineage(find_contamination(df, benchmark, **options))
-    return df.select("doc_id", F.md5("text").alias("_key")).join(hits, "_key").drop("_key")
+    return df.select("doc_id", F.md5(options.get("text_col", "text")).alias("_key")).join(hits, "_key").drop("_key")
 
 
+@keeps_columns("text_col")
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that hold no benchmark item; null ids and repeated rows are judged by their text."""
     hits = cut_lineage(find_contamination(df, benchmark, **options).select("_key").distinct())
-    keyed = without(df, "_key").withColumn("_key", F.md5("text"))
+    keyed = df.withColumn("_key", F.md5(options.get("text_col", "text")))
     return keyed.join(hits, "_key", "left_anti").select(*df.columns)

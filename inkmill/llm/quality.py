@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.once import compute_once
-from .common import constant_array, squeezed, text_of, without, words
+from .common import constant_array, keeps_columns, squeezed, text_of, without, words
 
 BUCKETS = 1 << 16
 TRUSTED = 20_000  # labelled rows that make up the target, at most
@@ -62,6 +62,7 @@ def _covered(positions: str) -> Column:
     return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
 
+@keeps_columns("text_col")
 def quality_rules(df: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, n_buckets: int = BUCKETS,
                   trusted: int = TRUSTED, smoothing: float = SMOOTHING) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score and kept.

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .automaton import Automaton, compile_rules
-from .common import without
+from .common import keeps_columns, without
 
 MASK = "[SECRET]"
 PROBE = 4
@@ -133,6 +133,7 @@ def masked(text: str, spans: list[tuple[int, int, int]], mask: str) -> str:
     return "".join([*out, text[at:]])
 
 
+@keeps_columns("text_col")
 def scan_secrets(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, n_base: int = len(BASE)) -> DataFrame:
     """Adds n_<kind> of each base rule, base_sha256 and spans.
 

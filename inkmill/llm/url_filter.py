@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.once import compute_once
 from ..functions.text import html_unescape, strip
 from ..session import cut_lineage
-from .common import text_of, without
+from .common import keeps_columns, text_of, without
 from .components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -100,6 +100,7 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return each.select(address(F.col("_url")).alias("src"), address(full).alias("dst")).filter("src <> dst")
 
 
+@keeps_columns("url", "html")
 def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url", html: str = "html") -> DataFrame:
     """Adds host, path, rule (spelled, or null) and verdict (``allow`` or ``block``).
 

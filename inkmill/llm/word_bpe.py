@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .byte_level import SPELLING, Cache, spell
-from .common import without
+from .common import keeps_columns, without
 
 SHORT = 64
 CACHED = 120_000
@@ -140,6 +140,7 @@ def word_bpe(path: str, cached: int = CACHED) -> WordBpe:
 RESULT = "struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>"
 
 
+@keeps_columns("text_col")
 def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", keep_ids: bool = False, cached: int = CACHED) -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256, with ``keep_ids`` also ``ids`` and ``decoded``.
 

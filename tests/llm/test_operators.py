@@ -346,11 +346,13 @@ def test_decontaminate(spark, empty):
             (None, other), (9, BENCH[0][1][:60]), (2, other)]
     df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, h string")
     got = set(rows(decontaminate.contaminated_documents(df, bench), "doc_id", "item_id", "verbatim"))
-    assert got == {(1, 0, True), (2, 0, False), (None, 0, False), (4, 1, True), (5, None, True)}
+    assert got == {(1, 0, True), (2, 0, False), (3, 0, False), (None, 0, False), (4, 1, True), (5, None, True)}
     shuffled = set(rows(decontaminate.contaminated_documents(df, bench, broadcast_windows=0), "doc_id", "item_id", "verbatim"))
     assert shuffled == got
     kept = decontaminate.drop_contaminated(df, bench)
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [3, 6, 7, 8, 9]
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [6, 7, 8, 9]
+    strict = set(rows(decontaminate.contaminated_documents(df, bench, mixed=False), "doc_id", "item_id", "verbatim"))
+    assert strict == got - {(3, 0, False)}
     assert decontaminate.contaminated_documents(empty, bench).count() == 0
     assert decontaminate.contaminated_documents(df, bench.limit(0)).count() == 0
 
@@ -389,7 +391,7 @@ def test_decontaminate_conflicts(spark):
     """A slot with two values costs its own windows, a unit on one side only costs nothing."""
     texts = [MICE, MICE.replace("4 mice", "5 mice"), MICE.replace("4 cats", "6 cats").replace("4 mice", "5 mice"), PENS.replace("paid 5", "paid 5 dollars")]
     assert found_items(spark, [MICE, PENS], texts, mixed=True) == {(0, 0, True), (1, 0, False), (2, 0, False), (3, 1, False)}
-    assert found_items(spark, [MICE, PENS], texts) == {(0, 0, True), (3, 1, False)}
+    assert found_items(spark, [MICE, PENS], texts, mixed=False) == {(0, 0, True), (3, 1, False)}
     short = "4 cats eat 4 mice every day"
     assert found_items(spark, [short], ["4 cats eat 5 mice every day", "6 cats eat 6 mice every day"], mixed=True) == {(1, 0, False)}
 
