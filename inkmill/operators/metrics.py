@@ -177,17 +177,30 @@ def _lcs(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def lcs_positions(ref: np.ndarray, pred: np.ndarray) -> set[int]:
-    """Positions in ``ref`` of one longest common subsequence with ``pred``; a row of the table is one vector step."""
-    table = np.zeros((len(ref) + 1, len(pred) + 1), dtype="int32")
-    for i, token in enumerate(ref, 1):
-        step = np.where(pred == token, table[i - 1, :-1] + 1, table[i - 1, 1:])
-        table[i, 1:] = np.maximum.accumulate(step)
+    """Positions in ``ref`` of one longest common subsequence with ``pred``.
+
+    Of the table of lengths one number per row is kept: bit j is free where its row does not grow at j. That is a bit
+    a cell, 50 MB for two lines of 20,000 words; lengths that the way back asks for are counted from the bits.
+    """
+    ref, pred = ref.tolist(), pred.tolist()
+    where: dict = {}
+    for j, token in enumerate(pred):
+        where[token] = where.get(token, 0) | (1 << j)
+    full = (1 << len(pred)) - 1
+    rows = [full]
+    for token in ref:
+        row = rows[-1]
+        hits = row & where.get(token, 0)
+        rows.append(((row + hits) | (row - hits)) & full if hits else row)
     found, i, j = set(), len(ref), len(pred)
     while i and j:
         if ref[i - 1] == pred[j - 1]:
             found.add(i - 1)
             i, j = i - 1, j - 1
-        elif table[i, j - 1] > table[i - 1, j]:
+            continue
+        row, above, below = rows[i], rows[i - 1], (1 << j) - 1
+        # Left only if the row does not grow here, and the row above has less.
+        if row >> (j - 1) & 1 and row is not above and (row & below).bit_count() < (above & below).bit_count():
             j -= 1
         else:
             i -= 1

@@ -7,22 +7,47 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import text as T
 from ..functions.scalars import round_pct
 from ..operators import metrics as M
+from ..operators.user_code import Metric, evaluate
 from ..session import spread
 from . import tables as t
 from .registry import query
 from .shaping import SQL_SENTENCES
 
 
-@query("accuracy_f1", """
+SQL_ACCURACY = """
 SELECT round(avg(coalesce(p = y, false)::INTEGER), 9) AS accuracy,
   round(2.0 * count(*) FILTER (p = 1 AND y = 1) / (count(*) FILTER (p = 1) + count(*) FILTER (y = 1)), 9) AS f1
-FROM (SELECT (n_chars > 1000)::INTEGER AS p, quality AS y FROM documents JOIN labels USING (doc_id))""")
+FROM (SELECT (n_chars > 1000)::INTEGER AS p, quality AS y FROM documents JOIN labels USING (doc_id))"""
+
+
+@query("accuracy_f1", SQL_ACCURACY)
 def accuracy_f1(spark, d):
     rows = t.documents(spark, d).join(t.read(spark, d, "labels"), "doc_id")
     scores = M.accuracy_f1(rows.select((F.col("n_chars") > 1000).cast("int").alias("p"), "quality"), "p", "quality")
     return scores.select(F.round("accuracy", 9).alias("accuracy"), F.round("f1", 9).alias("f1"))
 
 
+def _right(rows: list[dict]) -> dict:
+    pairs = [(r["p"], r["quality"]) for r in rows]
+    return {"rows": len(pairs), "right": sum(p is not None and p == y for p, y in pairs), "hit": sum(p == y == 1 for p, y in pairs),
+            "said": sum(p == 1 for p, _ in pairs), "true": sum(y == 1 for _, y in pairs)}
+
+
+def _scores(s: dict) -> dict:
+    named = s["said"] + s["true"]
+    return {"accuracy": round(s["right"] / s["rows"], 9) if s["rows"] else None, "f1": round(2 * s["hit"] / named, 9) if named else 0.0}
+
+
+ACCURACY_F1 = Metric("rows bigint, right bigint, hit bigint, said bigint, true bigint", "accuracy double, f1 double",
+                     lambda: _right([]), _right, lambda a, b: {k: a[k] + b[k] for k in a}, _scores)
+
+
+@query("metric_object", SQL_ACCURACY)
+def metric_object(spark, d):
+    rows = t.documents(spark, d).join(t.read(spark, d, "labels"), "doc_id")
+    return evaluate(rows.select((F.col("n_chars") > 1000).cast("int").alias("p"), "quality"), ACCURACY_F1)
+
+
 def _sql_gram_rows(table: str, tokens: str, orders: list[int]) -> str:
     return " UNION ALL ".join(
         f"""SELECT example_id, {n} AS n, array_to_string(ts[i : i + {n - 1}], ' ') AS gram FROM (

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import arrays as A, pretok as P, text as T
 from ..functions.once import compute_once
-from ..operators import examples as X, qa
+from ..operators import examples as X, qa, user_code
 from ..operators.ordering import batch_assign
 from ..sources import writers
 from . import tables as t
@@ -143,16 +145,40 @@ def mlm_mask(spark, d):
     return masked.select("doc_id", t.joined("input_ids").alias("input_ids"), t.joined("labels").alias("labels"))
 
 
-@query("whole_word_mask", f"""
+SQL_WHOLE_WORD = f"""
 WITH p AS (SELECT doc_id, word_id, k, {t.sql_token_id('piece')} AS id, {t.sql_uniform('42:0:w', 'doc_id', 'word_id')} < 0.2 AS hit FROM ({SQL_PIECES}))
 SELECT doc_id, '101 ' || string_agg((CASE WHEN hit THEN 103 ELSE id END)::VARCHAR, ' ' ORDER BY word_id, k) || ' 102' AS input_ids,
-  '-100 ' || string_agg((CASE WHEN hit THEN id ELSE -100 END)::VARCHAR, ' ' ORDER BY word_id, k) || ' -100' AS labels FROM p GROUP BY doc_id""")
+  '-100 ' || string_agg((CASE WHEN hit THEN id ELSE -100 END)::VARCHAR, ' ' ORDER BY word_id, k) || ' -100' AS labels FROM p GROUP BY doc_id"""
+
+
+@query("whole_word_mask", SQL_WHOLE_WORD)
 def whole_word_mask(spark, d):
     docs = t.three_char_pieces(t.spread_documents(spark, d), "text").withColumn("labels", F.col("piece_ids"))
     masked = X.whole_word_mask(docs.select("doc_id", "piece_ids", "labels", "word_ids"), "piece_ids", "labels", "word_ids", ["doc_id"], 103)
     return masked.select("doc_id", t.joined("piece_ids").alias("input_ids"), t.joined("labels").alias("labels"))
 
 
+def mask_words(examples: list[dict]) -> list[dict]:
+    """Whole-word masking as a user's collate function."""
+    def drawn(doc: int, word: int) -> bool:
+        return int(md5(f"42:0:w:{doc}:{word}".encode()).hexdigest()[:8], 16) / 4294967296 < 0.2
+
+    out = []
+    for e in examples:
+        hits = {w: drawn(e["doc_id"], w) for w in set(e["word_ids"]) - {None}}
+        hit = [hits.get(w, False) for w in e["word_ids"]]
+        out.append({"doc_id": e["doc_id"], "input_ids": " ".join(str(103 if h else i) for h, i in zip(hit, e["piece_ids"])),
+                    "labels": " ".join(str(i if h else -100) for h, i in zip(hit, e["piece_ids"]))})
+    return out
+
+
+@query("collate_whole_word", SQL_WHOLE_WORD)
+def collate_whole_word(spark, d):
+    docs = t.three_char_pieces(t.documents(spark, d), "text").select("doc_id", "lang", "piece_ids", "word_ids")
+    masked = user_code.collate_batches(docs, 32, "doc_id", mask_words, "doc_id bigint, input_ids string, labels string", ["lang"])
+    return masked.select("doc_id", "input_ids", "labels")
+
+
 @query("clm_labels", f"""
 SELECT example_id, array_to_string(ids, ' ') || repeat(' -100', 300 - len(ids)) AS labels FROM (SELECT example_id, {t.sql_token_ids('context')} AS ids FROM ({t.SQL_PAIRS}))""")
 def clm_labels(spark, d):

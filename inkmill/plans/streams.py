@@ -8,7 +8,7 @@ from ..functions import text as T
 from ..session import scratch_path
 from ..streaming import streams
 from . import tables as t
-from .registry import query
+from .registry import REGISTRY, query
 from .shaping import KEYWORDS, SQL_KEYWORD_HIT, WORD_COUNT
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -42,3 +42,10 @@ def stream_interleave(spark, d):
     rows = document_stream(spark, d).select("doc_id", "lang")
     both = streams.stream_interleave(rows.filter("lang = 'en'"), rows.filter("lang = 'fr'"))
     return streams.drain_to_parquet(both, scratch_path(spark, "stream"))
+
+
+@query("stream_alternate", REGISTRY["interleave_datasets"].sql)
+def stream_alternate(spark, d):
+    rows = document_stream(spark, d).select("doc_id", "lang")
+    both = [rows.filter("lang = 'en'"), rows.filter("lang = 'fr'")]
+    return streams.drain_alternating(both, "doc_id", scratch_path(spark, "stream"))
