@@ -4,8 +4,10 @@ Words and word pairs are hashed into a fixed number of buckets. The raw multinom
 target multinomial counts the trusted ones, a bounded set of ids chosen by the hash of the id. A document's
 score is the mean over its n-grams of log(p_target / p_raw), in millionths, so sums are exact whatever the order.
 Both sides are smoothed by the same mass: a rare n-gram tells nothing, one that is common only in raw text counts
-against the document. Mass and threshold were set on held-out labelled documents of several corpus sizes, so that
-clean documents outside the target stay above the threshold.
+against the document. The mass is a number of n-grams of the target, whose sampling noise it damps; raw counts are
+scaled to the target's size, so a corpus that grows around the same target keeps its weights. Mass and threshold
+were set on held-out labelled documents of several corpus sizes, so that clean documents outside the target
+stay above the threshold.
 
 Nothing but bucket counts is shuffled. The weights, one number per bucket, are a constant of the plan.
 """
@@ -21,7 +23,7 @@ from .common import constant_array, keeps_columns, squeezed, text_of, without, w
 
 BUCKETS = 1 << 16
 TRUSTED = 20_000  # labelled rows that make up the target, at most
-SMOOTHING = 100.0
+TARGET_MASS = 15.0  # smoothing, in n-grams of the target
 THRESHOLD = -0.13
 WINDOW = 5
 MICRO = 1_000_000
@@ -38,8 +40,11 @@ def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
 
 
 def bucket_weights(df: DataFrame, labels: DataFrame, text_col: str = "text", n_buckets: int = BUCKETS, trusted: int = TRUSTED,
-                   smoothing: float = SMOOTHING) -> list[int]:
-    """log(p_target / p_raw) of each bucket in millionths; all 0 without trusted documents."""
+                   smoothing: float | None = None) -> list[int]:
+    """log(p_target / p_raw) of each bucket in millionths; all 0 without trusted documents.
+
+    ``smoothing`` is a mass in raw n-grams; by default that of ``TARGET_MASS`` n-grams of the target.
+    """
     chosen = F.broadcast(trusted_ids(labels, trusted).withColumn("_trusted", F.lit(1)))
     marked = df.select("doc_id", F.col(text_col).alias("_text")).join(chosen, "doc_id", "left")
     split = compute_once(marked.select(F.coalesce("_trusted", F.lit(0)).alias("_t"), "_text"), _w=words(text_of("_text"))).drop("_text")
@@ -53,7 +58,8 @@ def bucket_weights(df: DataFrame, labels: DataFrame, text_col: str = "text", n_b
     total, good = sum(raw), sum(target)
     if not good:
         return [0] * n_buckets
-    return [round(MICRO * math.log((t * total / good + smoothing) / (r + smoothing))) for r, t in zip(raw, target)]
+    mass = TARGET_MASS * total / good if smoothing is None else smoothing
+    return [round(MICRO * math.log((t * total / good + mass) / (r + mass))) for r, t in zip(raw, target)]
 
 
 def _covered(positions: str) -> Column:
@@ -64,7 +70,7 @@ def _covered(positions: str) -> Column:
 
 @keeps_columns("text_col")
 def quality_rules(df: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, n_buckets: int = BUCKETS,
-                  trusted: int = TRUSTED, smoothing: float = SMOOTHING) -> DataFrame:
+                  trusted: int = TRUSTED, smoothing: float | None = None) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score and kept.
 
     A null or empty text has no words and fails. Columns of these names are replaced; all others stay, and so do

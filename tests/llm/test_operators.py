@@ -512,3 +512,41 @@ def test_pipeline(spark, odd, word_ids):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd.select("doc_id", "text", "lang", "source", "n_chars"), base).count() > 0
         assert stage(spark, spark.createDataFrame([], SCHEMA), base).count() == 0
+
+
+def test_quality_score_against_plain_counts(spark):
+    """The score from dictionaries over n-gram buckets, and the same verdicts when the corpus grows around the target."""
+    import math
+    from collections import Counter
+
+    import xxhash
+
+    rng = random.Random(5)
+    good, junk = [f"w{i}" for i in range(60)], [f"j{i}" for i in range(5)]
+    texts = {i: " ".join(rng.choice(junk if i % 4 == 0 else good) for _ in range(rng.choice([12, 40, 200]))) for i in range(80)}
+    texts.update({80: "", 81: None, 82: "one"})
+    trusted = [i for i in texts if i % 4 == 1 and i < 80]
+    labels = spark.createDataFrame([(i, 1, 0) for i in trusted], "doc_id bigint, quality int, toxic int")
+
+    def grams(text):
+        words, seed = (text or "").split(), 42
+        one = [xxhash.xxh64_intdigest(w.encode(), seed) for w in words]
+        two = [xxhash.xxh64_intdigest(b.encode(), a) for a, b in zip(one, words[1:])]
+        return [h % quality.BUCKETS for h in one + two]
+
+    raw = Counter(g for t in texts.values() for g in grams(t))
+    target = Counter(g for i in trusted for g in grams(texts[i]))
+    share = target.total() / raw.total()
+    weight = {g: round(1e6 * math.log((target[g] + quality.TARGET_MASS) / (raw[g] * share + quality.TARGET_MASS))) for g in raw}
+    want = {i: sum(weight[g] for g in grams(t)) / len(grams(t)) / 1e6 if grams(t) else 0.0 for i, t in texts.items()}
+
+    def scores(copies):
+        rows = [(i + 1000 * c, t) for c in range(copies) for i, t in texts.items()]
+        out = quality.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string"), labels)
+        return {r.doc_id: (r.score, r.kept) for r in out.collect()}
+
+    got = scores(1)
+    assert all(abs(got[i][0] - want[i]) < 1e-9 for i in texts)
+    assert {i for i in range(80) if not got[i][1] and i % 4} == set(i for i in range(80) if i % 4 and want[i] < quality.THRESHOLD)
+    assert any(not got[i][1] for i in range(0, 80, 4))
+    assert {i: got[i] for i in texts} == {i: v for i, v in scores(7).items() if i < 1000}
