@@ -7,16 +7,24 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import spread
+from .quoted import quoted_records
 
 
 def scan_csv(spark: SparkSession, files: dict[str, str | list[str]], schema: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
     """Delimited files with a header; one entry per split. Empty fields are null.
 
-    Files are read in pieces by many tasks; with ``multi_line``, for newlines inside quotes, a file is one task.
+    Files are read in pieces by many tasks. With ``multi_line`` quoted fields may hold newlines, and quotes stand
+    around whole fields only (``quoted_records``).
     """
-    reader = (spark.read.schema(schema).option("sep", sep).option("header", True)
-              .option("multiLine", multi_line).option("escape", '"'))
-    parts = [reader.csv(path).withColumn("split", F.lit(split)) for split, path in files.items()]
+    options = {"sep": sep, "escape": '"'}
+
+    def table(path: str | list[str]) -> DataFrame:
+        if not multi_line:
+            return spark.read.schema(schema).options(header=True, **options).csv(path)
+        row = F.from_csv("record", schema, {**options, "multiLine": "true"})
+        return quoted_records(spark, path).select(row.alias("_row")).select("_row.*")
+
+    parts = [table(path).withColumn("split", F.lit(split)) for split, path in files.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
