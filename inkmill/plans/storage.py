@@ -72,6 +72,14 @@ def scan_json_field(spark, d):
     return readers.scan_json_field(spark, path, "data", "conv_id: bigint, turn: bigint, role: string, text: string", whole_file=False)
 
 
+@query("scan_json_field_file", "SELECT doc_id, text, lang FROM documents")
+def scan_json_field_file(spark, d):
+    """Files that are one object each, however large."""
+    path = scratch_path(spark, "whole")
+    writers.sink_json_field(t.documents(spark, d).select("doc_id", "text", "lang"), "data", path)
+    return readers.scan_json_field(spark, path, "data", "doc_id: bigint, text: string, lang: string")
+
+
 @query("scan_compressed", "SELECT event_id, event_type, value, props FROM events")
 def scan_compressed(spark, d):
     path = scratch_path(spark, "gz")

@@ -21,7 +21,7 @@ RECORD = "path string, owner bigint, start bigint, first boolean, record string"
 WHOLE, OPEN, REST = range(3)
 
 
-def _by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], pa.Array]]:
+def by_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], pa.Array]]:
     """(path, start) and lines, one piece of a file after the other; a piece may come in several steps."""
     for batch in batches:
         path, start, lines = batch.columns
@@ -47,7 +47,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([piece[0]]), pa.array([piece[1]], pa.int64()), pa.array([bool(odd)]), pa.array([bool(closes)])],
             names=["path", "start", "odd", "closes"])
 
-    for key, lines in _by_piece(batches):
+    for key, lines in by_piece(batches):
         if key != piece:
             if piece is not None:
                 yield row()
@@ -89,7 +89,7 @@ def _join_lines(known: set, inside: dict, broken: bool):
             if held and broken:
                 yield rows(piece, side or OPEN, pa.array(["\n".join(held)]), first)
 
-        for key, lines in _by_piece(batches):
+        for key, lines in by_piece(batches):
             if key != piece:
                 yield from rest()
                 if key not in known:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import spread
+from .nested import list_items
 from .quoted import quoted_records
 
 
@@ -42,10 +43,13 @@ def scan_json(spark: SparkSession, path: str | list[str], schema: str | None = N
 def scan_json_field(spark: SparkSession, path: str | list[str], field: str, schema: str, whole_file: bool = True) -> DataFrame:
     """Rows kept as a list under one key of a JSON object; ``schema`` describes a row.
 
-    The object is the whole file, or one of many on lines of their own.
+    The object is the whole file, read in pieces by many tasks (``list_items``), or one of many on lines of their own.
     """
-    whole = spark.read.schema(f"`{field}` array<struct<{schema}>>").option("multiLine", whole_file).json(path)
-    return whole.select(F.explode(field).alias("_row")).select("_row.*")
+    if whole_file:
+        rows = list_items(spark, path, field).select(F.from_json("item", f"struct<{schema}>").alias("_row"))
+    else:
+        rows = spark.read.schema(f"`{field}` array<struct<{schema}>>").json(path).select(F.explode(field).alias("_row"))
+    return rows.select("_row.*")
 
 
 def scan_compressed(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.examples import pad_dynamic
@@ -26,6 +30,22 @@ def sink_json(df: DataFrame, path: str, compression: str | None = None) -> None:
     df.write.json(path, compression=compression)
 
 
+def sink_json_field(df: DataFrame, field: str, path: str) -> None:
+    """Files that are one JSON object each, with the rows of a partition as a list under ``field``."""
+    head = "{" + json.dumps(field) + ": ["
+
+    def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = head
+        for batch in batches:
+            items = batch.column(0).to_pylist()
+            if items:
+                yield pa.RecordBatch.from_arrays([pa.array([before + items[0], *["," + i for i in items[1:]]])], ["value"])
+                before = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["]}" if before == "," else head + "]}"])], ["value"])
+
+    df.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(wrap, "value string").write.text(path)
+
+
 def sink_text(df: DataFrame, text: str, path: str, one_line_per_row: bool = False) -> None:
     """Texts, one after the other; newlines inside a text stay unless every row must be one line."""
     column = F.regexp_replace(text, r"\R", " ") if one_line_per_row else F.col(text)
