@@ -23,11 +23,17 @@ from .quoted import by_piece
 PIECE = "path string, start bigint, flips boolean, depth array<bigint>, least array<bigint>"
 ITEM = "path string, owner bigint, start bigint, item string"
 KEY = re.compile(rb'(?<!\\)("(?:[^"\\]|\\.)*")\s*:\s*$')
+STEP_BYTES = 2 << 20
 LIST_LEVEL = 2  # brackets that are open inside the list
 
 
-def _raw(lines: pa.Array) -> bytes:
-    return ("}".join(lines.to_pylist()) + "}").encode()
+def _text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], bytes]]:
+    """(path, start) and text, some megabytes at a time or one line."""
+    for key, lines in by_piece(batches):
+        step = np.cumsum(pc.binary_length(lines).to_numpy(), dtype=np.int64) // STEP_BYTES
+        cuts = np.flatnonzero(np.diff(step)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(lines)]):
+            yield key, ("}".join(lines.slice(a, b - a).to_pylist()) + "}").encode()
 
 
 def _quotes(chars: np.ndarray) -> np.ndarray:
@@ -59,12 +65,12 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.schema([("path", pa.string()), ("start", pa.int64()), ("flips", pa.bool_()), ("depth", pa.list_(pa.int64())),
                        ("least", pa.list_(pa.int64()))]))
 
-    for key, lines in by_piece(batches):
+    for key, raw in _text(batches):
         if key != piece:
             if piece is not None:
                 yield row()
             piece, flips, depth, least = key, False, [0, 0], [0, 0]
-        chars = np.frombuffer(_raw(lines), np.uint8)
+        chars = np.frombuffer(raw, np.uint8)
         quote = _quotes(chars)
         for begin in (0, 1):
             levels = depth[begin] + np.cumsum(_steps(chars, quote, bool(begin) ^ flips))
@@ -119,10 +125,10 @@ def _last_list(begins: dict, field: str):
     """Per piece, whether the last value that opens in it is the wanted list; no row without one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece, inside, depth, found = None, False, 0, {}
-        for key, lines in by_piece(batches):
+        for key, raw in _text(batches):
             if key != piece:
                 piece, inside, depth = key, begins[key].inside, begins[key].depth
-            marks, inside, depth = _marks(_raw(lines), inside, depth, field)
+            marks, inside, depth = _marks(raw, inside, depth, field)
             for _, kind in marks:
                 if kind in ("list", "other"):
                     found[key] = kind == "list"
@@ -148,7 +154,7 @@ def _items(begins: dict, field: str, broken: bool):
             if held and broken:
                 yield rows(piece, begins[piece].owner if rest else piece[1], [b"".join(held)])
 
-        for key, lines in by_piece(batches):
+        for key, raw in _text(batches):
             if key != piece:
                 yield from left()
                 if key not in begins:
@@ -156,7 +162,6 @@ def _items(begins: dict, field: str, broken: bool):
                 begin = begins[key]
                 piece, inside, depth, listed, held = key, begin.inside, begin.depth, begin.listed, []
                 rest = listed and depth > LIST_LEVEL
-            raw = _raw(lines)
             marks, inside, depth = _marks(raw, inside, depth, field)
             at, items = (0 if held or rest else None), []
             for place, kind in marks:

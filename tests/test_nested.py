@@ -84,3 +84,18 @@ def test_sink_round_trip(spark, tmp_path):
     schema = "id: bigint, text: string"
     assert sorted(readers.scan_json_field(spark, f"{tmp_path}/a", "rows", schema).collect()) == sorted(df.collect())
     assert readers.scan_json_field(spark, f"{tmp_path}/b", "rows", schema).count() == 0
+
+
+@pytest.mark.parametrize("step", [1, 10, 100])
+def test_steps_within_a_piece(monkeypatch, step):
+    import pyarrow as pa
+
+    from inkmill.sources import nested
+
+    monkeypatch.setattr(nested, "STEP_BYTES", step)
+    whole, items = document(random.Random(step))
+    lines = json.dumps(whole).split("}")[:-1]
+    batch = pa.RecordBatch.from_arrays([pa.array(["f"] * len(lines)), pa.array([0] * len(lines), pa.int64()), pa.array(lines)], ["a", "b", "c"])
+    begins = nested._beginnings([type("P", (), r) for b in nested._describe(iter([batch])) for r in b.to_pylist()])
+    got = [json.loads(r["item"]) for b in nested._items(begins, "data", False)(iter([batch])) for r in b.to_pylist()]
+    assert got == items
