@@ -15,7 +15,8 @@ DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars big
 
 
 def document_stream(spark, d) -> DataFrame:
-    return streams.stream_scan(spark, d, DOCUMENTS, "parquet", "documents.parquet")
+    """A table is one file or a folder of files; as a pattern its path may be either."""
+    return streams.stream_scan(spark, f"{d}/documents.parque[t]", DOCUMENTS, "parquet")
 
 
 @query("stream_scan", "SELECT doc_id, lang, n_chars FROM documents")

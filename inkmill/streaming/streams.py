@@ -11,7 +11,7 @@ from ..operators.ordering import global_row_number
 
 def stream_scan(spark: SparkSession, directory: str, schema: str, fmt: str = "json", pattern: str = "*",
                 files_per_trigger: int = 100) -> DataFrame:
-    """A stream over the files of a directory."""
+    """A stream over the files of a directory, or of all that a path pattern matches."""
     return (spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern)
             .option("maxFilesPerTrigger", files_per_trigger).load(directory))
 

@@ -5,7 +5,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from inkmill.functions.text import contains_any
 from inkmill.operators import shaping
+from inkmill.plans import streams as plan_streams
+from inkmill.plans.shaping import KEYWORDS
 from inkmill.session import cut_lineage, scratch_path
 from inkmill.sources import readers, writers
 from inkmill.streaming import streams
@@ -97,3 +100,19 @@ def test_cut_lineage_uses_the_shared_folder(spark, texts):
     table = cut_lineage(texts)
     root = spark.conf.get("spark.checkpoint.dir")
     assert all(root in f for f in table.inputFiles()) and table.count() == 3
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_stream_queries_read_tables_of_one_file_and_of_folders(spark, tmp_path, files):
+    rows = [(i, "pandas" if i % 2 else "x", "en" if i % 3 else "fr", "s", 1) for i in range(12)]
+    spark.createDataFrame(rows, plan_streams.DOCUMENTS).repartition(files).write.parquet(f"{tmp_path}/t/documents.parquet")
+    if files == 1:
+        part = next((tmp_path / "t" / "documents.parquet").glob("part-*.parquet"))
+        (tmp_path / "one").mkdir()
+        (tmp_path / "one" / "documents.parquet").write_bytes(part.read_bytes())
+    d = f"{tmp_path}/{'one' if files == 1 else 't'}"
+    assert sorted(r.doc_id for r in plan_streams.stream_scan(spark, d).collect()) == list(range(12))
+    assert tuple(plan_streams.stream_keyword_filter(spark, d).first()) == (12, spark.read.parquet(f"{d}/documents.parquet").filter(
+        contains_any("text", KEYWORDS)).count())
+    both = plan_streams.stream_alternate(spark, d).orderBy("position").collect()
+    assert [r.lang for r in both] == ["en", "fr"] * 4
