@@ -14,8 +14,12 @@ from bisect import bisect_left
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.scalars import ColumnOrName, _col
+from ..session import cut_lineage
+from .blocks import look_up, table_values
 
 # Largest vocabulary that is sent to every task (some tens of MB).
 MAX_BROADCAST_TOKENS = 500_000
@@ -254,29 +258,39 @@ def _found_entries(distinct: DataFrame, entries: DataFrame) -> DataFrame:
     starts = chunks.select("_key", "_chunk", F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.length("_chunk"), F.lit(CHUNK)), F.lit(1)))).alias("_at"))
     ends = F.least(F.lit(longest), F.length("_chunk") - F.col("_at") + 1)
     parts = starts.select("_key", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(ends, F.lit(1))), lambda n: F.substring("_chunk", F.col("_at"), n))).alias("_token"))
-    return parts.distinct().join(entries, "_token").groupBy("_key").agg(F.collect_set("_entry").alias("_entries"))
+    return parts.join(entries, "_token").groupBy("_key").agg(F.collect_set("_entry").alias("_entries"))
 
 
-def _encode_join(df: DataFrame, id_col: str, words: Column, entries: DataFrame, encode, unknown: list[str], out: str) -> DataFrame:
-    """id_col, ``out``: pieces per word, each word encoded by ``encode(word, entries found in it)``.
+# Words that are encoded together, with the entries found in any of them.
+WORD_BLOCK = 16_384
+
+
+def _encode_join(df: DataFrame, id_col: str, words: Column, entries: DataFrame, encoder, unknown: list[str], out: str) -> DataFrame:
+    """id_col, ``out``: pieces per word, by ``encoder(entries found in the words of a block)``, a function of a word.
 
     ``entries`` holds ``_token``, the text to be found in a word, and ``_entry``, what is handed on. Distinct words are
-    cut into substrings no longer than the longest token; these meet the entries in a shuffle join under the word's
-    digest, so a long word is not copied. A word's entries are at most its substrings or the vocabulary.
+    numbered and cut into substrings no longer than the longest token; these meet the entries in a join under the
+    number of their block, so a long word is not copied. The entries of a block are at most the substrings of its
+    words or the vocabulary; those that a word does not hold change nothing for it.
     """
-    placed = df.select(id_col, F.posexplode_outer(words).alias("_pos", "_word")).withColumn("_key", F.md5("_word"))
-    distinct = placed.filter("_key IS NOT NULL").groupBy("_key").agg(F.first("_word").alias("_word"))
-    found = _found_entries(distinct, entries)
+    entries = cut_lineage(entries)
 
-    @F.arrow_udf("array<string>")
-    def code(batch: pa.Array, local: pa.Array) -> pa.Array:
-        return pa.array([encode(w, e or []) for w, e in zip(batch.to_pylist(), local.to_pylist())], pa.list_(pa.string()))
+    def pieces(distinct: DataFrame) -> DataFrame:
+        numbered = cut_lineage(distinct.withColumn("_key", F.expr(f"monotonically_increasing_id() div {WORD_BLOCK}")))
+        found = _found_entries(numbered.select("_key", F.col("_item").alias("_word")).filter("_word IS NOT NULL"), entries)
+        found = found.select(F.col("_key").alias("_of"), "_entries")
+        rest = [f for f in numbered.schema.fields if f.name not in ("_item", "_key")]
+        returns = StructType([*rest, StructField("_value", ArrayType(StringType()))])
+        kind = to_arrow_schema(returns)
+
+        def code(left: pa.Table, right: pa.Table) -> pa.Table:
+            encode = encoder(right.column("_entries")[0].as_py() if right.num_rows else [])
+            values = pa.array([unknown if w is None else encode(w) for w in left.column("_item").to_pylist()], pa.list_(pa.string()))
+            return left.select([f.name for f in rest]).append_column("_value", values).cast(kind)
 
-    coded = distinct.join(found, "_key", "left").select("_key", code("_word", "_entries").alias("_pieces"))
-    rest = F.array(*[F.lit(u) for u in unknown]).cast("array<string>")
-    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_pieces", rest).alias("_pieces")))
-    grouped = placed.join(coded, "_key", "left").groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("_all"))
-    return grouped.select(id_col, F.transform("_all", lambda e: e["_pieces"]).alias(out))
+        return numbered.groupBy("_key").cogroup(found.groupBy("_of")).applyInArrow(code, returns)
+
+    return look_up(df, id_col, words, pieces, "array<string>", out)
 
 
 def encode_wordpiece_join(df: DataFrame, id_col: str, words: Column, vocab: DataFrame, prefix: str = "##", unknown: str = "[UNK]",
@@ -285,23 +299,24 @@ def encode_wordpiece_join(df: DataFrame, id_col: str, words: Column, vocab: Data
     inner = vocab.filter(F.col("token").startswith(prefix)).select(F.substring("token", F.lit(len(prefix) + 1), F.length("token")).alias("_token"), F.col("token").alias("_entry"))
     entries = vocab.select(F.col("token").alias("_token"), F.col("token").alias("_entry")).union(inner)
 
-    def encode(word: str, found: list[str]) -> list[str]:
-        return _longest_match(word, set(found), max(map(len, found), default=1), prefix, unknown)
+    def encoder(found: list[str]):
+        known, longest = set(found), max(map(len, found), default=1)
+        return lambda word: _longest_match(word, known, longest, prefix, unknown)
 
-    return _encode_join(df, id_col, words, entries, encode, [unknown], out)
+    return _encode_join(df, id_col, words, entries, encoder, [unknown], out)
 
 
 def encode_bpe_join(df: DataFrame, id_col: str, words: Column, merges: DataFrame, out: str = "pieces") -> DataFrame:
     """id_col (unique) and the pieces of ``encode_bpe``, for ``merges(rank, left, right)`` of any number."""
     entries = merges.select(F.concat("left", "right").alias("_token"), F.struct("rank", "left", "right").alias("_entry"))
 
-    def encode(word: str, found: list[dict]) -> list[str]:
+    def encoder(found: list[dict]):
         ranks: dict[tuple[str, str], int] = {}
         for rule in sorted(found, key=lambda r: r["rank"]):
             ranks.setdefault((rule["left"], rule["right"]), rule["rank"])
-        return _bpe_word(word, ranks)
+        return lambda word: _bpe_word(word, ranks)
 
-    return _encode_join(df, id_col, words, entries, encode, [], out)
+    return _encode_join(df, id_col, words, entries, encoder, [], out)
 
 
 def encode_unigram_join(df: DataFrame, id_col: str, words: Column, model: DataFrame, start_score: float = 1.0, unknown: str = "<unk>",
@@ -309,11 +324,12 @@ def encode_unigram_join(df: DataFrame, id_col: str, words: Column, model: DataFr
     """id_col (unique) and the pieces of ``encode_unigram``, for a ``model(token, neg_log_p)`` of any size."""
     entries = model.select(F.col("token").alias("_token"), F.struct("token", "neg_log_p").alias("_entry"))
 
-    def encode(word: str, found: list[dict]) -> list[str]:
+    def encoder(found: list[dict]):
         scores = {e["token"]: e["neg_log_p"] for e in found}
-        return _viterbi(word, scores, max(map(len, scores), default=1), start_score)[0] or [unknown]
+        longest = max(map(len, scores), default=1)
+        return lambda word: _viterbi(word, scores, longest, start_score)[0] or [unknown]
 
-    return _encode_join(df, id_col, words, entries, encode, [unknown], out)
+    return _encode_join(df, id_col, words, entries, encoder, [unknown], out)
 
 
 def original_spans(spans: ColumnOrName, places: ColumnOrName) -> Column:
@@ -350,25 +366,16 @@ def piece_spans(pieces: ColumnOrName, words: ColumnOrName, unknown: str = "[UNK]
 
 def dictionary_encode_join(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame, unk_id: int,
                            out: str = "input_ids") -> DataFrame:
-    """id_col, ``out``: token ids by a left join with ``vocab(token, id)`` and regrouping in order.
-
-    Spark picks the join: it broadcasts the vocabulary below its size threshold and
-    otherwise shuffles, with skew splitting for hot tokens.
-    """
-    exploded = df.select(id_col, F.posexplode_outer(tokens).alias("pos", "token"))
-    coded = exploded.join(vocab.select("token", "id"), "token", "left")
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unk_id)).alias("id")))
-    grouped = coded.groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("_ids"))
-    return grouped.select(id_col, F.transform("_ids", lambda e: e["id"]).alias(out))
+    """id_col, ``out``: token ids by a left join of the distinct tokens with ``vocab(token, id)``, in order."""
+    kind = vocab.schema["id"].dataType.simpleString()
+    coded = look_up(df, id_col, tokens, table_values(vocab, "token", "id", F.lit(unk_id).cast(kind)), f"array<{kind}>", out)
+    return coded.select(id_col, F.flatten(out).alias(out))
 
 
 def decode_join(df: DataFrame, id_col: str, ids: Column, vocab: DataFrame, out: str = "tokens") -> DataFrame:
-    """id_col, ``out``: tokens of an id array."""
-    exploded = df.select(id_col, F.posexplode_outer(ids).alias("pos", "id"))
-    coded = exploded.join(vocab.select("id", "token"), "id", "left")
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))
-    grouped = coded.groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("_toks"))
-    return grouped.select(id_col, F.transform("_toks", lambda e: e["token"]).alias(out))
+    """id_col, ``out``: tokens of an id array; an id outside the vocabulary gives a null."""
+    decoded = look_up(df, id_col, ids, table_values(vocab, "id", "token", F.lit(None).cast("string")), "array<string>", out)
+    return decoded.select(id_col, F.flatten(out).alias(out))
 
 
 def detokenize_wordpiece(tokens: ColumnOrName, specials: tuple[str, ...] = ("[PAD]", "[CLS]", "[SEP]", "[MASK]"), unknown: str = "[UNK]") -> Column:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkmill.operators import combine, encoding, examples as X, knn, metrics as M, ordering, qa, sampling, training, vocab
+from inkmill.operators import blocks, combine, encoding, examples as X, knn, metrics as M, ordering, qa, sampling, training, vocab
 from inkmill.sources import writers
 
 
@@ -394,3 +394,26 @@ def test_substrings_of_a_long_word(spark):
     got = {r.token: r.freq for r in vocab.subword_freqs(words, min_freq=60).collect()}
     want = Counter(word[i:i + 2] for i in range(len(word) - 1)) + Counter({"ab": 6, "bc": 6, "ca": 3})
     assert got == {t: n for t, n in want.items() if n >= 60}
+
+
+@pytest.mark.parametrize("size", [3, 1000])
+def test_look_up_in_blocks(spark, size):
+    draw = random.Random(11)
+    rows = [(draw.choice([None, *range(30)]), [draw.choice([None, "", "a", "b", "c", "dd"]) for _ in range(draw.randrange(6))]) for _ in range(40)]
+    rows += [(50, None), (51, []), (52, None)]
+    df = spark.createDataFrame(rows, "k int, w array<string>").repartition(3)
+    table = spark.createDataFrame([("a", 7), ("a", 3), ("b", None), ("", 1), (None, 9), ("unseen", 4)], "token string, id int")
+    known = {"a": [3, 7], "b": [0], "": [1]}
+    got = blocks.look_up(df, "k", F.col("w"), blocks.table_values(table, "token", "id", F.lit(0)), "array<int>", "v", size).collect()
+    want = {}
+    for k, w in rows:
+        want.setdefault(k, []).extend((i, known.get(x, [0])) for i, x in enumerate(w or []))
+    assert len(got) == len(want) and {r.k: r.v for r in got} == {k: [v for _, v in sorted(e)] for k, e in want.items()}
+
+
+def test_join_forms_shuffle_no_token(spark):
+    words = F.array_repeat(F.lit("ab"), 1000)
+    table = spark.createDataFrame([("ab", 5)], "token string, id int")
+    entries = blocks._write_blocks(spark.range(50), "id", words, 10_000).filter("_items IS NOT NULL")
+    assert entries.agg(F.sum(F.size("_items"))).first()[0] <= 8 * 2
+    assert {tuple(r.input_ids) for r in encoding.dictionary_encode_join(spark.range(50), "id", words, table, 1).collect()} == {(5,) * 1000}
