@@ -417,3 +417,14 @@ def test_join_forms_shuffle_no_token(spark):
     entries = blocks._write_blocks(spark.range(50), "id", words, 10_000).filter("_items IS NOT NULL")
     assert entries.agg(F.sum(F.size("_items"))).first()[0] <= 8 * 2
     assert {tuple(r.input_ids) for r in encoding.dictionary_encode_join(spark.range(50), "id", words, table, 1).collect()} == {(5,) * 1000}
+
+
+def test_few_substrings_are_counted_for_the_most_frequent(spark, monkeypatch):
+    draw, counted = random.Random(12), []
+    words = [("the", 5000), ("then", 4000)] + [("".join(draw.choices("bcdfghjklmnpqrsvwxyz", k=12)), 1) for _ in range(200)]
+    df = spark.createDataFrame([(w, f, i) for i, (w, f) in enumerate(words)], "word string, freq bigint, rank bigint")
+    cut = vocab.cut_lineage
+    monkeypatch.setattr(vocab, "cut_lineage", lambda t: (counted.append(out := cut(t)), out)[1])
+    got = {r.token: (r.freq, r.first) for r in vocab.subword_freqs(df, top=4).collect()}
+    assert got == {"th": (9000, 0), "he": (9000, 1), "the": (9000, 0), "en": (4000, (1 << 20) + 2), "hen": (4000, (1 << 20) + 1), "then": (4000, 1 << 20)}
+    assert sum(t.count() for t in counted if "token" in t.columns) < 6000  # 12,500 with all substrings up to 13 characters
