@@ -6,6 +6,7 @@ a task. ``l2`` is the squared distance and ascends, ``dot`` and ``cosine`` desce
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 # Queries that are sent to every task at once, and their largest total size.
 MAX_QUERIES = 4096
 MAX_QUERY_VALUES = 16_000_000
+# Rows of a block: two of them as matrices, and 1024 rows of their product, in a task.
+MAX_BLOCK_ROWS = 20_000
 RESULT = "query_id bigint, vec_id bigint, score double"
 
 
@@ -95,15 +98,19 @@ def knn_exact(base: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2
 
 
 def knn_blocked(base: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2", exclude_self: bool = False,
-                block_rows: int = 20_000) -> DataFrame:
+                block_rows: int = MAX_BLOCK_ROWS) -> DataFrame:
     """The same for any number of queries.
 
-    Both sides are cut into hash blocks of about ``block_rows`` and each pair of blocks
-    meets in one task as two matrices. A side is copied once per block of the other,
-    and a pair of blocks sends on k rows per query.
+    Both sides are cut into hash blocks and each pair of blocks meets in one task as two
+    matrices. A side is copied once per block of the other, and a pair of blocks sends
+    on k rows per query. Blocks have ``block_rows`` or, once the pairs of blocks are four
+    to a core, up to MAX_BLOCK_ROWS, so that copies do not grow with every few rows.
     """
+    enough = 2 * math.ceil(math.sqrt(base.sparkSession.sparkContext.defaultParallelism))
+
     def blocks(df: DataFrame) -> int:
-        return max(1, -(-df.count() // block_rows))
+        n = df.count()
+        return max(1, -(-n // MAX_BLOCK_ROWS), min(enough, -(-n // block_rows)))
 
     n_base, n_query = blocks(base), blocks(queries)
 

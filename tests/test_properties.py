@@ -428,3 +428,14 @@ def test_few_substrings_are_counted_for_the_most_frequent(spark, monkeypatch):
     got = {r.token: (r.freq, r.first) for r in vocab.subword_freqs(df, top=4).collect()}
     assert got == {"th": (9000, 0), "he": (9000, 1), "the": (9000, 0), "en": (4000, (1 << 20) + 2), "hen": (4000, (1 << 20) + 1), "then": (4000, 1 << 20)}
     assert sum(t.count() for t in counted if "token" in t.columns) < 6000  # 12,500 with all substrings up to 13 characters
+
+
+def test_blocks_of_neighbours_are_no_more_than_cores_need(spark):
+    draw = random.Random(13)
+    base = spark.createDataFrame([(i, [draw.gauss(0, 1) for _ in range(4)]) for i in range(300)], "vec_id bigint, embedding array<float>")
+    queries = base.withColumnRenamed("vec_id", "query_id")
+    small = knn.knn_blocked(base, queries, 3, "l2", True, block_rows=20)
+    plan = small._jdf.queryExecution().analyzed().toString()
+    assert plan.count("explode(sequence(0, 5, ") == 2  # 2 * ceil(sqrt(8 cores)) blocks a side, not 15
+    key = ["query_id", "rank", "vec_id"]
+    assert sorted(map(tuple, small.select(*key).collect())) == sorted(map(tuple, knn.knn_blocked(base, queries, 3, "l2", True).select(*key).collect()))
