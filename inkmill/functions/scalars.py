@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
+try:
+    from _md5 import md5  # half the time of OpenSSL's on short texts
+except ImportError:
+    from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 ColumnOrName = Column | str
 
@@ -28,6 +36,29 @@ def uniform(seed: int | str, *cols: ColumnOrName) -> Column:
     return hex_to_long(md5_key(seed, *cols)).cast("double") / F.lit(4294967296.0)
 
 
+def row_draws(prefix: str, count: int) -> np.ndarray:
+    """``uniform`` for one key, given as ``seed:col1:col2..``, and the numbers 0 to count - 1 behind it."""
+    text = f"{prefix}:".encode().replace(b"%", b"%%") + b"%d"
+    digests = b"".join([md5(text % i).digest() for i in range(count)])
+    return np.frombuffer(digests, ">u4")[::4] / 4294967296.0
+
+
+@F.arrow_udf(ArrayType(DoubleType()))
+def _draw_arrays(prefixes: pa.Array, counts: pa.Array) -> pa.Array:
+    sizes = counts.to_pylist()
+    bounds = np.concatenate([[0], np.cumsum([n or 0 for n in sizes])]).astype("int32")
+    values = np.zeros(bounds[-1])
+    for prefix, n, at in zip(prefixes.to_pylist(), sizes, bounds):
+        if n:
+            values[at:at + n] = row_draws(prefix, n)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values), mask=counts.is_null())
+
+
+def uniform_array(count: Column, seed: int | str, *cols: ColumnOrName) -> Column:
+    """``uniform(seed, *cols, i)`` for i from 0 to count - 1; null without a count."""
+    return _draw_arrays(F.concat_ws(":", F.lit(str(seed)), *[_col(c).cast("string") for c in cols]), count.cast("int"))
+
+
 def neg_log_prob(freq: ColumnOrName, total: ColumnOrName) -> Column:
     return -F.log(_col(freq).cast("double") / _col(total).cast("double"))
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType
 
 from ..functions.arrays import attention_mask, chunk_fixed, pad_array
 from ..functions.once import compute_once
-from ..functions.pretok import running_starts
-from ..functions.scalars import IGNORE_LABEL, uniform
+from ..functions.scalars import IGNORE_LABEL, row_draws, uniform
 from .ordering import batch_assign, running_offset
 
 
@@ -93,40 +95,62 @@ def mlm_mask(df: DataFrame, ids: str, key: list[str], mask_id: int, vocab_size:
     )
 
 
+def _word_numbers(word_ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds of the rows, number of the word of each position or -1), over the flat Arrow buffer."""
+    bounds = word_ids.offsets.to_numpy().astype("int64")
+    bounds = bounds - bounds[0]
+    flat = word_ids.flatten()
+    named = flat.is_valid().to_numpy(zero_copy_only=False)
+    words = flat.drop_null().dictionary_encode().indices.to_numpy()
+    row = np.repeat(np.arange(len(word_ids)), np.diff(bounds))[named]
+    first = np.diff(row, prepend=-1) > 0
+    changed = first.copy()
+    changed[1:] |= words[1:] != words[:-1]
+    count, starts = np.cumsum(changed), np.flatnonzero(first)
+    index = np.full(len(named), -1, "int32")
+    index[named] = count - np.repeat(count[starts], np.diff(np.append(starts, len(row))))
+    return bounds, index
+
+
+@F.arrow_udf(ArrayType(IntegerType()))
+def _word_index(word_ids: pa.Array) -> pa.Array:
+    bounds, index = _word_numbers(word_ids)
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(index, mask=index < 0), mask=word_ids.is_null())
+
+
 def add_word_index(df: DataFrame, word_ids: str, out: str) -> DataFrame:
     """Add the index of the word of each position, null for positions without a word.
 
     The index grows whenever a word id differs from the last one that was not null.
-    Both running counts are linear in the array.
     """
-    changed = F.transform("_named", lambda w, k: F.when((k > 0) & (w == F.get("_named", k - 1)), 0).otherwise(1))
-    named = compute_once(df, word_ids, _named=F.filter(word_ids, lambda w: w.isNotNull()))
-    counted = (
-        compute_once(named, _new=changed)
-        .withColumn("_before", running_starts(F.col("_new")))
-        .withColumn("_rank", running_starts(F.transform(word_ids, lambda w: w.isNotNull().cast("int"))))
-    )
+    return df.withColumn(out, _word_index(word_ids))
 
-    def index(w, i):
-        rank = F.get("_rank", i)
-        return F.when(w.isNotNull(), F.get("_before", rank) + F.get("_new", rank) - 1)
 
-    return counted.withColumn(out, F.transform(word_ids, index)).drop("_named", "_new", "_before", "_rank")
+def _word_hits(probability: float):
+    """Column function (key as text, word ids) -> whether the word of each position is drawn, one draw per word."""
+    @F.arrow_udf(ArrayType(BooleanType()))
+    def hits(prefixes: pa.Array, word_ids: pa.Array) -> pa.Array:
+        bounds, index = _word_numbers(word_ids)
+        hit = np.zeros(len(index), bool)
+        for prefix, start, end in zip(prefixes.to_pylist(), bounds[:-1], bounds[1:]):
+            own = index[start:end]
+            draws = row_draws(prefix, int(own.max(initial=-1)) + 1)
+            hit[start:end] = np.append(draws < probability, False)[own]  # the last one is for positions without a word
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hit), mask=word_ids.is_null())
+
+    return hits
 
 
 def whole_word_mask(df: DataFrame, ids: str, labels: str, word_ids: str, key: list[str], mask_id: int,
                     seed: int = 42, probability: float = 0.2, epoch: int = 0) -> DataFrame:
     """Mask whole words: one draw per word, all its tokens masked, labels only there."""
-    def hit(word: Column) -> Column:
-        return word.isNotNull() & F.coalesce(uniform(f"{seed}:{epoch}:w", *key, word) < probability, F.lit(False))
-
-    indexed = add_word_index(df, word_ids, "_word")
-
+    prefix = F.concat_ws(":", F.lit(f"{seed}:{epoch}:w"), *[F.col(k).cast("string") for k in key])
+    drawn = df.withColumn("_hit", _word_hits(probability)(prefix, word_ids))
     return (
-        compute_once(compute_once(indexed, ids, labels, "_word"), _hit=F.transform("_word", hit))
+        compute_once(drawn, ids, labels)
         .withColumn(labels, F.transform(labels, lambda x, i: F.when(F.get("_hit", i), x).otherwise(F.lit(IGNORE_LABEL))))
         .withColumn(ids, F.transform(ids, lambda x, i: F.when(F.get("_hit", i), F.lit(mask_id)).otherwise(x)))
-        .drop("_word", "_hit")
+        .drop("_hit")
     )
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from ..functions.pretok import BERT_PATTERN, BYTE_LEVEL_PATTERN, PUNCTUATION, WORD_PATTERN
-from ..functions.scalars import ColumnOrName, _col, hex_to_long, uniform
+from ..functions.scalars import ColumnOrName, _col, hex_to_long, uniform_array
 from ..functions.text import NOT_WHITESPACE, WHITESPACE, words
 from ..session import spread
 
@@ -52,31 +57,60 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("conv_id") * 1000000 + F.col("turn")).alias("example_id"), "question", "context")
 
 
-def word_tags(key: list[str], tokens: str, error: bool = False) -> Column:
+def word_tags(key: list[str], tokens: ColumnOrName, error: bool = False) -> Column:
     """A label id per token by digest; with ``error`` one in ten is moved to the next label."""
-    def tag(t: Column, i: Column) -> Column:
-        label = F.floor(uniform("tag", *key, i) * len(LABEL_NAMES)).cast("int")
-        return F.when(uniform("err", *key, i) < 0.1, (label + 1) % len(LABEL_NAMES)).otherwise(label) if error else label
+    size = F.size(_col(tokens))
+
+    def tag(u: Column) -> Column:
+        return F.floor(u * len(LABEL_NAMES)).cast("int")
 
-    return F.transform(tokens, tag)
+    draws = uniform_array(size, "tag", *key)
+    if not error:
+        return F.transform(draws, tag)
+    return F.zip_with(draws, uniform_array(size, "err", *key), lambda u, e: F.when(e < 0.1, (tag(u) + 1) % len(LABEL_NAMES)).otherwise(tag(u)))
 
 
 def label_name(label: Column) -> Column:
     return F.get(F.array(*[F.lit(n) for n in LABEL_NAMES]), label)
 
 
+@F.arrow_udf(StructType([StructField("word_ids", ArrayType(IntegerType())), StructField("piece_ids", ArrayType(IntegerType()))]))
+def _three_chars(words: pa.Array) -> pa.Array:
+    """Each distinct word of a batch is cut once; pieces and word numbers are laid out over the flat buffer."""
+    flat = words.flatten().dictionary_encode()
+    ids: dict[str, int] = {}
+    codes, sizes = [], []
+    for word in flat.dictionary.to_pylist():
+        pieces = [word[i:i + 3] for i in range(0, len(word), 3)]
+        for p in pieces:
+            if p not in ids:
+                ids[p] = int(md5(p.encode()).hexdigest()[:6], 16) % 29000 + 1000
+            codes.append(ids[p])
+        sizes.append(len(pieces))
+    codes, sizes, word = np.array(codes, "int32"), np.array(sizes, "int64"), flat.indices.to_numpy()
+    bounds = words.offsets.to_numpy().astype("int64")
+    bounds = bounds - bounds[0]
+    row = np.repeat(np.arange(len(words)), np.diff(bounds))
+    n = sizes[word]
+    ends = np.concatenate([[0], np.cumsum(n)])  # pieces before each word
+    present = words.is_valid().to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(np.diff(ends[bounds]) + 2 * present)])
+    at = np.arange(ends[-1]) + np.repeat(starts[row] + 1 - ends[bounds[row]], n)
+    piece_ids, word_ids, named = np.full(starts[-1], 101, "int32"), np.zeros(starts[-1], "int32"), np.zeros(starts[-1], bool)
+    piece_ids[starts[1:][present] - 1] = 102
+    piece_ids[at] = codes[np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[word] - ends[:-1], n)]
+    word_ids[at], named[at] = np.repeat(np.arange(len(word)) - bounds[row], n), True
+
+    def lists(values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values, mask=words.is_null())
+
+    return pa.StructArray.from_arrays([lists(pa.array(word_ids, mask=~named)), lists(pa.array(piece_ids))], ["word_ids", "piece_ids"])
+
+
 def three_char_pieces(df: DataFrame, text: str) -> DataFrame:
     """Adds ``piece_ids`` and ``word_ids``: words cut into pieces of three characters between two special tokens."""
-    def pieces(w: Column) -> Column:
-        return F.regexp_extract_all(w, F.lit(".{1,3}"), F.lit(0))
-
-    none = F.array(F.lit(None).cast("int"))
-    return (
-        df.withColumn("_pieces", F.transform(words(text), pieces))
-        .withColumn("word_ids", F.concat(none, F.flatten(F.transform("_pieces", lambda p, i: F.array_repeat(i, F.size(p)))), none))
-        .withColumn("piece_ids", F.concat(F.array(F.lit(101)), F.transform(F.flatten("_pieces"), token_id), F.array(F.lit(102))))
-        .drop("_pieces")
-    )
+    cut = df.withColumn("_cut", _three_chars(words(text)))
+    return cut.withColumns({"word_ids": F.col("_cut.word_ids"), "piece_ids": F.col("_cut.piece_ids")}).drop("_cut")
 
 
 def rules_window():
