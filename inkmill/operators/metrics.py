@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType
 
-from ..functions.arrays import entity_spans, ngrams
+from ..functions.arrays import ngrams
 from ..functions.once import compute_once
 from ..functions.pretok import pretok_bert
 from ..functions.scalars import IGNORE_LABEL, ColumnOrName, _col
@@ -40,33 +43,67 @@ def drop_ignored(df: DataFrame, predictions: str, labels: str) -> DataFrame:
     return df.withColumns({predictions: _kept(predictions, labels), labels: _kept(labels, labels)})
 
 
-def _span_keys(tags: str) -> Column:
-    """Spans as "start:end:type"; sets of strings are matched by hash, sets of structs pair by pair."""
-    return F.transform(entity_spans(tags), lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"), s["type"]))
+COUNTS = ("pred", "true", "tp", "n", "same")
+
+
+def _spans(types: np.ndarray, begins: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first places, last places) of the spans of ``entity_spans``; type -1 is outside."""
+    inside = types >= 0
+    same = row[1:] == row[:-1]
+    first = inside.copy()
+    first[1:] &= begins[1:] | ~(same & (types[1:] == types[:-1]))
+    last = inside.copy()
+    last[:-1] &= ~same | ~inside[1:] | first[1:]
+    return np.flatnonzero(first), np.flatnonzero(last)
+
+
+def _typed(tags: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the type, whether it is a B- tag) of each tag; a missing tag is outside. ``known`` grows by new types."""
+    coded = tags.fill_null("O").dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    at = coded.indices.to_numpy()
+    types = np.array([-1 if t == "O" else known.setdefault(t[2:], len(known)) for t in names], "int64")
+    return types[at], np.array([t.startswith("B-") for t in names], bool)[at]
+
+
+def _span_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts per type and ``overall`` of a batch of (predictions, labels); a row without one of them has no type and no counts."""
+    for batch in batches:
+        present = pc.and_(batch.column(0).is_valid(), batch.column(1).is_valid())
+        rows = batch.filter(present)
+        out = [] if rows.num_rows == batch.num_rows else [(None,) * 6]
+        if rows.num_rows:
+            said, true = rows.column(0), rows.column(1)
+            sizes = np.diff(true.offsets.to_numpy())
+            if (np.diff(said.offsets.to_numpy()) != sizes).any():  # labels decide the length
+                said = pa.array([(p + [None] * n)[:n] for p, n in zip(said.to_pylist(), sizes)], pa.list_(pa.string()))
+            said, true, row = said.flatten(), true.flatten(), np.repeat(np.arange(len(sizes)), sizes)
+            kept = pc.fill_null(pc.not_equal(true, str(IGNORE_LABEL)), False)
+            said, true, row = said.filter(kept), true.filter(kept), row[kept.to_numpy(zero_copy_only=False)]
+            known: dict[str, int] = {}
+            (p_type, p_begins), (y_type, y_begins) = _typed(said, known), _typed(true, known)
+            (p_first, p_last), (y_first, y_last) = _spans(p_type, p_begins, row), _spans(y_type, y_begins, row)
+            ends = np.full(len(row), -1)
+            ends[p_first] = p_last
+            found = y_first[(ends[y_first] == y_last) & (p_type[y_first] == y_type[y_first])]
+            counts = [np.bincount(t, minlength=len(known)).tolist() for t in (p_type[p_first], y_type[y_first], y_type[found])]
+            out += [(name, *(c[i] for c in counts), 0, 0) for name, i in known.items()]
+            same = pc.sum(pc.equal(said, true)).as_py() or 0
+            out.append(("overall", len(p_first), len(y_first), len(found), len(row), same))
+        columns = list(zip(*out)) or [()] * 6
+        kinds = [pa.string(), *[pa.int64()] * 5]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["type", *COUNTS])
 
 
 def seqeval(df: DataFrame, predictions: str, labels: str) -> DataFrame:
     """type, precision, recall, f1, number, accuracy: per entity type, and ``overall``.
 
-    Spans and their matches are found inside each row; only counts per type are shuffled.
+    Positions with an ignored or missing label are left out. Spans and their matches are
+    found inside each row, over the flat buffers of a batch; only counts per type leave it.
     """
-    tags = compute_once(df.select(predictions, labels), predictions, labels)
-    rows = compute_once(drop_ignored(tags, predictions, labels), predictions, labels).select(
-        _span_keys(predictions).alias("p"), _span_keys(labels).alias("y"),
-        F.size(labels).alias("n"),
-        F.size(F.filter(F.zip_with(predictions, labels, lambda a, b: a == b), lambda same: same)).alias("same"))
-    rows = compute_once(compute_once(rows, "p", "y"), tp=F.array_intersect("p", "y"))
-
-    def typed(spans: str, pred: int, true: int, hit: int) -> Column:
-        return F.transform(spans, lambda s: F.struct(
-            F.split(s, ":", 3)[2].alias("type"), F.lit(pred).alias("pred"), F.lit(true).alias("true"), F.lit(hit).alias("tp"),
-            F.lit(0).alias("n"), F.lit(0).alias("same")))
-
-    tokens = F.array(F.struct(F.lit("overall").alias("type"), F.size("p").alias("pred"), F.size("y").alias("true"),
-                              F.size("tp").alias("tp"), F.col("n"), F.col("same")))
-    parts = F.concat(typed("p", 1, 0, 0), typed("y", 0, 1, 0), typed("tp", 0, 0, 1), tokens)
-    sums = rows.select(F.explode_outer(parts).alias("c")).groupBy("c.type").agg(
-        *[F.sum(f"c.{name}").alias(name) for name in ("pred", "true", "tp", "n", "same")])
+    tags = df.select(F.col(predictions).cast("array<string>"), F.col(labels).cast("array<string>"))
+    counts = tags.mapInArrow(_span_counts, "type string, " + ", ".join(f"{c} long" for c in COUNTS))
+    sums = counts.groupBy("type").agg(*[F.sum(c).alias(c) for c in COUNTS])
     precision, recall = _ratio(F.col("tp"), F.col("pred")), _ratio(F.col("tp"), F.col("true"))
     return sums.select(
         "type", precision.alias("precision"), recall.alias("recall"),
