@@ -11,10 +11,12 @@ task, so a recomputed task gives the same numbers.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from ..functions.scalars import hex_to_long, md5_key
 
 MAX_BUCKETS = 16384
+MAX_EDGES = 4096  # keys that part the ranges of batches
 
 
 def _rank_in_buckets(df: DataFrame, bucket: Column, order: list[Column], groups: list[str], out: str) -> DataFrame:
@@ -77,6 +79,34 @@ def batch_assign(df: DataFrame, batch_size: int, order_col: str, groups: list[st
     return ranked.withColumn(out, F.floor((F.col("_rn") - 1) / batch_size).cast("bigint")).drop("_rn")
 
 
+def batch_ranges(df: DataFrame, batch_size: int, order_col: str, groups: list[str] | None = None, out: str = "range_start") -> DataFrame:
+    """Add the number of the first batch of the range that a row lies in; a range holds whole batches of ``batch_assign``.
+
+    Rows are numbered by their keys alone, and the keys where ranges begin, at most
+    ``MAX_EDGES``, go to every task, so no row is shuffled here. Ranges do not begin
+    between equal keys.
+    """
+    groups = groups or []
+    size = batch_size * max(1, -(-df.count() // (batch_size * MAX_EDGES)))
+    numbered = global_row_number(df.select(*groups, order_col), order_col, groups, "_rn")
+    cuts = numbered.filter((F.col("_rn") % size == 0) | ((F.col("_rn") > 1) & ((F.col("_rn") - 1) % size == 0)))
+    at = {(tuple(r[g] for g in groups), r["_rn"]): r[order_col] for r in cuts.select(*groups, order_col, "_rn").collect()}
+    edges: dict[tuple, list[tuple]] = {}
+    for (group, number), key in sorted(at.items(), key=lambda e: e[0][1]):
+        before = at.get((group, number - 1))
+        if (number - 1) % size == 0 and number > 1 and key != before and not (key != key and before != before):
+            edges.setdefault(group, []).append((key, (number - 1) // batch_size))
+    fields = [StructField(f"_g{i}", df.schema[g].dataType) for i, g in enumerate(groups)]
+    fields += [StructField("_edges", ArrayType(df.schema[order_col].dataType)), StructField("_starts", ArrayType(LongType()))]
+    rows = [(*group, [k for k, _ in own], [0, *(b for _, b in own)]) for group, own in edges.items()]
+    table = F.broadcast(df.sparkSession.createDataFrame(rows, StructType(fields)))
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]
+    joined = df.join(table, same or F.lit(True), "left")
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(MAX_EDGES.bit_length()))])
+    place = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get("_edges", low + step - 1) <= F.col(order_col), low + step).otherwise(low))
+    return joined.withColumn(out, F.coalesce(F.get("_starts", place), F.lit(0).cast("bigint"))).select(*df.columns, out)
+
+
 def running_offset(df: DataFrame, size: Column, batch_cols: list[str], order_col: str, out: str = "offset") -> DataFrame:
     """Start of each row's array inside the concatenation of its batch."""
     before = W.partitionBy(*batch_cols).orderBy(order_col).rowsBetween(W.unboundedPreceding, -1)

@@ -8,12 +8,13 @@ from functools import reduce
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .ordering import batch_assign
+from .ordering import batch_ranges
 
 Example = dict[str, Any]
 FAN_IN = 256
@@ -24,19 +25,27 @@ def collate_batches(df: DataFrame, batch_size: int, order_col: str, collate: Cal
     """``collate`` on each batch of consecutive rows, per group: the group's columns, batch_id and ``schema``.
 
     It gets the examples of one batch in order, without the columns of the groups, and returns any number of rows, one
-    for each example or one for the whole batch. ``order_col`` is unique within a group; a batch is one task's work.
+    for each example or one for the whole batch. ``order_col`` is unique within a group. Rows are shuffled once, to the
+    range of batches that they lie in; a task cuts it into its batches.
     """
     keys = [*(groups or []), "batch_id"]
-    batched = batch_assign(df, batch_size, order_col, groups)
-    out = StructType([*[batched.schema[k] for k in keys], *StructType.fromDDL(schema).fields])
+    ranged = batch_ranges(df, batch_size, order_col, groups, "_range_start")
+    kinds = StructType([*[df.schema[g] for g in groups or []], StructField("batch_id", LongType())])
+    out = StructType([*kinds.fields, *StructType.fromDDL(schema).fields])
     arrow = to_arrow_schema(out)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        examples = table.drop_columns(keys).sort_by(order_col).to_pylist()
-        own = {k: v.as_py() for k, v in zip(keys, key)}
-        return pa.Table.from_pylist([row | own for row in collate(examples)], arrow)
-
-    return batched.groupBy(*keys).applyInArrow(run, out)
+        *own, first = (v.as_py() for v in key)
+        table = table.drop_columns([*(groups or []), "_range_start"])
+        table = table.take(pc.sort_indices(table, [(order_col, "ascending")], null_placement="at_start"))
+        parts = []
+        for n, at in enumerate(range(0, table.num_rows, batch_size)):
+            examples = table.slice(at, batch_size).sort_by(order_col).to_pylist()
+            named = dict(zip(keys, [*own, first + n]))
+            parts.append(pa.Table.from_pylist([row | named for row in collate(examples)], arrow))
+        return pa.concat_tables(parts)
+
+    return ranged.groupBy(*(groups or []), "_range_start").applyInArrow(run, out)
 
 
 @dataclass(frozen=True)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from hashlib import md5
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import arrays as A, pretok as P, text as T
 from ..functions.once import compute_once
+from ..functions.scalars import row_draws
 from ..operators import examples as X, qa, user_code
 from ..operators.ordering import batch_assign
 from ..sources import writers
@@ -160,21 +159,19 @@ def whole_word_mask(spark, d):
 
 def mask_words(examples: list[dict]) -> list[dict]:
     """Whole-word masking as a user's collate function."""
-    def drawn(doc: int, word: int) -> bool:
-        return int(md5(f"42:0:w:{doc}:{word}".encode()).hexdigest()[:8], 16) / 4294967296 < 0.2
-
     out = []
     for e in examples:
-        hits = {w: drawn(e["doc_id"], w) for w in set(e["word_ids"]) - {None}}
-        hit = [hits.get(w, False) for w in e["word_ids"]]
-        out.append({"doc_id": e["doc_id"], "input_ids": " ".join(str(103 if h else i) for h, i in zip(hit, e["piece_ids"])),
-                    "labels": " ".join(str(i if h else -100) for h, i in zip(hit, e["piece_ids"]))})
+        ids, words = [str(i) for i in e["piece_ids"]], e["word_ids"]
+        drawn = (row_draws(f"42:0:w:{e['doc_id']}", max((w for w in words if w is not None), default=-1) + 1) < 0.2).tolist()
+        hit = [w is not None and drawn[w] for w in words]
+        out.append({"doc_id": e["doc_id"], "input_ids": " ".join(["103" if h else i for h, i in zip(hit, ids)]),
+                    "labels": " ".join([i if h else "-100" for h, i in zip(hit, ids)])})
     return out
 
 
 @query("collate_whole_word", SQL_WHOLE_WORD)
 def collate_whole_word(spark, d):
-    docs = t.three_char_pieces(t.documents(spark, d), "text").select("doc_id", "lang", "piece_ids", "word_ids")
+    docs = t.three_char_pieces(t.spread_documents(spark, d), "text").select("doc_id", "lang", "piece_ids", "word_ids")
     masked = user_code.collate_batches(docs, 32, "doc_id", mask_words, "doc_id bigint, input_ids string, labels string", ["lang"])
     return masked.select("doc_id", "input_ids", "labels")
 
