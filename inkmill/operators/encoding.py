@@ -10,7 +10,9 @@ with the few entries found in it. Plain token -> id lookup is a join as well.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -33,8 +35,32 @@ def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_TOKENS) -> list:
     return rows
 
 
+# Words of a batch whose pieces are held at once.
+WORDS_AT_ONCE = 200_000
+
+
+def _slices(words: pa.Array) -> Iterator[pa.Array]:
+    """The rows of a batch in pieces of about WORDS_AT_ONCE words; a longer row stands alone."""
+    start, ends = 0, words.offsets.to_numpy()
+    while start < len(words):
+        end = max(start + 1, int(np.searchsorted(ends, ends[start] + WORDS_AT_ONCE, side="right")) - 1)
+        yield words.slice(start, end - start)
+        start = end
+
+
+def _word_encoder(encode):
+    """Column function array<word> -> array<array<piece>>. Results leave by slices, so a batch's pieces are never held together."""
+    @F.arrow_udf(ArrayType(ArrayType(StringType())))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for part in _slices(batch):
+                yield _per_distinct_word(part, encode)
+
+    return run
+
+
 def _per_distinct_word(words: pa.Array, encode) -> pa.Array:
-    """list<string> of words -> list<list<string>>; each distinct word is encoded once per batch."""
+    """list<string> of words -> list<list<string>>; each distinct word is encoded once."""
     flat = words.flatten().dictionary_encode()
     coded = pa.array([encode(w) for w in flat.dictionary.to_pylist()], pa.list_(pa.string()))
     bounds = pc.subtract(words.offsets, words.offsets[0])
@@ -63,12 +89,7 @@ def wordpiece_encoder(vocab: DataFrame, prefix: str = "##", unknown: str = "[UNK
     shared = vocab.sparkSession.sparkContext.broadcast(tokens)
     longest = max((len(t) for t in tokens), default=1)
 
-    @F.arrow_udf("array<array<string>>")
-    def encode(words: pa.Array) -> pa.Array:
-        known = shared.value
-        return _per_distinct_word(words, lambda w: _longest_match(w, known, longest, prefix, unknown))
-
-    return encode
+    return _word_encoder(lambda w: _longest_match(w, shared.value, longest, prefix, unknown))
 
 
 def encode_wordpiece(df: DataFrame, words: Column, vocab: DataFrame, out: str = "pieces") -> DataFrame:
@@ -101,11 +122,7 @@ def encode_bpe(df: DataFrame, words: Column, merges: DataFrame, out: str = "piec
         ranks.setdefault((r.left, r.right), r.rank)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
-    @F.arrow_udf("array<array<string>>")
-    def encode(batch: pa.Array) -> pa.Array:
-        return _per_distinct_word(batch, lambda w: _bpe_word(w, shared.value))
-
-    return df.withColumn(out, encode(words))
+    return df.withColumn(out, _word_encoder(lambda w: _bpe_word(w, shared.value))(words))
 
 
 def _viterbi(word: str, scores: dict[str, float], longest: int, start_score: float, skip: str | None = None):
@@ -238,12 +255,7 @@ def encode_unigram(df: DataFrame, words: Column, model: DataFrame, start_score:
     shared = df.sparkSession.sparkContext.broadcast(scores)
     longest = max((len(t) for t in scores), default=1)
 
-    @F.arrow_udf("array<array<string>>")
-    def encode(batch: pa.Array) -> pa.Array:
-        return _per_distinct_word(
-            batch, lambda w: _viterbi(w, shared.value, longest, start_score)[0] or [unknown])
-
-    return df.withColumn(out, encode(words))
+    return df.withColumn(out, _word_encoder(lambda w: _viterbi(w, shared.value, longest, start_score)[0] or [unknown])(words))
 
 
 # Characters of a word that are cut into substrings together.

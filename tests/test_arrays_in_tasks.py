@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from inkmill.functions.scalars import uniform, uniform_array
-from inkmill.operators import examples as X, metrics as M, user_code
+from inkmill.operators import encoding, examples as X, metrics as M, user_code
 from inkmill.operators.ordering import batch_assign
 from inkmill.plans import tables as t
 
@@ -72,3 +72,16 @@ def test_collate_shuffles_rows_once(spark, monkeypatch):
         assert {(r.g, r.batch_id): r.ids for r in got.collect()} == want
     again = df.union(df)  # equal keys stay in one range, and batches keep their size
     assert sorted(r.n for r in user_code.collate_batches(again, 4, "id", mean, "n int, ids array<long>").collect()) == [2] + [4] * 51
+
+
+def test_pieces_leave_a_batch_by_slices(spark, monkeypatch):
+    import pyarrow as pa
+
+    rows = [["ab"] * n for n in (0, 3, 500, 1, 0, 2, 2, 2)]
+    monkeypatch.setattr(encoding, "WORDS_AT_ONCE", 4)
+    parts = list(encoding._slices(pa.array([None, *rows], pa.list_(pa.string())).slice(1)))
+    assert [len(p.flatten()) for p in parts] == [3, 500, 3, 4] and [r for p in parts for r in p.to_pylist()] == rows
+    df = spark.createDataFrame(list(enumerate(rows)), "id int, w array<string>").coalesce(1)
+    merges = spark.createDataFrame([(0, "a", "b")], "rank int, left string, right string")
+    got = {r.id: r.pieces for r in encoding.encode_bpe(df, F.col("w"), merges).collect()}
+    assert got == {i: [["ab"]] * len(r) for i, r in enumerate(rows)}
