@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -20,6 +21,23 @@ Example = dict[str, Any]
 FAN_IN = 256
 
 
+def _values(column: pa.ChunkedArray) -> list:
+    """``to_pylist``; lists of numbers go by way of numpy, without a scalar object for each number."""
+    column = column.combine_chunks()
+    if not pa.types.is_list(column.type) or not (pa.types.is_integer(column.type.value_type) or pa.types.is_floating(column.type.value_type)):
+        return column.to_pylist()
+    flat = column.flatten()
+    numbers = flat.fill_null(0).to_numpy(zero_copy_only=False).astype(object)
+    numbers[flat.is_null().to_numpy(zero_copy_only=False)] = None
+    numbers = numbers.tolist()
+    ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy()).tolist()
+    return [numbers[start:end] if valid else None for start, end, valid in zip([0, *ends], ends, column.is_valid().to_pylist())]
+
+
+def _examples(table: pa.Table) -> list[Example]:
+    return [dict(zip(table.column_names, row)) for row in zip(*[_values(c) for c in table.columns])]
+
+
 def collate_batches(df: DataFrame, batch_size: int, order_col: str, collate: Callable[[list[Example]], list[Example]], schema: str,
                     groups: list[str] | None = None) -> DataFrame:
     """``collate`` on each batch of consecutive rows, per group: the group's columns, batch_id and ``schema``.
@@ -40,7 +58,7 @@ def collate_batches(df: DataFrame, batch_size: int, order_col: str, collate: Cal
         table = table.take(pc.sort_indices(table, [(order_col, "ascending")], null_placement="at_start"))
         parts = []
         for n, at in enumerate(range(0, table.num_rows, batch_size)):
-            examples = table.slice(at, batch_size).sort_by(order_col).to_pylist()
+            examples = _examples(table.slice(at, batch_size).sort_by(order_col))
             named = dict(zip(keys, [*own, first + n]))
             parts.append(pa.Table.from_pylist([row | named for row in collate(examples)], arrow))
         return pa.concat_tables(parts)

@@ -85,3 +85,13 @@ def test_pieces_leave_a_batch_by_slices(spark, monkeypatch):
     merges = spark.createDataFrame([(0, "a", "b")], "rank int, left string, right string")
     got = {r.id: r.pieces for r in encoding.encode_bpe(df, F.col("w"), merges).collect()}
     assert got == {i: [["ab"]] * len(r) for i, r in enumerate(rows)}
+
+
+def test_examples_of_a_batch_are_plain_values():
+    import pyarrow as pa
+
+    rows = [{"id": 1, "i": [1, None, 3], "f": [0.1, float("inf")], "s": ["a", None]}, {"id": 2, "i": None, "f": [], "s": None}, {"id": None, "i": [5], "f": [None], "s": []}]
+    table = pa.Table.from_pylist(rows, pa.schema({"id": pa.int64(), "i": pa.list_(pa.int32()), "f": pa.list_(pa.float32()), "s": pa.list_(pa.string())}))
+    for part in (table, table.slice(1), table.take([2, 0, 1]), table.slice(0, 0), pa.concat_tables([table, table.slice(2)])):
+        assert user_code._examples(part) == part.to_pylist()
+        assert all(type(x) in (int, type(None)) for e in user_code._examples(part) for x in e["i"] or [])
