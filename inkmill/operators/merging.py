@@ -36,8 +36,11 @@ class Linked:
         self.after: list[int] = []
         self.count: dict[Pair, int] = {}
         self.places: dict[Pair, set[int]] = {}
+        self.smallest: dict[Pair, int] = {}  # of the places of a pair, until it is taken away
+        self.starts: list[int] = []
         for symbols, freq in rows:
             start, n = len(self.symbol), len(symbols)
+            self.starts.append(start)
             self.symbol += symbols
             self.weight += [freq] * n
             self.before += [-1, *range(start, start + n - 1)] if n else []
@@ -47,12 +50,28 @@ class Linked:
 
     def _add(self, pair: Pair, place: int) -> None:
         self.count[pair] = self.count.get(pair, 0) + self.weight[place]
-        self.places.setdefault(pair, set()).add(place)
+        at = self.places.setdefault(pair, set())
+        if not at or place < self.smallest.get(pair, -1):
+            self.smallest[pair] = place
+        at.add(place)
+
+    def first(self, pair: Pair) -> int:
+        """The smallest place of a pair; places are looked through only after it was taken away."""
+        place = self.smallest.get(pair)
+        if place is None:
+            place = self.smallest[pair] = min(self.places[pair])
+        return place
+
+    def rows(self) -> list[list[str]]:
+        """All rows with their symbols as they are now."""
+        return [[s for s in self.symbol[a:b] if s] for a, b in zip(self.starts, [*self.starts[1:], len(self.symbol)])]
 
     def _drop(self, pair: Pair, place: int) -> None:
         at = self.places[pair]
         if place in at:
             at.remove(place)
+            if self.smallest.get(pair) == place:
+                del self.smallest[pair]
             self.count[pair] -= self.weight[place]
 
     def _join(self, pair: Pair, token: str) -> tuple[set[Pair], int]:
@@ -60,6 +79,7 @@ class Linked:
         left, right = pair
         touched: set[Pair] = set()
         joined = 0
+        self.smallest.pop(pair, None)
         for p in sorted(self.places.pop(pair)):
             q = self.after[p]
             if q < 0 or self.symbol[p] != left or self.symbol[q] != right:
@@ -92,7 +112,7 @@ class Runs(Linked):
         self.last_symbols: dict[str, set[str]] = {}
         self.widest = [1, 1]
         # (negative count that may be reached, exact or not, first place or an earlier one, pair)
-        self.heap = [self._entry(pair, min(at)) for pair, at in self.places.items()]
+        self.heap = [self._entry(pair, self.first(pair)) for pair in self.places]
         heapq.heapify(self.heap)
 
     def _spellings(self, pair: Pair) -> int:
@@ -110,7 +130,7 @@ class Runs(Linked):
             if not self.places.get(pair):
                 heapq.heappop(self.heap)
                 continue
-            now = self._entry(pair, min(self.places[pair]))
+            now = self._entry(pair, self.first(pair))
             if now != entry:  # counts fall and first places move on unnoticed; what grows is entered at once
                 heapq.heapreplace(self.heap, now)
                 continue
@@ -123,7 +143,7 @@ class Runs(Linked):
         self._spell(token, *pair)
         for new in self._join(pair, token)[0]:
             if self.places.get(new):
-                heapq.heappush(self.heap, self._entry(new, min(self.places[new])))
+                heapq.heappush(self.heap, self._entry(new, self.first(new)))
 
     def _spell(self, token: str, left: str, right: str) -> None:
         """Keep the symbols that a token can begin and end with; pairs of a token with a new spelling are entered again."""
@@ -138,7 +158,7 @@ class Runs(Linked):
         if wider:
             for pair, at in self.places.items():
                 if at and token in pair:
-                    heapq.heappush(self.heap, self._entry(pair, min(at)))
+                    heapq.heappush(self.heap, self._entry(pair, self.first(pair)))
 
 
 class ScoredWords(Linked):
@@ -182,7 +202,7 @@ class ScoredWords(Linked):
 
     def _entry(self, pair: Pair) -> tuple[float, int, Pair]:
         """Places of pairs that stand in other words too are their first ones at the beginning, or earlier than that."""
-        place = self.key[min(self.places[pair])] if self._is_closed(pair) else self.seen_first[pair]
+        place = self.key[self.first(pair)] if self._is_closed(pair) else self.seen_first[pair]
         return -self.score(pair), place, pair
 
     def best(self) -> tuple[Pair, float] | None:
@@ -215,7 +235,7 @@ class ScoredWords(Linked):
         for new in touched:
             self._list(new)
             if not self._is_closed(new):
-                first = self.key[min(self.places[new])]
+                first = self.key[self.first(new)]
                 self.seen_first[new] = min(self.seen_first.get(new, first), first)
         for changed in touched.union(*(self.of_symbol.get(s, ()) for s in (*pair, token))):
             if self.count.get(changed):

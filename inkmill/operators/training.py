@@ -14,13 +14,16 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
 from . import vocab
 from .encoding import MAX_BROADCAST_TOKENS, viterbi_words, viterbi_words_join
-from .merging import Runs, ScoredWords, apply_merges, cut_runs
+from .merging import Runs, ScoredWords, apply_merges
+from .runs import Merged, pair_code, pair_sums, run_sums
 
 # Two code points that Unicode keeps out of text.
 OPEN, CLOSE = "\ufdd0", "\ufdd1"
@@ -99,47 +102,93 @@ class _Words:
         shared.destroy()
 
 
-def _runs(words: DataFrame, frequent: set[tuple[str, str]]) -> DataFrame:
-    """syms, freq, rank, start: the distinct runs between rare pairs, with their first place; one row each."""
-    shared = words.sparkSession.sparkContext.broadcast(frequent)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            freqs, ranks, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [cut_runs(s, shared.value) for s in batch.column(2).to_pylist()]
-            rows = [(run, freqs[i], ranks[i], start) for i, own in enumerate(found) for start, run in own]
-            kinds = (pa.list_(pa.string()), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["syms", "freq", "rank", "start"])
-
-    rows = words.select(F.col("freq").cast("long"), F.col("rank").cast("long"), "syms").mapInArrow(cut, "syms array<string>, freq long, rank long, start long")
-    return rows.groupBy("syms").agg(F.sum("freq").alias("freq"), F.min(F.struct("rank", "start")).alias("place")).select("syms", "freq", "place.rank", "place.start")
+class _IdWords:
+    """The distinct words of two or more symbols, as ids of their symbols (``names``, from 1 on)."""
+
+    def __init__(self, freqs: DataFrame):
+        kinds = [F.col("freq").cast("long").alias("freq"), F.col("rank").cast("long").alias("rank")]
+        words = cut_lineage(vocab.rank_words(freqs).select(*kinds, "word"), freqs.sparkSession.sparkContext.defaultParallelism)
+
+        def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = pc.unique(batch.column(0).flatten())
+                missing = pa.nulls(int(batch.column(0).null_count > 0), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([found, missing])], ["symbol"])
+
+        symbols = words.select(vocab.symbols(F.col("word")).alias("syms")).mapInArrow(distinct, "symbol string").distinct()
+        self.alphabet = [r.symbol for r in symbols.orderBy("symbol").collect()]
+        self.names = ["", *self.alphabet]
+        self.ids = {s: i for i, s in enumerate(self.alphabet, 1)}
+        alphabet = self.alphabet
+
+        def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = pa.array(alphabet, pa.string())
+            for batch in batches:
+                batch = batch.filter(pc.greater(pc.list_value_length(batch.column("syms")), 1))
+                bounds = pc.subtract(batch.column("syms").offsets, batch.column("syms").offsets[0])
+                ids = pc.add(pc.index_in(batch.column("syms").flatten(), value_set=known), pa.scalar(1, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("freq"), batch.column("rank"), pa.ListArray.from_arrays(bounds, ids)], ["freq", "rank", "syms"])
+
+        self.schema = "freq long, rank long, syms array<int>"
+        self.table = cut_lineage(words.select("freq", "rank", vocab.symbols(F.col("word")).alias("syms")).mapInArrow(numbered, self.schema))
+        self.stride = 1 + (self.table.agg(F.max(F.size("syms"))).first()[0] or 0)
+
+    def pairs(self) -> DataFrame:
+        """code, freq of neighbours."""
+        return self.table.mapInArrow(pair_sums, "code long, freq long").groupBy("code").agg(F.sum("freq").alias("freq"))
+
+    def runs(self, frequent: np.ndarray) -> DataFrame:
+        """syms, freq, first: the distinct runs between rare pairs, with their first place; one row each."""
+        shared, stride = self.table.sparkSession.sparkContext.broadcast(frequent), self.stride
+        rows = self.table.mapInArrow(lambda batches: run_sums(batches, shared.value, stride), "syms binary, freq long, first long")
+        return rows.groupBy("syms").agg(F.sum("freq").alias("freq"), F.min("first").alias("first"))
+
+    def apply(self, merges: list[Merge], frequent: np.ndarray | None, runs: pa.Array | None, done: list[list[str]]) -> None:
+        """Merges in their order. ``done`` are the merged ``runs`` between pairs that are not ``frequent``, where those are known."""
+        for m in merges:
+            if m.merged not in self.ids:
+                self.ids[m.merged] = len(self.names)
+                self.names.append(m.merged)
+        ranks: dict[tuple[int, int], list[int]] = {}
+        for i, m in enumerate(merges):
+            ranks.setdefault((self.ids[m.left], self.ids[m.right]), []).append(i)
+        if frequent is None:
+            frequent, runs = np.array(sorted(pair_code(*p) for p in ranks), "int64"), pa.array([], pa.binary())
+        lists = pa.array([[self.ids[s] for s in run] for run in done], pa.list_(pa.int32()))
+        shared = self.table.sparkSession.sparkContext.broadcast(Merged(frequent, ranks, [self.ids[m.merged] for m in merges], runs, lists))
+        self.table = cut_lineage(self.table.mapInArrow(lambda batches: shared.value.words(batches), self.schema))
+        shared.destroy()
 
 
-def _merges_of_runs(words: _Words, known: set[str], limit: int, n_pairs: int, max_symbols: int) -> tuple[list[Merge], bool]:
-    """(the next merges, whether more pairs would fit) from the runs of about ``n_pairs`` frequent pairs; none if the runs are too many."""
-    pairs = cut_lineage(vocab.pair_freqs(words.splits()).select("left", "right", "freq"))
+def _merges_of_runs(words: _IdWords, known: set[str], limit: int, n_pairs: int, max_symbols: int):
+    """(the next merges, what ``apply`` needs, how many times more symbols would fit) from the runs of about ``n_pairs`` frequent pairs; no merges if the runs are too many."""
+    pairs = cut_lineage(words.pairs())
     levels = pairs.select("freq").orderBy(F.desc("freq")).limit(n_pairs + 1).collect()
     if not levels:
-        return [], False
+        return [], (None, None, []), 0
     # All pairs above the last level seen; the last level too where it is the first or nothing lies below it.
     last = levels[-1].freq
     bound = last if last == levels[0].freq or len(levels) <= n_pairs else last + 1
     frequent = pairs.filter(F.col("freq") >= bound)
     if len(levels) > n_pairs and bound == last and frequent.count() > max_symbols:
-        return [], False
-    runs = cut_lineage(_runs(words.splits(), {(r.left, r.right) for r in frequent.collect()}))
-    size = runs.agg(F.sum(F.size("syms"))).first()[0] or 0
+        return [], (None, None, []), 0
+    codes = np.array(sorted(r.code for r in frequent.select("code").collect()), "int64")
+    runs = cut_lineage(words.runs(codes))
+    size = (runs.agg(F.sum(F.length("syms"))).first()[0] or 0) // 4
     if size > max_symbols:
-        return [], False
-    rows = sorted(runs.collect(), key=lambda r: (r.rank, r.start))  # max_symbols symbols at most
-    table, merges = Runs([(r.syms, r.freq) for r in rows], bound, known), []
+        return [], (None, None, []), 0
+    rows = runs.toArrow().combine_chunks().sort_by("first")  # max_symbols symbols at most
+    runs = rows.column("syms").combine_chunks()
+    symbols = [[words.names[i] for i in np.frombuffer(r, "int32")] for r in runs.to_pylist()]
+    table, merges = Runs(zip(symbols, rows.column("freq").to_pylist()), bound, known), []
     while len(merges) < limit and (found := table.best()):
         pair, count = found
         merges.append(Merge(*pair, pair[0] + pair[1], float(count)))
         table.merge(pair)
-    return merges, 4 * size < max_symbols
+    return merges, (codes, runs, table.rows()), max_symbols // max(size, 1)
 
 
-def _independent_merges(words: _Words, known: set[str], limit: int) -> list[Merge]:
+def _independent_merges(words: _IdWords, known: set[str], limit: int) -> list[Merge]:
     """The next merges that share no symbol, as many as are certain after one count.
 
     A merge of (a, b) changes only pairs that hold a or b, and each new pair occurs
@@ -148,17 +197,18 @@ def _independent_merges(words: _Words, known: set[str], limit: int) -> list[Merg
     a != b and a merged token that is no symbol yet; otherwise the round ends there.
     """
     order = [F.desc("freq"), F.asc("first")]
-    rows = vocab.pair_freqs(words.splits()).orderBy(*order).limit(CANDIDATES if limit > 1 else 1).collect()
+    rows = vocab.pair_freqs(words.table).orderBy(*order).limit(CANDIDATES if limit > 1 else 1).collect()
     taken: list[Merge] = []
     used: set[str] = set()
     for row in rows[:limit]:
-        if row.left in used or row.right in used:
+        left, right = words.names[row.left], words.names[row.right]
+        if left in used or right in used:
             break
-        merge = Merge(row.left, row.right, row.left + row.right, float(row.freq))
+        merge = Merge(left, right, left + right, float(row.freq))
         taken.append(merge)
-        if row.left == row.right or merge.merged in known:
+        if left == right or merge.merged in known:
             break
-        used |= {row.left, row.right}
+        used |= {left, right}
         known.add(merge.merged)
     return taken
 
@@ -173,20 +223,21 @@ def train_bpe(freqs: DataFrame, vocab_size: int | None = None, n_merges: int | N
     symbol where even the most frequent pairs have too many. The result is that of one
     merge at a time.
     """
-    words = _Words(freqs, "")
-    tokens = [*specials, *words.alphabet()]
+    words = _IdWords(freqs)
+    tokens = [*specials, *words.alphabet]
     vocab_size = len(tokens) + n_merges if vocab_size is None else vocab_size
     known, merges, n_pairs = set(tokens), [], FREQUENT_PAIRS
     while len(tokens) < vocab_size:
-        found, room = _merges_of_runs(words, known, vocab_size - len(tokens), n_pairs, max_symbols)
+        found, runs, room = _merges_of_runs(words, known, vocab_size - len(tokens), n_pairs, max_symbols)
         if not found:
             n_pairs = max(1, n_pairs // 8)
-            found = _independent_merges(words, known, vocab_size - len(tokens))
-        elif room:
-            n_pairs *= 4
+            found, runs = _independent_merges(words, known, vocab_size - len(tokens)), (None, None, [])
+        elif room > 1:
+            n_pairs *= 4 if room > 4 else 2
         if not found:
             break
-        words.apply(found)
+        if len(tokens) + len(found) < vocab_size:
+            words.apply(found, *runs)
         merges += found
         tokens += [m.merged for m in found]
     return tokens, merges

@@ -3,10 +3,12 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from inkmill.operators import encoding, training, vocab
+from inkmill.operators import encoding, runs, training, vocab
 from inkmill.operators.merging import Runs, ScoredWords, apply_merges, cut_runs
 
 STRIDE = 1000
@@ -177,3 +179,52 @@ def test_removals_join(spark, corpus):
     want = encoding.viterbi_words(plain, scores, removals=True)
     got = encoding.viterbi_words_join(plain, training.score_table(spark, scores), removals=True)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_arrays_of_ids(seed, monkeypatch):
+    """Pairs, runs and merges over Arrow buffers, in several chunks, against one word at a time."""
+    rng = random.Random(seed)
+    monkeypatch.setattr(runs, "SYMBOLS_AT_ONCE", rng.choice([1, 30, 10_000]))
+    words = [([rng.randint(1, 5) for _ in range(rng.randint(2, 12))], rng.randint(1, 50)) for _ in range(60)]
+    rows = pa.record_batch([pa.array([f for _, f in words]), pa.array(range(60)), pa.array([s for s, _ in words], pa.list_(pa.int32()))], ["freq", "rank", "syms"])
+    batches = [rows.slice(0, 25), rows.slice(25, 0), rows.slice(25)]
+    pairs, _, _ = tables(words)
+    counts = Counter()
+    for batch in runs.pair_sums(batches):
+        for code, freq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts[code >> 32, code & 0xFFFFFFFF] += freq
+    assert counts == pairs
+
+    frequent = set(rng.sample(sorted(pairs), min(len(pairs), 9)))
+    codes = np.array(sorted(runs.pair_code(*p) for p in frequent), "int64")
+    want, first = Counter(), {}
+    for rank, (s, f) in enumerate(words):
+        for start, run in cut_runs([chr(96 + x) for x in s], {(chr(96 + a), chr(96 + b)) for a, b in frequent}):
+            want[tuple(ord(c) - 96 for c in run)] += f
+            first.setdefault(tuple(ord(c) - 96 for c in run), rank * STRIDE + start)
+    got, place = Counter(), {}
+    for batch in runs.run_sums(batches, codes, STRIDE):
+        for run, freq, at in zip(*(c.to_pylist() for c in batch.columns)):
+            run = tuple(np.frombuffer(run, "int32").tolist())
+            got[run] += freq
+            place[run] = min(place.get(run, at), at)
+    assert (got, place) == (want, first)
+
+    order = sorted(frequent)
+    rng.shuffle(order)
+    ranks, tokens = {p: [i] for i, p in enumerate(order)}, [10 + i for i in range(len(order))]
+    some = sorted(want)[::2]
+    known = pa.array([np.array(r, "int32").tobytes() for r in some], pa.binary())
+    done = runs.Merged(codes, ranks, tokens, known, pa.array([apply_merges(list(r), ranks, tokens) for r in some], pa.list_(pa.int32())))
+    left = [row for batch in done.words(batches) for row in zip(*(c.to_pylist() for c in batch.columns))]
+    assert left == [(f, k, m) for k, (s, f) in enumerate(words) if len(m := apply_merges(s, ranks, tokens)) > 1]
+
+
+def test_first_places_are_kept():
+    """The first place of a pair is not looked for among all its places each time."""
+    table = Runs([(["a", "b", "c"], 1) for _ in range(50)], 1, {"a", "b", "c"})
+    table._drop(("a", "b"), 0)
+    assert table.first(("a", "b")) == 3 and table.smallest["a", "b"] == 3
+    table._add(("a", "b"), 0)
+    assert table.first(("a", "b")) == 0
