@@ -52,3 +52,28 @@ def test_few_rows_and_nulls(spark):
     assert answers(found) == answers(knn.knn_exact(base, queries.filter("embedding IS NOT NULL"), 5))
     assert cells.knn_cells(base.filter(F.lit(False)), queries, 5).collect() == []
     assert cells.knn_cells(base, queries.filter(F.lit(False)), 5).collect() == []
+
+
+def test_a_query_goes_to_a_shelf_once(spark, monkeypatch):
+    """Without clusters all cells are visited: rows sent must not grow with the cells."""
+    rng = np.random.default_rng(5)
+    base = table(spark, rng.normal(size=(900, 16)))
+    queries = base.withColumnRenamed("vec_id", "query_id")
+    index = cells.build_cells(base)
+    assert len(index.centres) == 30
+    _, _, more = cells.cell_visits(queries, index, 5, True)
+    assert more.count() <= 900
+    monkeypatch.setattr(cells, "AT_ONCE", 64)
+    monkeypatch.setattr(cells, "BLOCK", 100)
+    assert answers(cells.knn_cells(base, queries, 5, True)) == answers(knn.knn_exact(base, queries, 5, exclude_self=True))
+
+
+def test_vectors_without_distance(spark):
+    rng = np.random.default_rng(6)
+    vectors = clustered(rng, 200)
+    vectors[::9, 0], vectors[1::9, 1] = np.nan, np.inf
+    base = table(spark, vectors)
+    queries = base.withColumnRenamed("vec_id", "query_id")
+    finite = base.filter("forall(embedding, x -> abs(x) < 1e30 AND NOT isnan(x))")
+    want = answers(knn.knn_exact(finite, finite.withColumnRenamed("vec_id", "query_id"), 5, exclude_self=True))
+    assert len(want) == 5 * finite.count() and answers(cells.knn_cells(base, queries, 5, True)) == want
