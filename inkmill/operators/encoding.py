@@ -19,9 +19,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from ..functions.pretok import byte_alphabet
 from ..functions.scalars import ColumnOrName, _col
 from ..session import cut_lineage
 from .blocks import look_up, table_values
+from .merging import apply_merges
 
 # Largest vocabulary that is sent to every task (some tens of MB).
 MAX_BROADCAST_TOKENS = 500_000
@@ -37,6 +39,10 @@ def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_TOKENS) -> list:
 
 # Words of a batch whose pieces are held at once.
 WORDS_AT_ONCE = 200_000
+# Words whose pieces a task keeps for later batches (some 40 MB), and their longest.
+KEPT_WORDS, KEPT_CHARS = 100_000, 64
+# Characters from which a word takes its merges from a heap instead of one look at all of it per merge.
+LONG_WORD = 32
 
 
 def _slices(words: pa.Array) -> Iterator[pa.Array]:
@@ -49,12 +55,25 @@ def _slices(words: pa.Array) -> Iterator[pa.Array]:
 
 
 def _word_encoder(encode):
-    """Column function array<word> -> array<array<piece>>. Results leave by slices, so a batch's pieces are never held together."""
+    """Column function array<word> -> array<array<piece>>. Results leave by slices, so a batch's pieces are never held together.
+
+    A task keeps the pieces of the first KEPT_WORDS short words it sees, among them the frequent ones.
+    """
     @F.arrow_udf(ArrayType(ArrayType(StringType())))
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kept: dict[str, list[str]] = {}
+
+        def known(word: str) -> list[str]:
+            pieces = kept.get(word)
+            if pieces is None:
+                pieces = encode(word)
+                if len(kept) < KEPT_WORDS and len(word) <= KEPT_CHARS:
+                    kept[word] = pieces
+            return pieces
+
         for batch in batches:
             for part in _slices(batch):
-                yield _per_distinct_word(part, encode)
+                yield _per_distinct_word(part, known)
 
     return run
 
@@ -97,8 +116,27 @@ def encode_wordpiece(df: DataFrame, words: Column, vocab: DataFrame, out: str =
     return df.withColumn(out, wordpiece_encoder(vocab)(words))
 
 
+class _Single:
+    """Ranks as ``apply_merges`` takes them, with one rank a pair."""
+
+    def __init__(self, ranks: dict[tuple[str, str], int]):
+        self.ranks = ranks
+
+    def __contains__(self, pair: tuple[str, str]) -> bool:
+        return pair in self.ranks
+
+    def __getitem__(self, pair: tuple[str, str]) -> tuple[int]:
+        return (self.ranks[pair],)
+
+    def get(self, pair: tuple[str, str]) -> tuple[int] | None:
+        rank = self.ranks.get(pair)
+        return None if rank is None else (rank,)
+
+
 def _bpe_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     """Rules in learned order; a rule that has had its turn does not come back."""
+    if len(word) > LONG_WORD:
+        return apply_merges(list(word), _Single(ranks))
     parts, last = list(word), -1
     while len(parts) > 1:
         ahead = [r for p in zip(parts, parts[1:]) if (r := ranks.get(p, -1)) > last]
@@ -114,14 +152,21 @@ def _bpe_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     return parts
 
 
-def encode_bpe(df: DataFrame, words: Column, merges: DataFrame, out: str = "pieces") -> DataFrame:
-    """Add ``out``: the pieces of every word under ``merges(rank, left, right)``."""
+def encode_bpe(df: DataFrame, words: Column, merges: DataFrame, out: str = "pieces", byte_level: bool = False) -> DataFrame:
+    """Add ``out``: the pieces of every word under ``merges(rank, left, right)``.
+
+    With ``byte_level`` the words are given as they stand in the text, and are spelled in the byte alphabet where they
+    are encoded, once per distinct word of a slice.
+    """
     rows = bounded_rows(merges.select("rank", "left", "right"))
     ranks: dict[tuple[str, str], int] = {}
     for r in sorted(rows, key=lambda r: r.rank):
         ranks.setdefault((r.left, r.right), r.rank)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
+    if byte_level:
+        spelled = {b: c for b, c in byte_alphabet().items() if chr(b) != c}
+        return df.withColumn(out, _word_encoder(lambda w: _bpe_word(w.encode().decode("latin-1").translate(spelled), shared.value))(words))
     return df.withColumn(out, _word_encoder(lambda w: _bpe_word(w, shared.value))(words))
 
 

@@ -331,7 +331,7 @@ def train_from_corpus_52k(spark, d):
 def encode_bpe_trained(spark, d):
     """Every document by the merges of a vocabulary of 25,000 trained on all of them."""
     _, merges = training.train_bpe(byte_words(spark, d), vocab_size=25_000)
-    return _flat(encoding.encode_bpe(t.spread_documents(spark, d), P.pretok_bytelevel("text"), training.merge_table(spark, merges)))
+    return _flat(encoding.encode_bpe(t.spread_documents(spark, d), P.pretok_bytelevel_raw("text"), training.merge_table(spark, merges), byte_level=True))
 
 
 # Encoding.
@@ -363,7 +363,7 @@ def _flat(coded: DataFrame, kind: str = "bigint") -> DataFrame:
 
 @query("encode_bpe", SQL_ENCODE_BPE)
 def encode_bpe(spark, d):
-    return _flat(encoding.encode_bpe(t.spread_documents(spark, d), P.pretok_bytelevel("text"), _rules(spark, d)))
+    return _flat(encoding.encode_bpe(t.spread_documents(spark, d), P.pretok_bytelevel_raw("text"), _rules(spark, d), byte_level=True))
 
 
 @query("encode_bpe_join", SQL_ENCODE_BPE)

@@ -95,3 +95,44 @@ def test_examples_of_a_batch_are_plain_values():
     for part in (table, table.slice(1), table.take([2, 0, 1]), table.slice(0, 0), pa.concat_tables([table, table.slice(2)])):
         assert user_code._examples(part) == part.to_pylist()
         assert all(type(x) in (int, type(None)) for e in user_code._examples(part) for x in e["i"] or [])
+
+
+def test_bytes_are_spelled_where_words_are_encoded(spark):
+    from inkmill.functions import pretok
+
+    df = spark.createDataFrame([(0, "hé €\U0001f600 a\u0000b"), (1, None), (2, ""), (3, "é" * 50)], "id int, text string")
+    merges = spark.createDataFrame([(0, "Ã", "©"), (1, "Ġ", "a")], "rank int, left string, right string")
+    want = encoding.encode_bpe(df, pretok.pretok_bytelevel("text"), merges).collect()
+    got = encoding.encode_bpe(df, pretok.pretok_bytelevel_raw("text"), merges, byte_level=True).collect()
+    assert got == want
+
+
+def test_long_words_and_kept_words(spark, monkeypatch):
+    import random
+
+    rng = random.Random(2)
+    table = {}
+    for rank in range(60):
+        parts = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 3))) for _ in range(2)]
+        table.setdefault(tuple(parts), rank)
+    for n in (1, 2, 31, 33, 200):
+        word = "".join(rng.choice("abc") for _ in range(n))
+        monkeypatch.setattr(encoding, "LONG_WORD", 1 << 30)
+        want = encoding._bpe_word(word, table)
+        monkeypatch.setattr(encoding, "LONG_WORD", 0)
+        assert encoding._bpe_word(word, table) == want
+    seen = spark.sparkContext.accumulator(0)
+
+    def encode(word):
+        seen.add(1)
+        return [word]
+
+    df = spark.createDataFrame([(i, ["x", "y", "z" * 100]) for i in range(20)], "id int, w array<string>").coalesce(1)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "2")
+    try:
+        assert [r.p for r in df.select(encoding._word_encoder(encode)("w").alias("p")).collect()] == [[["x"], ["y"], ["z" * 100]]] * 20
+    finally:
+        spark.conf.set(size, before)
+    assert seen.value == 12  # the long word once per batch
