@@ -19,6 +19,8 @@ from tokenizers import Tokenizer
 
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 CLOSE_BLANKS = regex.compile(r"\s (?:\s|\Z)")
+BLANK = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"  # \s, spelled out for Arrow
+CLOSE_BLANKS_OF_ARRAYS = rf"{BLANK} (?:{BLANK}|\z)"
 CACHED = 300_000  # entries of one generation of a worker's cache, the frequent ones not counted
 MARKS = ".,"  # marks that stand alone behind letters
 LONGEST_CACHED = 64  # characters; longer pieces are encoded each time, so that a cache is bounded in bytes too
@@ -149,15 +151,16 @@ class Encoder:
         The texts are cut at spaces and their distinct pieces found outside Python; each distinct piece is looked up
         once a batch. What ``encode`` does not cut at spaces goes through it as a whole.
         """
-        whole = [not t or CLOSE_BLANKS.search(t) is not None or any(s in t for s in self.specials) for t in texts]
-        lists = pc.split_pattern(pa.array([t for t, w in zip(texts, whole) if not w], pa.string()), " ")
+        array = pa.array(texts, pa.string())
+        close = pc.match_substring_regex(array, CLOSE_BLANKS_OF_ARRAYS).to_pylist()
+        whole = np.array([not t or c or any(s in t for s in self.specials) for t, c in zip(texts, close)], bool)
+        lists = pc.split_pattern(array.filter(pa.array(~whole)), " ")
         pieces = lists.flatten().dictionary_encode()
         words, index = pieces.dictionary.to_pylist(), pieces.indices.to_numpy().astype(np.int64)
         codes = self._spaced_batch(words)
         starts = lists.offsets.to_numpy()[:-1]
         firsts = [self._piece(words[i]) for i in index[starts]]
         index[starts] = len(codes) + np.arange(len(firsts))
-        whole = np.array(whole, bool)
         counts = np.ones(len(texts), np.int64)
         counts[~whole] = lists.value_lengths().to_numpy()
         ends = np.cumsum(counts)

@@ -550,3 +550,18 @@ def test_quality_score_against_plain_counts(spark):
     assert {i for i in range(80) if not got[i][1] and i % 4} == set(i for i in range(80) if i % 4 and want[i] < quality.THRESHOLD)
     assert any(not got[i][1] for i in range(0, 80, 4))
     assert {i: got[i] for i in texts} == {i: v for i, v in scores(7).items() if i < 1000}
+
+
+def test_close_blanks_of_arrays():
+    """The pattern of Arrow finds the same texts as the one for single texts, for every blank and many that look like one."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import regex
+
+    from inkmill.llm import byte_level as B
+
+    blanks = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and regex.match(r"\s", chr(c))]
+    odd = [*blanks, "a", "\x1c", "\x1f", "\x00", "᠎", "​", "⁠", "﻿", "é", "\U0001f600"]
+    texts = [f"x{a} {b}y" for a in odd for b in odd] + [f"x{a} " for a in odd] + [f" {a}" for a in odd] + ["", " ", "  ", "a \n", "a\n ", "a \nb"]
+    found = pc.match_substring_regex(pa.array(texts), B.CLOSE_BLANKS_OF_ARRAYS).to_pylist()
+    assert found == [B.CLOSE_BLANKS.search(t) is not None for t in texts]
