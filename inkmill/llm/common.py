@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The white space that ends a word.
@@ -43,6 +46,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_slices(batch: pa.RecordBatch, columns: list[int], rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of at most ``rows`` rows and about ``size`` bytes of text; a longer text is a run of its own.
+
+    What Python makes of texts takes many times their size, so it is made for one run at a time.
+    """
+    lengths = [pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
+    ends, at = np.cumsum(sum(lengths)), 0
+    while at < batch.num_rows:
+        fits = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
+        to = min(at + rows, max(at + 1, fits), batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """The table without columns that an operator is about to add."""
     lower = {n.lower() for n in names}

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .common import without
+from .common import text_slices
 from .components import connected_components
 
 SHINGLE = 5
@@ -34,6 +34,7 @@ MISS = 1e-6
 COORDINATES = 384
 SEED = 20_260
 BLOCK = 1024
+ROWS, TEXT_BYTES = 1_000, 1 << 20  # texts and bytes of text turned to Python objects together
 BROADCAST_IDS = 500_000
 CENTRES = 256
 WORDS = 16  # of 64 bits in the bitmap of a set
@@ -106,7 +107,7 @@ def bitmap(items: np.ndarray) -> np.ndarray:
 
 def _sign(bands: int, rows: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole, [1], ROWS, TEXT_BYTES)):
             counts, digests, keys, bits = [], [], [], []
             for text in batch.column(1).to_pylist():
                 items = shingles(text, size)
@@ -127,7 +128,7 @@ def _sign(bands: int, rows: int, size: int):
 def _compare(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, np.empty(0, np.uint64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole, [2, 3], ROWS, TEXT_BYTES)):
             common, union = [], []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if b != last:
