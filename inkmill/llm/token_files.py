@@ -14,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from .byte_level import encoder
-from .common import partitions
+from .common import partitions, text_slices
 
 END_ID = 0
 ROWS_PER_GROUP = 1_000
 STRIPE_BYTES = 32 << 20
-ROWS = 4_000  # texts encoded together
+ROWS, TEXT_BYTES = 5_000, 16 << 20  # texts and bytes of text encoded together
 
 
 def write_token_files(df: DataFrame, folder: str, path: str, end_id: int = END_ID, rows_per_group: int = ROWS_PER_GROUP,
@@ -32,8 +32,8 @@ def write_token_files(df: DataFrame, folder: str, path: str, end_id: int = END_I
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, place = encoder(path), 0
-        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-            ids, ends = own.encode_batch(batch.column(2).to_pylist())
+        for batch in (part for whole in batches for part in text_slices(whole, [2], ROWS, TEXT_BYTES)):
+            ids, ends = own.encode_batch(batch.column(2))
             offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.insert(ids, ends, end_id), pa.int32()))
             places = pa.array(np.arange(place, place + batch.num_rows))
