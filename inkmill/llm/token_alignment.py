@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .byte_level import SPELLING, Encoder, load
+from .byte_level import BLANK, SPELLING, Encoder, Known, cut_at_spaces, gathered, in_text_order, load
+from .common import text_slices
 
 SHARD_KEYS = 1 << 14
 ROUND_KEYS = 1 << 22
 SLICE = 1 << 13  # counts of one row of a dense vector
 FAN_IN = 16
 CHUNK = 1 << 18
-ROWS = 1_000  # texts encoded before their ids leave the task
+ROWS, TEXT_BYTES = 4_000, 12 << 20  # texts and bytes of text encoded before their ids leave the task
+FAR_BLANKS = rf"\A |  | \z|{BLANK} {BLANK}"  # texts with words that may not stand alone
 SPARE = 1.5  # slots per key of a level
 CACHED = 100_000
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -51,7 +54,8 @@ def _byte_side(path: str) -> tuple[Encoder, list[bytes]]:
 
 
 @lru_cache(maxsize=2)
-def _piece_side(path: str) -> tuple[object, list[bytes]]:
+def _piece_side(path: str) -> tuple[object, list[bytes], Known | None]:
+    """The model, the bytes of each id, and a way to encode words by themselves if the model allows it."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -60,7 +64,39 @@ def _piece_side(path: str) -> tuple[object, list[bytes]]:
         piece = model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
 
-    return model, [own(i) for i in range(model.get_piece_size())]
+    def words(fresh: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        coded = model.encode(fresh.to_pylist(), num_threads=1)
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+        return np.fromiter(chain.from_iterable(coded), np.int32, int(lengths.sum())), lengths
+
+    return model, [own(i) for i in range(model.get_piece_size())], Known(words) if _is_by_words(model) else None
+
+
+def _is_by_words(model) -> bool:
+    """Whether a word behind one space has the same pieces in any text: byte-pair merges, the text taken as it is, and
+    no piece that goes on over a space behind another character."""
+    try:
+        from sentencepiece import sentencepiece_model_pb2
+    except ImportError:  # it needs protobuf
+        return False
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(model.serialized_model_proto())
+    normal, trainer = proto.normalizer_spec, proto.trainer_spec
+    plain = not normal.precompiled_charsmap and normal.add_dummy_prefix and normal.escape_whitespaces and not trainer.treat_whitespace_as_suffix
+    return plain and trainer.model_type == trainer.BPE and not any("▁" in p.piece.lstrip("▁") for p in proto.pieces)
+
+
+def _differs(want: list[bytes], ids: np.ndarray, lengths: np.ndarray, own: list[bytes]) -> np.ndarray:
+    """Which words their ids do not give back."""
+    out, spelled = np.zeros(len(want), bool), [own[i] for i in ids.tolist()]
+    sizes = np.concatenate([[0], np.cumsum(np.fromiter(map(len, spelled), np.int64, len(spelled)))])
+    got, ends = b"".join(spelled), np.cumsum(lengths)
+    ends_of_words = np.cumsum(np.fromiter(map(len, want), np.int64, len(want)))
+    if np.array_equal(sizes[ends], ends_of_words) and got == b"".join(want):
+        return out
+    at = sizes[ends - lengths].tolist()
+    out[:] = [got[a:b] != w for a, b, w in zip(at, sizes[ends].tolist(), want)]
+    return out
 
 
 def _width(n_ids: int) -> str:
@@ -76,20 +112,40 @@ def encode_both(df: DataFrame, path_a: str, path_b: str, text_col: str = "text")
     that is null or empty, or whose bytes either side does not give back, has no tokens.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (byte_level, bytes_a), (model, bytes_b) = _byte_side(path_a), _piece_side(path_b)
-        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-            sides: tuple[list, list] = [], []
-            for text in batch.column(1).to_pylist():
-                a, b = b"", b""
-                if text:
-                    want = (" " + text).encode("utf-8", "surrogatepass")
-                    ids_a = np.frombuffer(byte_level.encode_plain(" " + text), "<i4")
-                    ids_b = model.encode(text, num_threads=1)
-                    if b"".join([bytes_a[i] for i in ids_a.tolist()]) == want == b"".join([bytes_b[i] for i in ids_b]):
-                        a, b = ids_a.astype(_width(len(bytes_a))).tobytes(), np.array(ids_b, _width(len(bytes_b))).tobytes()
-                sides[0].append(a)
-                sides[1].append(b)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(s, pa.binary()) for s in sides]], ["doc_id", "a", "b"])
+        (byte_level, bytes_a), (model, bytes_b, by_words) = _byte_side(path_a), _piece_side(path_b)
+
+        def as_a_whole(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+            if text:
+                want = (" " + text).encode("utf-8", "surrogatepass")
+                ids_a, ids_b = np.frombuffer(byte_level.encode_plain(" " + text), "<i4"), model.encode(text, num_threads=1)
+                if b"".join([bytes_a[i] for i in ids_a.tolist()]) == want == b"".join([bytes_b[i] for i in ids_b]):
+                    return ids_a, np.array(ids_b, np.int32)
+            return np.empty(0, np.int32), np.empty(0, np.int32)
+
+        for batch in (part for all_ in batches for part in text_slices(all_, [1], ROWS, TEXT_BYTES)):
+            texts = batch.column(1)
+            whole = np.ones(len(texts), bool) if by_words is None else Encoder.uncut(texts, FAR_BLANKS)
+            lists, pieces = cut_at_spaces(texts.filter(pa.array(~whole)))
+            sides = [byte_level.spaced_ids(pieces.dictionary), by_words(pieces.dictionary)] if len(pieces) else [(np.empty(0, np.int32), np.empty(0, np.int64))] * 2
+            index = pieces.indices.to_numpy()
+            # A word that a side does not give back sends its texts through the plain way.
+            want = [(" " + w).encode() for w in pieces.dictionary.to_pylist()]
+            other = _differs(want, *sides[0], bytes_a) | _differs(want, *sides[1], bytes_b)
+            if other.any():
+                words = lists.value_lengths().to_numpy()
+                again = np.add.reduceat(other[index], np.cumsum(words) - words) > 0
+                lists, index = lists.filter(pa.array(~again)), index[np.repeat(~again, words)]
+                whole[np.flatnonzero(~whole)[again]] = True
+            rest = [as_a_whole(t) for t in texts.filter(pa.array(whole)).to_pylist()]
+            order, ends = in_text_order(whole, lists, index, len(pieces.dictionary))
+            columns = []
+            for k, ((ids, lengths), own) in enumerate(zip(sides, (bytes_a, bytes_b))):
+                others = [r[k] for r in rest]
+                ids, to = gathered(np.concatenate([ids, *others]), np.concatenate([lengths, np.fromiter(map(len, others), np.int64, len(others))]), order)
+                ids = ids.astype(_width(len(own)))
+                offsets = np.concatenate([[0], np.concatenate([[0], to])[ends] * ids.itemsize])
+                columns.append(pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "a", "b"])
 
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), text_col).mapInArrow(encode, "doc_id long, a binary, b binary")
 
