@@ -60,19 +60,16 @@ def _formed(df: DataFrame) -> DataFrame:
     df = compute_once(df, _v=_tokens(F.col("_text")))
     mark = lambda v: F.xxhash64(F.substring(v, 1, 1))
     # Marks sort before all other characters of a token, numbers and units before JOIN, names behind it.
-    df = compute_once(df, "_v", _l=F.transform("_v", lambda v: F.xxhash64(F.when((v > NAME) & (v < "\x06"), F.substring(v, 2, 1 << 30)).otherwise(v))))
+    df = compute_once(df, "_v", _l=F.transform("_v", lambda v: F.xxhash64(F.when((v > NAME) & (v < "\x06"), F.substring(v, 2, 1 << 30)).otherwise(v))),
+                      _m=F.filter(F.transform("_v", lambda v, i: F.when(v < "\x06", i)), lambda i: i.isNotNull()))
+    of = lambda i: F.get("_v", i)
     return compute_once(
         df, "_v", "_l",
         _f=F.transform("_v", lambda v, i: F.when(v < JOIN, mark(v)).otherwise(F.get("_l", i))),
         _o=F.transform("_v", lambda v, i: F.when(v < START, mark(v)).otherwise(F.get("_l", i))),
         _t=F.transform("_v", lambda v, i: F.when(v < JOIN, mark(v)).when(v < "\x06", F.xxhash64(F.lit(NAME))).otherwise(F.get("_l", i))),
-        _q=F.filter(F.transform("_v", lambda v, i: F.when(v < JOIN, i)), lambda i: i.isNotNull()),
-        _names=F.filter(F.transform("_v", lambda v, i: F.when((v > JOIN) & (v < START), i)), lambda i: i.isNotNull()),
-        _starts=F.filter(F.transform("_v", lambda v, i: F.when((v >= START) & (v < "\x06"), i)), lambda i: i.isNotNull()))
-
-
-def _hashed(tokens: str, starts: Column, length: int) -> Column:
-    return F.transform(starts, lambda i: F.struct(i.alias("dpos"), F.xxhash64(*[F.get(tokens, i + k) for k in range(length)], F.lit(length)).alias("h")))
+        _q=F.filter("_m", lambda i: of(i) < JOIN), _names=F.filter("_m", lambda i: (of(i) > JOIN) & (of(i) < START)),
+        _starts=F.filter("_m", lambda i: of(i) >= START)).drop("_m")
 
 
 def _over(places: str, last: Column, length: int) -> Column:
@@ -97,10 +94,12 @@ def _window_rows(df: DataFrame, length: int) -> DataFrame:
     full = F.array_distinct(F.flatten(F.transform(ends, lambda e: F.when(low(e) <= high(e), F.sequence(low(e), high(e))).otherwise(none))))
     df = compute_once(df.filter(last >= 0), _full=F.when(F.size("_q") >= least, full).otherwise(none), _inner=_over("_names", last, length),
                       _first=_over("_starts", last, length))
-    forms = [_hashed("_f", F.sequence(F.lit(0), last), length), _hashed("_o", F.col("_inner"), length), _hashed("_t", F.col("_first"), length),
-             _hashed("_l", F.col("_full"), length)]
-    df = compute_once(df, "_full", "_inner", "_first", _w=F.concat(*forms))
-    return df.select("_key", F.inline("_w"))
+    # The four forms in one array: a window is hashed in compiled code where it is exploded, not in a lambda.
+    n, behind = F.size("_t"), lambda starts, k: F.transform(starts, lambda i: i + k * F.size("_t"))
+    starts = F.concat(F.sequence(F.lit(0), last), behind("_inner", 1), behind("_first", 2), behind("_full", 3))
+    df = compute_once(df, _n=n, _tokens=F.concat("_f", "_o", "_t", "_l"), _at=starts)
+    each = df.select("_key", "_n", "_tokens", F.explode("_at").alias("_i"))
+    return each.select("_key", F.pmod("_i", "_n").alias("dpos"), F.xxhash64(*[F.get("_tokens", F.col("_i") + k) for k in range(length)], F.lit(length)).alias("h"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, min_tokens: int = MIN_TOKENS) -> DataFrame:
