@@ -117,7 +117,7 @@ class Known:
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes; special strings in a text are the special tokens."""
 
-    def __init__(self, path: str, limit: int = CACHED):
+    def __init__(self, path: str, limit: int = CACHED, known: int = KNOWN):
         tokenizer = load(path)
         self.model = tokenizer.model
         # The pattern and the model alone, without added tokens or a normalizer.
@@ -128,7 +128,7 @@ class Encoder:
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
         self.tokens = Cache(self._token, limit=limit)
         self.spaced = Cache(self._spaced, limit=limit)
-        self.known = Known(self._fresh)
+        self.known = Known(self._fresh, known)
 
     def _token(self, token: str) -> bytes:
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spell(token))])

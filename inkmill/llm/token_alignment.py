@@ -34,10 +34,12 @@ ROUND_KEYS = 1 << 22
 SLICE = 1 << 13  # counts of one row of a dense vector
 FAN_IN = 16
 CHUNK = 1 << 18
-ROWS, TEXT_BYTES = 4_000, 12 << 20  # texts and bytes of text encoded before their ids leave the task
+ROWS, TEXT_BYTES = 4_000, 3 << 20  # texts and bytes of text encoded before their ids leave the task
 FAR_BLANKS = rf"\A |  | \z|{BLANK} {BLANK}"  # texts with words that may not stand alone
 SPARE = 1.5  # slots per key of a level
 CACHED = 100_000
+KNOWN = 1 << 18  # words a worker keeps of each side
+PIECED = 4_000  # words given to the piece model together
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _LOW, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
 
@@ -50,7 +52,7 @@ def _byte_side(path: str) -> tuple[Encoder, list[bytes]]:
     back = {c: b for b, c in SPELLING.items()}
     tokenizer = load(path)
     table = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
-    return Encoder(path, CACHED), [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in table]
+    return Encoder(path, CACHED, KNOWN), [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in table]
 
 
 @lru_cache(maxsize=2)
@@ -65,11 +67,14 @@ def _piece_side(path: str) -> tuple[object, list[bytes], Known | None]:
         return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
 
     def words(fresh: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        coded = model.encode(fresh.to_pylist(), num_threads=1)
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        return np.fromiter(chain.from_iterable(coded), np.int32, int(lengths.sum())), lengths
-
-    return model, [own(i) for i in range(model.get_piece_size())], Known(words) if _is_by_words(model) else None
+        ids, lengths = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for at in range(0, len(fresh), PIECED):
+            coded = model.encode(fresh.slice(at, PIECED).to_pylist(), num_threads=1)
+            lengths.append(np.fromiter(map(len, coded), np.int64, len(coded)))
+            ids.append(np.fromiter(chain.from_iterable(coded), np.int32, int(lengths[-1].sum())))
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    return model, [own(i) for i in range(model.get_piece_size())], Known(words, KNOWN) if _is_by_words(model) else None
 
 
 def _is_by_words(model) -> bool:
