@@ -228,3 +228,15 @@ def test_first_places_are_kept():
     assert table.first(("a", "b")) == 3 and table.smallest["a", "b"] == 3
     table._add(("a", "b"), 0)
     assert table.first(("a", "b")) == 0
+
+
+def test_train_unigram_prunes_to_the_whole_size(spark, tmp_path):
+    from inkmill.plans import REGISTRY
+
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 7))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(30))) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.token: r.neg_log_p for r in REGISTRY["train_unigram"].run(spark, str(tmp_path)).collect()}
+    assert set("▁abcdefgh") < set(got) and 9 < len(got) <= 100  # 300 seeds, 219 after three rounds and 198 after four
+    assert sum(2.718281828459045 ** -x for x in got.values()) == pytest.approx(1)
