@@ -24,6 +24,7 @@ from . import vocab
 from .encoding import MAX_BROADCAST_TOKENS, viterbi_words, viterbi_words_join
 from .merging import Runs, ScoredWords, apply_merges
 from .runs import Merged, pair_code, pair_sums, run_sums
+from .stretches import stretches
 
 # Two code points that Unicode keeps out of text.
 OPEN, CLOSE = "\ufdd0", "\ufdd1"
@@ -333,15 +334,19 @@ def train_unigram(freqs: DataFrame, vocab_size: int = 100, seed_size: int = 300,
     """token -> -log p: prune the tokens of least loss increase until the size is reached.
 
     The loop holds the vocabulary, whose size is bounded by ``seed_size`` and the
-    alphabet. Frequencies stay fixed; single characters are never pruned.
+    alphabet. Frequencies stay fixed; single characters are never pruned, so each round
+    needs only the distinct stretches of the words of the round before (see ``stretches``).
     """
-    words = cut_lineage(vocab.rank_words(freqs), freqs.sparkSession.sparkContext.defaultParallelism)
+    cores = freqs.sparkSession.sparkContext.defaultParallelism
+    words = cut_lineage(vocab.rank_words(freqs), cores)
     seed = vocab.subword_topn(words, seed_size).collect()
     chars = sorted((r for r in seed if len(r.token) == 1), key=lambda r: r.first)
     rest = sorted((r for r in seed if len(r.token) > 1), key=lambda r: (-r.freq, r.first, len(r.token)))
     token_freqs = {r.token: r.freq for r in [*chars, *rest]}
     while len(token_freqs) > vocab_size:
         scores = _scores(token_freqs)
+        if len(scores) <= MAX_BROADCAST_TOKENS:
+            words = cut_lineage(stretches(words, scores), cores)
         grown = {r.token: (r.lost, r.increase or 0) for r in unigram_losses(words, scores).collect()}
         prunable = sorted((t for t in token_freqs if len(t) > 1), key=lambda t: grown.get(t, (0, 0)))
         dropped = prunable[: int(len(token_freqs) * drop_share)]

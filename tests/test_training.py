@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from inkmill.operators import encoding, runs, training, vocab
+from inkmill.operators import encoding, runs, stretches, training, vocab
 from inkmill.operators.merging import Runs, ScoredWords, apply_merges, cut_runs
 
 STRIDE = 1000
@@ -240,3 +240,45 @@ def test_train_unigram_prunes_to_the_whole_size(spark, tmp_path):
     got = {r.token: r.neg_log_p for r in REGISTRY["train_unigram"].run(spark, str(tmp_path)).collect()}
     assert set("▁abcdefgh") < set(got) and 9 < len(got) <= 100  # 300 seeds, 219 after three rounds and 198 after four
     assert sum(2.718281828459045 ** -x for x in got.values()) == pytest.approx(1)
+
+
+def test_stretches_against_places_one_by_one(monkeypatch):
+    rng = random.Random(3)
+    for _ in range(100):
+        letters = "ab▁é😀c"[:rng.randint(1, 6)]
+        tokens = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 6))}
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(0, 30))]
+        want = Counter()
+        for freq, w in enumerate(words, 1):
+            spanned = {b for i in range(len(w)) for j in range(i + 2, len(w) + 1) if w[i:j] in tokens for b in range(i + 1, j)}
+            cuts = [b for b in range(len(w) + 1) if b not in spanned]
+            want.update({w[a:b]: 0 for a, b in zip(cuts, cuts[1:]) if b - a > 1})
+            for a, b in zip(cuts, cuts[1:]):
+                if b - a > 1:
+                    want[w[a:b]] += freq
+        monkeypatch.setattr(stretches, "BYTES_AT_ONCE", rng.choice([5, 100, 4_000_000]))
+        monkeypatch.setattr(stretches, "HELD_STRETCHES", rng.choice([1, 200_000]))
+        batch = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(range(1, len(words) + 1), pa.int64())], ["word", "freq"])
+        got = Counter()
+        for part in stretches.stretch_sums(iter([batch]), stretches.Tokens(tokens)):
+            for word, freq in zip(*[c.to_pylist() for c in part.columns]):
+                got[word] += freq
+        assert got == want
+
+
+def test_unigram_rounds_see_distinct_stretches(spark, monkeypatch):
+    """Each word is a shared part behind a letter of its own that no token spans: the losses are those of all words."""
+    rows = [(chr(0x4e00 + i) + p, 1 + i % 3, i) for i, p in enumerate(["abab", "abcab", "bcbc"] * 30)]
+    words = spark.createDataFrame(rows, "word string, freq long, first_seen long")
+    seen, losses = [], training.unigram_losses
+
+    def watched(table, scores):
+        seen.append(table.count())
+        want = {r.token: (r.lost, float(r.increase)) for r in losses(words, scores).collect()}
+        got = {r.token: (r.lost, float(r.increase)) for r in losses(table, scores).collect()}
+        assert got.keys() == want.keys() and all(got[t] == pytest.approx(want[t], abs=1e-6) for t in want)
+        return losses(table, scores)
+
+    monkeypatch.setattr(training, "unigram_losses", watched)
+    got = training.train_unigram(words, vocab_size=96, seed_size=100)
+    assert len(got) <= 96 and seen and max(seen) <= 6  # 90 distinct words
