@@ -57,39 +57,64 @@ def _spans(types: np.ndarray, begins: np.ndarray, row: np.ndarray) -> tuple[np.n
     return np.flatnonzero(first), np.flatnonzero(last)
 
 
-def _typed(tags: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the type, whether it is a B- tag) of each tag; a missing tag is outside. ``known`` grows by new types."""
-    coded = tags.fill_null("O").dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    at = coded.indices.to_numpy()
-    types = np.array([-1 if t == "O" else known.setdefault(t[2:], len(known)) for t in names], "int64")
-    return types[at], np.array([t.startswith("B-") for t in names], bool)[at]
+class _Tags:
+    """Tags by number, with the number of their type (-1 outside) and whether they are B- tags; a missing tag is -1, outside."""
+
+    def __init__(self):
+        self.ids: dict[str, int] = {}
+        self.types: dict[str, int] = {}
+
+    def numbered(self, tags: pa.Array) -> np.ndarray:
+        coded = tags.dictionary_encode()
+        known = np.array([*(self.ids.setdefault(t, len(self.ids)) for t in coded.dictionary.to_pylist()), -1], "int32")
+        return known[coded.indices.fill_null(-1).to_numpy()]
+
+    def typed(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        types = np.array([*(-1 if t == "O" else self.types.setdefault(t[2:], len(self.types)) for t in self.ids), -1], "int32")
+        return types[numbers], np.array([*(t.startswith("B-") for t in self.ids), False], bool)[numbers]
+
+
+# Tags looked at together; a longer row stands alone.
+TAGS_AT_ONCE = 100_000
+
+
+def _slices(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about TAGS_AT_ONCE labels."""
+    start, ends = 0, rows.column(1).offsets.to_numpy()
+    while start < rows.num_rows:
+        end = max(start + 1, int(np.searchsorted(ends, ends[start] + TAGS_AT_ONCE, side="right")) - 1)
+        yield rows.slice(start, end - start)
+        start = end
 
 
 def _span_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts per type and ``overall`` of a batch of (predictions, labels); a row without one of them has no type and no counts."""
     for batch in batches:
         present = pc.and_(batch.column(0).is_valid(), batch.column(1).is_valid())
-        rows = batch.filter(present)
+        rows = batch if batch.num_rows == (pc.sum(present).as_py() or 0) else batch.filter(present)
         out = [] if rows.num_rows == batch.num_rows else [(None,) * 6]
         if rows.num_rows:
-            said, true = rows.column(0), rows.column(1)
-            sizes = np.diff(true.offsets.to_numpy())
-            if (np.diff(said.offsets.to_numpy()) != sizes).any():  # labels decide the length
-                said = pa.array([(p + [None] * n)[:n] for p, n in zip(said.to_pylist(), sizes)], pa.list_(pa.string()))
-            said, true, row = said.flatten(), true.flatten(), np.repeat(np.arange(len(sizes)), sizes)
-            kept = pc.fill_null(pc.not_equal(true, str(IGNORE_LABEL)), False)
-            said, true, row = said.filter(kept), true.filter(kept), row[kept.to_numpy(zero_copy_only=False)]
-            known: dict[str, int] = {}
-            (p_type, p_begins), (y_type, y_begins) = _typed(said, known), _typed(true, known)
-            (p_first, p_last), (y_first, y_last) = _spans(p_type, p_begins, row), _spans(y_type, y_begins, row)
-            ends = np.full(len(row), -1)
-            ends[p_first] = p_last
-            found = y_first[(ends[y_first] == y_last) & (p_type[y_first] == y_type[y_first])]
-            counts = [np.bincount(t, minlength=len(known)).tolist() for t in (p_type[p_first], y_type[y_first], y_type[found])]
-            out += [(name, *(c[i] for c in counts), 0, 0) for name, i in known.items()]
-            same = pc.sum(pc.equal(said, true)).as_py() or 0
-            out.append(("overall", len(p_first), len(y_first), len(found), len(row), same))
+            tags, whole, typed = _Tags(), np.zeros(5, "int64"), np.zeros((3, 0), "int64")
+            for part in _slices(rows):
+                said, true = part.column(0), part.column(1)
+                sizes = np.diff(true.offsets.to_numpy())
+                if (np.diff(said.offsets.to_numpy()) != sizes).any():  # labels decide the length
+                    said = pa.array([(p + [None] * n)[:n] for p, n in zip(said.to_pylist(), sizes)], pa.list_(pa.string()))
+                p, y, row = tags.numbered(said.flatten()), tags.numbered(true.flatten()), np.repeat(np.arange(len(sizes), dtype="int32"), sizes)
+                kept = (y >= 0) & (y != tags.ids.get(str(IGNORE_LABEL), -1))
+                if not kept.all():
+                    p, y, row = p[kept], y[kept], row[kept]
+                (p_type, p_begins), (y_type, y_begins) = tags.typed(p), tags.typed(y)
+                (p_first, p_last), (y_first, y_last) = _spans(p_type, p_begins, row), _spans(y_type, y_begins, row)
+                ends = np.full(len(row), -1)
+                ends[p_first] = p_last
+                found = y_first[(ends[y_first] == y_last) & (p_type[y_first] == y_type[y_first])]
+                typed = np.pad(typed, ((0, 0), (0, len(tags.types) - typed.shape[1])))
+                typed += [np.bincount(t, minlength=len(tags.types)) for t in (p_type[p_first], y_type[y_first], y_type[found])]
+                whole += (len(p_first), len(y_first), len(found), len(row), int(np.count_nonzero(p == y)))
+            # A tag that is left and not outside is part of a span, so other types are those of ignored positions.
+            out += [(name, *typed[:, i].tolist(), 0, 0) for name, i in tags.types.items() if typed[:2, i].any()]
+            out.append(("overall", *whole.tolist()))
         columns = list(zip(*out)) or [()] * 6
         kinds = [pa.string(), *[pa.int64()] * 5]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["type", *COUNTS])

@@ -127,9 +127,9 @@ WITH w AS MATERIALIZED (SELECT doc_id, i, {_sql_named_tag('doc_id', 'i')} AS y,
 SELECT type, round(tp / p, 9) AS precision, round(tp / y, 9) AS recall, round(2 * tp / (y + p), 9) AS f1, y AS number,
   CASE WHEN type = 'overall' THEN (SELECT round(avg((y = p)::INTEGER), 9) FROM w) END AS accuracy FROM n""")
 def seqeval(spark, d):
-    docs = t.spread_documents(spark, d).select("doc_id", T.words("text").alias("words"))
-    tags = docs.select(F.transform(t.word_tags(["doc_id"], "words"), t.label_name).alias("labels"),
-                       F.transform(t.word_tags(["doc_id"], "words", error=True), t.label_name).alias("predictions"))
+    words = T.words("text")  # counted where they are found, so no word goes along with the tags
+    tags = t.spread_documents(spark, d).select(t.label_names(t.word_tags(["doc_id"], words)).alias("labels"),
+                                               t.label_names(t.word_tags(["doc_id"], words, error=True)).alias("predictions"))
     scores = metrics.seqeval(tags, "predictions", "labels")
     return scores.select("type", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1", "accuracy")], "number")
 

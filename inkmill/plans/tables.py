@@ -6,11 +6,12 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..functions.pretok import BERT_PATTERN, BYTE_LEVEL_PATTERN, PUNCTUATION, WORD_PATTERN
-from ..functions.scalars import ColumnOrName, _col, hex_to_long, uniform_array
+from ..functions.scalars import ColumnOrName, _col, draw_lists, draw_prefix, hex_to_long, many_draws
 from ..functions.text import NOT_WHITESPACE, WHITESPACE, words
 from ..session import spread
 
@@ -57,23 +58,55 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("conv_id") * 1000000 + F.col("turn")).alias("example_id"), "question", "context")
 
 
-def word_tags(key: list[str], tokens: ColumnOrName, error: bool = False) -> Column:
-    """A label id per token by digest; with ``error`` one in ten is moved to the next label."""
-    size = F.size(_col(tokens))
+class _Draws:
+    """Label ids by digest of the rows seen last: true and predicted labels of a batch are made of the same ones."""
+
+    def __init__(self):
+        self.key: tuple[list[str], list[int]] | None = None
+
+    def tags(self, prefixes: list[str], counts: list[int]) -> np.ndarray:
+        if self.key != (prefixes, counts):
+            self.key = prefixes, counts
+            self.values = np.floor(many_draws(prefixes, counts) * len(LABEL_NAMES)).astype("int32")
+        return self.values
+
+
+_DRAWS = _Draws()
+
+
+@F.arrow_udf(ArrayType(IntegerType()))
+def _tags(prefixes: pa.Array, counts: pa.Array) -> pa.Array:
+    return draw_lists(prefixes, counts, _DRAWS.tags)
 
-    def tag(u: Column) -> Column:
-        return F.floor(u * len(LABEL_NAMES)).cast("int")
 
-    draws = uniform_array(size, "tag", *key)
-    if not error:
-        return F.transform(draws, tag)
-    return F.zip_with(draws, uniform_array(size, "err", *key), lambda u, e: F.when(e < 0.1, (tag(u) + 1) % len(LABEL_NAMES)).otherwise(tag(u)))
+@F.arrow_udf(ArrayType(IntegerType()))
+def _moved_tags(prefixes: pa.Array, errors: pa.Array, counts: pa.Array) -> pa.Array:
+    def moved(keys: list[str], sizes: list[int]) -> np.ndarray:
+        tags = _DRAWS.tags(keys, sizes)
+        return np.where(many_draws(errors.to_pylist(), sizes) < 0.1, (tags + 1) % len(LABEL_NAMES), tags).astype("int32")
+
+    return draw_lists(prefixes, counts, moved)
+
+
+def word_tags(key: list[str], tokens: ColumnOrName, error: bool = False) -> Column:
+    """A label id per token by digest; with ``error`` one in ten is moved to the next label."""
+    size = F.size(_col(tokens)).cast("int")
+    return _moved_tags(draw_prefix("tag", *key), draw_prefix("err", *key), size) if error else _tags(draw_prefix("tag", *key), size)
 
 
 def label_name(label: Column) -> Column:
     return F.get(F.array(*[F.lit(n) for n in LABEL_NAMES]), label)
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def label_names(labels: pa.Array) -> pa.Array:
+    """``label_name`` of every element, over the flat buffer."""
+    bounds, flat = pc.subtract(labels.offsets, labels.offsets[0]), labels.flatten()
+    known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(LABEL_NAMES)))
+    names = pa.array(LABEL_NAMES, pa.string()).take(pc.if_else(known, flat, pa.scalar(None, pa.int32())))
+    return pa.ListArray.from_arrays(bounds, names, mask=labels.is_null() if labels.null_count else None)
+
+
 @F.arrow_udf(StructType([StructField("word_ids", ArrayType(IntegerType())), StructField("piece_ids", ArrayType(IntegerType()))]))
 def _three_chars(words: pa.Array) -> pa.Array:
     """Each distinct word of a batch is cut once; pieces and word numbers are laid out over the flat buffer."""

@@ -1,11 +1,18 @@
 """Masking, tags and entity counts over Arrow buffers; batches from one shuffle."""
 
+import hashlib
+import random
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from inkmill.functions import scalars
 from inkmill.functions.scalars import uniform, uniform_array
 from inkmill.operators import encoding, examples as X, metrics as M, user_code
 from inkmill.operators.ordering import batch_assign
 from inkmill.plans import tables as t
+from inkmill.plans.tables import LABEL_NAMES
 
 
 def _plan(df):
@@ -136,3 +143,44 @@ def test_long_words_and_kept_words(spark, monkeypatch):
     finally:
         spark.conf.set(size, before)
     assert seen.value == 12  # the long word once per batch
+
+
+def test_many_draws_are_those_of_each_key(monkeypatch):
+    rng = random.Random(1)
+    for _ in range(20):
+        n = rng.randint(0, 15)
+        keys = [rng.choice(["tag", "err:é", "x" * rng.randint(0, 70)]) + f":{rng.randint(0, 10 ** rng.randint(1, 15))}" for _ in range(n)]
+        counts = [rng.choice([0, 1, 3, 11, 105, 1200]) for _ in range(n)]
+        monkeypatch.setattr(scalars, "KEYS_AT_ONCE", rng.choice([7, 100, 131_072]))
+        monkeypatch.setattr(scalars, "LANES", rng.choice([5, 32_768]))
+        want = np.concatenate([np.zeros(0), *(scalars.row_draws(k, c) for k, c in zip(keys, counts))])
+        assert (scalars.many_draws(keys, counts) == want).all()
+
+
+def test_seqeval_query_makes_tags_in_arrays(spark, tmp_path, monkeypatch):
+    from inkmill.plans import REGISTRY
+
+    texts = ["a b  c d e f", "", None, "x", "y " * 300]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    scores = REGISTRY["seqeval"].run(spark, str(tmp_path))
+    assert "lambda" not in _plan(scores)  # no tag a position in a lambda
+
+    def tag(doc, i, error):
+        def u(seed):
+            return int(hashlib.md5(f"{seed}:{doc}:{i}".encode()).hexdigest()[:8], 16) / 2 ** 32
+        return LABEL_NAMES[(int(u("tag") * 9) + (error and u("err") < 0.1)) % 9]
+
+    tags = [([tag(d, i, True) for i in range(len(t.split()))], [tag(d, i, False) for i in range(len(t.split()))]) for d, t in enumerate(texts) if t is not None]
+    want = {r.type: r for r in M.seqeval(spark.createDataFrame([*tags, (None, None)], "p array<string>, y array<string>"), "p", "y").collect()}
+    got = {r.type: r for r in scores.collect()}
+    assert got.keys() == want.keys() and got["overall"].number > 100
+    for name in got.keys() - {None}:
+        assert got[name].number == want[name].number and got[name].f1 == pytest.approx(want[name].f1, abs=1e-8)
+
+
+def test_span_counts_by_slices(spark, monkeypatch):
+    df = spark.createDataFrame([(["B-X", "I-X", "I-Y"], ["B-X", "I-X", "B-Y"]), (["B-Z"], ["-100"]), ([], []), (["O", "I-X"], ["I-X", "O"])] * 3, "p array<string>, y array<string>").coalesce(1)
+    rows = df.toArrow().to_batches()
+    want = [sorted(map(str, b.to_pylist())) for b in M._span_counts(iter(rows))]
+    monkeypatch.setattr(M, "TAGS_AT_ONCE", 1)
+    assert [sorted(map(str, b.to_pylist())) for b in M._span_counts(iter(rows))] == want and "'Z'" not in str(want)
