@@ -2,12 +2,13 @@
 
 import hashlib
 import random
+import unicodedata
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkmill.functions import scalars
+from inkmill.functions import scalars, text as T
 from inkmill.functions.scalars import uniform, uniform_array
 from inkmill.operators import encoding, examples as X, metrics as M, user_code
 from inkmill.operators.ordering import batch_assign
@@ -184,3 +185,37 @@ def test_span_counts_by_slices(spark, monkeypatch):
     want = [sorted(map(str, b.to_pylist())) for b in M._span_counts(iter(rows))]
     monkeypatch.setattr(M, "TAGS_AT_ONCE", 1)
     assert [sorted(map(str, b.to_pylist())) for b in M._span_counts(iter(rows))] == want and "'Z'" not in str(want)
+
+
+def test_offsets_over_flat_buffers(spark, tmp_path, monkeypatch):
+    """Tokens, word ids and spans of texts with wide spaces, marks, Hangul, blanks only, nothing, and no text."""
+    from inkmill.functions import pretok
+    from inkmill.plans import REGISTRY
+
+    texts = ["the then, the", "cafe\u0301\u2003\uac01\u00a0na\u0308ive\x85dog", " \t\u3000", "", None, "\u0130 \u20ac5 \U0001d504b" + " the" * 40] * 3
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(pretok, "ITEMS_AT_ONCE", 5)
+    df = REGISTRY["encode_with_offsets"].run(spark, str(tmp_path))
+    assert "aggregate" not in _plan(df)  # no sum over the pieces before each piece
+    rows = {r.doc_id: r for r in df.collect()}
+    assert len(rows) == len(texts) and (rows[4].tokens or "") == "" and rows[2].tokens == rows[3].tokens == ""
+    for doc, text in enumerate(texts):
+        if not text or not text.strip():
+            continue
+        row = rows[doc]
+        pieces, ids, starts, ends = row.tokens.split(" "), *([int(x) for x in getattr(row, c).split(" ")] for c in ("word_ids", "starts", "ends"))
+        assert len(pieces) == len(ids) == len(starts) == len(ends) and ids[0] == 0 and sorted(ids) == ids
+        for piece, a, b in zip(pieces, starts, ends):
+            plain = unicodedata.normalize("NFD", text[a:b].lower())
+            plain = "".join(c for c in plain if unicodedata.category(c) != "Mn")
+            assert piece.removeprefix("##") in plain and 0 <= a < b <= len(text)
+    first = rows[0]
+    assert first.word_ids.split(" ")[-1] == "3" and first.starts.split(" ")[0] == "0" and first.ends.split(" ")[-1] == "13"
+
+
+def test_normalize_text_of_all_kinds(spark):
+    texts = ["", "ABC z", "\u00c9\u00e0 \u0130I", "e\u0301x", "\uac01\uac00", None, "\u1e69\u0323"]
+    got = spark.createDataFrame([(x,) for x in texts], "text string").select(T.normalize_text("text").alias("n")).collect()
+    for text, r in zip(texts, got):
+        want = None if text is None else "".join(c for c in unicodedata.normalize("NFD", text.lower()) if unicodedata.category(c) != "Mn")
+        assert r.n == want
