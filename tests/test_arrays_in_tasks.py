@@ -198,7 +198,8 @@ def test_offsets_over_flat_buffers(spark, tmp_path, monkeypatch):
     df = REGISTRY["encode_with_offsets"].run(spark, str(tmp_path))
     assert "aggregate" not in _plan(df)  # no sum over the pieces before each piece
     rows = {r.doc_id: r for r in df.collect()}
-    assert len(rows) == len(texts) and (rows[4].tokens or "") == "" and rows[2].tokens == rows[3].tokens == ""
+    assert len(rows) == len(texts) and rows[2].starts == rows[2].tokens == rows[3].tokens == ""
+    assert rows[4].starts is None and rows[4].ends is None and rows[4].tokens == rows[4].word_ids == ""  # no text
     for doc, text in enumerate(texts):
         if not text or not text.strip():
             continue
